@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stackweave import session
-from stackweave.operators import context, spans
+from stackweave.operators import context, profiles, spans
 from stackweave.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,90 @@ def open_spans(spark, folder):
 @query
 def active_intervals(spark, folder):
     return spans.active_intervals(tracked(spark, folder, unit_seconds=60))
+
+
+TICK = "1 hour"
+
+
+def ticked(spark: SparkSession, folder: str) -> DataFrame:
+    return profiles.in_ticks(traced(spark, folder), profiles.CONTINUOUS, TICK)
+
+
+def numbered(spark: SparkSession, folder: str) -> DataFrame:
+    return profiles.number_samples(ticked(spark, folder))
+
+
+def all_ticked(spark: SparkSession, folder: str) -> DataFrame:
+    """Continuous and snapshot samples side by side, told apart by their source."""
+    return ticked(spark, folder).unionByName(
+        profiles.in_ticks(snapshot(spark, folder), profiles.SNAPSHOT, TICK)
+    )
+
+
+@query
+def ticks(spark, folder):
+    return profiles.ticks(all_ticked(spark, folder))
+
+
+@query
+def frame_counts(spark, folder):
+    return profiles.records(ticked(spark, folder)).select("service", "tick_ts", "total_frames")
+
+
+def _record_columns(records: DataFrame) -> DataFrame:
+    def attribute(name: str):
+        return F.element_at("attributes", name)
+
+    return records.select(
+        "service", "source", "scope", "timestamp_ns", "samples",
+        attribute("profiling.data.format").alias("format"),
+        attribute("profiling.data.type").alias("data_type"),
+        attribute("profiling.data.total.frame.count").alias("total_frames"),
+    )
+
+
+@query
+def profile_records(spark, folder):
+    return _record_columns(profiles.records(ticked(spark, folder)))
+
+
+@query
+def all_profile_records(spark, folder):
+    return _record_columns(profiles.records(all_ticked(spark, folder)))
+
+
+@query
+def profile_strings(spark, folder):
+    return profiles.strings(numbered(spark, folder)).select("service", "tick_ts", "string_id", "token")
+
+
+@query
+def profile_functions(spark, folder):
+    return profiles.functions(numbered(spark, folder)).select(
+        "service", "tick_ts", "function_id", "file", "func"
+    )
+
+
+@query
+def profile_locations(spark, folder):
+    return profiles.locations(numbered(spark, folder)).select(
+        "service", "tick_ts", "location_id", "file", "func", "line"
+    )
+
+
+@query
+def profile_samples(spark, folder):
+    return profiles.samples(numbered(spark, folder)).select(
+        "service", "tick_ts", "sample_id", F.col("sample").cast("long").alias("sample"), "tid",
+        "trace_id", "span_id", F.array_join("location_ids", ",").alias("location_ids"),
+    )
+
+
+@query
+def profile_labels(spark, folder):
+    base = numbered(spark, folder)
+    strings = profiles.strings(base)
+    encoded = profiles.labels(base, strings, profiles.PERIOD_MILLIS[profiles.CONTINUOUS])
+    return profiles.resolve_labels(encoded, strings).select(
+        "service", "tick_ts", F.col("sample").cast("long").alias("sample"), "key", "text", "num"
+    )

@@ -110,3 +110,116 @@ select service, tid, ts, sample_id, trace_id, span_id from snapshot""",
     "open_spans": OPEN_SPANS,
     "active_intervals": ACTIVE_INTERVALS,
 }
+
+TICKED = f"""{WITH_CONTEXT},
+ticked as (
+  select c.*, date_trunc('hour', c.ts) as tick_ts, cast(row_number() over (
+      partition by c.service, date_trunc('hour', c.ts) order by c.ts, c.tid, c.sample_id) as bigint) as sample
+  from with_context c)"""
+
+TICKED_FRAMES = f"""{TICKED},
+stack_words as (
+  select sample_id, file, len(words) as depth_count,
+    unnest(words) as func, unnest(range(len(words))) as depth
+  from stack_samples),
+frames as (
+  select t.service, t.tick_ts, t.sample, w.depth_count - 1 - w.depth as pos, w.file, w.func,
+    case when not ends_with(w.func, '.') then length(w.func) end as line
+  from ticked t join stack_words w using (sample_id))"""
+
+ALL_TICKED = f"""{SNAPSHOT},
+all_ticked as (
+  select *, 'continuous' as source, date_trunc('hour', ts) as tick_ts from with_context
+  union all
+  select *, 'snapshot', date_trunc('hour', ts) from snapshot)"""
+
+LABEL_FORM = """
+  case when length(ltrim({0}, '0')) < {1} then lpad(ltrim({0}, '0'), {1}, '0') else ltrim({0}, '0') end"""
+TRACE_LABEL = LABEL_FORM.format("trace_id", 16)
+SPAN_LABEL = LABEL_FORM.format("span_id", 8)
+
+LOCATION_IDS = f"""{TICKED_FRAMES},
+locations as (
+  select *, row_number() over (partition by service, tick_ts order by sample, pos) as location_id
+  from (select *, row_number() over (
+      partition by service, tick_ts, file, func, line order by sample, pos) as occurrence from frames)
+  where occurrence = 1)"""
+
+STATEMENTS |= {
+    "ticks": f"""
+with {ALL_TICKED}
+select service, source, tick_ts, count(*) as samples from all_ticked group by all""",
+    "frame_counts": f"""
+with {TICKED}
+select t.service, t.tick_ts, cast(sum(len(s.words)) as bigint) as total_frames
+from ticked t join stack_samples s using (sample_id) group by all""",
+    "profile_records": f"""
+with {TICKED}
+select t.service, 'continuous' as source, 'profiling' as scope,
+  epoch_us(t.tick_ts) * 1000 as timestamp_ns, count(*) as samples,
+  'pprof-gzip-base64' as format, 'cpu' as data_type,
+  cast(sum(len(s.words)) as varchar) as total_frames
+from ticked t join stack_samples s using (sample_id) group by t.service, t.tick_ts""",
+    "all_profile_records": f"""
+with {ALL_TICKED}
+select t.service, t.source, 'profiling' as scope,
+  epoch_us(t.tick_ts) * 1000 as timestamp_ns, count(*) as samples,
+  'pprof-gzip-base64' as format, 'cpu' as data_type,
+  cast(sum(len(s.words)) as varchar) as total_frames
+from all_ticked t join stack_samples s using (sample_id) group by t.service, t.source, t.tick_ts""",
+    "profile_strings": f"""
+with {TICKED_FRAMES},
+tokens as (
+  select service, tick_ts, sample, 0 as ord, {TRACE_LABEL} as token from ticked where trace_id is not null
+  union all
+  select service, tick_ts, sample, 1, {SPAN_LABEL} from ticked where span_id is not null
+  union all
+  select service, tick_ts, sample, 2 * pos + 2, func from frames
+  union all
+  select service, tick_ts, sample, 2 * pos + 3, file from frames
+  union all
+  select distinct service, tick_ts, 0, unnest([0, 1, 2, 3, 4]),
+    unnest(['source.event.time', 'trace_id', 'span_id', 'thread.id', 'source.event.period'])
+  from ticked),
+firsts as (
+  select *, row_number() over (partition by service, tick_ts, token order by sample, ord) as occurrence
+  from tokens)
+select service, tick_ts, token,
+  row_number() over (partition by service, tick_ts order by sample, ord) - 1 as string_id
+from firsts where occurrence = 1""",
+    "profile_functions": f"""
+with {TICKED_FRAMES},
+firsts as (
+  select *, row_number() over (
+    partition by service, tick_ts, file, func order by sample, pos) as occurrence
+  from frames)
+select service, tick_ts, file, func,
+  row_number() over (partition by service, tick_ts order by sample, pos) as function_id
+from firsts where occurrence = 1""",
+    "profile_locations": f"""
+with {LOCATION_IDS}
+select service, tick_ts, location_id, file, func,
+  case when coalesce(line, 0) = 0 then -1 else line end as line
+from locations""",
+    "profile_samples": f"""
+with {LOCATION_IDS},
+stacks as (
+  select f.service, f.tick_ts, f.sample, string_agg(l.location_id, ',' order by f.pos) as location_ids
+  from frames f join locations l on l.service = f.service and l.tick_ts = f.tick_ts
+    and l.file = f.file and l.func = f.func and l.line is not distinct from f.line
+  group by f.service, f.tick_ts, f.sample)
+select t.service, t.tick_ts, t.sample_id, t.sample, t.tid, t.trace_id, t.span_id, s.location_ids
+from ticked t join stacks s using (service, tick_ts, sample)""",
+    "profile_labels": f"""
+with {TICKED}
+select service, tick_ts, sample, 'source.event.time' as key, cast(null as varchar) as text,
+  epoch_ms(tick_ts) as num from ticked
+union all
+select service, tick_ts, sample, 'source.event.period', null, 1000 from ticked
+union all
+select service, tick_ts, sample, 'thread.id', null, tid from ticked
+union all
+select service, tick_ts, sample, 'trace_id', {TRACE_LABEL}, null from ticked where trace_id is not null
+union all
+select service, tick_ts, sample, 'span_id', {SPAN_LABEL}, null from ticked where span_id is not null""",
+}
