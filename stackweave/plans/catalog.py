@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stackweave import session
-from stackweave.operators import context, profiles, spans
+from stackweave.functions import endpoints, ids, sampling, text
+from stackweave.operators import (
+    attributes,
+    callgraph,
+    config,
+    context,
+    correlate,
+    inventory,
+    limits,
+    logs,
+    profiles,
+    reports,
+    spans,
+)
 from stackweave.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +173,296 @@ def profile_labels(spark, folder):
     return profiles.resolve_labels(encoded, strings).select(
         "service", "tick_ts", F.col("sample").cast("long").alias("sample"), "key", "text", "num"
     )
+
+
+CONTINUOUS_MS = profiles.PERIOD_MILLIS[profiles.CONTINUOUS]
+SNAPSHOT_MS = profiles.PERIOD_MILLIS[profiles.SNAPSHOT]
+
+
+@query
+def function_times(spark, folder):
+    """Where traced work spends its time."""
+    busy = traced(spark, folder).filter(F.col("trace_id").isNotNull())
+    return callgraph.function_times(busy, CONTINUOUS_MS)
+
+
+@query
+def call_edges(spark, folder):
+    return callgraph.call_edges(snapshot(spark, folder), SNAPSHOT_MS)
+
+
+@query
+def folded_stacks(spark, folder):
+    return callgraph.folded_stacks(samples(spark, folder), CONTINUOUS_MS)
+
+
+@query
+def span_profiles(spark, folder):
+    labelled = traced(spark, folder).withColumns(
+        {"trace_id": ids.trace_label(F.col("trace_id")), "span_id": ids.span_label(F.col("span_id"))}
+    )
+    return correlate.span_profiles(tables.event_spans(spark, folder), labelled, CONTINUOUS_MS)
+
+
+@query
+def spans_without_stacks(spark, folder):
+    return correlate.spans_without_stacks(tracked(spark, folder), snapshot(spark, folder)).select(
+        "service", "trace_id", "span_id"
+    )
+
+
+@query
+def entry_spans(spark, folder):
+    return spans.entry_spans(tables.order_spans(spark, folder)).select("service", "trace_id", "span_id")
+
+
+@query
+def resolved_parents(spark, folder):
+    """Entry spans where the exporter left out whether the parent is remote."""
+    found = spans.resolve_parents(tables.order_spans(spark, folder).drop("parent_is_remote"))
+    return spans.entry_spans(found).select("service", "trace_id", "span_id")
+
+
+@query
+def selected_spans(spark, folder):
+    return tracked(spark, folder).select(
+        "service", "trace_id", "span_id",
+        F.element_at("attributes", spans.SELECTION_ATTRIBUTE).alias("mark"),
+    )
+
+
+@query
+def span_counts(spark, folder):
+    return spans.span_counts(tables.order_spans(spark, folder))
+
+
+@query
+def trace_volume(spark, folder):
+    return tables.trace_baggage(spark, folder).select(
+        "o_orderkey", "trace_id", "baggage",
+        sampling.trace_volume(F.col("baggage"), F.col("trace_id"), 0.5).alias("volume"),
+    )
+
+
+@query
+def random_selection(spark, folder):
+    """Requests without a valid trace id, chosen by chance."""
+    invalid = tables.trace_baggage(spark, folder).filter(F.col("baggage").isNull())
+    return invalid.select(
+        "o_orderkey", sampling.trace_volume(F.col("baggage"), F.lit("0" * 32), 0.5, seed=7).alias("volume")
+    )
+
+
+@query
+def normalised_ids(spark, folder):
+    """Ids as labels write them, and widened again."""
+    trace, span = ids.trace_label(F.col("trace_id")), ids.span_label(F.col("span_id"))
+    return tables.order_spans(spark, folder).select(
+        "trace_id", "span_id",
+        trace.alias("trace_label"), span.alias("span_label"),
+        ids.trace_hex(trace).alias("trace_hex"), ids.span_hex(span).alias("span_hex"),
+    )
+
+
+@query
+def server_timing(spark, folder):
+    """Response headers; the first span of a trace stands for a request without a valid one."""
+    return tables.order_spans(spark, folder).select(
+        "trace_id", "parent_span_id",
+        ids.server_timing(F.col("trace_id"), F.col("parent_span_id")).alias("header"),
+    )
+
+
+@query
+def flatten_scope_logs(spark, folder):
+    flat = logs.flatten_logs(tables.log_exports(spark, folder), "doc_id")
+    return flat.select(
+        "doc_id", "scope", F.col("position").cast("long").alias("position"),
+        F.col("resource").getItem("lang").alias("lang"), "body",
+    )
+
+
+ROUTES = {"deps": "dependency-reports"}
+
+
+@query
+def route_logs(spark, folder):
+    return tables.log_records(spark, folder).select(
+        "event_id", "scope", logs.route_of(F.col("scope"), ROUTES).alias("route")
+    )
+
+
+@query
+def scope_records(spark, folder):
+    found = logs.in_scope(tables.log_records(spark, folder), "app", "event.name", "click")
+    return found.select("event_id", "service", F.col("attributes").getItem("k").alias("k"))
+
+
+METRICS = ("process.a.f", "process.n.o", "process.r.f", "process.r.o", "system.cpu.time")
+
+
+@query
+def metric_presence(spark, folder):
+    return logs.metric_presence(tables.metrics(spark, folder), METRICS)
+
+
+@query
+def package_names(spark, folder):
+    return reports.package_names(tables.package_reports(spark, folder))
+
+
+@query
+def reports_complete(spark, folder):
+    return reports.completeness(tables.package_reports(spark, folder))
+
+
+@query
+def report_packages(spark, folder):
+    return reports.reassemble(tables.package_reports(spark, folder)).withColumn(
+        "position", F.col("position").cast("long")
+    )
+
+
+@query
+def limit_links(spark, folder):
+    links = F.split("text", " ")
+    return tables.table(spark, folder, "documents").select(
+        "doc_id", F.size(links).cast("long").alias("links"),
+        limits.limit_links(links).alias("_kept"),
+    ).select(
+        "doc_id", "links", F.size("_kept").cast("long").alias("kept"),
+        F.element_at("_kept", -1).alias("last"),
+    )
+
+
+@query
+def limit_attributes(spark, folder):
+    attributes = F.create_map(F.lit("lang"), F.col("lang"), F.lit("text"), F.col("text"))
+    return tables.table(spark, folder, "documents").select(
+        "doc_id", F.explode(limits.limit_values(attributes)).alias("key", "value")
+    )
+
+
+def process_config(spark: SparkSession, folder: str) -> DataFrame:
+    return config.apply_distribution(config.per_process(tables.config_entries(spark, folder)))
+
+
+@query
+def effective_config(spark, folder):
+    return config.effective(tables.config_entries(spark, folder))
+
+
+@query
+def resolved_endpoints(spark, folder):
+    return config.resolved_endpoints(process_config(spark, folder))
+
+
+@query
+def typed_config(spark, folder):
+    return config.typed(config.per_process(tables.config_entries(spark, folder)))
+
+
+@query
+def config_report(spark, folder):
+    return config.report(process_config(spark, folder))
+
+
+@query
+def config_report_parse(spark, folder):
+    parsed = config.parse_properties(config.report(process_config(spark, folder)), "report", "process")
+    return parsed.withColumn("line", F.col("line").cast("long"))
+
+
+@query
+def config_warnings(spark, folder):
+    return process_config(spark, folder).select("process", "service_name_missing", "realm_ignored")
+
+
+@query
+def resource_attributes(spark, folder):
+    """Resource attribute lists with the distribution's own entries, taken apart again."""
+    return process_config(spark, folder).select(
+        "process", F.inline(text.pairs(F.col("resource_attributes")))
+    )
+
+
+@query
+def disabled_flags(spark, folder):
+    instrumentations = ("flask", "furniture", "machinery")
+    return tables.memberships(spark, folder).select(
+        "c_custkey",
+        *[text.is_listed(F.lit(name), F.col("disabled")).alias(name) for name in instrumentations],
+    )
+
+
+@query
+def sanitised_endpoints(spark, folder):
+    return tables.endpoints(spark, folder).select(
+        "page_id", endpoints.sanitise(F.col("endpoint")).alias("endpoint")
+    )
+
+
+@query
+def encoded_attributes(spark, folder):
+    return attributes.encode(tables.typed_attributes(spark, folder))
+
+
+@query
+def unsupported_attributes(spark, folder):
+    return attributes.unsupported(tables.typed_attributes(spark, folder)).select("p_partkey", "warning")
+
+
+@query
+def attribute_partition(spark, folder):
+    resource = tables.resource_maps(spark, folder)
+
+    def listed(column):
+        entries = F.transform(F.map_entries(column), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+        return F.array_join(F.array_sort(entries), ";")
+
+    return resource.select(
+        "p_partkey",
+        listed(attributes.identifying(F.col("attributes"))).alias("identifying"),
+        listed(attributes.describing(F.col("attributes"))).alias("describing"),
+    )
+
+
+# Neutral stand-ins for package families and the places their sources live.
+SOURCE_RULES = [
+    ("exact", "standard", "https://example.org/core/{name}"),
+    ("prefix", "sma", "https://example.org/exporters/{name}"),
+    ("exact", "promo", "https://example.org/contrib"),
+    ("prefix", "s", "https://example.org/other/{name}"),
+]
+SUMMARIES = [
+    inventory.Summary("Core", "standard", "https://example.org/core", always_stable=True),
+    inventory.Summary("Contrib", "promo", "https://example.org/contrib"),
+]
+
+
+@query
+def requirements_parsed(spark, folder):
+    return inventory.parse_requirements(tables.requirements(spark, folder), SOURCE_RULES)
+
+
+@query
+def dependency_inventory(spark, folder):
+    return inventory.dependencies(tables.requirements(spark, folder), SUMMARIES, SOURCE_RULES)
+
+
+@query
+def catalogue(spark, folder):
+    return inventory.catalogue(tables.manifests(spark, folder), ["lib-1", "lib-2"]).withColumn(
+        "position", F.col("position").cast("long")
+    )
+
+
+@query
+def inventory_counts(spark, folder):
+    return inventory.counts(
+        {
+            "dependencies": inventory.dependencies(tables.requirements(spark, folder), SUMMARIES),
+            "instrumentations": inventory.instrumentations(tables.manifests(spark, folder)),
+            "settings": tables.config_entries(spark, folder).select("key").distinct(),
+        }
+    )

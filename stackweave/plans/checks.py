@@ -223,3 +223,394 @@ select service, tick_ts, sample, 'trace_id', {TRACE_LABEL}, null from ticked whe
 union all
 select service, tick_ts, sample, 'span_id', {SPAN_LABEL}, null from ticked where span_id is not null""",
 }
+
+ORDER_SPANS = """
+order_lines as (
+  select l_orderkey, l_linenumber, min(l_suppkey) as l_suppkey, min(l_shipdate) as l_shipdate,
+    min(l_quantity) as l_quantity
+  from lineitem group by l_orderkey, l_linenumber),
+chained as (
+  select *, lag(l_linenumber) over (partition by l_orderkey order by l_linenumber) as prev_line,
+    lag(l_suppkey) over (partition by l_orderkey order by l_linenumber) as prev_supp
+  from order_lines),
+order_spans as (
+  select concat('svc', l_suppkey % 3) as service, md5(concat('o', l_orderkey)) as trace_id,
+    substr(md5(concat('l', l_orderkey, '-', l_linenumber)), 1, 16) as span_id,
+    case when prev_line is not null
+      then substr(md5(concat('l', l_orderkey, '-', prev_line)), 1, 16) end as parent_span_id,
+    coalesce(prev_supp % 3 <> l_suppkey % 3, false) as parent_is_remote,
+    l_shipdate as start_ts, l_shipdate + to_hours(cast(l_quantity as int)) as end_ts
+  from chained)"""
+
+PACKAGE_REPORTS = """
+package_reports as (
+  select cast(l_orderkey as varchar) as id, l_linenumber - 1 as fragment_index, 7 as max_fragments,
+    l_linenumber = 7 as is_done, p_name, p_brand
+  from lineitem join part on p_partkey = l_partkey)"""
+
+BLANKS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
+
+CONFIG = """
+raw_config as (
+  select concat('p', c_custkey) as process, c_custkey as k,
+    case c_custkey % 4 when 0 then concat('svc', c_custkey) when 1 then '' when 2 then c_name end as service_name,
+    case c_custkey % 11 when 0 then 'us2' when 1 then ' eu0 ' when 2 then '-us2'
+      when 3 then 'us2/anything' when 4 then 'us2:443' when 5 then '' end as realm,
+    case c_custkey % 3 when 0 then concat(' token', c_custkey) when 1 then ' ' end as token,
+    case c_custkey % 5 when 0 then 'https://collector:4318' when 1 then '' when 2 then 'http://gw/'
+      when 3 then concat('https://u:p@gw', c_custkey) end as base_endpoint,
+    case c_custkey % 6 when 0 then 'http/protobuf' when 1 then 'grpc' when 2 then ''
+      when 3 then ' http/protobuf ' end as base_protocol,
+    case c_custkey % 7 when 0 then concat('https://a:b@traces', c_custkey, '/v1/traces?token=x#y')
+      when 1 then '' end as traces_endpoint,
+    case c_custkey % 4 when 0 then 'http/protobuf' when 1 then '' when 2 then 'grpc' end as metrics_protocol,
+    case c_custkey % 3 when 0 then 'a=1' when 1 then '' when 2 then 'a=1,b=2' end as headers,
+    case c_custkey % 5 when 0 then 'otlp_proto_http' when 1 then 'none'
+      when 2 then ' otlp_proto_http ' end as logs_exporter,
+    case c_custkey % 4 when 0 then ' TRUE ' when 1 then 'true' when 2 then 'yes' end as profiler,
+    case c_custkey % 3 when 0 then 'http://profiles:4318/v1/logs' when 1 then '' end as profiler_logs,
+    case c_custkey % 6 when 0 then '500' when 1 then 'abc' when 2 then '' when 3 then ' 250 '
+      when 4 then '1.5' end as stack_interval,
+    case c_custkey % 5 when 0 then 'True' when 1 then 'false' when 2 then '1' end as snapshot,
+    case c_custkey % 4 when 0 then '25' when 1 then 'x' when 2 then '-3' end as snapshot_interval,
+    case c_custkey % 5 when 0 then '0.5' when 1 then '1' when 2 then 'half' when 3 then '' end as probability,
+    case c_custkey % 5 when 0 then '0' when 1 then '-5' when 2 then '60000' when 3 then 'soon' end as polling,
+    case c_custkey % 4 when 0 then 'team=a' when 1 then '' when 2 then 'team=b,env=prod=x' end as resource,
+    case c_custkey % 6 when 0 then 'logging' when 1 then 'requests, logging , flask' when 2 then '*'
+      when 3 then 'requests,flask' when 4 then '' end as disabled,
+    case c_custkey % 5 when 0 then '10' when 1 then '' end as link_limit,
+    case when c_custkey % 2 = 0 then c_mktsegment end as custom
+  from customer),
+named_config as (
+  select *, case when regexp_full_match(trim(realm), '[A-Za-z0-9]([A-Za-z0-9-]{0,61}[A-Za-z0-9])?')
+      then trim(realm) end as good_realm,
+    coalesce(lower(trim(profiler)) = 'true', false) as profiler_on,
+    coalesce(lower(trim(snapshot)) = 'true', false) as snapshot_on
+  from raw_config),
+full_config as (
+  select * replace (
+      coalesce(nullif(service_name, ''), 'unnamed-python-service') as service_name,
+      coalesce(traces_endpoint, 'https://ingest.' || good_realm || '.example.com/v2/trace/otlp') as traces_endpoint,
+      coalesce(base_protocol, case when good_realm is not null then 'http/protobuf' end) as base_protocol,
+      coalesce(logs_exporter, 'otlp') as logs_exporter,
+      case when trim(token) <> '' then concat_ws(',', nullif(headers, ''), 'x-access-token=' || trim(token))
+        else headers end as headers,
+      concat_ws(',', nullif(resource, ''), 'telemetry.distro.name=stackweave',
+        'telemetry.distro.version=0.1.0') as resource,
+      coalesce(link_limit, '1000') as link_limit),
+    coalesce(nullif(service_name, ''), '') = '' as service_name_missing,
+    coalesce(trim(realm), '') <> '' and good_realm is null as realm_ignored,
+    'https://ingest.' || good_realm || '.example.com/v2/datapoint/otlp' as metrics_endpoint,
+    case when (profiler_on or snapshot_on) and profiler_logs <> '' then profiler_logs end as logs_endpoint
+  from named_config)"""
+
+ENDPOINTS_SQL = f"""{CONFIG},
+chosen as (
+  select process, 'traces' as signal, nullif(traces_endpoint, '') as own, nullif(base_endpoint, '') as base,
+    case when nullif(base_protocol, '') is not null then trim(base_protocol) = 'http/protobuf' else false end as http
+  from full_config
+  union all
+  select process, 'metrics', metrics_endpoint, nullif(base_endpoint, ''),
+    coalesce(trim(coalesce(nullif(metrics_protocol, ''), nullif(base_protocol, ''))) = 'http/protobuf', false)
+  from full_config
+  union all
+  select process, 'logs', logs_endpoint, nullif(base_endpoint, ''),
+    case when nullif(base_protocol, '') is not null then trim(base_protocol) = 'http/protobuf'
+      else trim(logs_exporter) = 'otlp_proto_http' end
+  from full_config),
+resolved as (
+  select process, signal, coalesce(own, case when http
+      then rtrim(coalesce(base, 'http://localhost:4318/'), '/') || '/v1/' || signal
+      else coalesce(base, 'http://localhost:4317') end) as endpoint
+  from chosen)"""
+
+SANITISE = r"""regexp_replace(regexp_replace({0}, '(?s)[#?].*$', ''), '^([^:/]*://|//)[^/]*@', '\1')"""
+
+WHOLE = "case when regexp_full_match(trim({0}), '[+-]?[0-9]+') then cast(trim({0}) as bigint) else {1} end"
+
+REPORT_SQL = f"""{ENDPOINTS_SQL},
+sent as (
+  select process, max(case when signal = 'traces' then {SANITISE.format('endpoint')} end) as traces,
+    max(case when signal = 'metrics' then {SANITISE.format('endpoint')} end) as metrics,
+    max(case when signal = 'logs' then {SANITISE.format('endpoint')} end) as logs
+  from resolved group by process),
+report_lines as (
+  select process, unnest(range(10)) as line,
+    unnest(['exporter.otlp.traces.endpoint', 'exporter.otlp.metrics.endpoint',
+      'exporter.otlp.logs.endpoint', 'profiler.enabled', 'profiler.memory.enabled',
+      'snapshot.profiler.enabled', 'snapshot.profiler.sampling.interval',
+      'profiler.call.stack.interval', 'config.file', 'experimental.config.file']) as key,
+    unnest([traces, metrics, logs, cast(profiler_on as varchar), 'false', cast(snapshot_on as varchar),
+      cast({WHOLE.format('snapshot_interval', 10)} as varchar),
+      cast({WHOLE.format('stack_interval', 1000)} as varchar), 'null', 'null']) as value
+  from full_config join sent using (process))"""
+
+REQUIREMENTS = """
+requirement_texts as (
+  select p_brand as project, p_partkey as ord, lower(p_type) as name, p_size,
+    concat(lower(p_type), case p_size % 5 when 0 then concat('==1.2.', p_size)
+      when 1 then concat(' >= 0.4b', p_size, ' , < 9')
+      when 2 then concat('~=', p_size, ' ; python_version < ''3.13''')
+      when 3 then concat('[extra]==1.0RC', p_size) else '' end) as requirement,
+    case p_size % 5 when 0 then concat('1.2.', p_size) when 1 then concat('>=0.4b', p_size, ',<9')
+      when 2 then concat('~=', p_size) when 3 then concat('[extra]==1.0RC', p_size) else '' end as version
+  from part),
+requirements as (
+  select project, ord, requirement, name, version,
+    case when p_size % 5 in (1, 3) then 'experimental' else 'stable' end as stability,
+    case when name = 'standard' then 'https://example.org/core/standard'
+      when name = 'small' then 'https://example.org/exporters/small'
+      when name = 'promo' then 'https://example.org/contrib' end as source_href
+  from requirement_texts),
+inventory as (
+  select project, ord, name, version, stability, source_href,
+    concat('https://pypi.org/project/', name, '/') as package_href
+  from requirements
+  union all
+  select project, -2, 'Core', arg_max(version, ord), 'stable', 'https://example.org/core', null
+  from requirements where name = 'standard' group by project
+  union all
+  select project, -1, 'Contrib', arg_max(version, ord), arg_max(stability, ord),
+    'https://example.org/contrib', null
+  from requirements where name = 'promo' group by project)"""
+
+MANIFESTS = """
+manifests as (
+  select p_partkey, p_size, p_brand, string_split(p_name, ' ')[1] as w1, string_split(p_name, ' ')[2] as w2,
+    list_concat(
+      case when p_size % 3 = 0 then [concat(w1, ' >= 1.', p_size)] else [] end,
+      case when p_partkey % 2 = 0 then [concat(w1, ' ~= 1.0'), concat(w2, ' ~= ', p_size)] else [] end) as wanted,
+    list_concat(
+      case when p_size % 3 = 0 then [w1] else [] end,
+      case when p_partkey % 2 = 0 then [w1, w2] else [] end) as wanted_names
+  from part where p_size % 5 <> 0)"""
+
+STATEMENTS |= {
+    "function_times": f"""
+with {WITH_CONTEXT},
+words as (
+  select c.service, c.sample_id, s.file, unnest(s.words) as func, s.words[len(s.words)] as leaf
+  from with_context c join stack_samples s using (sample_id) where c.trace_id is not null),
+once as (select distinct * from words),
+counted as (
+  select service, file, func, count(*) filter (func = leaf) as self_samples, count(*) as total_samples
+  from once group by service, file, func)
+select *, self_samples * 1000 as self_ms, total_samples * 1000 as total_ms from counted""",
+    "call_edges": f"""
+with {SNAPSHOT},
+words as (
+  select c.trace_id, c.sample_id, s.file, s.words, unnest(range(1, len(s.words))) as i
+  from snapshot c join stack_samples s using (sample_id)),
+once as (
+  select distinct trace_id, sample_id, file, words[i] as caller, words[i + 1] as callee from words)
+select trace_id, file as caller_file, caller, file as callee_file, callee, count(*) as samples,
+  count(*) * 10 as total_ms
+from once group by trace_id, file, caller, callee""",
+    "folded_stacks": f"""
+with {STACK_SAMPLES}
+select service, array_to_string(words, ';') as stack, count(*) as samples, count(*) * 1000 as total_ms
+from stack_samples group by service, words""",
+    "span_profiles": f"""
+with {WITH_CONTEXT},
+{_event_spans(3600)}
+select s.service, s.trace_id, s.span_id, s.start_ts, s.end_ts, count(c.sample_id) as samples,
+  count(c.sample_id) * 1000 as total_ms
+from event_spans s left join with_context c on c.trace_id = s.trace_id and c.span_id = s.span_id
+group by s.service, s.trace_id, s.span_id, s.start_ts, s.end_ts""",
+    "spans_without_stacks": f"""
+with {SNAPSHOT}
+select service, trace_id, span_id from tracked t
+where not exists (select 1 from snapshot s where s.service = t.service and s.trace_id = t.trace_id)""",
+    "entry_spans": f"""
+with {ORDER_SPANS}
+select service, trace_id, span_id from order_spans where parent_span_id is null or parent_is_remote""",
+    "resolved_parents": f"""
+with {ORDER_SPANS}
+select s.service, s.trace_id, s.span_id from order_spans s
+left join order_spans p on p.trace_id = s.trace_id and p.span_id = s.parent_span_id
+where s.parent_span_id is null or p.service is distinct from s.service""",
+    "selected_spans": f"""
+with {CONTEXT_EVENTS},
+{_event_spans(3600)}
+select service, trace_id, span_id, 'true' as mark from tracked""",
+    "span_counts": f"""
+with {ORDER_SPANS}
+select service, count(*) as spans from order_spans group by service""",
+    "trace_volume": """
+with baggage as (
+  select o_orderkey, md5(concat('o', o_orderkey)) as trace_id,
+    case when o_orderpriority = '1-URGENT' then 'bogus' when o_orderstatus = 'F' then 'highest'
+      when o_orderstatus = 'O' then 'off' end as baggage
+  from orders)
+select *, case when baggage in ('highest', 'off') then baggage
+  when substr(trace_id, 17) < '8000000000000000' then 'highest' else 'off' end as volume
+from baggage""",
+    "normalised_ids": f"""
+with {ORDER_SPANS}
+select trace_id, span_id, {TRACE_LABEL} as trace_label, {SPAN_LABEL} as span_label,
+  trace_id as trace_hex, span_id as span_hex
+from order_spans""",
+    "server_timing": f"""
+with {ORDER_SPANS}
+select trace_id, parent_span_id,
+  'traceparent;desc="00-' || trace_id || '-' || parent_span_id || '-01"' as header
+from order_spans""",
+    "flatten_scope_logs": """
+with lines as (
+  select doc_id, lang, unnest(string_split(text, chr(10))) as body,
+    unnest(range(len(string_split(text, chr(10))))) as line
+  from documents),
+scoped as (select *, case when contains(body, '|') then 'deps' else 'app' end as scope from lines)
+select doc_id, lang, scope, body,
+  row_number() over (partition by doc_id, scope order by line) - 1 as position
+from scoped""",
+    "route_logs": """
+select event_id, case event_type when 'error' then 'deps' when 'purchase' then 'profiling' else 'app' end as scope,
+  case event_type when 'error' then 'dependency-reports' else 'default' end as route
+from events""",
+    "scope_records": """
+select event_id, concat('svc', user_id % 5) as service, json_extract_string(props, '$.k') as k
+from events where event_type = 'click'""",
+    "metric_presence": """
+with seen as (
+  select distinct concat('svc', l_suppkey % 50) as service,
+    concat('process.', lower(l_returnflag), '.', lower(l_linestatus)) as metric
+  from lineitem),
+expected as (
+  select * from (select distinct service from seen),
+    (values ('process.a.f'), ('process.n.o'), ('process.r.f'), ('process.r.o'), ('system.cpu.time')) as v(metric))
+select service, metric, (service, metric) in (select (service, metric) from seen) as present from expected""",
+    "package_names": """
+select distinct lower(p_name) as name from lineitem join part on p_partkey = l_partkey""",
+    "reports_complete": f"""
+with {PACKAGE_REPORTS}
+select id, count(distinct fragment_index) as fragments, cast(7 as bigint) as max_fragments,
+  bool_or(is_done) as is_done, count(*) as packages,
+  bool_or(is_done) and count(distinct fragment_index) >= 7 as complete
+from package_reports group by id""",
+    "report_packages": f"""
+with {PACKAGE_REPORTS}
+select id, fragment_index, p_name as name,
+  row_number() over (partition by id, fragment_index order by p_name, p_brand) - 1 as position
+from package_reports
+where id in (select id from package_reports group by id having count(distinct fragment_index) = 7)""",
+    "limit_links": """
+select doc_id, len(string_split(text, ' ')) as links, least(len(string_split(text, ' ')), 1000) as kept,
+  string_split(text, ' ')[least(len(string_split(text, ' ')), 1000)] as last
+from documents""",
+    "limit_attributes": """
+select doc_id, 'lang' as key, lang as value from documents
+union all
+select doc_id, 'text', left(text, 12000) from documents""",
+    "effective_config": f"""
+with {CONFIG},
+entries as (
+  select process, unnest(['service.name', 'realm', 'access.token', 'exporter.otlp.endpoint',
+      'exporter.otlp.protocol', 'exporter.otlp.traces.endpoint', 'exporter.otlp.metrics.endpoint',
+      'exporter.otlp.logs.endpoint', 'exporter.otlp.metrics.protocol', 'exporter.otlp.headers',
+      'logs.exporter', 'traces.exporter', 'metrics.exporter', 'profiler.enabled',
+      'profiler.logs.endpoint', 'profiler.call.stack.interval', 'snapshot.profiler.enabled',
+      'snapshot.sampling.interval', 'snapshot.selection.probability', 'agent.polling.interval',
+      'resource.attributes', 'disabled.instrumentations', 'span.link.count.limit', 'custom.setting',
+      'attribute.count.limit', 'span.attribute.count.limit', 'span.event.count.limit',
+      'event.attribute.count.limit', 'link.attribute.count.limit', 'attribute.value.length.limit',
+      'experimental.resource.detectors', 'traces.sampler']) as key,
+    unnest([service_name, realm, token, base_endpoint, base_protocol, traces_endpoint, metrics_endpoint,
+      logs_endpoint, metrics_protocol, headers, logs_exporter, 'otlp', 'otlp', profiler, profiler_logs,
+      stack_interval, snapshot, snapshot_interval, probability, polling, resource, disabled, link_limit,
+      custom, '', '', '', '', '', '12000', 'host,process', 'always_on']) as value
+  from full_config)
+select * from entries where value is not null""",
+    "resolved_endpoints": f"""
+with {ENDPOINTS_SQL}
+select * from resolved""",
+    "typed_config": f"""
+with {CONFIG}
+select process, profiler_on as profiler_enabled, snapshot_on as snapshot_profiler_enabled,
+  true as trace_response_header_enabled, false as agent_enabled,
+  {WHOLE.format('stack_interval', 1000)} as profiler_call_stack_interval,
+  {WHOLE.format('snapshot_interval', 10)} as snapshot_sampling_interval,
+  coalesce(try_cast(nullif(probability, 'half') as double), 0.01) as snapshot_selection_probability,
+  case when {WHOLE.format('polling', 30000)} > 0 then {WHOLE.format('polling', 30000)} else 30000 end
+    as agent_polling_interval,
+  coalesce(polling in ('0', '-5'), false) as polling_interval_not_positive,
+  concat_ws(',', case when stack_interval in ('abc', '', '1.5') then 'profiler.call.stack.interval' end,
+    case when snapshot_interval = 'x' then 'snapshot.sampling.interval' end,
+    case when probability in ('half', '') then 'snapshot.selection.probability' end,
+    case when polling = 'soon' then 'agent.polling.interval' end) as unreadable
+from full_config""",
+    "config_report": f"""
+with {REPORT_SQL}
+select process, string_agg(key || '=' || value, chr(10) order by line) as report
+from report_lines group by process""",
+    "config_report_parse": f"""
+with {REPORT_SQL}
+select process, line, key, value from report_lines""",
+    "config_warnings": f"""
+with {CONFIG}
+select process, service_name_missing, realm_ignored from (
+  select f.process, r.service_name is null or r.service_name = '' as service_name_missing, f.realm_ignored
+  from full_config f join raw_config r using (process))""",
+    "resource_attributes": """
+select concat('p', c_custkey) as process, key, value from customer,
+  lateral (
+    select 'team' as key, case c_custkey % 4 when 0 then 'a' when 2 then 'b' end as value
+    union all select 'env', case c_custkey % 4 when 2 then 'prod=x' end
+    union all select 'telemetry.distro.name', 'stackweave'
+    union all select 'telemetry.distro.version', '0.1.0')
+where value is not null""",
+    "disabled_flags": """
+with lists as (
+  select c_custkey, lower(c_mktsegment) as segment,
+    case when c_custkey % 7 in (1, 4, 5, 6) then lower(c_mktsegment) end as own, c_custkey % 7 in (0, 4) as every
+  from customer)
+select c_custkey, every or c_custkey % 7 = 1 as flask,
+  every or coalesce(own = 'furniture', false) as furniture,
+  every or coalesce(own = 'machinery', false) as machinery
+from lists""",
+    "sanitised_endpoints": f"""
+with sent as (
+  select page_id, case when page_id % 3 = 0 then replace(url, '://', '://user:p@ss@') else url end as endpoint
+  from pages)
+select page_id, {SANITISE.format('endpoint')} as endpoint from sent""",
+    "encoded_attributes": """
+select p_partkey, unnest(['service.name', 'service.namespace', 'service.instance.id', 'process.pid', 'host.name',
+    'custom.flag', 'custom.words', 'custom.ports', 'custom.flags']) as key,
+  unnest(['string', 'string', 'string', 'int', 'string', 'bool', 'string', 'string', 'string']) as type,
+  unnest([lower(p_brand), lower(p_type), cast(p_partkey as varchar), cast(p_size as varchar),
+    concat('host-', p_size), case when p_size > 25 then 'true' else 'false' end,
+    '["' || replace(p_name, ' ', '","') || '"]', concat('[4317,', p_size, ']'), '[true,false]']) as value
+from part""",
+    "unsupported_attributes": """
+select p_partkey, 'attribute custom.mapping has unsupported type map' as warning from part""",
+    "attribute_partition": """
+select p_partkey, concat('service.instance.id=', p_partkey, ';service.name=', lower(p_brand)) as identifying,
+  concat('host.name=', p_name, ';process.pid=', p_size) as describing
+from part""",
+    "requirements_parsed": f"""
+with {REQUIREMENTS}
+select * from requirements""",
+    "dependency_inventory": f"""
+with {REQUIREMENTS}
+select * from inventory""",
+    "catalogue": f"""
+with {MANIFESTS},
+listed as (
+  select *, case when p_size % 5 = 1 then w2
+      else concat_ws(',', least(w1 || '-a', w2 || '-b'), greatest(w1 || '-a', w2 || '-b')) end as keys,
+    case when len(wanted) = 0 then [concat('lib-', p_partkey)] else wanted_names end as components,
+    case when len(wanted) = 0 then [cast(null as varchar)] else wanted end as versions
+  from manifests)
+select keys, concat('lib-', p_partkey) as name, unnest(range(len(components))) as position,
+  unnest(components) as component, unnest(versions) as supported_versions,
+  case when p_size % 4 <> 3 then p_brand else '' end as description, 'experimental' as stability,
+  case when p_partkey in (1, 2) then 'supported' else 'community' end as support
+from listed""",
+    "inventory_counts": f"""
+with {REQUIREMENTS}
+select 'dependencies' as kind, count(*) as entries from inventory
+union all
+select 'instrumentations', count(*) from part where p_size % 5 <> 0
+union all
+select 'settings', 20""",
+}

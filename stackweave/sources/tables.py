@@ -6,7 +6,7 @@ that every operator can be run, and checked, at any scale.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stackweave.functions import sampling
@@ -108,3 +108,260 @@ def event_spans(
         F.create_map(F.lit("kind"), F.col("kind")).alias("attributes"),
         sampling.trace_volume(F.lit(None), F.col("trace_id"), probability).alias("volume"),
     )
+
+
+def order_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as traces and their lines as a chain of spans over three services."""
+    chain = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
+    lines = (
+        table(spark, folder, "lineitem")
+        .groupBy("l_orderkey", "l_linenumber")
+        .agg(
+            F.min("l_suppkey").alias("l_suppkey"),
+            F.min("l_shipdate").alias("l_shipdate"),
+            F.min("l_quantity").alias("l_quantity"),
+        )
+        .withColumn("_line", F.lag("l_linenumber").over(chain))
+        .withColumn("_service", F.lag("l_suppkey").over(chain) % SPAN_SERVICES)
+    )
+
+    def span(line: str) -> Column:
+        number = F.col("l_orderkey").cast("string")
+        return F.substring(_hex("l", number, F.lit("-"), F.col(line).cast("string")), 1, 16)
+
+    return lines.select(
+        _service("l_suppkey", SPAN_SERVICES).alias("service"),
+        _hex("o", F.col("l_orderkey").cast("string")).alias("trace_id"),
+        span("l_linenumber").alias("span_id"),
+        span("_line").alias("parent_span_id"),
+        F.coalesce(F.col("_service") != F.col("l_suppkey") % SPAN_SERVICES, F.lit(False)).alias(
+            "parent_is_remote"
+        ),
+        F.col("l_shipdate").alias("start_ts"),
+        (
+            F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_quantity").cast("int"))
+        ).alias("end_ts"),
+    )
+
+
+def trace_baggage(spark: SparkSession, folder: str) -> DataFrame:
+    """The volume decision that reached each order's trace: kept, unknown or absent."""
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        _hex("o", F.col("o_orderkey").cast("string")).alias("trace_id"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "bogus")
+        .when(F.col("o_orderstatus") == "F", sampling.SELECTED)
+        .when(F.col("o_orderstatus") == "O", sampling.NOT_SELECTED)
+        .alias("baggage"),
+    )
+
+
+def log_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Flat log records of three scopes, with attributes from the event's JSON."""
+    props = F.from_json("props", "map<string,string>")
+    return table(spark, folder, "events").select(
+        "event_id",
+        _service("user_id", EVENT_SERVICES).alias("service"),
+        F.when(F.col("event_type") == "error", "deps")
+        .when(F.col("event_type") == "purchase", "profiling")
+        .otherwise("app")
+        .alias("scope"),
+        F.map_concat(F.create_map(F.lit("event.name"), F.col("event_type")), props).alias("attributes"),
+    )
+
+
+def log_exports(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested export requests: a document is a request, its language and source make the
+    resource, its table rows and its other lines are the records of two scopes."""
+    lines = F.split("text", "\n")
+
+    def scope(name: str, keep) -> Column:
+        records = F.transform(
+            F.filter(lines, keep), lambda line: F.struct(line.alias("body"), F.length(line).alias("size"))
+        )
+        return F.struct(F.struct(F.lit(name).alias("name")).alias("scope"), records.alias("log_records"))
+
+    resource = F.struct(
+        F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source")).alias("attributes")
+    )
+    scopes = F.array(
+        scope("app", lambda line: ~line.contains("|")), scope("deps", lambda line: line.contains("|"))
+    )
+    return table(spark, folder, "documents").select(
+        "doc_id",
+        F.array(F.struct(resource.alias("resource"), scopes.alias("scope_logs"))).alias("resource_logs"),
+    )
+
+
+def metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Exported metric points, named after the return flag and status of order lines."""
+    return table(spark, folder, "lineitem").select(
+        _service("l_suppkey", 50).alias("service"),
+        F.concat(F.lit("process."), F.lower("l_returnflag"), F.lit("."), F.lower("l_linestatus")).alias("metric"),
+    )
+
+
+def package_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """Fragments of dependency reports: an order is a report, a line number a fragment."""
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
+    package = F.struct(F.col("p_name").alias("name"), F.col("p_brand").alias("version"))
+    return (
+        table(spark, folder, "lineitem")
+        .join(parts, "l_partkey")
+        .groupBy("l_orderkey", "l_linenumber")
+        .agg(F.array_sort(F.collect_list(package)).alias("packages"))
+        .select(
+            F.col("l_orderkey").cast("string").alias("id"),
+            (F.col("l_linenumber") - 1).alias("fragment_index"),
+            F.lit(7).alias("max_fragments"),
+            (F.col("l_linenumber") == 7).alias("is_done"),
+            "packages",
+        )
+    )
+
+
+def config_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """Settings of one process per customer: present, absent, empty and malformed."""
+    key = F.col("c_custkey")
+    number = key.cast("string")
+
+    def pick(modulus: int, *values: str | Column | None) -> Column:
+        chosen = F.lit(None).cast("string")
+        for i, value in enumerate(values):
+            chosen = F.when(key % modulus == i, value if isinstance(value, Column) else F.lit(value)).otherwise(chosen)
+        return chosen
+
+    values = {
+        "service.name": pick(4, F.concat(F.lit("svc"), number), "", F.col("c_name")),
+        "realm": pick(11, "us2", " eu0 ", "-us2", "us2/anything", "us2:443", ""),
+        "access.token": pick(3, F.concat(F.lit(" token"), number), " "),
+        "exporter.otlp.endpoint": pick(5, "https://collector:4318", "", "http://gw/", F.concat(F.lit("https://u:p@gw"), number)),
+        "exporter.otlp.protocol": pick(6, "http/protobuf", "grpc", "", " http/protobuf "),
+        "exporter.otlp.traces.endpoint": pick(7, F.concat(F.lit("https://a:b@traces"), number, F.lit("/v1/traces?token=x#y")), ""),
+        "exporter.otlp.metrics.protocol": pick(4, "http/protobuf", "", "grpc"),
+        "exporter.otlp.headers": pick(3, "a=1", "", "a=1,b=2"),
+        "logs.exporter": pick(5, "otlp_proto_http", "none", " otlp_proto_http "),
+        "profiler.enabled": pick(4, " TRUE ", "true", "yes"),
+        "profiler.logs.endpoint": pick(3, "http://profiles:4318/v1/logs", ""),
+        "profiler.call.stack.interval": pick(6, "500", "abc", "", " 250 ", "1.5"),
+        "snapshot.profiler.enabled": pick(5, "True", "false", "1"),
+        "snapshot.sampling.interval": pick(4, "25", "x", "-3"),
+        "snapshot.selection.probability": pick(5, "0.5", "1", "half", ""),
+        "agent.polling.interval": pick(5, "0", "-5", "60000", "soon"),
+        "resource.attributes": pick(4, "team=a", "", "team=b,env=prod=x"),
+        "disabled.instrumentations": pick(6, "logging", "requests, logging , flask", "*", "requests,flask", ""),
+        "span.link.count.limit": pick(5, "10", ""),
+        "custom.setting": pick(2, F.col("c_mktsegment")),
+    }
+    listed = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in values.items()])
+    return (
+        table(spark, folder, "customer")
+        .select(F.concat(F.lit("p"), number).alias("process"), F.inline(listed))
+        .filter(F.col("value").isNotNull())
+    )
+
+
+def requirements(spark: SparkSession, folder: str) -> DataFrame:
+    """One requirement per part; a brand is a project."""
+    size = F.col("p_size").cast("string")
+    form = F.col("p_size") % 5
+    text = (
+        F.when(form == 0, F.concat(F.lit("==1.2."), size))
+        .when(form == 1, F.concat(F.lit(" >= 0.4b"), size, F.lit(" , < 9")))
+        .when(form == 2, F.concat(F.lit("~="), size, F.lit(" ; python_version < '3.13'")))
+        .when(form == 3, F.concat(F.lit("[extra]==1.0RC"), size))
+        .otherwise(F.lit(""))
+    )
+    return table(spark, folder, "part").select(
+        F.col("p_brand").alias("project"),
+        F.col("p_partkey").alias("ord"),
+        F.concat(F.lower("p_type"), text).alias("requirement"),
+    )
+
+
+def manifests(spark: SparkSession, folder: str) -> DataFrame:
+    """Package manifests from parts, some without requirements or entry points."""
+    words = F.split("p_name", " ")
+    size = F.col("p_size").cast("string")
+    first = F.concat(words[0], F.lit(" >= 1."), size)
+    both = F.array(F.concat(words[0], F.lit(" ~= 1.0")), F.concat(words[1], F.lit(" ~= "), size))
+    none = F.array().cast("array<string>")
+    target = F.concat(F.lit("pkg:"), F.col("p_brand"))
+    return table(spark, folder, "part").select(
+        F.concat(F.lit("lib-"), F.col("p_partkey").cast("string")).alias("name"),
+        F.when(F.col("p_size") % 4 != 3, F.col("p_brand")).alias("description"),
+        F.when(F.col("p_size") % 3 == 0, F.array(first)).when(F.col("p_size") % 3 == 1, none).alias("instruments"),
+        F.when(F.col("p_partkey") % 2 == 0, both).alias("instruments_any"),
+        F.when(F.col("p_size") % 5 == 0, F.create_map().cast("map<string,string>"))
+        .when(F.col("p_size") % 5 == 1, F.create_map(words[1], target))
+        .otherwise(F.create_map(F.concat(words[1], F.lit("-b")), target, F.concat(words[0], F.lit("-a")), target))
+        .alias("entry_points"),
+    )
+
+
+def typed_attributes(spark: SparkSession, folder: str) -> DataFrame:
+    """Resource attributes of mixed types, one resource per part."""
+    def row(key: str, kind: str, value: Column | None = None, item_type: str | None = None, items: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(key).alias("key"),
+            F.lit(kind).alias("type"),
+            (F.lit(None) if value is None else value).cast("string").alias("value"),
+            F.lit(item_type).cast("string").alias("item_type"),
+            (F.lit(None) if items is None else items).cast("array<string>").alias("items"),
+        )
+
+    size = F.col("p_size").cast("string")
+    listed = F.array(
+        row("service.name", "string", F.lower("p_brand")),
+        row("service.namespace", "string", F.lower("p_type")),
+        row("service.instance.id", "string", F.col("p_partkey")),
+        row("process.pid", "int", F.col("p_size")),
+        row("host.name", "string", F.concat(F.lit("host-"), size)),
+        row("custom.flag", "bool", F.when(F.col("p_size") > 25, "true").otherwise("false")),
+        row("custom.words", "list", item_type="string", items=F.split("p_name", " ")),
+        row("custom.ports", "list", item_type="int", items=F.array(F.lit("4317"), size)),
+        row("custom.flags", "list", item_type="bool", items=F.array(F.lit("true"), F.lit("false"))),
+        row("custom.mapping", "map", F.lit("{}")),
+    )
+    return table(spark, folder, "part").select("p_partkey", F.inline(listed))
+
+
+def resource_maps(spark: SparkSession, folder: str) -> DataFrame:
+    """The same kind of attributes as one map per resource."""
+    return table(spark, folder, "part").select(
+        "p_partkey",
+        F.create_map(
+            F.lit("service.name"), F.lower("p_brand"),
+            F.lit("service.instance.id"), F.col("p_partkey").cast("string"),
+            F.lit("process.pid"), F.col("p_size").cast("string"),
+            F.lit("host.name"), F.col("p_name"),
+        ).alias("attributes"),
+    )
+
+
+def memberships(spark: SparkSession, folder: str) -> DataFrame:
+    """Lists of disabled instrumentations, with stray blanks and the wildcard."""
+    key = F.col("c_custkey")
+    segment = F.lower("c_mktsegment")
+    return table(spark, folder, "customer").select(
+        "c_custkey",
+        F.when(key % 7 == 0, "*")
+        .when(key % 7 == 1, F.concat(F.lit("requests, "), segment, F.lit(" ,flask")))
+        .when(key % 7 == 2, "")
+        .when(key % 7 == 3, F.concat(segment, F.lit("x,y"), segment))
+        .when(key % 7 == 4, F.concat(segment, F.lit(", *")))
+        .otherwise(segment)
+        .alias("disabled"),
+    )
+
+
+def endpoints(spark: SparkSession, folder: str) -> DataFrame:
+    """Page addresses as exporter endpoints, every third one with credentials."""
+    return table(spark, folder, "pages").select(
+        "page_id",
+        F.when(
+            F.col("page_id") % 3 == 0, F.replace(F.col("url"), F.lit("://"), F.lit("://user:p@ss@"))
+        )
+        .otherwise(F.col("url"))
+        .alias("endpoint"),
+    )
