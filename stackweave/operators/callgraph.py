@@ -37,10 +37,12 @@ def function_times(
 
     Self time goes to the leaf of a stack, total time to every function on it.
     """
-    leaf = F.element_at(_names(), -1)
+    leaf = F.element_at("frames", -1)
     return (
         samples.filter(F.size("frames") > 0)
-        .select(*by, leaf.alias("_leaf"), F.explode(F.array_distinct(_names())).alias("_name"))
+        # The leaf gets its own projection, or it would be worked out again for every frame.
+        .select(*by, "frames", F.concat(leaf["file"], F.lit(_IN_NAME), leaf["func"]).alias("_leaf"))
+        .select(*by, "_leaf", F.explode(F.array_distinct(_names())).alias("_name"))
         .groupBy(*by, "_name")
         .agg(
             F.sum((F.col("_name") == F.col("_leaf")).cast("long")).alias("self_samples"),

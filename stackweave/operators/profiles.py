@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stackweave import session
 from stackweave.functions import clock, ids
 
 KEY = ["service", "source", "tick_ts", "part"]
@@ -120,7 +121,9 @@ def shown_line(line: Column) -> Column:
     return F.when(line.isNull() | (line == 0), F.lit(-1)).otherwise(line).cast("long")
 
 
-def _first_locations(numbered: DataFrame) -> DataFrame:
+def first_seen(numbered: DataFrame) -> DataFrame:
+    """Distinct frames of every profile and where each is met first. Everything else in the
+    dictionaries follows from this table, which is the only one made from all frames."""
     return (
         frames(numbered)
         .groupBy(*KEY, "file", "func", "line")
@@ -128,8 +131,8 @@ def _first_locations(numbered: DataFrame) -> DataFrame:
     )
 
 
-def _first_functions(numbered: DataFrame) -> DataFrame:
-    return _first_locations(numbered).groupBy(*KEY, "file", "func").agg(F.min("_seen").alias("_seen"))
+def _first_functions(seen: DataFrame) -> DataFrame:
+    return seen.groupBy(*KEY, "file", "func").agg(F.min("_seen").alias("_seen"))
 
 
 def _label_tokens(numbered: DataFrame) -> DataFrame:
@@ -157,11 +160,11 @@ def _label_tokens(numbered: DataFrame) -> DataFrame:
     ).filter(F.col("token").isNotNull())
 
 
-def strings(numbered: DataFrame) -> DataFrame:
+def strings(numbered: DataFrame, seen: DataFrame) -> DataFrame:
     """String table of every profile. Labels come before the frames of their sample, and a
     function's name before its file."""
     sample, place = _seen_sample("_seen"), 2 * _seen_place("_seen")
-    of_functions = _first_functions(numbered).select(
+    of_functions = _first_functions(seen).select(
         *KEY,
         F.inline(
             F.array(
@@ -179,14 +182,14 @@ def strings(numbered: DataFrame) -> DataFrame:
     )
 
 
-def functions(numbered: DataFrame) -> DataFrame:
-    return _first_functions(numbered).select(*KEY, _rank("_seen").alias("function_id"), "file", "func")
+def functions(seen: DataFrame) -> DataFrame:
+    return _first_functions(seen).select(*KEY, _rank("_seen").alias("function_id"), "file", "func")
 
 
-def locations(numbered: DataFrame) -> DataFrame:
+def locations(seen: DataFrame) -> DataFrame:
     """Distinct (file, function, line). A missing line and line zero stay two locations,
     although both show -1."""
-    return _first_locations(numbered).select(
+    return seen.select(
         *KEY,
         _rank("_seen").alias("location_id"),
         "file",
@@ -212,7 +215,7 @@ def located_frames(numbered: DataFrame) -> DataFrame:
 
 def stacks(numbered: DataFrame) -> DataFrame:
     """The location numbers of every sample, leaf first."""
-    placed = F.array_sort(F.collect_list(F.struct("pos", "location_id")))
+    placed = F.sort_array(F.collect_list(F.struct("pos", "location_id")))
     return (
         located_frames(numbered)
         .groupBy(*KEY, "sample")
@@ -268,36 +271,53 @@ def resolve_labels(encoded: DataFrame, strings_of: DataFrame) -> DataFrame:
 
 
 def assemble(numbered: DataFrame, period_millis: int) -> DataFrame:
-    """One row per profile with its four tables as arrays, ready to be encoded."""
-    names = strings(numbered)
-
-    def packed(df: DataFrame, order: str, item: Column, name: str) -> DataFrame:
-        listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_n"), item.alias("_item"))))
-        return df.groupBy(*KEY).agg(F.transform(listed, lambda x: x["_item"]).alias(name))
-
-    named = (
-        functions(numbered)
-        .join(names.select(*KEY, F.col("token").alias("func"), F.col("string_id").alias("name")),
-              [*KEY, "func"])
-        .join(names.select(*KEY, F.col("token").alias("file"), F.col("string_id").alias("filename")),
-              [*KEY, "file"])
-    )
-    of_function = functions(numbered).select(*KEY, "file", "func", "function_id")
-    located = locations(numbered).join(of_function, [*KEY, "file", "func"])
-    labelled = (
-        labels(numbered, names, period_millis)
-        .groupBy(*KEY, "sample")
+    """One row per profile with its tables as arrays, ready to be encoded.
+
+    The arrays are in the order of the numbers. Functions and labels still name their strings;
+    the encoder looks these up in the profile's own string table. Everything is grouped and
+    joined on the profile key alone. The distinct frames feed two branches and are written to
+    the shared folder once.
+    """
+    seen = session.written(first_seen(numbered), "profile-frames")
+
+    def listed(*columns: Column | str) -> Column:
+        return F.sort_array(F.collect_list(F.struct(*columns)))
+
+    function_seen = F.min("_seen").over(Window.partitionBy(*KEY, "file", "func"))
+    dictionary = (
+        seen.withColumn("_function_seen", function_seen)
+        .withColumn(
+            "function_id",
+            F.dense_rank().over(Window.partitionBy(*KEY).orderBy("_function_seen")).cast("long"),
+        )
+        .withColumn("line", shown_line(F.col("line")))
+        .groupBy(*KEY)
         .agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("ord", "key_id", "string_id", "num"))),
-                lambda x: F.struct(x["key_id"].alias("key"), x["string_id"].alias("str"), x["num"].alias("num")),
-            ).alias("labels")
+            listed("_seen", "function_id", "line").alias("locations"),
+            F.sort_array(
+                F.collect_list(
+                    F.when(
+                        F.col("_seen") == F.col("_function_seen"),
+                        F.struct("function_id", "func", "file"),
+                    )
+                )
+            ).alias("functions"),
         )
     )
-    sampled = labelled.join(stacks(numbered), [*KEY, "sample"], "left")
+    names = strings(numbered, seen).groupBy(*KEY).agg(listed("string_id", "token").alias("strings"))
+    facts = numbered.groupBy(*KEY).agg(
+        listed(
+            "sample",
+            "tid",
+            ids.trace_label(F.col("trace_id")).alias("trace"),
+            ids.span_label(F.col("span_id")).alias("span"),
+        ).alias("samples")
+    )
+    paths = stacks(numbered).groupBy(*KEY).agg(listed("sample", "location_ids").alias("stacks"))
     return (
-        packed(names, "string_id", F.col("token"), "strings")
-        .join(packed(named, "function_id", F.struct("name", "filename"), "functions"), KEY, "left")
-        .join(packed(located, "location_id", F.struct("function_id", "line"), "locations"), KEY, "left")
-        .join(packed(sampled, "sample", F.struct("location_ids", "labels"), "samples"), KEY)
+        facts.join(names, KEY)
+        .join(dictionary, KEY, "left")
+        .join(paths, KEY, "left")
+        .withColumn("time_ms", clock.millis(F.col("tick_ts")))
+        .withColumn("period_ms", F.lit(period_millis).cast("long"))
     )

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from stackweave.functions import clock, ids, sampling
 
 SLICE_SECONDS = 300
+# Wider where every open span puts one row into each slice it crosses.
+TRACKED_SLICE_SECONDS = 3600
 LINGER_SECONDS = 60
 SELECTION_ATTRIBUTE = "snapshot.profiling"
 
@@ -108,7 +110,7 @@ def keep_tracked(
     samples: DataFrame,
     tracked: DataFrame,
     keys: Sequence[str] = ("service", "trace_id"),
-    slice_seconds: int = SLICE_SECONDS,
+    slice_seconds: int = TRACKED_SLICE_SECONDS,
 ) -> DataFrame:
     """Samples whose trace has a tracked span open in that process at that moment.
 

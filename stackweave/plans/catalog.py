@@ -19,10 +19,11 @@ from stackweave.operators import (
     limits,
     logs,
     profiles,
+    quality,
     reports,
     spans,
 )
-from stackweave.sources import tables
+from stackweave.sources import profile_log, report_log, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -140,19 +141,21 @@ def all_profile_records(spark, folder):
 
 @query
 def profile_strings(spark, folder):
-    return profiles.strings(numbered(spark, folder)).select("service", "tick_ts", "string_id", "token")
+    base = numbered(spark, folder)
+    found = profiles.strings(base, profiles.first_seen(base))
+    return found.select("service", "tick_ts", "string_id", "token")
 
 
 @query
 def profile_functions(spark, folder):
-    return profiles.functions(numbered(spark, folder)).select(
+    return profiles.functions(profiles.first_seen(numbered(spark, folder))).select(
         "service", "tick_ts", "function_id", "file", "func"
     )
 
 
 @query
 def profile_locations(spark, folder):
-    return profiles.locations(numbered(spark, folder)).select(
+    return profiles.locations(profiles.first_seen(numbered(spark, folder))).select(
         "service", "tick_ts", "location_id", "file", "func", "line"
     )
 
@@ -168,7 +171,7 @@ def profile_samples(spark, folder):
 @query
 def profile_labels(spark, folder):
     base = numbered(spark, folder)
-    strings = profiles.strings(base)
+    strings = profiles.strings(base, profiles.first_seen(base))
     encoded = profiles.labels(base, strings, profiles.PERIOD_MILLIS[profiles.CONTINUOUS])
     return profiles.resolve_labels(encoded, strings).select(
         "service", "tick_ts", F.col("sample").cast("long").alias("sample"), "key", "text", "num"
@@ -466,3 +469,36 @@ def inventory_counts(spark, folder):
             "settings": tables.config_entries(spark, folder).select("key").distinct(),
         }
     )
+
+
+def decoded(spark: SparkSession, folder: str) -> DataFrame:
+    return profile_log.decode(profile_log.log_records(ticked(spark, folder), CONTINUOUS_MS))
+
+
+@query
+def profile_roundtrip(spark, folder):
+    """Samples encoded into log records and read back."""
+    lines = F.transform("frames", lambda f: F.concat_ws(":", f["file"], f["func"], f["line"].cast("string")))
+    return decoded(spark, folder).select(
+        "service", "tick_ts", F.col("sample").cast("long").alias("sample"), "time_ms", "period_ms", "tid",
+        ids.trace_hex(F.col("trace_id")).alias("trace_id"), ids.span_hex(F.col("span_id")).alias("span_id"),
+        F.size("frames").cast("long").alias("depth"), F.md5(F.array_join(lines, "\n")).alias("stack"),
+    )
+
+
+@query
+def profile_quality(spark, folder):
+    return quality.violations(decoded(spark, folder)).select(
+        "service", "tick_ts", F.col("sample").cast("long").alias("sample"), "rule"
+    )
+
+
+@query
+def decode_reports(spark, folder):
+    """Report fragments encoded as log bodies and read back."""
+    fragments = report_log.decode(report_log.encode(tables.package_reports(spark, folder)))
+    return fragments.select(
+        "id", "fragment_index", "max_fragments", "is_done",
+        F.array_join(F.transform("packages", lambda p: p["name"]), ",").alias("packages"),
+        reports.is_valid().alias("valid"),
+    )

@@ -614,3 +614,25 @@ select 'instrumentations', count(*) from part where p_size % 5 <> 0
 union all
 select 'settings', 20""",
 }
+
+STATEMENTS |= {
+    "profile_roundtrip": f"""
+with {TICKED},
+lines as (
+  select sample_id, len(words) as depth, list_transform(words, lambda w: concat(file, ':', w, ':',
+      case when ends_with(w, '.') or length(w) = 0 then -1 else length(w) end)) as lines
+  from stack_samples)
+select service, tick_ts, sample, epoch_ms(tick_ts) as time_ms, cast(1000 as bigint) as period_ms, tid,
+  trace_id, span_id, depth, md5(array_to_string(lines, chr(10))) as stack
+from ticked join lines using (sample_id)""",
+    "profile_quality": f"""
+with {TICKED}
+select service, tick_ts, sample, 'missing_trace_id' as rule from ticked where trace_id is null
+union all
+select service, tick_ts, sample, 'missing_span_id' from ticked where span_id is null""",
+    "decode_reports": f"""
+with {PACKAGE_REPORTS}
+select id, fragment_index, max_fragments, is_done,
+  string_agg(p_name, ',' order by p_name, p_brand) as packages, true as valid
+from package_reports group by id, fragment_index, max_fragments, is_done""",
+}
