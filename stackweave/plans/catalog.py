@@ -24,6 +24,8 @@ from stackweave.operators import (
     spans,
 )
 from stackweave.sources import profile_log, report_log, tables
+from stackweave.streaming import context as stream_context
+from stackweave.streaming import sinks, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -502,3 +504,90 @@ def decode_reports(spark, folder):
         F.array_join(F.transform("packages", lambda p: p["name"]), ",").alias("packages"),
         reports.is_valid().alias("valid"),
     )
+
+
+# Longer than the whole replayed history, which comes in no particular order.
+REPLAY_DELAY = "3650 days"
+
+
+def plain(df: DataFrame, *times: str) -> DataFrame:
+    """Times without a zone, as the tables have them."""
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
+
+
+@query
+def stream_samples_with_context(spark, folder):
+    session.prepare(spark, streaming=True)
+    changes = context.context_changes(tables.context_events(spark, folder))
+    taken = samples(spark, folder).drop("frames")
+    out = stream_context.attach_context(
+        sinks.replay(taken, "samples", "ts"), sinks.replay(changes, "changes", "ts"), REPLAY_DELAY
+    )
+    return plain(sinks.drain(out, "context"), "ts").select(
+        "service", "tid", "ts", "sample_id", "trace_id", "span_id"
+    )
+
+
+@query
+def stream_snapshot_samples(spark, folder):
+    session.prepare(spark, streaming=True)
+    taken = traced(spark, folder).drop("frames")
+    chosen = tracked(spark, folder).select("service", "trace_id", "span_id", "start_ts", "end_ts")
+    out = stream_context.keep_tracked(
+        sinks.replay(taken, "samples", "ts"), sinks.replay(chosen, "spans", "start_ts"), REPLAY_DELAY
+    )
+    return plain(sinks.drain(out, "tracked"), "ts").select(
+        "service", "tid", "ts", "sample_id", "trace_id", "span_id"
+    )
+
+
+@query
+def stream_activity(spark, folder):
+    points = tracked(spark, folder).select("service", "start_ts")
+    out = windows.activity(sinks.replay(points, "starts", "start_ts"), 1800, REPLAY_DELAY)
+    return plain(sinks.drain(out, "activity"), "start_ts", "end_ts")
+
+
+@query
+def stream_ticks(spark, folder):
+    taken = samples(spark, folder).select("service", "ts")
+    out = windows.ticks(sinks.replay(taken, "samples", "ts"), profiles.CONTINUOUS, TICK, REPLAY_DELAY)
+    return plain(sinks.drain(out, "ticks"), "tick_ts")
+
+
+def stream_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table's file as a stream."""
+    schema = tables.table(spark, folder, name).schema
+    return (
+        spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    )
+
+
+@query
+def stream_routes(spark, folder):
+    path = session.new_folder(spark, "routes")
+    records = tables.log_records_of(stream_of(spark, folder, "events"))
+    sinks.write_routes(records, path, f"{path}-checkpoint", ROUTES).awaitTermination()
+    return spark.read.parquet(path).select("event_id", "scope", F.col("route").cast("string"))
+
+
+@query
+def stream_sanitised_endpoints(spark, folder):
+    sent = tables.endpoints_of(stream_of(spark, folder, "pages"))
+    out = sent.select("page_id", endpoints.sanitise(F.col("endpoint")).alias("endpoint"))
+    return sinks.drain(out, "endpoints")
+
+
+@query
+def stream_decoded_reports(spark, folder):
+    """Encoded report fragments decoded as they arrive."""
+    encoded = report_log.encode(tables.package_reports(spark, folder))
+    path = session.new_folder(spark, "reports")
+    encoded.write.parquet(path)
+    found = report_log.decode(spark.readStream.schema(encoded.schema).parquet(path))
+    out = found.select(
+        "id", "fragment_index", "max_fragments", "is_done",
+        F.array_join(F.transform("packages", lambda p: p["name"]), ",").alias("packages"),
+        reports.is_valid().alias("valid"),
+    )
+    return sinks.drain(out, "decoded-reports")

@@ -636,3 +636,26 @@ select id, fragment_index, max_fragments, is_done,
   string_agg(p_name, ',' order by p_name, p_brand) as packages, true as valid
 from package_reports group by id, fragment_index, max_fragments, is_done""",
 }
+
+STATEMENTS |= {
+    "stream_samples_with_context": STATEMENTS["samples_with_context"],
+    "stream_snapshot_samples": STATEMENTS["snapshot_samples"],
+    "stream_activity": f"""
+with {CONTEXT_EVENTS},
+{_event_spans(3600)},
+marked as (
+  select service, start_ts, case when start_ts < lag(start_ts) over (partition by service order by start_ts)
+    + interval 1800 second then 0 else 1 end as gap
+  from tracked),
+numbered as (
+  select *, sum(gap) over (partition by service order by start_ts rows unbounded preceding) as run from marked)
+select service, min(start_ts) as start_ts, max(start_ts) + interval 1800 second as end_ts, count(*) as starts
+from numbered group by service, run""",
+    "stream_ticks": f"""
+with {STACK_SAMPLES}
+select service, 'continuous' as source, date_trunc('hour', ts) as tick_ts, count(*) as samples
+from stack_samples group by all""",
+    "stream_routes": STATEMENTS["route_logs"],
+    "stream_sanitised_endpoints": STATEMENTS["sanitised_endpoints"],
+    "stream_decoded_reports": STATEMENTS["decode_reports"],
+}

@@ -157,9 +157,13 @@ def trace_baggage(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def log_records(spark: SparkSession, folder: str) -> DataFrame:
+    return log_records_of(table(spark, folder, "events"))
+
+
+def log_records_of(events: DataFrame) -> DataFrame:
     """Flat log records of three scopes, with attributes from the event's JSON."""
     props = F.from_json("props", "map<string,string>")
-    return table(spark, folder, "events").select(
+    return events.select(
         "event_id",
         _service("user_id", EVENT_SERVICES).alias("service"),
         F.when(F.col("event_type") == "error", "deps")
@@ -356,8 +360,12 @@ def memberships(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def endpoints(spark: SparkSession, folder: str) -> DataFrame:
+    return endpoints_of(table(spark, folder, "pages"))
+
+
+def endpoints_of(pages: DataFrame) -> DataFrame:
     """Page addresses as exporter endpoints, every third one with credentials."""
-    return table(spark, folder, "pages").select(
+    return pages.select(
         "page_id",
         F.when(
             F.col("page_id") % 3 == 0, F.replace(F.col("url"), F.lit("://"), F.lit("://user:p@ss@"))
