@@ -60,11 +60,13 @@ def stack_samples(spark: SparkSession, folder: str) -> DataFrame:
     The frames are the words of a whole document. Words that end a sentence have no line
     number. Each service takes its samples on one thread of its own.
     """
-    documents = table(spark, folder, "documents")
+    documents = table(spark, folder, "documents").select(
+        "doc_id", "text", F.concat("source", F.lit("/"), "lang").alias("file")
+    )
     frames = F.transform(
         F.split("text", " "),
         lambda word: F.struct(
-            F.concat("source", F.lit("/"), "lang").alias("file"),
+            F.col("file").alias("file"),
             word.alias("func"),
             F.when(~word.endswith("."), F.length(word)).alias("line"),
         ),
@@ -81,7 +83,8 @@ def stack_samples(spark: SparkSession, folder: str) -> DataFrame:
             F.col("event_id").alias("sample_id"),
             (F.col("event_id") % size).alias("doc_id"),
         )
-        .join(documents, "doc_id")
+        # Both sides grow with the data; a shuffle also spreads the few text files over all tasks.
+        .join(documents.hint("merge"), "doc_id")
         .select("service", "tid", "sampler_tid", "ts", "sample_id", frames.alias("frames"))
     )
 
