@@ -116,8 +116,9 @@ def keep_tracked(
 
     Spans count from their start up to, not including, their end. A span that never ended
     stays open to the last sample. Samples and span edges are put in time order per trace
-    and slice, and a running count decides; a long trace is spread over its slices, and the
-    work stays proportional to the rows however many spans a trace has.
+    and slice, and a running count decides; an open span also counts at the start of every
+    slice it reaches. A long trace is spread over its slices, and the work stays proportional
+    to the rows however many spans a trace has.
     """
     keys = list(keys)
     width = F.lit(slice_seconds * 1_000_000).cast("long")
@@ -125,23 +126,31 @@ def keep_tracked(
     def slot(ts: Column) -> Column:
         return clock.slice_of(ts, slice_seconds)
 
-    last_sample = samples.select(F.max(clock.micros(F.col("ts")))).scalar()
-    last_slot = last_sample - F.pmod(last_sample, width)
-    first, final = slot(F.col("start_ts")), F.coalesce(slot(F.col("end_ts")), last_slot)
-    crossed = F.when(final > first, F.sequence(first + width, final, width))
-    opening = (
-        tracked.select(*keys, F.explode(crossed).alias("_slice"))
-        .groupBy(*keys, "_slice")
-        .agg(F.count("*").alias("_delta"))
-        .withColumn("_at", F.col("_slice"))
+    last_slice = samples.select(F.max(slot(F.col("ts")))).scalar()
+    here = F.col("_slice")
+    opens = F.when(here == F.col("_first"), clock.micros(F.col("start_ts"))).otherwise(here)
+    closes = F.when(here == F.col("_last"), clock.micros(F.col("end_ts")))
+    one = F.lit(1).cast("long")
+    edges = F.array(
+        F.struct(opens.alias("_at"), one.alias("_delta")), F.struct(closes.alias("_at"), (-one).alias("_delta"))
     )
-    edges = _edges(tracked, keys).select(
-        *keys,
-        slot(F.col("ts")).alias("_slice"),
-        clock.micros(F.col("ts")).alias("_at"),
-        F.col("delta").alias("_delta"),
+    changes = (
+        tracked.filter(F.col("end_ts").isNull() | (F.col("end_ts") > F.col("start_ts")))
+        .select(
+            *keys,
+            "start_ts",
+            "end_ts",
+            slot(F.col("start_ts")).alias("_first"),
+            F.coalesce(slot(F.col("end_ts")), last_slice).alias("_last"),
+        )
+        .filter(F.col("_last") >= F.col("_first"))
+        .select("*", F.explode(F.sequence("_first", "_last", width)).alias("_slice"))
+        .select(*keys, "_slice", F.inline(edges))
+        .filter(F.col("_at").isNotNull())
+        .groupBy(*keys, "_slice", "_at")
+        .agg(F.sum("_delta").alias("_delta"))
+        .withColumn("_sample", F.lit(False))
     )
-    spans = opening.unionByName(edges).withColumn("_sample", F.lit(False))
     rows = (
         samples.filter(F.col("trace_id").isNotNull())
         .select(
@@ -150,7 +159,7 @@ def keep_tracked(
             clock.micros(F.col("ts")).alias("_at"),
             F.lit(True).alias("_sample"),
         )
-        .unionByName(spans, allowMissingColumns=True)
+        .unionByName(changes, allowMissingColumns=True)
     )
     so_far = (
         Window.partitionBy(*keys, "_slice")
