@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +50,11 @@ def local_session(cpus: int = 8, name: str = "stackweave", **extra: str) -> Spar
     return spark
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="stackweave-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
@@ -57,11 +63,10 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="stackweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(context.applicationId)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
