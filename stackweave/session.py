@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
+import shutil
 import tempfile
 import uuid
 from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every operator here relies on. Partition counts and memory belong to
@@ -26,8 +30,30 @@ STREAMING = {
 }
 
 
+@cache
+def _send_package(application: str) -> None:
+    """Hand this package to Spark, which copies it to the Python workers of all executors.
+
+    Without it the codecs and stateful operators would only run where the package is
+    installed or the workers happen to start in its folder.
+    """
+    package = pathlib.Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        str(pathlib.Path(tempfile.mkdtemp(prefix="stackweave-code-")) / "stackweave"),
+        "zip",
+        root_dir=package.parent,
+        base_dir=package.name,
+    )
+    context = SparkContext.getOrCreate()
+    context.addPyFile(archive)
+    # The worker that starts a stateful stream runs beside the driver and gets no files.
+    known = context.environment.get("PYTHONPATH")
+    context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [str(package.parent), known]))
+
+
 def prepare(spark: SparkSession, streaming: bool = False) -> SparkSession:
     """Apply the runtime settings to a session somebody else made."""
+    _send_package(spark.sparkContext.applicationId)
     for key, value in {**RUNTIME, **(STREAMING if streaming else {})}.items():
         spark.conf.set(key, value)
     return spark
@@ -47,6 +73,7 @@ def local_session(cpus: int = 8, name: str = "stackweave", **extra: str) -> Spar
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    _send_package(spark.sparkContext.applicationId)
     return spark
 
 
