@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import common, language, simhash
+from stackweave.llm import common, language, simhash, suffixes
 
 
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -14,6 +14,12 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.hexadecimal(F.col("fingerprint")))
 
 
+def op6_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = common.documents(spark, folder)
+    cut = suffixes.remove_repeats(docs.select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.documents(spark, folder)
     judged = language.identify(docs.select("doc_id", "text"), language.train(docs))
@@ -23,6 +29,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op6_suffixes": op6_suffixes,
     "op10_language": op10_language,
 }
 
