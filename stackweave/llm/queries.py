@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import common, language, simhash, suffixes
+from stackweave.llm import common, language, mixing, simhash, suffixes, tiling
+
+
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = common.documents(spark, folder)
+    sizes = docs.select("doc_id", "source", common.word_count(F.col("text")).alias("size"))
+    mixed = mixing.mix(common.WorkTable(sizes, "sizes").df)
+    return mixing.by_position(mixed.select("doc_id", "size", "source_size", "target", "taken", "position"))
 
 
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,6 +27,10 @@ def op6_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.contaminated(common.documents(spark, folder), common.table(spark, folder, "benchmark"))
+
+
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.documents(spark, folder)
     judged = language.identify(docs.select("doc_id", "text"), language.train(docs))
@@ -28,9 +39,50 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op3_simhash": op3_simhash,
     "op6_suffixes": op6_suffixes,
+    "op7_tiling": op7_tiling,
     "op10_language": op10_language,
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {
+    "op1_mixing": r"""
+        with sizes as (
+            select doc_id, source, md5(coalesce(doc_id::varchar, '')) as key,
+                len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size
+            from documents
+        ), numbered as (
+            select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) - 1 as source_no
+            from sizes group by source
+        ), weighted as (
+            select *, [3, 1, 2][source_no % 3 + 1] as weight, 2 * source_size as most,
+                2 * source_size / [3, 1, 2][source_no % 3 + 1] as level
+            from numbered
+        ), filled as (
+            select *, sum(source_size) over () * 1.5::double as budget,
+                sum(most) over (order by level, source_no)
+                + level * coalesce(sum(weight) over (order by level, source_no rows between 1 following and unbounded following), 0)
+                <= sum(source_size) over () * 1.5::double as is_full
+            from weighted
+        ), aimed as (
+            select source, source_no, source_size, case when is_full then most::double
+                else (budget - sum(case when is_full then most else 0 end) over ())
+                    / sum(case when is_full then 0 else weight end) over () * weight end as target
+            from filled
+        ), placed as (
+            select s.doc_id, s.size, a.*, round(a.target)::bigint as words, (sum(s.size) over (
+                partition by a.source_no order by s.key, s.doc_id, s.size rows between unbounded preceding and current row) - s.size)::bigint as start
+            from sizes s join aimed a on s.source is not distinct from a.source
+        ), cut as (
+            select *, greatest(0, least(words - start, size)) + greatest(0, least(words - source_size - start, size)) as taken,
+                start / words as share
+            from placed
+        )
+        select doc_id, size, source_size, target, taken::bigint as taken, case when taken > 0 then case source_no % 3
+            when 0 then 2.0::double * share / (1.5::double + sqrt(greatest(0.0::double, 2.25::double + -2.0::double * share)))
+            when 1 then 2.0::double * share / (0.5::double + sqrt(greatest(0.0::double, 0.25::double + 2.0::double * share)))
+            else 2.0::double * share / (1.0::double + sqrt(greatest(0.0::double, 1.0::double + 0.0::double * share))) end end as position
+        from cut
+    """,
+}
