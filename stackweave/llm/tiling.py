@@ -34,7 +34,7 @@ def _words(text: Column) -> Column:
 
 
 def _seeds(words: Column) -> Column:
-    """(place, hash) of all runs of five words."""
+    """Hashes of all runs of five words, in order."""
     last = F.size(words) - SEED
     at = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
     return F.transform(at, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(SEED))))
@@ -118,9 +118,11 @@ def tiles(item_words: list[str], text_words: list[str], least: int = SEED) -> li
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, item_id, coverage, n_tiles) of every document and item it gives away."""
+    # Words are a column of their own: within a lambda they would be made anew for each place.
     items = benchmark.select("item_id", F.col("text").alias("_item"), _words(F.col("text")).alias("_words"))
     seeds = items.select("item_id", F.size("_words").alias("_size"), F.posexplode(_seeds(F.col("_words"))).alias("_place", "_seed"))
-    runs = docs.where("doc_id is not null").select("doc_id", F.explode(F.array_distinct(_seeds(_words(F.col("text"))))).alias("_seed"))
+    texts = docs.where("doc_id is not null").select("doc_id", _words(F.col("text")).alias("_words"))
+    runs = texts.select("doc_id", F.explode(F.array_distinct(_seeds(F.col("_words")))).alias("_seed"))
     # Spark sends the seeds of the benchmark to all tasks if they are small, else it shuffles.
     shared = runs.join(seeds, "_seed").groupBy("doc_id", "item_id", "_size").agg(F.countDistinct("_place").alias("_places"))
     # A run of w words has w - 4 seeds, so coverage needs at least a fifth as many.
