@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import common, language, mixing, simhash, suffixes, tiling
+from stackweave.llm import common, language, mixing, quality, simhash, suffixes, tiling
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,6 +15,13 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.by_position(mixed.select("doc_id", "size", "source_size", "target", "taken", "position"))
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = common.documents(spark, folder)
+    counted = common.WorkTable(quality.features(docs.select("doc_id", "text", "lang")).drop("text"), "features").df
+    judged = quality.judge(counted, common.table(spark, folder, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.documents(spark, folder)
     found = simhash.near_duplicates(docs)
@@ -40,6 +47,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op6_suffixes": op6_suffixes,
     "op7_tiling": op7_tiling,
@@ -85,4 +93,58 @@ STATEMENTS: dict[str, str] = {
             else 2.0::double * share / (1.0::double + sqrt(greatest(0.0::double, 1.0::double + 0.0::double * share))) end end as position
         from cut
     """,
+    "op2_quality": r"""
+        with split as (
+            select doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as text,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+            from documents
+        ), counted as (
+            select *, row_number() over () as place, len(words) as n_words, coalesce(length(array_to_string(words, '')), 0) as word_chars,
+                length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+                length(text) - length(regexp_replace(text, '\p{Lu}', '', 'g')) as n_capitals,
+                len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines
+            from split
+        ), windows as (
+            select place, unnest(range(1, n_words - 6)) as i, words from counted where n_words >= 8
+        ), keyed as (
+            select place, i, array_to_string(words[i : i + 7], ' ') as w from windows
+        ), again as (
+            select place, i from (select *, count(*) over (partition by place, w) as n from keyed) where n > 1
+        ), covered as (
+            select place, count(distinct k) as n_repeat_words from (select place, unnest(range(i, i + 8)) as k from again) group by place
+        ), base as (
+            select c.*, coalesce(n_repeat_words, 0) as n_repeat_words,
+                n_words < 20 or 100 * coalesce(n_repeat_words, 0) > 30 * n_words as base_failed,
+                1000.0::double * n_symbols / greatest(word_chars, 1) as symbols, 1000.0::double * n_capitals / greatest(word_chars, 1) as capitals,
+                1000.0::double * n_dup_lines / greatest(n_lines, 1) as dup, 1000.0::double * coalesce(n_repeat_words, 0) / greatest(n_words, 1) as repeats
+            from counted c left join covered using (place)
+        ), good as (
+            select doc_id, min(quality) > 0 as good from labels where quality is not null group by doc_id
+        ), known as (
+            select stratum, good, unnest([{'rule': 1, 'x': symbols}, {'rule': 2, 'x': capitals}, {'rule': 3, 'x': dup}, {'rule': 4, 'x': repeats}], recursive := true)
+            from (select distinct on (doc_id) * from base where not base_failed) join good using (doc_id)
+        ), grid as (
+            select unnest([5, 10, 15, 20, 30, 40, 50, 75, 100, 150, 200, 300, 400, 500, 700]) as cut
+        ), tried as (
+            select stratum, rule, cut, count(*) filter (good) as n, count(*) filter (good and x > cut) as k,
+                count(*) filter (not good) as bad, count(*) filter (not good and x > cut) as caught
+            from known, grid group by all
+        ), gained as (
+            select *, caught / greatest(bad, 1) - k / n as gain from tried
+            where n > 0 and k < n * 0.0125::double and list_sum(list_transform(range(0, k + 1), lambda j: exp(
+                lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.0125::double) + (n - j) * ln(0.9875::double))))
+                <= 0.05::double / (60 * (select count(distinct stratum) from known))
+        ), best as (
+            select stratum, rule, max_by(cut, (gain, cut)) as cut from gained where gain > 0 group by all
+        ), limits as (
+            select stratum, max(cut) filter (rule = 1) as c1, max(cut) filter (rule = 2) as c2, max(cut) filter (rule = 3) as c3, max(cut) filter (rule = 4) as c4
+            from best group by stratum
+        )
+        select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
+            n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
+            not (base_failed or coalesce(symbols > c1, false) or coalesce(capitals > c2, false) or coalesce(dup > c3, false)
+                or coalesce(repeats > c4, false)) as kept
+        from base left join limits using (stratum)
+    """,
 }
