@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import common, language, mixing, quality, simhash, suffixes, tiling
+from stackweave.llm import common, language, mixing, quality, scoring, simhash, suffixes, tiling, toxicity
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,6 +28,18 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.hexadecimal(F.col("fingerprint")))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = common.documents(spark, folder)
+    model = toxicity.train(docs, common.table(spark, folder, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (~common.in_training(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+
+
+def op5_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = common.documents(spark, folder)
+    return scoring.score(docs.select("doc_id", "text"), *scoring.train(docs)).drop("text")
+
+
 def op6_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.documents(spark, folder)
     cut = suffixes.remove_repeats(docs.select("doc_id", "text"))
@@ -49,6 +61,8 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
+    "op5_scoring": op5_scoring,
     "op6_suffixes": op6_suffixes,
     "op7_tiling": op7_tiling,
     "op10_language": op10_language,
