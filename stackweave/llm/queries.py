@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import common, language, mixing, quality, scoring, simhash, suffixes, tiling, toxicity
+from stackweave.llm import common, language, mixing, quality, scoring, simhash, suffixes, tiling, toxicity, warc
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,6 +50,11 @@ def op7_tiling(spark: SparkSession, folder: str) -> DataFrame:
     return tiling.contaminated(common.documents(spark, folder), common.table(spark, folder, "benchmark"))
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    back = warc.round_trip(common.table(spark, folder, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.documents(spark, folder)
     judged = language.identify(docs.select("doc_id", "text"), language.train(docs))
@@ -65,6 +70,7 @@ QUERIES = {
     "op5_scoring": op5_scoring,
     "op6_suffixes": op6_suffixes,
     "op7_tiling": op7_tiling,
+    "op8_warc": op8_warc,
     "op10_language": op10_language,
 }
 
@@ -161,4 +167,19 @@ STATEMENTS: dict[str, str] = {
                 or coalesce(repeats > c4, false)) as kept
         from base left join limits using (stratum)
     """,
+    "op8_warc": r"""
+        with hashed as (
+            select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages
+        ), digits as (
+            select page_id, html, h, array_to_string(list_transform(range(0, 32), lambda k: substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                (('0x' || substring(h, (k // 8)::int * 10 + 1, 10))::bigint >> (5 * (7 - k % 8))::int & 31)::int + 1, 1)), '') as payload_digest
+            from hashed
+        ), first as (
+            select *, min(page_id) over (partition by h) as first from digits
+        )
+        select page_id, strlen(html)::bigint as payload_bytes, payload_digest,
+            case when page_id = first then 'response' else 'revisit' end as record_type,
+            case when page_id = first then null else first end as refers_to
+        from first
+    """,
 }
