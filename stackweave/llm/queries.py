@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import common, language, mixing, quality, scoring, simhash, suffixes, tiling, toxicity, warc
+from stackweave.llm import common, language, licenses, mixing, quality, scoring, simhash, suffixes, tiling, toxicity, warc
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    docs = common.documents(spark, folder).select("doc_id", "text")
+    return licenses.scan(docs, licenses.train(docs)).drop("body")
+
+
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.documents(spark, folder)
     judged = language.identify(docs.select("doc_id", "text"), language.train(docs))
@@ -71,6 +76,7 @@ QUERIES = {
     "op6_suffixes": op6_suffixes,
     "op7_tiling": op7_tiling,
     "op8_warc": op8_warc,
+    "op9_licenses": op9_licenses,
     "op10_language": op10_language,
 }
 
