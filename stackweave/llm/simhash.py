@@ -119,7 +119,9 @@ def clusters(members: np.ndarray, masks: np.ndarray) -> list[tuple[int, int]]:
 
 def links(fingerprints: DataFrame) -> DataFrame:
     """Distinct fingerprints (fingerprint long) -> links (a long, b long) that keep every component."""
-    variants = fingerprints.select("fingerprint", F.inline(F.array(*(
+    # Dealt out anew: a fingerprint is small, but it becomes 196 rows.
+    parts = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = fingerprints.repartition(parts, "fingerprint").select("fingerprint", F.inline(F.array(*(
         F.struct(F.lit(block).cast("tinyint").alias("block"), F.lit(kept).alias("kept"), F.lit(flip).alias("flip"))
         for block, kept, flip in _keys()
     )))).select("fingerprint", "block", F.col("kept").bitwiseAND(F.col("fingerprint")).bitwiseXOR(F.col("flip")).alias("variant"))
