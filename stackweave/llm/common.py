@@ -15,6 +15,7 @@ from stackweave import session
 # White space of the contracts: space and the six control characters \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+ROW = "_row"
 # Null ids sort last.
 NO_ID = 2**63 - 1
 
@@ -59,6 +60,16 @@ def with_arrow_columns(df: DataFrame, fields: Iterable[T.StructField], compute:
     return df.mapInArrow(extend, schema)
 
 
+def sealed(docs: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and whole rows as one column that no other name can clash with."""
+    return docs.select(*names, F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias(ROW))
+
+
+def unsealed(df: DataFrame, names: list[str], **changed: Column) -> DataFrame:
+    """The rows that ``sealed`` put away, with some columns replaced."""
+    return df.select(*(changed.get(name, F.col(ROW).getField(name)).alias(name) for name in names))
+
+
 def bounded_groups(texts: Iterable[str | bytes | None], size: int) -> Iterator[list]:
     """Consecutive texts in lists of at most ``size`` characters; a longer text is alone."""
     group, held = [], 0

@@ -201,9 +201,13 @@ def _residual(model: Model, entropy: np.ndarray, letters: np.ndarray, best: np.n
 def _sample(docs: DataFrame, rows: int, salt: int) -> DataFrame:
     """About ``rows`` labelled rows of every language, chosen by a hash of the id."""
     labelled = docs.where(common.in_training(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("_n"))
+    # One count a language comes to the driver, so that no text has to be shuffled to meet it.
+    sizes = labelled.groupBy("lang").count().collect()
+    if not sizes:
+        return labelled.select("doc_id", "lang", "text").limit(0)
+    share = F.create_map(*(F.lit(x) for row in sizes for x in (row["lang"], rows / row["count"])))
     dice = F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(sizes, "lang").where(dice < rows / F.col("_n")).select("doc_id", "lang", "text")
+    return labelled.where(dice < share[F.col("lang")]).select("doc_id", "lang", "text")
 
 
 def train(docs: DataFrame, order: int = ORDER, fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> Model | None:
@@ -260,5 +264,5 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """Filtering stage: documents the calibrated models do not reject, columns unchanged."""
-    judged = identify(docs, train(docs))
-    return judged.where(~F.col("rejected")).select(*docs.columns)
+    judged = identify(common.sealed(docs, "text"), train(docs))
+    return common.unsealed(judged.where(~F.col("rejected")), docs.columns)
