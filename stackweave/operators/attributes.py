@@ -12,9 +12,9 @@ SCALARS = ("string", "bool", "int", "float", "bytes")
 
 
 def _list_json() -> Column:
-    """A list as compact JSON: text quoted, numbers and booleans bare."""
+    """A list as compact JSON: text quoted, numbers and booleans bare, missing items null."""
     text = F.to_json("items", {"writeNonAsciiCharacterAsCodePoint": "true"})
-    bare = F.concat(F.lit("["), F.array_join("items", ","), F.lit("]"))
+    bare = F.concat(F.lit("["), F.array_join("items", ",", "null"), F.lit("]"))
     return F.when(F.col("item_type") == "string", text).otherwise(bare)
 
 
@@ -33,8 +33,9 @@ def encode(attributes: DataFrame) -> DataFrame:
 
 
 def unsupported(attributes: DataFrame) -> DataFrame:
-    """What `encode` leaves out, with the warning it deserves."""
-    return attributes.filter(~F.col("type").isin(*SCALARS, "list")).withColumn(
+    """What `encode` leaves out, with the warning it deserves; a list without items is one."""
+    known = F.col("type").isin(*SCALARS) | ((F.col("type") == "list") & F.col("items").isNotNull())
+    return attributes.filter(~F.coalesce(known, F.lit(False))).withColumn(
         "warning", F.format_string("attribute %s has unsupported type %s", "key", "type")
     )
 

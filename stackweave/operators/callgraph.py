@@ -15,19 +15,30 @@ from pyspark.sql import functions as F
 # Characters that cannot occur in a file or function name.
 _IN_NAME = "\u0000"
 _IN_EDGE = "\u0001"
+_MISSING = "\u0002"  # a native frame has no file
+UNKNOWN = "[unknown]"
+
+
+def _name(frame: Column) -> Column:
+    """A frame as one string, which Spark can hash when it removes repeats."""
+    file, func = (F.coalesce(part, F.lit(_MISSING)) for part in (frame["file"], frame["func"]))
+    return F.concat(file, F.lit(_IN_NAME), func)
 
 
 def _names() -> Column:
-    """Frames as single strings, which Spark can hash when it removes repeats."""
-    return F.transform("frames", lambda frame: F.concat(frame.file, F.lit(_IN_NAME), frame.func))
+    return F.transform("frames", _name)
+
+
+def _known(part: Column) -> Column:
+    return F.when(part != _MISSING, part)
 
 
 def _file(name: Column) -> Column:
-    return F.substring_index(name, _IN_NAME, 1)
+    return _known(F.substring_index(name, _IN_NAME, 1))
 
 
 def _func(name: Column) -> Column:
-    return F.substring_index(name, _IN_NAME, -1)
+    return _known(F.substring_index(name, _IN_NAME, -1))
 
 
 def function_times(
@@ -41,7 +52,7 @@ def function_times(
     return (
         samples.filter(F.size("frames") > 0)
         # The leaf gets its own projection, or it would be worked out again for every frame.
-        .select(*by, "frames", F.concat(leaf["file"], F.lit(_IN_NAME), leaf["func"]).alias("_leaf"))
+        .select(*by, "frames", _name(leaf).alias("_leaf"))
         .select(*by, "_leaf", F.explode(F.array_distinct(_names())).alias("_name"))
         .groupBy(*by, "_name")
         .agg(
@@ -91,11 +102,18 @@ def call_edges(
 def folded_stacks(
     samples: DataFrame, period_millis: int, by: Sequence[str] = ("service",)
 ) -> DataFrame:
-    """Distinct stack paths, root first, with their weight."""
-    path = F.array_join(F.transform("frames", lambda frame: frame.func), ";")
+    """Distinct stack paths, root first, with their weight.
+
+    Paths are told apart by their names, and joined for display only; a missing name shows
+    as unknown.
+    """
+    path = F.transform("frames", lambda frame: frame.func)
     return (
-        samples.select(*by, path.alias("stack"))
-        .groupBy(*by, "stack")
+        samples.select(*by, path.alias("_path"))
+        .groupBy(*by, "_path")
         .agg(F.count("*").alias("samples"))
-        .withColumn("total_ms", F.col("samples") * period_millis)
+        .select(
+            *by, F.array_join("_path", ";", UNKNOWN).alias("stack"), "samples",
+            (F.col("samples") * period_millis).alias("total_ms"),
+        )
     )

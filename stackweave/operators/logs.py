@@ -33,9 +33,9 @@ def route_of(scope: Column, routes: Mapping[str, str]) -> Column:
     return F.lit(DEFAULT_ROUTE) if chosen is None else chosen.otherwise(DEFAULT_ROUTE)
 
 
-def write_routes(records: DataFrame, path: str, routes: Mapping[str, str]) -> None:
-    """Write every record once, under the folder of its route."""
-    records.withColumn("route", route_of(F.col("scope"), routes)).write.mode("overwrite").partitionBy(
+def write_routes(records: DataFrame, path: str, routes: Mapping[str, str], mode: str = "append") -> None:
+    """Write every record once, under the folder of its route, beside what is there."""
+    records.withColumn("route", route_of(F.col("scope"), routes)).write.mode(mode).partitionBy(
         "route"
     ).parquet(path)
 

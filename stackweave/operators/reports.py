@@ -19,11 +19,13 @@ def is_valid() -> Column:
 
 
 def completeness(fragments: DataFrame) -> DataFrame:
-    """Which reports arrived whole: as many distinct fragments as announced, the last of
-    them flagged as done.
+    """Which reports arrived whole: every fragment from the first to the last announced one,
+    and one of them flagged as done.
 
-    Repeated deliveries of a fragment are reduced to one before they reach the report.
+    Repeated deliveries of a fragment are reduced to one before they reach the report. A
+    fragment outside the announced range is no part of it.
     """
+    in_range = (F.col("fragment_index") >= 0) & (F.col("fragment_index") < F.col("max_fragments"))
     once = fragments.groupBy("id", "fragment_index").agg(
         F.max("max_fragments").alias("max_fragments"),
         F.max("is_done").alias("is_done"),
@@ -32,13 +34,13 @@ def completeness(fragments: DataFrame) -> DataFrame:
     return (
         once.groupBy("id")
         .agg(
-            F.count("*").alias("fragments"),
+            F.count_if(in_range).alias("fragments"),
             F.max("max_fragments").cast("long").alias("max_fragments"),
-            F.max("is_done").alias("is_done"),
+            F.coalesce(F.max("is_done"), F.lit(False)).alias("is_done"),
             F.sum("packages").alias("packages"),
         )
         .withColumn(
-            "complete", F.col("is_done") & (F.col("fragments") >= F.col("max_fragments"))
+            "complete", F.coalesce(F.col("is_done") & (F.col("fragments") >= F.col("max_fragments")), F.lit(False))
         )
     )
 
@@ -54,7 +56,8 @@ def reassemble(fragments: DataFrame) -> DataFrame:
         fragments.join(whole, "id", "left_semi")
         .select("id", "fragment_index", F.posexplode("packages").alias("position", "_p"))
         .groupBy("id", "fragment_index", "position")
-        .agg(F.max(F.col("_p.name")).alias("name"))
+        .agg(F.max("_p").alias("_p"))
+        .select("id", "fragment_index", "position", "_p.*")
     )
 
 

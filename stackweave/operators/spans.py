@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from stackweave.functions import clock, ids, sampling
 
 SLICE_SECONDS = 300
-# Wider where every open span puts one row into each slice it crosses.
-TRACKED_SLICE_SECONDS = 3600
 LINGER_SECONDS = 60
 SELECTION_ATTRIBUTE = "snapshot.profiling"
 
@@ -26,12 +24,11 @@ def is_entry() -> Column:
 def resolve_parents(spans: DataFrame) -> DataFrame:
     """Work out `parent_is_remote` where exporters did not store it.
 
-    The parent is remote when it ran in another service, or was not exported at all.
+    The parent is remote when it ran in another service, or was not exported at all. A parent
+    that was exported more than once counts once.
     """
-    parents = spans.select(
-        "trace_id",
-        F.col("span_id").alias("parent_span_id"),
-        F.col("service").alias("_parent_service"),
+    parents = spans.groupBy("trace_id", F.col("span_id").alias("parent_span_id")).agg(
+        F.min("service").alias("_parent_service")
     )
     return (
         spans.drop("parent_is_remote")
@@ -63,11 +60,16 @@ def select_spans(spans: DataFrame) -> DataFrame:
     )
 
 
+def _end() -> Column:
+    """When a span ends: not before its start, and null while it is open."""
+    return F.when(F.col("end_ts").isNotNull(), F.greatest("start_ts", "end_ts"))
+
+
 def _edges(spans: DataFrame, keys: Sequence[str], *extra: str) -> DataFrame:
     """One row where a span opens and one where it closes."""
     moments = F.array(
         F.struct(F.col("start_ts").alias("ts"), F.lit(1).cast("long").alias("delta")),
-        F.struct(F.col("end_ts").alias("ts"), F.lit(-1).cast("long").alias("delta")),
+        F.struct(_end().alias("ts"), F.lit(-1).cast("long").alias("delta")),
     )
     return spans.select(*keys, *extra, F.inline(moments)).filter(F.col("ts").isNotNull())
 
@@ -110,56 +112,40 @@ def keep_tracked(
     samples: DataFrame,
     tracked: DataFrame,
     keys: Sequence[str] = ("service", "trace_id"),
-    slice_seconds: int = TRACKED_SLICE_SECONDS,
+    slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Samples whose trace has a tracked span open in that process at that moment.
 
-    Spans count from their start up to, not including, their end. A span that never ended
-    stays open to the last sample. Samples and span edges are put in time order per trace
-    and slice, and a running count decides; an open span also counts at the start of every
-    slice it reaches. A long trace is spread over its slices, and the work stays proportional
-    to the rows however many spans a trace has.
+    Spans count from their start up to, not including, their end; one that does not end after
+    its start counts at no moment, and one that never ended stays open. Samples and span edges
+    are put in time order per trace and slice, and a running count decides. A slice starts from
+    the sum over all earlier slices, which is one row for each slice that has samples. So a
+    long trace is spread over its slices, a span costs two rows however long it lasts, and the
+    work stays proportional to the rows however many spans a trace has.
     """
     keys = list(keys)
-    width = F.lit(slice_seconds * 1_000_000).cast("long")
-
-    def slot(ts: Column) -> Column:
-        return clock.slice_of(ts, slice_seconds)
-
-    last_slice = samples.select(F.max(slot(F.col("ts")))).scalar()
-    here = F.col("_slice")
-    opens = F.when(here == F.col("_first"), clock.micros(F.col("start_ts"))).otherwise(here)
-    closes = F.when(here == F.col("_last"), clock.micros(F.col("end_ts")))
-    one = F.lit(1).cast("long")
-    edges = F.array(
-        F.struct(opens.alias("_at"), one.alias("_delta")), F.struct(closes.alias("_at"), (-one).alias("_delta"))
-    )
+    at = clock.micros(F.col("ts")).alias("_at")
+    slot = clock.slice_of(F.col("ts"), slice_seconds).alias("_slice")
+    lasting = tracked.filter(F.col("end_ts").isNull() | (F.col("end_ts") > F.col("start_ts")))
     changes = (
-        tracked.filter(F.col("end_ts").isNull() | (F.col("end_ts") > F.col("start_ts")))
-        .select(
-            *keys,
-            "start_ts",
-            "end_ts",
-            slot(F.col("start_ts")).alias("_first"),
-            F.coalesce(slot(F.col("end_ts")), last_slice).alias("_last"),
-        )
-        .filter(F.col("_last") >= F.col("_first"))
-        .select("*", F.explode(F.sequence("_first", "_last", width)).alias("_slice"))
-        .select(*keys, "_slice", F.inline(edges))
-        .filter(F.col("_at").isNotNull())
+        _edges(lasting, keys).select(*keys, slot, at, "delta")
         .groupBy(*keys, "_slice", "_at")
+        .agg(F.sum("delta").alias("_delta"))
+    )
+    kept = samples.filter(F.col("trace_id").isNotNull())
+    used = kept.select(*keys, slot).distinct().withColumn("_used", F.lit(True))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
+    opening = (
+        changes.groupBy(*keys, "_slice")
         .agg(F.sum("_delta").alias("_delta"))
-        .withColumn("_sample", F.lit(False))
-    )
-    rows = (
-        samples.filter(F.col("trace_id").isNotNull())
-        .select(
-            "*",
-            slot(F.col("ts")).alias("_slice"),
-            clock.micros(F.col("ts")).alias("_at"),
-            F.lit(True).alias("_sample"),
-        )
-        .unionByName(changes, allowMissingColumns=True)
+        .withColumn("_used", F.lit(False))
+        .unionByName(used, allowMissingColumns=True)
+        .withColumn("_delta", F.sum("_delta").over(earlier))
+        .filter(F.col("_used") & (F.col("_delta") != 0))
+        .select(*keys, "_slice", F.col("_slice").alias("_at"), "_delta")
+    )
+    rows = kept.select("*", slot, at, F.lit(True).alias("_sample")).unionByName(
+        changes.unionByName(opening).withColumn("_sample", F.lit(False)), allowMissingColumns=True
     )
     so_far = (
         Window.partitionBy(*keys, "_slice")
@@ -198,17 +184,19 @@ def active_intervals(
 
     Spans are merged within their start slice first. Every merged interval outlasts the
     linger, so a slice keeps at most slice / linger + 1 of them, and the second merge per
-    process is small whatever the number of spans.
+    process is small whatever the number of spans. An interval with a span that never ended
+    has no end.
     """
     keys = list(keys)
-    ended = spans.filter(F.col("end_ts").isNotNull()).select(
+    never = F.lit("9999-12-31").cast(spans.schema["end_ts"].dataType)
+    lingering = spans.select(
         *keys,
         "start_ts",
-        (F.col("end_ts") + F.make_dt_interval(secs=F.lit(linger_seconds))).alias("end_ts"),
+        F.coalesce(_end() + F.make_dt_interval(secs=F.lit(linger_seconds)), never).alias("end_ts"),
     )
-    sliced = ended.withColumn("_slice", clock.slice_of(F.col("start_ts"), slice_seconds))
+    sliced = lingering.withColumn("_slice", clock.slice_of(F.col("start_ts"), slice_seconds))
     return _merge(_merge(sliced, [*keys, "_slice"]).drop("_slice"), keys).select(
-        *keys, "start_ts", "end_ts"
+        *keys, "start_ts", F.when(F.col("end_ts") < never, F.col("end_ts")).alias("end_ts")
     )
 
 

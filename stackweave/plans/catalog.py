@@ -251,11 +251,11 @@ def trace_volume(spark, folder):
 
 @query
 def random_selection(spark, folder):
-    """Requests without a valid trace id, chosen by chance."""
-    invalid = tables.trace_baggage(spark, folder).filter(F.col("baggage").isNull())
-    return invalid.select(
-        "o_orderkey", sampling.trace_volume(F.col("baggage"), F.lit("0" * 32), 0.5, seed=7).alias("volume")
-    )
+    """Requests without a valid trace id: an upstream decision, or else a coin."""
+    key = F.col("o_orderkey")
+    understood = F.when(F.col("baggage").isin(sampling.SELECTED, sampling.NOT_SELECTED), F.col("baggage"))
+    volume = sampling.trace_volume(understood, F.lit("0" * 32), 0.5, request=key, seed=7)
+    return tables.trace_baggage(spark, folder).select("o_orderkey", volume.alias("volume"))
 
 
 @query
@@ -506,10 +506,6 @@ def decode_reports(spark, folder):
     )
 
 
-# Longer than the whole replayed history, which comes in no particular order.
-REPLAY_DELAY = "3650 days"
-
-
 def plain(df: DataFrame, *times: str) -> DataFrame:
     """Times without a zone, as the tables have them."""
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
@@ -520,10 +516,9 @@ def stream_samples_with_context(spark, folder):
     session.prepare(spark, streaming=True)
     changes = context.context_changes(tables.context_events(spark, folder))
     taken = samples(spark, folder).drop("frames")
-    out = stream_context.attach_context(
-        sinks.replay(taken, "samples", "ts"), sinks.replay(changes, "changes", "ts"), REPLAY_DELAY
-    )
-    return plain(sinks.drain(out, "context"), "ts").select(
+    both = sinks.Replay(taken, "samples", "ts"), sinks.Replay(changes, "changes", "ts")
+    out = stream_context.attach_context(both[0].stream, both[1].stream, sinks.delay_of(*both))
+    return plain(sinks.drain(out, "context", *both), "ts").select(
         "service", "tid", "ts", "sample_id", "trace_id", "span_id"
     )
 
@@ -533,10 +528,9 @@ def stream_snapshot_samples(spark, folder):
     session.prepare(spark, streaming=True)
     taken = traced(spark, folder).drop("frames")
     chosen = tracked(spark, folder).select("service", "trace_id", "span_id", "start_ts", "end_ts")
-    out = stream_context.keep_tracked(
-        sinks.replay(taken, "samples", "ts"), sinks.replay(chosen, "spans", "start_ts"), REPLAY_DELAY
-    )
-    return plain(sinks.drain(out, "tracked"), "ts").select(
+    both = sinks.Replay(taken, "samples", "ts"), sinks.Replay(chosen, "spans", "start_ts", "end_ts")
+    out = stream_context.keep_tracked(both[0].stream, both[1].stream, sinks.delay_of(*both))
+    return plain(sinks.drain(out, "tracked", *both), "ts").select(
         "service", "tid", "ts", "sample_id", "trace_id", "span_id"
     )
 
@@ -545,23 +539,23 @@ def stream_snapshot_samples(spark, folder):
 def stream_activity(spark, folder):
     session.prepare(spark, streaming=True)
     points = tracked(spark, folder).select("service", "start_ts")
-    out = windows.activity(sinks.replay(points, "starts", "start_ts"), 1800, REPLAY_DELAY)
-    return plain(sinks.drain(out, "activity"), "start_ts", "end_ts")
+    starts = sinks.Replay(points, "starts", "start_ts")
+    out = windows.activity(starts.stream, 1800, sinks.delay_of(starts))
+    return plain(sinks.drain(out, "activity", starts), "start_ts", "end_ts")
 
 
 @query
 def stream_ticks(spark, folder):
     taken = samples(spark, folder).select("service", "ts")
-    out = windows.ticks(sinks.replay(taken, "samples", "ts"), profiles.CONTINUOUS, TICK, REPLAY_DELAY)
-    return plain(sinks.drain(out, "ticks"), "tick_ts")
+    replayed = sinks.Replay(taken, "samples", "ts")
+    out = windows.ticks(replayed.stream, profiles.CONTINUOUS, TICK, sinks.delay_of(replayed))
+    return plain(sinks.drain(out, "ticks", replayed), "tick_ts")
 
 
 def stream_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table's file as a stream."""
+    """A table, one file or a folder of part files, as a stream."""
     schema = tables.table(spark, folder, name).schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
-    )
+    return spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/{name}.parquet*")
 
 
 @query

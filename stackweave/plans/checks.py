@@ -52,7 +52,8 @@ def _event_spans(unit_seconds: int) -> str:
     return f"""
 event_spans as (
   select service, trace_id, span_id, ts as start_ts,
-    ts + to_seconds(cast(floor(value * {unit_seconds}) as bigint)) as end_ts,
+    case when seq % 40 <> 7 then ts + to_seconds(cast(case seq % 40 when 8 then 0 when 9 then -10
+      else floor(value * {unit_seconds}) end as bigint)) end as end_ts,
     ts = min(ts) over (partition by trace_id) as is_entry,
     case when substr(trace_id, 17) < '8000000000000000' then 'highest' else 'off' end as volume
   from context_events where kind = 'attach' and trace_id is not null),
@@ -64,7 +65,7 @@ SNAPSHOT = f"""{WITH_CONTEXT},
 snapshot as (
   select * from with_context s where exists (
     select 1 from tracked t where t.service = s.service and t.trace_id = s.trace_id
-      and s.ts >= t.start_ts and s.ts < t.end_ts))"""
+      and s.ts >= t.start_ts and (t.end_ts is null or s.ts < t.end_ts)))"""
 
 OPEN_SPANS = f"""
 with {CONTEXT_EVENTS},
@@ -72,7 +73,7 @@ with {CONTEXT_EVENTS},
 edges as (
   select service, span_id, start_ts as ts, cast(1 as bigint) as delta from event_spans
   union all
-  select service, span_id, end_ts, cast(-1 as bigint) from event_spans)
+  select service, span_id, greatest(start_ts, end_ts), cast(-1 as bigint) from event_spans where end_ts is not null)
 select service, span_id, ts, delta,
   cast(sum(delta) over (partition by service order by ts, delta desc, span_id
     rows unbounded preceding) as bigint) as open
@@ -82,7 +83,8 @@ ACTIVE_INTERVALS = f"""
 with {CONTEXT_EVENTS},
 {_event_spans(60)},
 runs as (
-  select service, start_ts, end_ts + interval 60 second as end_ts from tracked),
+  select service, start_ts, case when end_ts is null then timestamp '9999-12-31'
+    else greatest(start_ts, end_ts) + interval 60 second end as end_ts from tracked),
 marked as (
   select *, case when start_ts <= max(end_ts) over (partition by service order by start_ts, end_ts
     rows between unbounded preceding and 1 preceding) then 0 else 1 end as gap
@@ -91,7 +93,7 @@ numbered as (
   select *, sum(gap) over (partition by service order by start_ts, end_ts
     rows unbounded preceding) as run
   from marked)
-select service, min(start_ts) as start_ts, max(end_ts) as end_ts
+select service, min(start_ts) as start_ts, nullif(max(end_ts), timestamp '9999-12-31') as end_ts
 from numbered group by service, run"""
 
 STATEMENTS = {
@@ -445,6 +447,11 @@ with baggage as (
 select *, case when baggage in ('highest', 'off') then baggage
   when substr(trace_id, 17) < '8000000000000000' then 'highest' else 'off' end as volume
 from baggage""",
+    "random_selection": """
+select o_orderkey, case when case when o_orderpriority = '1-URGENT' then null when o_orderstatus = 'F' then 'highest'
+    when o_orderstatus = 'O' then 'off' end is not null then case o_orderstatus when 'F' then 'highest' else 'off' end
+  when substr(md5(concat('7:', o_orderkey)), 1, 16) < '8000000000000000' then 'highest' else 'off' end as volume
+from orders""",
     "normalised_ids": f"""
 with {ORDER_SPANS}
 select trace_id, span_id, {TRACE_LABEL} as trace_label, {SPAN_LABEL} as span_label,
@@ -490,7 +497,7 @@ select id, count(distinct fragment_index) as fragments, cast(7 as bigint) as max
 from package_reports group by id""",
     "report_packages": f"""
 with {PACKAGE_REPORTS}
-select id, fragment_index, p_name as name,
+select id, fragment_index, p_name as name, p_brand as version,
   row_number() over (partition by id, fragment_index order by p_name, p_brand) - 1 as position
 from package_reports
 where id in (select id from package_reports group by id having count(distinct fragment_index) = 7)""",
@@ -579,10 +586,12 @@ select p_partkey, unnest(['service.name', 'service.namespace', 'service.instance
   unnest(['string', 'string', 'string', 'int', 'string', 'bool', 'string', 'string', 'string']) as type,
   unnest([lower(p_brand), lower(p_type), cast(p_partkey as varchar), cast(p_size as varchar),
     concat('host-', p_size), case when p_size > 25 then 'true' else 'false' end,
-    '["' || replace(p_name, ' ', '","') || '"]', concat('[4317,', p_size, ']'), '[true,false]']) as value
+    '["' || replace(p_name, ' ', '","') || '"]', concat('[4317,null,', p_size, ']'), '[true,null]']) as value
 from part""",
     "unsupported_attributes": """
-select p_partkey, 'attribute custom.mapping has unsupported type map' as warning from part""",
+select p_partkey, 'attribute custom.mapping has unsupported type map' as warning from part
+union all
+select p_partkey, 'attribute custom.missing has unsupported type list' from part""",
     "attribute_partition": """
 select p_partkey, concat('service.instance.id=', p_partkey, ';service.name=', lower(p_brand)) as identifying,
   concat('host.name=', p_name, ';process.pid=', p_size) as describing

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,7 @@ def _gunzip(bodies: pd.Series) -> pd.Series:
     def text(body):
         try:
             return gzip.decompress(body).decode("utf-8")
-        except (OSError, EOFError, UnicodeDecodeError, TypeError):
+        except (OSError, EOFError, zlib.error, UnicodeDecodeError, TypeError):
             return None
 
     return bodies.map(text)

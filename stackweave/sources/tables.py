@@ -94,12 +94,14 @@ def event_spans(
 ) -> DataFrame:
     """Spans opened by attach events; the earliest of a trace is its entry span.
 
-    They last `value` units of time.
+    They last `value` units of time. Some never end, some end as they start, and some end before.
     """
     opened = context_events(spark, folder).filter(
         (F.col("kind") == "attach") & F.col("trace_id").isNotNull()
     )
     first = opened.groupBy("trace_id").agg(F.min("ts").alias("_first"))
+    case = F.col("seq") % 40
+    seconds = F.when(case == 8, 0).when(case == 9, -10).otherwise(F.floor(F.col("value") * unit_seconds))
     return opened.join(first, "trace_id").select(
         "service",
         "trace_id",
@@ -107,7 +109,7 @@ def event_spans(
         F.when(F.col("ts") > F.col("_first"), F.lit("f" * 16)).alias("parent_span_id"),
         F.lit(False).alias("parent_is_remote"),
         F.col("ts").alias("start_ts"),
-        (F.col("ts") + F.make_dt_interval(secs=F.floor(F.col("value") * unit_seconds))).alias("end_ts"),
+        F.when(F.col("seq") % 40 != 7, F.col("ts") + F.make_dt_interval(secs=seconds)).alias("end_ts"),
         F.create_map(F.lit("kind"), F.col("kind")).alias("attributes"),
         sampling.trace_volume(F.lit(None), F.col("trace_id"), probability).alias("volume"),
     )
@@ -326,8 +328,9 @@ def typed_attributes(spark: SparkSession, folder: str) -> DataFrame:
         row("host.name", "string", F.concat(F.lit("host-"), size)),
         row("custom.flag", "bool", F.when(F.col("p_size") > 25, "true").otherwise("false")),
         row("custom.words", "list", item_type="string", items=F.split("p_name", " ")),
-        row("custom.ports", "list", item_type="int", items=F.array(F.lit("4317"), size)),
-        row("custom.flags", "list", item_type="bool", items=F.array(F.lit("true"), F.lit("false"))),
+        row("custom.ports", "list", item_type="int", items=F.array(F.lit("4317"), F.lit(None).cast("string"), size)),
+        row("custom.flags", "list", item_type="bool", items=F.array(F.lit("true"), F.lit(None).cast("string"))),
+        row("custom.missing", "list", item_type="int"),
         row("custom.mapping", "map", F.lit("{}")),
     )
     return table(spark, folder, "part").select("p_partkey", F.inline(listed))

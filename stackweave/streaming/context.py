@@ -112,7 +112,9 @@ def keep_tracked(samples: DataFrame, tracked: DataFrame, delay: str = "10 minute
         F.struct(F.col("start_ts").alias("ts"), F.lit(1).alias("delta")),
         F.struct(F.col("end_ts").alias("ts"), F.lit(-1).alias("delta")),
     )
-    edges = tracked.select("service", "trace_id", "span_id", F.inline(moments)).filter("ts is not null")
+    # A span that does not end after its start is open at no moment; its end would come first.
+    lasting = tracked.filter(F.col("end_ts").isNull() | (F.col("end_ts") > F.col("start_ts")))
+    edges = lasting.select("service", "trace_id", "span_id", F.inline(moments)).filter("ts is not null")
     moves = edges.select("service", at, *_row(0, F.col("delta")))
     out = run_in_order(rows.unionByName(moves), ["service", "trace_id"], TrackedSpans(), delay)
     return _restored(out, samples)

@@ -22,7 +22,7 @@ def write_routes(
     """
 
     def save(batch: DataFrame, number: int) -> None:
-        logs.write_routes(batch, f"{path}/batch={number}", routes)
+        logs.write_routes(batch, f"{path}/batch={number}", routes, mode="overwrite")
 
     return (
         records.writeStream.foreachBatch(save)
@@ -41,36 +41,68 @@ def late_rows(query: StreamingQuery) -> int:
     )
 
 
-def drain(stream: DataFrame, label: str) -> DataFrame:
-    """Process what is there, keep the result in the shared folder, and read it back."""
+def drain(stream: DataFrame, label: str, *replays: Replay) -> DataFrame:
+    """Process what is there, keep the result in the shared folder, and read it back.
+
+    Replayed tables are closed after all of their rows were read, and the query goes on from
+    its checkpoint, so that no row can come behind the closing one.
+    """
     spark = stream.sparkSession
     path = session.new_folder(spark, label)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", f"{path}-checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+
+    def run() -> None:
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", f"{path}-checkpoint")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    run()
+    if replays:
+        for replayed in replays:
+            replayed.close()
+        run()
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def replay(df: DataFrame, label: str, time: str, files: int = 3) -> DataFrame:
-    """Stream a table from files in no particular order, one file per micro-batch.
+class Replay:
+    """A table as a stream of files in no particular order.
 
-    A last row, a century on and null elsewhere, lets the watermark pass everything.
+    `times` are its event-time column and any others that become event times downstream. The
+    delay covers the whole time between their first and last value, whatever it is, so no
+    order of the files makes a row late. `close` adds a row after the end of that time, null
+    elsewhere, which lets the watermark pass everything.
     """
-    spark = df.sparkSession
-    path = session.new_folder(spark, label)
-    typed = df.withColumn(time, F.col(time).cast("timestamp"))
-    typed.repartition(files).write.parquet(path)
-    columns = [
-        (F.lit("2124-01-01").cast("timestamp") if f.name == time else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in typed.schema
-    ]
-    spark.range(1).select(*columns).coalesce(1).write.mode("append").parquet(path)
-    return (
-        spark.readStream.schema(typed.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    )
+
+    def __init__(self, df: DataFrame, label: str, *times: str, files: int = 3):
+        spark = self.spark = df.sparkSession
+        self.path = session.new_folder(spark, label)
+        typed = df.withColumns({time: F.col(time).cast("timestamp") for time in times})
+        typed.repartition(files).write.parquet(self.path)
+        self.schema, self.time = typed.schema, times[0]
+        ends = [f(F.unix_seconds(time)) for time in times for f in (F.min, F.max)]
+        found = spark.read.schema(self.schema).parquet(self.path).agg(*ends).first()
+        self.range = [second for second in found if second is not None]
+        self.until = 0
+        self.stream = spark.readStream.schema(self.schema).option("maxFilesPerTrigger", 1).parquet(self.path)
+
+    def close(self) -> None:
+        columns = [
+            (F.timestamp_seconds(F.lit(self.until)) if f.name == self.time else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in self.schema
+        ]
+        self.spark.range(1).select(*columns).coalesce(1).write.mode("append").parquet(self.path)
+
+
+def delay_of(*replays: Replay) -> str:
+    """A watermark delay for tables that are replayed together."""
+    seconds = [second for replayed in replays for second in replayed.range] or [0]
+    # A second for what the seconds leave out, and a day for windows that reach further.
+    delay = max(seconds) - min(seconds) + 1
+    for replayed in replays:
+        replayed.until = max(seconds) + delay + 86_400
+    return f"{delay} seconds"
