@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from stackweave import session
 from stackweave.operators import logs
@@ -32,13 +33,28 @@ def write_routes(
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that arrived behind the watermark and were left out, over the known progress."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts, for every query of a session, rows that came behind the watermark and were left out.
+
+    Spark keeps the progress of the last batches only; a listener sees all of them. Add it with
+    `spark.streams.addListener` before queries start.
+    """
+
+    def __init__(self) -> None:
+        self.rows: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        self.rows[str(event.progress.id)] += dropped
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.rows[str(query.id)]
 
 
 def drain(stream: DataFrame, label: str, *replays: Replay) -> DataFrame:

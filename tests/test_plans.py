@@ -1,25 +1,45 @@
 """What the plans of the batch queries must look like at any scale."""
 
+import re
+
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+from stackweave.plans import catalog
 from tests import compare
 
 # These run jobs while they are built.
 EAGER = ("stream_", "profile_roundtrip", "profile_quality")
-BATCH = [name for name in contract.queries() if not name.startswith(EAGER)]
+BATCH = [name for name in catalog.QUERIES if not name.startswith(EAGER)]
+
+
+def text_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def plan_of(spark, folder, name):
-    return contract.queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    return text_of(catalog.QUERIES[name](spark, folder))
+
+
+def single_task_windows(plan):
+    """Windows whose definition starts with an order or a frame, as they have no partition."""
+    first = re.findall(r"windowspecdefinition\(([^,]*)", plan)
+    return [part for part in first if re.search(r" ASC| DESC|^specifiedwindowframe", part)]
 
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_pairs_and_no_single_task(spark, small, name):
     plan = plan_of(spark, small, name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert all("], [" in line.split("windowspecdefinition", 1)[-1] for line in windows)
+    assert not single_task_windows(plan)
+
+
+def test_the_window_check_finds_windows_without_partition(spark):
+    rows = spark.range(3).withColumn("k", F.col("id") % 2)
+    running = F.sum("id").over(Window.orderBy("id"))
+    assert single_task_windows(text_of(rows.select(running)))
+    assert not single_task_windows(text_of(rows.select(F.sum("id").over(Window.partitionBy("k").orderBy("id")))))
 
 
 def test_scans_read_only_what_is_used(spark, small):

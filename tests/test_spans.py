@@ -129,3 +129,26 @@ def test_intervals_equal_brute_force(spark, slice_seconds):
         else:
             want.append((start, end))
     assert intervals(spark, rows, slice_seconds=slice_seconds) == want
+
+
+def test_a_parent_exported_twice_counts_once(spark):
+    rows = spark.createDataFrame(
+        [("a", "t", "1", None), ("a", "t", "1", None), ("b", "t", "2", "1")],
+        "service string, trace_id string, span_id string, parent_span_id string",
+    )
+    assert spans.resolve_parents(rows).filter("span_id = '2'").count() == 1
+
+
+def test_intervals_with_open_and_odd_spans(spark):
+    rows = [("a", "t", "1", at(0), at(10)), ("a", "t", "2", at(500), None), ("a", "t", "3", at(900), at(950)),
+            ("b", "t", "4", at(100), at(40)), ("b", "t", "5", at(1000), at(1000))]
+    found = spans.active_intervals(spark.createDataFrame(rows, SPANS))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        [("a", at(0), at(70)), ("a", at(500), None), ("b", at(100), at(160)), ("b", at(1000), at(1060))], key=repr
+    )
+
+
+def test_a_span_that_ends_in_the_far_future_costs_two_rows(spark):
+    far = datetime(9999, 12, 30)
+    samples = [("a", 1, at(s), s, "t", "1") for s in (0, 5, 10**7)]
+    assert kept(spark, samples, [("a", "t", "1", at(1), far)]) == [5, 10**7]

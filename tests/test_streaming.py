@@ -1,7 +1,12 @@
+import time
 from datetime import datetime, timedelta
 
+import pytest
+
 from stackweave import session
 from stackweave.operators import context as batch_context
+from stackweave.operators import spans as batch_spans
+from stackweave.plans import catalog
 from stackweave.streaming import context, sinks, windows
 
 START = datetime(2024, 1, 1)
@@ -50,12 +55,19 @@ def test_rows_behind_the_watermark_are_counted(spark):
     moments = [0, 7200, 7300, 1, 9000]
     rows = [[("a", 1, at(s), s, [])] for s in moments]
     df = windows.ticks(stream(spark, rows, SAMPLES), "continuous", "1 second", "1 minute")
+    late = sinks.LateRows()
+    spark.streams.addListener(late)
     query = (
         df.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{path}-c")
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    assert sinks.late_rows(query) == 1
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    deadline = time.time() + 10
+    while late.of(query) == 0 and time.time() < deadline:
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
+    assert late.of(query) == 1
     assert spark.read.parquet(path).count() == 3
 
 
@@ -99,3 +111,36 @@ def test_routed_batches_are_idempotent(spark):
         sinks.write_routes(records, path, f"{path}-{run}", {"deps": "reports"}).awaitTermination()
     got = sorted((r.id, r.route) for r in spark.read.parquet(path).collect())
     assert got == [(1, "reports"), (2, "default")]
+
+
+def test_replay_keeps_rows_many_years_apart(spark):
+    """Whatever comes first: nothing is late, and nothing stays behind."""
+    years = [2150, 2021, 2020, 2000, 1975, 2024]
+    rows = [("a", 1, datetime(year, 1, 1), year, []) for year in years]
+    replayed = sinks.Replay(spark.createDataFrame(rows, SAMPLES), "years", "ts", files=6)
+    out = windows.ticks(replayed.stream, "continuous", "1 second", sinks.delay_of(replayed))
+    got = sinks.drain(out, "years-ticks", replayed)
+    assert sorted(r.tick_ts.year for r in got.collect()) == sorted(years)
+
+
+def test_stream_filter_equals_batch_on_odd_spans(spark):
+    """Spans without a length, that end before they start, or that never end."""
+    sample_schema = "service string, tid long, ts timestamp, sample_id long, trace_id string, span_id string"
+    span_schema = "service string, trace_id string, span_id string, start_ts timestamp, end_ts timestamp"
+    tracked = [("a", "t1", "1", at(5), at(5)), ("a", "t2", "2", at(5), at(1)), ("a", "t3", "3", at(5), None), ("a", "t4", "4", at(2), at(8))]
+    samples = [("a", 1, at(s), 10 * s + k, f"t{k}", "x") for s in (0, 2, 5, 7, 8, 20) for k in (1, 2, 3, 4)]
+    taken, chosen = spark.createDataFrame(samples, sample_schema), spark.createDataFrame(tracked, span_schema)
+    both = sinks.Replay(taken, "odd-samples", "ts"), sinks.Replay(chosen, "odd-spans", "start_ts", "end_ts")
+    out = context.keep_tracked(both[0].stream, both[1].stream, sinks.delay_of(*both))
+    got = sorted(r.sample_id for r in sinks.drain(out, "odd", *both).collect())
+    assert got == sorted(r.sample_id for r in batch_spans.keep_tracked(taken, chosen).collect())
+    assert got == [24, 53, 54, 73, 74, 83, 203]
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_table_may_be_a_file_or_a_folder(spark, small, parts):
+    folder = session.new_folder(spark, "tables")
+    pages = spark.read.parquet(f"{small}/pages.parquet")
+    pages.repartition(parts).write.parquet(f"{folder}/pages.parquet")
+    assert sinks.drain(catalog.stream_of(spark, folder, "pages"), "pages").count() == pages.count()
+    assert sinks.drain(catalog.stream_of(spark, small, "pages"), "pages").count() == pages.count()
