@@ -27,11 +27,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stackweave import session
+from stackweave.llm import common
 
 SEGMENT = 32 << 10
 CHUNK = 8 << 10
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time; a fixed one keeps archives reproducible
 LEAST_REVISIT = 0  # payload bytes from which equal payloads are stored once
+MOST = 1 << 31  # bytes of a block; a header that says more is taken as broken
 _BREAK = "\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Base 32 digits of Java's number formatting, and of RFC 4648.
@@ -79,15 +81,15 @@ def _record(headers: list[tuple[str, object]], block: bytes) -> bytes:
 def page_records(page_id: int | None, url: str | None, sha1: str, rows: int, first: int | None, revisit: bool, html: str | None, segment: int = SEGMENT) -> list[bytes]:
     """The records of one page, each without the double break that ends it."""
     own = f"<urn:page:{page_id}>"
-    common: list[tuple[str, object]] = [("WARC-Record-ID", own), ("WARC-Date", DATE), ("X-Rows", rows), ("WARC-Payload-Digest", f"sha1:{sha1}")]
+    shared: list[tuple[str, object]] = [("WARC-Record-ID", own), ("WARC-Date", DATE), ("X-Rows", rows), ("WARC-Payload-Digest", f"sha1:{sha1}")]
     if url is not None:
-        common.append(("WARC-Target-URI", "".join(url.split())))
+        shared.append(("WARC-Target-URI", "".join(url.split())))
     kind = ("Content-Type", "application/http; msgtype=response")
     if revisit:
-        headers = [("WARC-Type", "revisit"), ("WARC-Profile", _PROFILE), ("WARC-Refers-To", f"<urn:page:{first}>"), *common, kind]
+        headers = [("WARC-Type", "revisit"), ("WARC-Profile", _PROFILE), ("WARC-Refers-To", f"<urn:page:{first}>"), *shared, kind]
         return [_record(headers, b"HTTP/1.1 200 OK\r\n\r\n")]
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + _chunked((html or "").encode())
-    headers = [("WARC-Type", "response"), *common, kind]
+    headers = [("WARC-Type", "response"), *shared, kind]
     if len(block) <= segment:
         return [_record(headers, block)]
     out = []
@@ -102,12 +104,16 @@ def page_records(page_id: int | None, url: str | None, sha1: str, rows: int, fir
 def write(pages: DataFrame, path: str, least: int = LEAST_REVISIT, segment: int = SEGMENT) -> None:
     """Write pages (page_id, url, html) as gzip archives under a new folder."""
     body = F.coalesce("html", F.lit(""))
-    hashed = pages.select("page_id", "url", "html", digest(body.cast("binary")).alias("sha1"))
-    stored = hashed.groupBy("page_id", "sha1").agg(F.any_value("url").alias("url"), F.any_value("html").alias("html"), F.count("*").alias("rows"))
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
+    hashed = pages.select("page_id", key.alias("key"), "url", "html", digest(body.cast("binary")).alias("sha1"))
+    # Payloads are shuffled once: the join finds them dealt out by its own key.
+    stored = hashed.groupBy("key", "sha1").agg(
+        F.first("page_id").alias("page_id"), F.first("url").alias("url"), F.first("html").alias("html"), F.count("*").alias("rows")
+    )
     first = hashed.groupBy("sha1").agg(F.min("page_id").alias("first"))
     # The hash of a payload that is in every third row is a skewed key of narrow rows here.
-    named = hashed.select("page_id", "sha1").distinct().join(first, "sha1").withColumnRenamed("page_id", "_id").withColumnRenamed("sha1", "_sha1")
-    rows = stored.join(named, stored.page_id.eqNullSafe(F.col("_id")) & (stored.sha1 == F.col("_sha1")))
+    named = hashed.select("key", "sha1").distinct().join(first, "sha1")
+    rows = stored.join(named, ["key", "sha1"])
     again = (F.octet_length(F.coalesce("html", F.lit(""))) >= least) & ~F.col("page_id").eqNullSafe(F.col("first"))
     rows = rows.select("page_id", "url", "sha1", "rows", "first", again.alias("revisit"), "html")
 
@@ -135,29 +141,62 @@ def _number(headers: dict[str, str], name: str) -> int | None:
     return int(value) if value.isascii() and value.isdigit() else None
 
 
+class _Stream:
+    """Takes records off the bytes of an archive as they come."""
+
+    def __init__(self) -> None:
+        self.held = bytearray()
+        self.need = 0
+
+    def add(self, piece: bytes) -> Iterator[tuple]:
+        self.held += piece
+        self.held += _BREAK.encode()
+        if len(self.held) >= self.need:
+            yield from self.take(last=False)
+
+    def take(self, last: bool) -> Iterator[tuple]:
+        """Whole records. ``last``: nothing follows, so what is not whole by now is broken."""
+        held, at = self.held, 0
+        while True:
+            while at < len(held) and held[at] in b"\r\n":
+                at += 1
+            end = held.find(_BREAK.encode(), at) if held.startswith(b"WARC/1.", at) else -1
+            if at == len(held):
+                break
+            if end >= 0:
+                lines = held[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+                headers = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
+                length = _number(headers, "content-length")
+                stop = end + len(_BREAK) + (length or 0)
+                if length is not None and length <= MOST and len(held) < stop + len(_BREAK) and not last:
+                    self.need = stop + len(_BREAK) - at
+                    break
+                if length is not None and held[stop : stop + len(_BREAK)] == _BREAK.encode():
+                    yield _row(headers, bytes(held[end + len(_BREAK) : stop]))
+                    at = stop + len(_BREAK)
+                    continue
+            # No header here, or a length that does not fit: on to the next header.
+            following = held.find(b"\nWARC/1.", at + 1)
+            if following < 0:
+                at = len(held)
+                break
+            at = following + 1
+        if at:
+            del held[:at]
+        if not held:
+            self.need = 0
+
+
 def records(pieces: Iterator[bytes]) -> Iterator[tuple]:
-    """Records from what lies between double breaks, in file order."""
-    headers: dict[str, str] | None = None
-    parts: list[bytes] = []
-    held = length = 0
+    """Records from what lies between double breaks, in file order.
+
+    A block may hold double breaks, or end with half of one, so only the lengths in the headers
+    say where records end.
+    """
+    stream = _Stream()
     for piece in pieces:
-        if headers is None or piece.startswith(b"WARC/1.") and held + len(_BREAK) + len(piece) > length:
-            # A header is due; or the block ran over it, so the record before was cut short.
-            if not piece.startswith(b"WARC/1."):
-                continue
-            lines = piece.decode("utf-8", "replace").split("\r\n")[1:]
-            headers = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
-            length = _number(headers, "content-length")
-            parts, held = [], -len(_BREAK)
-            if length is None:
-                headers = None
-            continue
-        parts.append(piece)
-        held += len(_BREAK) + len(piece)
-        if held >= length:
-            if held == length:
-                yield _row(headers, _BREAK.encode().join(parts))
-            headers = None
+        yield from stream.add(piece)
+    yield from stream.take(last=True)
 
 
 def _row(headers: dict[str, str], block: bytes) -> tuple:
@@ -247,7 +286,9 @@ def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     path = path or session.new_folder(spark, "warc")
     write(pages, path)
     back = read(spark, path)
-    slim = back.select("record_id", "record_type", "digest", "refers_to", "rows", "intact", F.octet_length("payload").cast("long").alias("payload_bytes"))
+    facts = back.select("record_id", "record_type", "digest", "refers_to", "rows", "intact", F.octet_length("payload").cast("long").alias("payload_bytes"))
+    # Without payloads, for the revisits to find what they refer to.
+    slim = common.WorkTable(facts, "records").df
     sizes = slim.where("record_type = 'response'").select(F.col("record_id").alias("_of"), F.col("payload_bytes").alias("_bytes"))
     joined = slim.join(sizes, slim.refers_to == sizes["_of"], "left")
     rows = joined.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
