@@ -77,8 +77,8 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         for k in range(size):
             mixed = (mixed + points[k : k + count]) * _FACTOR
             mixed ^= mixed >> np.uint64(31)
-        # No space between the ends, and not a space at both.
-        whole = (edges[size - 1 : size - 1 + count] == edges[1 : 1 + count]) & ~(space[:count] & space[size - 1 :])
+        # No space between the ends.
+        whole = edges[size - 1 : size - 1 + count] == edges[1 : 1 + count]
         found.append((mixed[whole] % np.uint64(TABLE)).astype(np.int32))
         words.append(word[:count][whole])
     if not len(text_of):
@@ -168,6 +168,8 @@ def fit(texts: list[str], toxic: list[bool], seed: int = 7) -> Model:
     drawn = (label == 1) | (dice.random(len(bags)) < 0.25)
     active = np.flatnonzero(drawn)
     for round_ in range(ROUNDS):
+        # Both classes weigh the same, however many windows each has.
+        share = (len(active) / np.maximum(np.bincount(label[active], minlength=2), 1) / 2).astype(np.float32)
         for _ in range(PASSES):
             dice.shuffle(active)
             for low in range(0, len(active), 256):
@@ -180,6 +182,7 @@ def fit(texts: list[str], toxic: list[bool], seed: int = 7) -> Model:
                 odds -= odds.max(1, keepdims=True)
                 wrong = np.exp(odds) / np.exp(odds).sum(1, keepdims=True)
                 wrong[np.arange(len(some)), label[some]] -= 1
+                wrong *= share[label[some]][:, None]
                 step = mean.T @ wrong / len(some)
                 weight_steps += step * step
                 back = (wrong @ weight.T / sizes[some][:, None])[bag]
