@@ -47,6 +47,7 @@ def in_training(doc_id: Column) -> Column:
 
 def with_arrow_columns(df: DataFrame, fields: Iterable[T.StructField], compute: Callable[[pa.RecordBatch], list]) -> DataFrame:
     """df and new columns that ``compute`` makes from each Arrow batch; the others pass through."""
+    session.prepare(df.sparkSession)
     schema = T.StructType([*df.schema.fields, *fields])
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,13 +62,15 @@ def with_arrow_columns(df: DataFrame, fields: Iterable[T.StructField], compute:
 
 
 def sealed(docs: DataFrame, *names: str) -> DataFrame:
-    """The named columns, and whole rows as one column that no other name can clash with."""
-    return docs.select(*names, F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias(ROW))
+    """The named columns, and all others as one column that no other name can clash with."""
+    others = [F.col(f"`{name}`") for name in docs.columns if name not in names]
+    return docs.select(*names, F.struct(*others or [F.lit(0).alias("none")]).alias(ROW))
 
 
-def unsealed(df: DataFrame, names: list[str], **changed: Column) -> DataFrame:
+def unsealed(df: DataFrame, columns: list[str], *names: str, **changed: Column) -> DataFrame:
     """The rows that ``sealed`` put away, with some columns replaced."""
-    return df.select(*(changed.get(name, F.col(ROW).getField(name)).alias(name) for name in names))
+    own = {name: F.col(name) if name in names else F.col(ROW).getField(name) for name in columns}
+    return df.select(*(changed.get(name, own[name]).alias(name) for name in columns))
 
 
 def bounded_groups(texts: Iterable[str | bytes | None], size: int) -> Iterator[list]:

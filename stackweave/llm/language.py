@@ -265,4 +265,4 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """Filtering stage: documents the calibrated models do not reject, columns unchanged."""
     judged = identify(common.sealed(docs, "text"), train(docs))
-    return common.unsealed(judged.where(~F.col("rejected")), docs.columns)
+    return common.unsealed(judged.where(~F.col("rejected")), docs.columns, "text")
