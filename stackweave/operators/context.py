@@ -9,10 +9,16 @@ from pyspark.sql import functions as F
 
 from stackweave.functions import clock
 
-THREAD = ("service", "tid")
+PROCESS = ("service", "instance")
+THREAD = (*PROCESS, "tid")
 SLICE_SECONDS = 300
 
 
+def present(keys: Sequence[str], *tables: DataFrame) -> list[str]:
+    """The keys that all tables have: telemetry of a service that runs once may name no instance."""
+    return [key for key in keys if all(key in table.columns for table in tables)]
+
+
 def context_changes(events: DataFrame) -> DataFrame:
     """Reduce attach and detach events to the moments where a thread's state changes.
 
@@ -21,7 +27,7 @@ def context_changes(events: DataFrame) -> DataFrame:
     """
     return events.filter(
         (F.col("kind") == "detach") | ((F.col("kind") == "attach") & F.col("trace_id").isNotNull())
-    ).select(*THREAD, "ts", "seq", "trace_id", "span_id")
+    ).select(*present(THREAD, events), "ts", "seq", "trace_id", "span_id")
 
 
 def exclude_sampler_thread(samples: DataFrame) -> DataFrame:
@@ -42,7 +48,7 @@ def attach_context(
     changes; it enters the slice as its first row. Samples cross the network once, and no
     pair of rows is ever formed. A change at the instant of a sample counts as before it.
     """
-    keys = list(keys)
+    keys = present(keys, samples, changes)
     at = clock.micros(F.col("ts")).alias("_at")
     slot = clock.slice_of(F.col("ts"), slice_seconds).alias("_slice")
 

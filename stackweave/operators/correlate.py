@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stackweave.functions import ids
+from stackweave.operators.context import PROCESS, present
 
 
 def span_profiles(spans: DataFrame, samples: DataFrame, period_millis: int) -> DataFrame:
@@ -22,7 +23,7 @@ def span_profiles(spans: DataFrame, samples: DataFrame, period_millis: int) -> D
     )
     count = F.coalesce("samples", F.lit(0).cast("long"))
     return spans.join(sampled, ["trace_id", "span_id"], "left").select(
-        "service", "trace_id", "span_id", "start_ts", "end_ts",
+        *present(PROCESS, spans), "trace_id", "span_id", "start_ts", "end_ts",
         count.alias("samples"),
         (count * period_millis).alias("total_ms"),
     )
@@ -30,5 +31,6 @@ def span_profiles(spans: DataFrame, samples: DataFrame, period_millis: int) -> D
 
 def spans_without_stacks(selected: DataFrame, samples: DataFrame) -> DataFrame:
     """Selected spans whose trace left no stack in that process."""
-    seen = samples.select("service", ids.trace_hex(F.col("trace_id")).alias("trace_id")).distinct()
-    return selected.join(seen, ["service", "trace_id"], "left_anti")
+    process = present(PROCESS, selected, samples)
+    seen = samples.select(*process, ids.trace_hex(F.col("trace_id")).alias("trace_id")).distinct()
+    return selected.join(seen, [*process, "trace_id"], "left_anti")

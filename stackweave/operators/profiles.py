@@ -2,7 +2,7 @@
 
 A profile holds the samples of one process and one tick. Strings, functions and locations
 are numbered in the order in which they are first seen, walking the samples in time order and
-each stack from its leaf. All tables share the key (service, source, tick_ts, part), and
+each stack from its leaf. All tables share the key (service, instance, source, tick_ts, part), and
 everything below is computed inside that key, so samples cross the network once.
 
 One profile becomes one log record, so it has to fit a row whatever computes it. Where a tick
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from stackweave import session
 from stackweave.functions import clock, ids
 
-KEY = ["service", "source", "tick_ts", "part"]
+KEY = ["service", "instance", "source", "tick_ts", "part"]
 
 # Sample label keys, in the order of their string-table entries 0 to 4.
 LABEL_TIME = "source.event.time"
@@ -51,6 +51,8 @@ def in_ticks(
     yield no profile.
     """
     kept = samples.transform(keep) if keep else samples
+    if "instance" not in kept.columns:
+        kept = kept.withColumn("instance", F.lit(""))
     part = F.lit(0) if parts == 1 else F.pmod(F.xxhash64("tid"), F.lit(parts)).cast("int")
     return (
         kept.withColumn("source", F.lit(source))
@@ -60,7 +62,7 @@ def in_ticks(
 
 
 def ticks(ticked: DataFrame) -> DataFrame:
-    return ticked.groupBy("service", "source", "tick_ts").agg(F.count("*").alias("samples"))
+    return ticked.groupBy("service", "instance", "source", "tick_ts").agg(F.count("*").alias("samples"))
 
 
 def records(ticked: DataFrame) -> DataFrame:

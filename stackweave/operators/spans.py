@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stackweave.functions import clock, ids, sampling
+from stackweave.operators.context import PROCESS, present
 
 SLICE_SECONDS = 300
 LINGER_SECONDS = 60
@@ -75,14 +76,14 @@ def _edges(spans: DataFrame, keys: Sequence[str], *extra: str) -> DataFrame:
 
 
 def open_span_counts(
-    spans: DataFrame, keys: Sequence[str] = ("service",), slice_seconds: int = SLICE_SECONDS
+    spans: DataFrame, keys: Sequence[str] = PROCESS, slice_seconds: int = SLICE_SECONDS
 ) -> DataFrame:
     """Number of open spans after every start and end; zero means the process went idle.
 
     A process may own most of the spans, so the running sum is taken per time slice and
     starts from the sum of all earlier slices.
     """
-    keys = list(keys)
+    keys = present(keys, spans)
     edges = _edges(spans, keys, "span_id").withColumn(
         "_slice", clock.slice_of(F.col("ts"), slice_seconds)
     )
@@ -111,7 +112,7 @@ def open_span_counts(
 def keep_tracked(
     samples: DataFrame,
     tracked: DataFrame,
-    keys: Sequence[str] = ("service", "trace_id"),
+    keys: Sequence[str] = (*PROCESS, "trace_id"),
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Samples whose trace has a tracked span open in that process at that moment.
@@ -123,7 +124,7 @@ def keep_tracked(
     long trace is spread over its slices, a span costs two rows however long it lasts, and the
     work stays proportional to the rows however many spans a trace has.
     """
-    keys = list(keys)
+    keys = present(keys, samples, tracked)
     at = clock.micros(F.col("ts")).alias("_at")
     slot = clock.slice_of(F.col("ts"), slice_seconds).alias("_slice")
     lasting = tracked.filter(F.col("end_ts").isNull() | (F.col("end_ts") > F.col("start_ts")))
@@ -175,7 +176,7 @@ def _merge(intervals: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def active_intervals(
     spans: DataFrame,
-    keys: Sequence[str] = ("service",),
+    keys: Sequence[str] = PROCESS,
     linger_seconds: int = LINGER_SECONDS,
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
@@ -187,7 +188,7 @@ def active_intervals(
     process is small whatever the number of spans. An interval with a span that never ended
     has no end.
     """
-    keys = list(keys)
+    keys = present(keys, spans)
     never = F.lit("9999-12-31").cast(spans.schema["end_ts"].dataType)
     lingering = spans.select(
         *keys,

@@ -59,9 +59,9 @@ def snapshot(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def stack_frames(spark, folder):
     return samples(spark, folder).select(
-        "service", "sample_id", "tid", "ts", F.posexplode("frames").alias("depth", "frame")
+        "service", "instance", "sample_id", "tid", "ts", F.posexplode("frames").alias("depth", "frame")
     ).select(
-        "service", "sample_id", "tid", "ts", F.col("depth").cast("long").alias("depth"),
+        "service", "instance", "sample_id", "tid", "ts", F.col("depth").cast("long").alias("depth"),
         "frame.file", "frame.func", F.col("frame.line").cast("long").alias("line"),
     )
 
@@ -116,7 +116,7 @@ def ticks(spark, folder):
 
 @query
 def frame_counts(spark, folder):
-    return profiles.records(ticked(spark, folder)).select("service", "tick_ts", "total_frames")
+    return profiles.records(ticked(spark, folder)).select("service", "instance", "tick_ts", "total_frames")
 
 
 def _record_columns(records: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def _record_columns(records: DataFrame) -> DataFrame:
         return F.element_at("attributes", name)
 
     return records.select(
-        "service", "source", "scope", "timestamp_ns", "samples",
+        "service", "instance", "source", "scope", "timestamp_ns", "samples",
         attribute("profiling.data.format").alias("format"),
         attribute("profiling.data.type").alias("data_type"),
         attribute("profiling.data.total.frame.count").alias("total_frames"),
@@ -145,27 +145,27 @@ def all_profile_records(spark, folder):
 def profile_strings(spark, folder):
     base = numbered(spark, folder)
     found = profiles.strings(base, profiles.first_seen(base))
-    return found.select("service", "tick_ts", "string_id", "token")
+    return found.select("service", "instance", "tick_ts", "string_id", "token")
 
 
 @query
 def profile_functions(spark, folder):
     return profiles.functions(profiles.first_seen(numbered(spark, folder))).select(
-        "service", "tick_ts", "function_id", "file", "func"
+        "service", "instance", "tick_ts", "function_id", "file", "func"
     )
 
 
 @query
 def profile_locations(spark, folder):
     return profiles.locations(profiles.first_seen(numbered(spark, folder))).select(
-        "service", "tick_ts", "location_id", "file", "func", "line"
+        "service", "instance", "tick_ts", "location_id", "file", "func", "line"
     )
 
 
 @query
 def profile_samples(spark, folder):
     return profiles.samples(numbered(spark, folder)).select(
-        "service", "tick_ts", "sample_id", F.col("sample").cast("long").alias("sample"), "tid",
+        "service", "instance", "tick_ts", "sample_id", F.col("sample").cast("long").alias("sample"), "tid",
         "trace_id", "span_id", F.array_join("location_ids", ",").alias("location_ids"),
     )
 
@@ -176,7 +176,7 @@ def profile_labels(spark, folder):
     strings = profiles.strings(base, profiles.first_seen(base))
     encoded = profiles.labels(base, strings, profiles.PERIOD_MILLIS[profiles.CONTINUOUS])
     return profiles.resolve_labels(encoded, strings).select(
-        "service", "tick_ts", F.col("sample").cast("long").alias("sample"), "key", "text", "num"
+        "service", "instance", "tick_ts", F.col("sample").cast("long").alias("sample"), "key", "text", "num"
     )
 
 
@@ -212,7 +212,7 @@ def span_profiles(spark, folder):
 @query
 def spans_without_stacks(spark, folder):
     return correlate.spans_without_stacks(tracked(spark, folder), snapshot(spark, folder)).select(
-        "service", "trace_id", "span_id"
+        "service", "instance", "trace_id", "span_id"
     )
 
 
@@ -231,7 +231,7 @@ def resolved_parents(spark, folder):
 @query
 def selected_spans(spark, folder):
     return tracked(spark, folder).select(
-        "service", "trace_id", "span_id",
+        "service", "instance", "trace_id", "span_id",
         F.element_at("attributes", spans.SELECTION_ATTRIBUTE).alias("mark"),
     )
 
@@ -482,7 +482,7 @@ def profile_roundtrip(spark, folder):
     """Samples encoded into log records and read back."""
     lines = F.transform("frames", lambda f: F.concat_ws(":", f["file"], f["func"], f["line"].cast("string")))
     return decoded(spark, folder).select(
-        "service", "tick_ts", F.col("sample").cast("long").alias("sample"), "time_ms", "period_ms", "tid",
+        "service", "instance", "tick_ts", F.col("sample").cast("long").alias("sample"), "time_ms", "period_ms", "tid",
         ids.trace_hex(F.col("trace_id")).alias("trace_id"), ids.span_hex(F.col("span_id")).alias("span_id"),
         F.size("frames").cast("long").alias("depth"), F.md5(F.array_join(lines, "\n")).alias("stack"),
     )
@@ -491,7 +491,7 @@ def profile_roundtrip(spark, folder):
 @query
 def profile_quality(spark, folder):
     return quality.violations(decoded(spark, folder)).select(
-        "service", "tick_ts", F.col("sample").cast("long").alias("sample"), "rule"
+        "service", "instance", "tick_ts", F.col("sample").cast("long").alias("sample"), "rule"
     )
 
 
@@ -519,7 +519,7 @@ def stream_samples_with_context(spark, folder):
     both = sinks.Replay(taken, "samples", "ts"), sinks.Replay(changes, "changes", "ts")
     out = stream_context.attach_context(both[0].stream, both[1].stream, sinks.delay_of(*both))
     return plain(sinks.drain(out, "context", *both), "ts").select(
-        "service", "tid", "ts", "sample_id", "trace_id", "span_id"
+        "service", "instance", "tid", "ts", "sample_id", "trace_id", "span_id"
     )
 
 
@@ -527,18 +527,18 @@ def stream_samples_with_context(spark, folder):
 def stream_snapshot_samples(spark, folder):
     session.prepare(spark, streaming=True)
     taken = traced(spark, folder).drop("frames")
-    chosen = tracked(spark, folder).select("service", "trace_id", "span_id", "start_ts", "end_ts")
+    chosen = tracked(spark, folder).select("service", "instance", "trace_id", "span_id", "start_ts", "end_ts")
     both = sinks.Replay(taken, "samples", "ts"), sinks.Replay(chosen, "spans", "start_ts", "end_ts")
     out = stream_context.keep_tracked(both[0].stream, both[1].stream, sinks.delay_of(*both))
     return plain(sinks.drain(out, "tracked", *both), "ts").select(
-        "service", "tid", "ts", "sample_id", "trace_id", "span_id"
+        "service", "instance", "tid", "ts", "sample_id", "trace_id", "span_id"
     )
 
 
 @query
 def stream_activity(spark, folder):
     session.prepare(spark, streaming=True)
-    points = tracked(spark, folder).select("service", "start_ts")
+    points = tracked(spark, folder).select("service", "instance", "start_ts")
     starts = sinks.Replay(points, "starts", "start_ts")
     out = windows.activity(starts.stream, 1800, sinks.delay_of(starts))
     return plain(sinks.drain(out, "activity", starts), "start_ts", "end_ts")
@@ -546,7 +546,7 @@ def stream_activity(spark, folder):
 
 @query
 def stream_ticks(spark, folder):
-    taken = samples(spark, folder).select("service", "ts")
+    taken = samples(spark, folder).select("service", "instance", "ts")
     replayed = sinks.Replay(taken, "samples", "ts")
     out = windows.ticks(replayed.stream, profiles.CONTINUOUS, TICK, sinks.delay_of(replayed))
     return plain(sinks.drain(out, "ticks", replayed), "tick_ts")

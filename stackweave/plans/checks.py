@@ -8,7 +8,7 @@ from __future__ import annotations
 
 CONTEXT_EVENTS = """
 context_events as (
-  select concat('svc', user_id % 5) as service, user_id as tid, ts, event_id as seq,
+  select concat('svc', user_id % 5) as service, concat('i', user_id // 5 % 2) as instance, user_id // 10 as tid, ts, event_id as seq,
     case when event_type = 'signup' then 'detach' else 'attach' end as kind,
     case when event_type in ('view', 'purchase') or (event_type = 'signup' and event_id % 2 = 0)
       then md5(concat('t', event_id // 4)) end as trace_id,
@@ -19,39 +19,39 @@ context_events as (
 
 CONTEXT_CHANGES = f"""{CONTEXT_EVENTS},
 context_changes as (
-  select service, tid, ts, seq, trace_id, span_id from context_events
+  select service, instance, tid, ts, seq, trace_id, span_id from context_events
   where kind = 'detach' or trace_id is not null)"""
 
 STACK_SAMPLES = """
 stack_samples as (
-  select concat('svc', e.user_id % 5) as service, e.user_id as tid, e.ts, e.event_id as sample_id,
+  select concat('svc', e.user_id % 5) as service, concat('i', e.user_id // 5 % 2) as instance, e.user_id // 10 as tid, e.ts, e.event_id as sample_id,
     string_split(d.text, ' ') as words, concat(d.source, '/', d.lang) as file
   from events e
   join documents d on d.doc_id = e.event_id % (select max(doc_id) + 1 from documents)
-  where e.event_type = 'error' and e.user_id <> e.user_id % 5)"""
+  where e.event_type = 'error' and e.user_id // 10 <> e.user_id % 5)"""
 
 STACK_FRAMES = f"""{STACK_SAMPLES},
 stack_words as (
-  select service, tid, ts, sample_id, file, len(words) as depth_count,
+  select service, instance, tid, ts, sample_id, file, len(words) as depth_count,
     unnest(words) as func, unnest(range(len(words))) as depth
   from stack_samples),
 stack_frames as (
-  select service, tid, ts, sample_id, depth, depth_count - 1 - depth as pos, file, func,
+  select service, instance, tid, ts, sample_id, depth, depth_count - 1 - depth as pos, file, func,
     case when not ends_with(func, '.') then length(func) end as line
   from stack_words)"""
 
 WITH_CONTEXT = f"""{CONTEXT_CHANGES},
 {STACK_SAMPLES},
 with_context as (
-  select s.service, s.tid, s.ts, s.sample_id, c.trace_id, c.span_id
+  select s.service, s.instance, s.tid, s.ts, s.sample_id, c.trace_id, c.span_id
   from stack_samples s asof left join context_changes c
-    on s.service = c.service and s.tid = c.tid and s.ts >= c.ts)"""
+    on s.service = c.service and s.instance = c.instance and s.tid = c.tid and s.ts >= c.ts)"""
 
 
 def _event_spans(unit_seconds: int) -> str:
     return f"""
 event_spans as (
-  select service, trace_id, span_id, ts as start_ts,
+  select service, instance, trace_id, span_id, ts as start_ts,
     case when seq % 40 <> 7 then ts + to_seconds(cast(case seq % 40 when 8 then 0 when 9 then -10
       else floor(value * {unit_seconds}) end as bigint)) end as end_ts,
     ts = min(ts) over (partition by trace_id) as is_entry,
@@ -64,18 +64,18 @@ SNAPSHOT = f"""{WITH_CONTEXT},
 {_event_spans(3600)},
 snapshot as (
   select * from with_context s where exists (
-    select 1 from tracked t where t.service = s.service and t.trace_id = s.trace_id
+    select 1 from tracked t where t.service = s.service and t.instance = s.instance and t.trace_id = s.trace_id
       and s.ts >= t.start_ts and (t.end_ts is null or s.ts < t.end_ts)))"""
 
 OPEN_SPANS = f"""
 with {CONTEXT_EVENTS},
 {_event_spans(3600)},
 edges as (
-  select service, span_id, start_ts as ts, cast(1 as bigint) as delta from event_spans
+  select service, instance, span_id, start_ts as ts, cast(1 as bigint) as delta from event_spans
   union all
-  select service, span_id, greatest(start_ts, end_ts), cast(-1 as bigint) from event_spans where end_ts is not null)
-select service, span_id, ts, delta,
-  cast(sum(delta) over (partition by service order by ts, delta desc, span_id
+  select service, instance, span_id, greatest(start_ts, end_ts), cast(-1 as bigint) from event_spans where end_ts is not null)
+select service, instance, span_id, ts, delta,
+  cast(sum(delta) over (partition by service, instance order by ts, delta desc, span_id
     rows unbounded preceding) as bigint) as open
 from edges"""
 
@@ -83,32 +83,32 @@ ACTIVE_INTERVALS = f"""
 with {CONTEXT_EVENTS},
 {_event_spans(60)},
 runs as (
-  select service, start_ts, case when end_ts is null then timestamp '9999-12-31'
+  select service, instance, start_ts, case when end_ts is null then timestamp '9999-12-31'
     else greatest(start_ts, end_ts) + interval 60 second end as end_ts from tracked),
 marked as (
-  select *, case when start_ts <= max(end_ts) over (partition by service order by start_ts, end_ts
+  select *, case when start_ts <= max(end_ts) over (partition by service, instance order by start_ts, end_ts
     rows between unbounded preceding and 1 preceding) then 0 else 1 end as gap
   from runs),
 numbered as (
-  select *, sum(gap) over (partition by service order by start_ts, end_ts
+  select *, sum(gap) over (partition by service, instance order by start_ts, end_ts
     rows unbounded preceding) as run
   from marked)
-select service, min(start_ts) as start_ts, nullif(max(end_ts), timestamp '9999-12-31') as end_ts
-from numbered group by service, run"""
+select service, instance, min(start_ts) as start_ts, nullif(max(end_ts), timestamp '9999-12-31') as end_ts
+from numbered group by service, instance, run"""
 
 STATEMENTS = {
     "stack_frames": f"""
 with {STACK_FRAMES}
-select service, sample_id, tid, ts, depth, file, func, line from stack_frames""",
+select service, instance, sample_id, tid, ts, depth, file, func, line from stack_frames""",
     "context_changes": f"""
 with {CONTEXT_CHANGES}
-select service, tid, ts, seq, trace_id, span_id from context_changes""",
+select service, instance, tid, ts, seq, trace_id, span_id from context_changes""",
     "samples_with_context": f"""
 with {WITH_CONTEXT}
-select service, tid, ts, sample_id, trace_id, span_id from with_context""",
+select service, instance, tid, ts, sample_id, trace_id, span_id from with_context""",
     "snapshot_samples": f"""
 with {SNAPSHOT}
-select service, tid, ts, sample_id, trace_id, span_id from snapshot""",
+select service, instance, tid, ts, sample_id, trace_id, span_id from snapshot""",
     "open_spans": OPEN_SPANS,
     "active_intervals": ACTIVE_INTERVALS,
 }
@@ -116,7 +116,7 @@ select service, tid, ts, sample_id, trace_id, span_id from snapshot""",
 TICKED = f"""{WITH_CONTEXT},
 ticked as (
   select c.*, date_trunc('hour', c.ts) as tick_ts, cast(row_number() over (
-      partition by c.service, date_trunc('hour', c.ts) order by c.ts, c.tid, c.sample_id) as bigint) as sample
+      partition by c.service, c.instance, date_trunc('hour', c.ts) order by c.ts, c.tid, c.sample_id) as bigint) as sample
   from with_context c)"""
 
 TICKED_FRAMES = f"""{TICKED},
@@ -125,7 +125,7 @@ stack_words as (
     unnest(words) as func, unnest(range(len(words))) as depth
   from stack_samples),
 frames as (
-  select t.service, t.tick_ts, t.sample, w.depth_count - 1 - w.depth as pos, w.file, w.func,
+  select t.service, t.instance, t.tick_ts, t.sample, w.depth_count - 1 - w.depth as pos, w.file, w.func,
     case when not ends_with(w.func, '.') then length(w.func) end as line
   from ticked t join stack_words w using (sample_id))"""
 
@@ -142,88 +142,88 @@ SPAN_LABEL = LABEL_FORM.format("span_id", 8)
 
 LOCATION_IDS = f"""{TICKED_FRAMES},
 locations as (
-  select *, row_number() over (partition by service, tick_ts order by sample, pos) as location_id
+  select *, row_number() over (partition by service, instance, tick_ts order by sample, pos) as location_id
   from (select *, row_number() over (
-      partition by service, tick_ts, file, func, line order by sample, pos) as occurrence from frames)
+      partition by service, instance, tick_ts, file, func, line order by sample, pos) as occurrence from frames)
   where occurrence = 1)"""
 
 STATEMENTS |= {
     "ticks": f"""
 with {ALL_TICKED}
-select service, source, tick_ts, count(*) as samples from all_ticked group by all""",
+select service, instance, source, tick_ts, count(*) as samples from all_ticked group by all""",
     "frame_counts": f"""
 with {TICKED}
-select t.service, t.tick_ts, cast(sum(len(s.words)) as bigint) as total_frames
+select t.service, t.instance, t.tick_ts, cast(sum(len(s.words)) as bigint) as total_frames
 from ticked t join stack_samples s using (sample_id) group by all""",
     "profile_records": f"""
 with {TICKED}
-select t.service, 'continuous' as source, 'profiling' as scope,
+select t.service, t.instance, 'continuous' as source, 'profiling' as scope,
   epoch_us(t.tick_ts) * 1000 as timestamp_ns, count(*) as samples,
   'pprof-gzip-base64' as format, 'cpu' as data_type,
   cast(sum(len(s.words)) as varchar) as total_frames
-from ticked t join stack_samples s using (sample_id) group by t.service, t.tick_ts""",
+from ticked t join stack_samples s using (sample_id) group by t.service, t.instance, t.tick_ts""",
     "all_profile_records": f"""
 with {ALL_TICKED}
-select t.service, t.source, 'profiling' as scope,
+select t.service, t.instance, t.source, 'profiling' as scope,
   epoch_us(t.tick_ts) * 1000 as timestamp_ns, count(*) as samples,
   'pprof-gzip-base64' as format, 'cpu' as data_type,
   cast(sum(len(s.words)) as varchar) as total_frames
-from all_ticked t join stack_samples s using (sample_id) group by t.service, t.source, t.tick_ts""",
+from all_ticked t join stack_samples s using (sample_id) group by t.service, t.instance, t.source, t.tick_ts""",
     "profile_strings": f"""
 with {TICKED_FRAMES},
 tokens as (
-  select service, tick_ts, sample, 0 as ord, {TRACE_LABEL} as token from ticked where trace_id is not null
+  select service, instance, tick_ts, sample, 0 as ord, {TRACE_LABEL} as token from ticked where trace_id is not null
   union all
-  select service, tick_ts, sample, 1, {SPAN_LABEL} from ticked where span_id is not null
+  select service, instance, tick_ts, sample, 1, {SPAN_LABEL} from ticked where span_id is not null
   union all
-  select service, tick_ts, sample, 2 * pos + 2, func from frames
+  select service, instance, tick_ts, sample, 2 * pos + 2, func from frames
   union all
-  select service, tick_ts, sample, 2 * pos + 3, file from frames
+  select service, instance, tick_ts, sample, 2 * pos + 3, file from frames
   union all
-  select distinct service, tick_ts, 0, unnest([0, 1, 2, 3, 4]),
+  select distinct service, instance, tick_ts, 0, unnest([0, 1, 2, 3, 4]),
     unnest(['source.event.time', 'trace_id', 'span_id', 'thread.id', 'source.event.period'])
   from ticked),
 firsts as (
-  select *, row_number() over (partition by service, tick_ts, token order by sample, ord) as occurrence
+  select *, row_number() over (partition by service, instance, tick_ts, token order by sample, ord) as occurrence
   from tokens)
-select service, tick_ts, token,
-  row_number() over (partition by service, tick_ts order by sample, ord) - 1 as string_id
+select service, instance, tick_ts, token,
+  row_number() over (partition by service, instance, tick_ts order by sample, ord) - 1 as string_id
 from firsts where occurrence = 1""",
     "profile_functions": f"""
 with {TICKED_FRAMES},
 firsts as (
   select *, row_number() over (
-    partition by service, tick_ts, file, func order by sample, pos) as occurrence
+    partition by service, instance, tick_ts, file, func order by sample, pos) as occurrence
   from frames)
-select service, tick_ts, file, func,
-  row_number() over (partition by service, tick_ts order by sample, pos) as function_id
+select service, instance, tick_ts, file, func,
+  row_number() over (partition by service, instance, tick_ts order by sample, pos) as function_id
 from firsts where occurrence = 1""",
     "profile_locations": f"""
 with {LOCATION_IDS}
-select service, tick_ts, location_id, file, func,
+select service, instance, tick_ts, location_id, file, func,
   case when coalesce(line, 0) = 0 then -1 else line end as line
 from locations""",
     "profile_samples": f"""
 with {LOCATION_IDS},
 stacks as (
-  select f.service, f.tick_ts, f.sample, string_agg(l.location_id, ',' order by f.pos) as location_ids
-  from frames f join locations l on l.service = f.service and l.tick_ts = f.tick_ts
+  select f.service, f.instance, f.tick_ts, f.sample, string_agg(l.location_id, ',' order by f.pos) as location_ids
+  from frames f join locations l on l.service = f.service and l.instance = f.instance and l.tick_ts = f.tick_ts
     and l.file = f.file and l.func = f.func and l.line is not distinct from f.line
-  group by f.service, f.tick_ts, f.sample)
-select t.service, t.tick_ts, t.sample_id, t.sample, t.tid, t.trace_id, t.span_id, s.location_ids
-from ticked t join stacks s using (service, tick_ts, sample)""",
+  group by f.service, f.instance, f.tick_ts, f.sample)
+select t.service, t.instance, t.tick_ts, t.sample_id, t.sample, t.tid, t.trace_id, t.span_id, s.location_ids
+from ticked t join stacks s using (service, instance, tick_ts, sample)""",
     "profile_labels": f"""
 with {TICKED}
-select service, tick_ts, sample, 'source.event.time' as key, cast(null as varchar) as text,
+select service, instance, tick_ts, sample, 'source.event.time' as key, cast(null as varchar) as text,
   epoch_ms(tick_ts) as num from ticked
 union all
-select service, tick_ts, sample, 'source.event.period', null, 1000 from ticked
+select service, instance, tick_ts, sample, 'source.event.period', null, 1000 from ticked
 union all
-select service, tick_ts, sample, 'thread.id', null, tid from ticked
+select service, instance, tick_ts, sample, 'thread.id', null, tid from ticked
 union all
-select service, tick_ts, sample, 'trace_id', {TRACE_LABEL}, null from ticked where trace_id is not null
+select service, instance, tick_ts, sample, 'trace_id', {TRACE_LABEL}, null from ticked where trace_id is not null
 union all
-select service, tick_ts, sample, 'span_id', {SPAN_LABEL}, null from ticked where span_id is not null""",
+select service, instance, tick_ts, sample, 'span_id', {SPAN_LABEL}, null from ticked where span_id is not null""",
 }
 
 ORDER_SPANS = """
@@ -415,14 +415,14 @@ from stack_samples group by service, words""",
     "span_profiles": f"""
 with {WITH_CONTEXT},
 {_event_spans(3600)}
-select s.service, s.trace_id, s.span_id, s.start_ts, s.end_ts, count(c.sample_id) as samples,
+select s.service, s.instance, s.trace_id, s.span_id, s.start_ts, s.end_ts, count(c.sample_id) as samples,
   count(c.sample_id) * 1000 as total_ms
 from event_spans s left join with_context c on c.trace_id = s.trace_id and c.span_id = s.span_id
-group by s.service, s.trace_id, s.span_id, s.start_ts, s.end_ts""",
+group by s.service, s.instance, s.trace_id, s.span_id, s.start_ts, s.end_ts""",
     "spans_without_stacks": f"""
 with {SNAPSHOT}
-select service, trace_id, span_id from tracked t
-where not exists (select 1 from snapshot s where s.service = t.service and s.trace_id = t.trace_id)""",
+select service, instance, trace_id, span_id from tracked t
+where not exists (select 1 from snapshot s where s.service = t.service and s.instance = t.instance and s.trace_id = t.trace_id)""",
     "entry_spans": f"""
 with {ORDER_SPANS}
 select service, trace_id, span_id from order_spans where parent_span_id is null or parent_is_remote""",
@@ -434,7 +434,7 @@ where s.parent_span_id is null or p.service is distinct from s.service""",
     "selected_spans": f"""
 with {CONTEXT_EVENTS},
 {_event_spans(3600)}
-select service, trace_id, span_id, 'true' as mark from tracked""",
+select service, instance, trace_id, span_id, 'true' as mark from tracked""",
     "span_counts": f"""
 with {ORDER_SPANS}
 select service, count(*) as spans from order_spans group by service""",
@@ -631,14 +631,14 @@ lines as (
   select sample_id, len(words) as depth, list_transform(words, lambda w: concat(file, ':', w, ':',
       case when ends_with(w, '.') or length(w) = 0 then -1 else length(w) end)) as lines
   from stack_samples)
-select service, tick_ts, sample, epoch_ms(tick_ts) as time_ms, cast(1000 as bigint) as period_ms, tid,
+select service, instance, tick_ts, sample, epoch_ms(tick_ts) as time_ms, cast(1000 as bigint) as period_ms, tid,
   trace_id, span_id, depth, md5(array_to_string(lines, chr(10))) as stack
 from ticked join lines using (sample_id)""",
     "profile_quality": f"""
 with {TICKED}
-select service, tick_ts, sample, 'missing_trace_id' as rule from ticked where trace_id is null
+select service, instance, tick_ts, sample, 'missing_trace_id' as rule from ticked where trace_id is null
 union all
-select service, tick_ts, sample, 'missing_span_id' from ticked where span_id is null""",
+select service, instance, tick_ts, sample, 'missing_span_id' from ticked where span_id is null""",
     "decode_reports": f"""
 with {PACKAGE_REPORTS}
 select id, fragment_index, max_fragments, is_done,
@@ -653,16 +653,16 @@ STATEMENTS |= {
 with {CONTEXT_EVENTS},
 {_event_spans(3600)},
 marked as (
-  select service, start_ts, case when start_ts < lag(start_ts) over (partition by service order by start_ts)
+  select service, instance, start_ts, case when start_ts < lag(start_ts) over (partition by service, instance order by start_ts)
     + interval 1800 second then 0 else 1 end as gap
   from tracked),
 numbered as (
-  select *, sum(gap) over (partition by service order by start_ts rows unbounded preceding) as run from marked)
-select service, min(start_ts) as start_ts, max(start_ts) + interval 1800 second as end_ts, count(*) as starts
-from numbered group by service, run""",
+  select *, sum(gap) over (partition by service, instance order by start_ts rows unbounded preceding) as run from marked)
+select service, instance, min(start_ts) as start_ts, max(start_ts) + interval 1800 second as end_ts, count(*) as starts
+from numbered group by service, instance, run""",
     "stream_ticks": f"""
 with {STACK_SAMPLES}
-select service, 'continuous' as source, date_trunc('hour', ts) as tick_ts, count(*) as samples
+select service, instance, 'continuous' as source, date_trunc('hour', ts) as tick_ts, count(*) as samples
 from stack_samples group by all""",
     "stream_routes": STATEMENTS["route_logs"],
     "stream_sanitised_endpoints": STATEMENTS["sanitised_endpoints"],

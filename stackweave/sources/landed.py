@@ -11,12 +11,12 @@ from stackweave.functions import ids
 
 FRAMES = "array<struct<file:string,func:string,line:int>>"
 SCHEMAS = {
-    "stack_samples": f"service string, tid bigint, sampler_tid bigint, ts timestamp, sample_id bigint, frames {FRAMES}",
+    "stack_samples": f"service string, instance string, tid bigint, sampler_tid bigint, ts timestamp, sample_id bigint, frames {FRAMES}",
     "context_events": (
-        "service string, tid bigint, ts timestamp, seq bigint, kind string, trace_id string, span_id string"
+        "service string, instance string, tid bigint, ts timestamp, seq bigint, kind string, trace_id string, span_id string"
     ),
     "spans": (
-        "service string, trace_id string, span_id string, parent_span_id string, parent_is_remote boolean, "
+        "service string, instance string, trace_id string, span_id string, parent_span_id string, parent_is_remote boolean, "
         "start_ts timestamp, end_ts timestamp, attributes map<string,string>, volume string"
     ),
     "log_exports": (

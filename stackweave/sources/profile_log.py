@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from stackweave import session
 from stackweave.operators import profiles
 
-KEY_SCHEMA = "service string, source string, tick_ts {ts}, part int"
+KEY_SCHEMA = "service string, instance string, source string, tick_ts {ts}, part int"
 DECODED_SCHEMA = (
     "format string, sample int, time_ms bigint, period_ms bigint, tid bigint, trace_id string, "
     "span_id string, frames array<struct<file:string,func:string,line:bigint>>, error string"

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stackweave.functions import sampling
 
 EVENT_SERVICES = 5
+INSTANCES = 2
 SPAN_SERVICES = 3
 
 
@@ -23,6 +24,17 @@ def _service(key: str, count: int) -> Column:
     return F.concat(F.lit("svc"), (F.col(key) % count).cast("string"))
 
 
+def _process_and_thread() -> list[Column]:
+    """Service, instance and thread of a user; all instances have the same thread ids."""
+    user = F.col("user_id")
+    instance = F.floor(user / EVENT_SERVICES) % INSTANCES
+    return [
+        _service("user_id", EVENT_SERVICES).alias("service"),
+        F.concat(F.lit("i"), instance.cast("string")).alias("instance"),
+        F.floor(user / (EVENT_SERVICES * INSTANCES)).alias("tid"),
+    ]
+
+
 def _hex(prefix: str, *parts: Column | str) -> Column:
     return F.md5(F.concat(F.lit(prefix), *parts))
 
@@ -42,8 +54,7 @@ def context_events(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "events")
         .filter(F.col("event_type") != "error")
         .select(
-            _service("user_id", EVENT_SERVICES).alias("service"),
-            F.col("user_id").alias("tid"),
+            *_process_and_thread(),
             "ts",
             F.col("event_id").alias("seq"),
             F.when(F.col("event_type") == "signup", "detach").otherwise("attach").alias("kind"),
@@ -76,8 +87,7 @@ def stack_samples(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "events")
         .filter(F.col("event_type") == "error")
         .select(
-            _service("user_id", EVENT_SERVICES).alias("service"),
-            F.col("user_id").alias("tid"),
+            *_process_and_thread(),
             (F.col("user_id") % EVENT_SERVICES).alias("sampler_tid"),
             "ts",
             F.col("event_id").alias("sample_id"),
@@ -85,7 +95,7 @@ def stack_samples(spark: SparkSession, folder: str) -> DataFrame:
         )
         # Both sides grow with the data; a shuffle also spreads the few text files over all tasks.
         .join(documents.hint("merge"), "doc_id")
-        .select("service", "tid", "sampler_tid", "ts", "sample_id", frames.alias("frames"))
+        .select("service", "instance", "tid", "sampler_tid", "ts", "sample_id", frames.alias("frames"))
     )
 
 
@@ -104,6 +114,7 @@ def event_spans(
     seconds = F.when(case == 8, 0).when(case == 9, -10).otherwise(F.floor(F.col("value") * unit_seconds))
     return opened.join(first, "trace_id").select(
         "service",
+        "instance",
         "trace_id",
         "span_id",
         F.when(F.col("ts") > F.col("_first"), F.lit("f" * 16)).alias("parent_span_id"),

@@ -31,7 +31,7 @@ class CurrentContext(InOrder):
 
     def output(self, key, row):
         at, sample_id, trace_id, span_id, payload = row
-        return (key[0], int(key[1]), at, sample_id, trace_id, span_id, payload)
+        return (key[0], key[1], int(key[2]), at, sample_id, trace_id, span_id, payload)
 
 
 class TrackedSpans(InOrder):
@@ -62,7 +62,7 @@ class TrackedSpans(InOrder):
 
     def output(self, key, row):
         at, sample_id, tid, span_id, payload = row
-        return (key[0], tid, at, sample_id, key[1], span_id, payload)
+        return (key[0], key[1], tid, at, sample_id, key[2], span_id, payload)
 
 
 def _row(rank: int, seq: Column, sample_id: Column | None = None, payload: Column | None = None) -> list:
@@ -82,6 +82,11 @@ def _row(rank: int, seq: Column, sample_id: Column | None = None, payload: Colum
     ]
 
 
+def _instance(df: DataFrame) -> Column:
+    """Telemetry of a service that runs once may name no instance."""
+    return (F.coalesce("instance", F.lit("")) if "instance" in df.columns else F.lit("")).alias("instance")
+
+
 def _payload(samples: DataFrame) -> Column | None:
     return F.to_json("frames") if "frames" in samples.columns else None
 
@@ -96,9 +101,9 @@ def attach_context(samples: DataFrame, changes: DataFrame, delay: str = "10 minu
     """Streaming as-of join; equals the batch one once the watermark has passed."""
     at = F.col("ts").cast("timestamp").alias("ts")
     plain = samples.withColumns({"trace_id": F.lit(None), "span_id": F.lit(None)})
-    rows = plain.select("service", "tid", at, *_row(1, F.lit(0), F.col("sample_id"), _payload(samples)))
-    moves = changes.select("service", "tid", at, *_row(0, F.col("seq")))
-    out = run_in_order(rows.unionByName(moves), ["service", "tid"], CurrentContext(), delay)
+    rows = plain.select("service", _instance(samples), "tid", at, *_row(1, F.lit(0), F.col("sample_id"), _payload(samples)))
+    moves = changes.select("service", _instance(changes), "tid", at, *_row(0, F.col("seq")))
+    out = run_in_order(rows.unionByName(moves), ["service", "instance", "tid"], CurrentContext(), delay)
     return _restored(out, samples)
 
 
@@ -106,7 +111,7 @@ def keep_tracked(samples: DataFrame, tracked: DataFrame, delay: str = "10 minute
     """Streaming snapshot filter over samples that carry their context."""
     at = F.col("ts").cast("timestamp").alias("ts")
     rows = samples.filter(F.col("trace_id").isNotNull()).select(
-        "service", at, *_row(1, F.col("tid"), F.col("sample_id"), _payload(samples))
+        "service", _instance(samples), at, *_row(1, F.col("tid"), F.col("sample_id"), _payload(samples))
     )
     moments = F.array(
         F.struct(F.col("start_ts").alias("ts"), F.lit(1).alias("delta")),
@@ -114,7 +119,7 @@ def keep_tracked(samples: DataFrame, tracked: DataFrame, delay: str = "10 minute
     )
     # A span that does not end after its start is open at no moment; its end would come first.
     lasting = tracked.filter(F.col("end_ts").isNull() | (F.col("end_ts") > F.col("start_ts")))
-    edges = lasting.select("service", "trace_id", "span_id", F.inline(moments)).filter("ts is not null")
-    moves = edges.select("service", at, *_row(0, F.col("delta")))
-    out = run_in_order(rows.unionByName(moves), ["service", "trace_id"], TrackedSpans(), delay)
+    edges = lasting.select("service", _instance(lasting), "trace_id", "span_id", F.inline(moments)).filter("ts is not null")
+    moves = edges.select("service", "instance", at, *_row(0, F.col("delta")))
+    out = run_in_order(rows.unionByName(moves), ["service", "instance", "trace_id"], TrackedSpans(), delay)
     return _restored(out, samples)

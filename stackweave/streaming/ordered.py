@@ -62,7 +62,7 @@ class InOrder(StatefulProcessor):
             self._wake(later[0][0])
         kept = self.fold(ready)
         if kept:
-            names = ["service", "tid", "at", "sample_id", "trace_id", "span_id", "payload"]
+            names = ["service", "instance", "tid", "at", "sample_id", "trace_id", "span_id", "payload"]
             yield pd.DataFrame([self.output(key, row) for row in kept], columns=names)
 
     def _wake(self, at: int) -> None:
@@ -73,7 +73,7 @@ class InOrder(StatefulProcessor):
 
 
 OUTPUT_SCHEMA = (
-    "service string, tid bigint, at bigint, sample_id bigint, trace_id string, span_id string, payload string"
+    "service string, instance string, tid bigint, at bigint, sample_id bigint, trace_id string, span_id string, payload string"
 )
 
 
@@ -85,5 +85,5 @@ def run_in_order(rows: DataFrame, keys: list[str], processor: InOrder, delay: st
         .transformWithStateInPandas(processor, OUTPUT_SCHEMA, "append", "eventTime")
     )
     return out.select(
-        "service", "tid", F.timestamp_micros("at").alias("ts"), "sample_id", "trace_id", "span_id", "payload"
+        "service", "instance", "tid", F.timestamp_micros("at").alias("ts"), "sample_id", "trace_id", "span_id", "payload"
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stackweave.operators.context import PROCESS, present
 from stackweave.operators.spans import LINGER_SECONDS
 
 
@@ -13,12 +14,13 @@ def activity(
 ) -> DataFrame:
     """Intervals in which the profiler of a process runs, from points of activity: each
     keeps it running for the linger, and the next one in time prolongs that."""
+    process = present(PROCESS, starts)
     return (
-        starts.select("service", F.col("start_ts").cast("timestamp").alias("start_ts"))
+        starts.select(*process, F.col("start_ts").cast("timestamp").alias("start_ts"))
         .withWatermark("start_ts", delay)
-        .groupBy("service", F.session_window("start_ts", f"{linger_seconds} seconds").alias("_w"))
+        .groupBy(*process, F.session_window("start_ts", f"{linger_seconds} seconds").alias("_w"))
         .agg(F.count("*").alias("starts"))
-        .select("service", "_w.start", "_w.end", "starts")
+        .select(*process, "_w.start", "_w.end", "starts")
         .withColumnsRenamed({"start": "start_ts", "end": "end_ts"})
     )
 
@@ -27,10 +29,11 @@ def ticks(
     samples: DataFrame, source: str, period: str = "1 second", delay: str = "10 minutes"
 ) -> DataFrame:
     """Samples per process and tick, emitted once the watermark has passed the tick."""
+    process = present(PROCESS, samples)
     return (
-        samples.select("service", F.col("ts").cast("timestamp").alias("ts"))
+        samples.select(*process, F.col("ts").cast("timestamp").alias("ts"))
         .withWatermark("ts", delay)
-        .groupBy("service", F.window("ts", period).alias("_w"))
+        .groupBy(*process, F.window("ts", period).alias("_w"))
         .agg(F.count("*").alias("samples"))
-        .select("service", F.lit(source).alias("source"), F.col("_w.start").alias("tick_ts"), "samples")
+        .select(*process, F.lit(source).alias("source"), F.col("_w.start").alias("tick_ts"), "samples")
     )

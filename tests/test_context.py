@@ -87,3 +87,14 @@ def test_samples_move_once_and_nothing_is_paired(spark):
 def test_sampler_thread_is_left_out(spark):
     rows = spark.createDataFrame([("a", 1, 1), ("a", 2, 1)], "service string, tid long, sampler_tid long")
     assert [r.tid for r in context.exclude_sampler_thread(rows).collect()] == [2]
+
+
+def test_instances_of_a_service_do_not_mix(spark):
+    """Two processes of one service use the same thread ids."""
+    def named(rows, schema):
+        return spark.createDataFrame(rows, schema.replace("service string,", "service string, instance string,"))
+
+    changes = named([("a", "i0", 1, at(0), 1, "t0", "s0"), ("a", "i1", 1, at(1), 1, "t1", "s1"), ("a", "i1", 1, at(5), 2, None, None)], CHANGES)
+    samples = named([("a", "i0", 1, at(9), 1), ("a", "i1", 1, at(2), 2), ("a", "i1", 1, at(9), 3), ("a", "i2", 1, at(9), 4)], SAMPLES)
+    found = {r.sample_id: (r.instance, r.trace_id) for r in context.attach_context(samples, changes).collect()}
+    assert found == {1: ("i0", "t0"), 2: ("i1", "t1"), 3: ("i1", None), 4: ("i2", None)}
