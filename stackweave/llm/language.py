@@ -28,7 +28,7 @@ FIT_ROWS = 400  # about so many labelled rows a language are read to count n-gra
 CALIBRATION_ROWS = 1000  # and so many to place the threshold of rejection
 REJECT = 0.001  # share of labelled rows that may lie beyond the threshold
 SLACK = 1.5  # times the calibrated threshold
-_SLICE = 1 << 20  # characters scored at once
+_SLICE = 1 << 17  # characters scored at once
 _JUDGED = (
     T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
     T.StructField("entropy", T.DoubleType()), T.StructField("letters", T.LongType()),

@@ -36,7 +36,7 @@ VOCABULARY = EDGE + 1
 HIDDEN = 24
 STEPS = 300
 _WORDS = re.compile(r"[^\W_]+")
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _SCORED = (T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("mean_log_likelihood", T.DoubleType()))
 
 

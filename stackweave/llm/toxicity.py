@@ -37,7 +37,7 @@ WINDOW, STRIDE = 12, 6
 WINDOWS = 40  # windows of a labelled document that training may look at
 ROUNDS, PASSES = 5, 3
 THRESHOLD = 0.7
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SCORED = (T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()))
 
