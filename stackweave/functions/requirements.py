@@ -3,30 +3,45 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Shape of a requirement, of a pre-release, and the two stability classes.
-REQUIREMENT = r"^\s*([A-Za-z0-9_.-]+)\s*(.*?)(?:\s*;\s*.*)?$"
-PRERELEASE = r"(?i)(?:\d(?:a|b|rc)\d|alpha|beta|dev)"
+from stackweave.functions import text
+
+# How versions mark a pre-release, and the two stability classes.
+PRERELEASE_TAGS = ("a", "b", "rc")
+PRERELEASE_WORDS = ("alpha", "beta", "dev")
 STABLE = "stable"
 EXPERIMENTAL = "experimental"
 
 
+def _unconditional(requirement: Column) -> Column:
+    """What stands before the environment marker."""
+    return text.strip(F.substring_index(requirement, ";", 1))
+
+
 def name(requirement: Column) -> Column:
-    """Package name; null when the text is no requirement."""
-    return F.nullif(F.regexp_extract(requirement, REQUIREMENT, 1), F.lit(""))
+    """Package name, the run of letters, digits and `_.-` in front; null when there is none."""
+    return F.nullif(F.regexp_extract(_unconditional(requirement), r"^[\w.\-]+", 0), F.lit(""))
 
 
 def specifier(requirement: Column) -> Column:
     """Version specifier without blanks and environment marker; an exact pin is the bare version."""
-    found = F.replace(F.regexp_extract(requirement, REQUIREMENT, 2), F.lit(" "), F.lit(""))
-    return F.when(name(requirement).isNotNull(), F.regexp_replace(found, "^==", ""))
+    package = name(requirement)
+    rest = F.translate(F.substr(_unconditional(requirement), F.length(package) + 1), " ", "")
+    exact = rest.startswith("==")
+    return F.when(package.isNotNull(), F.when(exact, F.substr(rest, F.lit(3))).otherwise(rest))
 
 
 def stability(version: Column) -> Column:
-    return F.when(version.rlike(PRERELEASE), EXPERIMENTAL).otherwise(STABLE)
+    """A pre-release has a tag between two digits, or names itself one."""
+    lower = F.lower(version)
+    tagged = [lower.rlike(f"[0-9]{tag}[0-9]") for tag in PRERELEASE_TAGS]
+    named = [lower.contains(word) for word in PRERELEASE_WORDS]
+    return F.when(reduce(or_, tagged + named), EXPERIMENTAL).otherwise(STABLE)
 
 
 def source_link(package: Column, rules: Sequence[tuple[str, str, str]]) -> Column:

@@ -119,13 +119,20 @@ def property_name(variable: Column, *prefixes: str) -> Column:
 
 
 def per_process(entries: DataFrame) -> DataFrame:
-    """One row per process, one column per known setting."""
-    return entries.groupBy(PROCESS).agg(
-        *[
-            F.max(F.when(F.col("key") == name, F.coalesce("value", F.lit("")))).alias(column(name))
-            for name in DEFAULTS
-        ]
-    )
+    """One row per process, one column per known setting.
+
+    The known settings of a process are gathered into one short list, since a maximum of texts
+    would sort all entries on both sides of the shuffle. Of a setting that comes more than once
+    the greatest text counts.
+    """
+    known = F.when(F.col("key").isin(*DEFAULTS), F.struct("key", F.coalesce("value", F.lit("")).alias("value")))
+    listed = entries.groupBy(PROCESS).agg(F.collect_list(known).alias("_known"))
+
+    def value_of(name: str) -> Column:
+        mine = F.filter("_known", lambda entry: entry["key"] == name)
+        return F.array_max(F.transform(mine, lambda entry: entry["value"]))
+
+    return listed.select(PROCESS, *[value_of(name).alias(column(name)) for name in DEFAULTS])
 
 
 def apply_distribution(config: DataFrame, distribution: Distribution = Distribution()) -> DataFrame:
