@@ -23,6 +23,12 @@ HEADLINE = (
     "profile_strings",
     "profile_locations",
     "profile_samples",
+    "profile_labels",
+    "profile_roundtrip",
+    "decode_reports",
+    "stream_activity",
+    "stream_ticks",
+    "stream_routes",
     "entry_spans",
     "selected_spans",
     "trace_volume",

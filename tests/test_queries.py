@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as contract
+from stackweave.plans import catalog, checks
 from tests import compare
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = checks.STATEMENTS
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +26,8 @@ def test_query_equals_sql(spark, small, con, name):
 
 def test_every_statement_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def test_entry_has_rows(spark):
