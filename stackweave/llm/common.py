@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -57,6 +58,7 @@ def with_arrow_columns(df: DataFrame, fields: Iterable[T.StructField], compute:
             kinds = [field.type for field in target][batch.num_columns :]
             arrays = [*batch.columns, *(pa.array(values, kind) for values, kind in zip(new, kinds, strict=True))]
             yield pa.RecordBatch.from_arrays(arrays, names=target.names)
+        give_back()
 
     return df.mapInArrow(extend, schema)
 
@@ -87,6 +89,15 @@ def bounded_groups(texts: Iterable[str | bytes | None], size: int) -> Iterator[l
         yield group
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that a Python worker that waits for its next task
+    holds little of its executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class WorkTable:
     """A table in the shared folder that can be dropped when nothing reads it any more."""
 
