@@ -37,7 +37,7 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.documents(spark, folder)
-    return scoring.score(docs.select("doc_id", "text"), *scoring.train(docs)).drop("text")
+    return scoring.score(docs.select("doc_id", "text"), *scoring.learn(docs)).drop("text")
 
 
 def op6_suffixes(spark: SparkSession, folder: str) -> DataFrame:

@@ -71,3 +71,22 @@ def test_awkward_rows(spark):
     known, net = scoring.train(empty)
     assert known == {} and scoring.score(empty, known, net).count() == 0
     assert np.allclose(net.log_probabilities(), -np.log(scoring.VOCABULARY), atol=1e-5)
+
+
+def test_words_have_their_own_probability(spark, small):
+    """An invented word with the ending of a known one is less likely than that one."""
+    docs = common.documents(spark, small)
+    known, net, within = scoring.learn(docs)
+    words = Counter(w for r in docs.collect() for w in scoring.spelled(r.text) if w not in known)
+    sizes = Counter()
+    for w, n in words.items():
+        sizes[scoring.classes([w], known)[0]] += n
+    some = [*words][:500]
+    ids = np.array(scoring.classes(some, known))
+    assert np.allclose(within.log_shares(some, ids), [np.log(words[w] / (sizes[k] + 1)) for w, k in zip(some, ids, strict=True)], atol=1e-5)
+    usual = " ".join(w for w, _ in words.most_common(50))
+    invented = " ".join(f"qzxqz{w[-2:]}" for w in usual.split())
+    both = spark.createDataFrame([(1, usual), (2, invented)], "doc_id long, text string")
+    plain, found = ({r.doc_id: r.log_likelihood for r in scoring.score(both, known, net, *more).collect()} for more in ((), (within,)))
+    assert plain[1] == pytest.approx(plain[2]) and found[1] > found[2] + 50
+    assert queries.op5_scoring(spark, small).where("n_tokens > 0").agg(F.max("mean_log_likelihood")).first()[0] < 0
