@@ -15,7 +15,8 @@ Defined cases: a null payload is empty; a null url is left out; a null page_id s
 back as null. Rows that repeat a page_id and its payload are stored once with their number and read
 back as often. Broken records (no header, wrong length, missing or repeated segments, bad framing)
 read back with ``intact`` false and a null payload, or not at all if they have no id; the reader
-goes on at the next record.
+goes on at the next record. Pages that share a page_id (or have none) and differ in payload are
+records of their own: one has the bare id, the ids of the others end with the payload's digest.
 """
 
 from __future__ import annotations
@@ -78,15 +79,15 @@ def _record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + _BREAK.encode() + block
 
 
-def page_records(page_id: int | None, url: str | None, sha1: str, rows: int, first: int | None, revisit: bool, html: str | None, segment: int = SEGMENT) -> list[bytes]:
+def page_records(urn: str, url: str | None, sha1: str, rows: int, refers: str, revisit: bool, html: str | None, segment: int = SEGMENT) -> list[bytes]:
     """The records of one page, each without the double break that ends it."""
-    own = f"<urn:page:{page_id}>"
+    own = f"<{urn}>"
     shared: list[tuple[str, object]] = [("WARC-Record-ID", own), ("WARC-Date", DATE), ("X-Rows", rows), ("WARC-Payload-Digest", f"sha1:{sha1}")]
     if url is not None:
         shared.append(("WARC-Target-URI", "".join(url.split())))
     kind = ("Content-Type", "application/http; msgtype=response")
     if revisit:
-        headers = [("WARC-Type", "revisit"), ("WARC-Profile", _PROFILE), ("WARC-Refers-To", f"<urn:page:{first}>"), *shared, kind]
+        headers = [("WARC-Type", "revisit"), ("WARC-Profile", _PROFILE), ("WARC-Refers-To", f"<{refers}>"), *shared, kind]
         return [_record(headers, b"HTTP/1.1 200 OK\r\n\r\n")]
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + _chunked((html or "").encode())
     headers = [("WARC-Type", "response"), *shared, kind]
@@ -95,7 +96,7 @@ def page_records(page_id: int | None, url: str | None, sha1: str, rows: int, fir
     out = []
     for number, at in enumerate(range(0, len(block), segment), 1):
         if number > 1:
-            headers = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:page:{page_id}:{number}>"), ("WARC-Date", DATE), ("WARC-Segment-Origin-ID", own)]
+            headers = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<{urn}:{number}>"), ("WARC-Date", DATE), ("WARC-Segment-Origin-ID", own)]
         last = [("WARC-Segment-Total-Length", len(block))] if at + segment >= len(block) else []
         out.append(_record([*headers, ("WARC-Segment-Number", number), *last], block[at : at + segment]))
     return out
@@ -112,10 +113,16 @@ def write(pages: DataFrame, path: str, least: int = LEAST_REVISIT, segment: int
     )
     first = hashed.groupBy("sha1").agg(F.min("page_id").alias("first"))
     # The hash of a payload that is in every third row is a skewed key of narrow rows here.
-    named = hashed.select("key", "sha1").distinct().join(first, "sha1")
-    rows = stored.join(named, ["key", "sha1"])
-    again = (F.octet_length(F.coalesce("html", F.lit(""))) >= least) & ~F.col("page_id").eqNullSafe(F.col("first"))
-    rows = rows.select("page_id", "url", "sha1", "rows", "first", again.alias("revisit"), "html")
+    again = (F.col("size") >= least) & ~F.col("page_id").eqNullSafe(F.col("first"))
+    sized = hashed.select("key", "page_id", "sha1", F.octet_length(F.coalesce("html", F.lit(""))).alias("size")).distinct()
+    named = common.WorkTable(sized.join(first, "sha1").select("key", "page_id", "sha1", "first", again.alias("revisit")), "pages")
+    # Of the payloads of one id a carried one has the bare record id.
+    bare = named.df.groupBy("key").agg(F.min(F.struct("revisit", "sha1")).getField("sha1").alias("bare"))
+    urn = F.concat(F.lit("urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("None")), F.when(F.col("sha1") == F.col("bare"), "").otherwise(F.concat(F.lit(":"), "sha1")))
+    called = named.df.join(bare, "key").withColumn("urn", urn)
+    carried = called.where(F.col("page_id").eqNullSafe(F.col("first"))).select("sha1", F.col("urn").alias("refers"))
+    names = called.join(carried, "sha1").select("key", "sha1", "urn", "refers", "revisit")
+    rows = stored.join(names, ["key", "sha1"]).select("urn", "url", "sha1", "rows", "refers", "revisit", "html")
 
     def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,6 +134,7 @@ def write(pages: DataFrame, path: str, least: int = LEAST_REVISIT, segment: int
     # Bytes as they are: a segment may end within a character.
     text = rows.mapInArrow(lay_out, "record binary").select(F.col("record").cast("string").alias("value"))
     text.write.option("lineSep", _BREAK).option("compression", "gzip").text(path)
+    named.drop()
 
 
 _PARSED = pa.schema([
@@ -273,7 +281,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def page_of(record_id: Column) -> Column:
     """The page_id in a record id this module wrote."""
-    return F.regexp_extract(record_id, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
+    return F.regexp_extract(record_id, r"^<urn:page:(-?\d+)(?::[A-Z2-7]{32})?>$", 1).try_cast("long")
 
 
 def round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:

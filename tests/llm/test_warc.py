@@ -96,3 +96,22 @@ def test_the_reader_goes_on_after_a_broken_record():
     stream = b"junk\r\n\r\n" + short + b"\r\n\r\n" + good + b"\r\n\r\n" + good.replace(b"Content-Length: 13", b"Content-Length: x") + b"\r\n\r\n" + good
     rows = list(warc.records(iter(stream.split(b"\r\n\r\n"))))
     assert [(r[0], r[-1]) for r in rows] == [("<urn:page:1>", b"block\r\n\r\nmore")] * 2
+
+
+def test_one_id_with_several_payloads(spark):
+    long = ["".join(random.Random(k).choices("ab<>", k=90_000)) for k in range(3)]
+    rows = [(1, "u", long[0]), (1, "u", long[1]), (1, "u", "short"), (2, "u", long[1]), (2, "u", "short"), (2, "u", "own"), (None, "u", long[2]), (None, "u", "x"), (None, "u", long[0])]
+    found = warc.round_trip(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert found.where("not intact or payload_bytes is null").count() == 0
+    names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted((tuple(r) for r in found.select(*names).collect()), key=repr) == sorted(
+        ((*row[:4], None if row[3] == "response" else row[4]) for row in _expected(rows)), key=repr
+    )
+
+
+def _expected(rows):
+    """As plain(), but a payload that only pages without an id have is carried by one of them."""
+    first = {}
+    for page, _, html in rows:
+        first[html] = page if first.get(html) is None else min(page or first[html], first[html])
+    return [(page, len(html), sha1(html), "response" if page == first[html] else "revisit", first[html]) for page, _, html in rows]
