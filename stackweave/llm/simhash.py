@@ -150,15 +150,19 @@ def links(fingerprints: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """docs with fingerprint (long) and component_id, the smallest doc_id a document reaches."""
-    found = with_fingerprints(docs.select("doc_id", "text")).drop("text")
+    return _named(with_fingerprints(docs.select("doc_id", "text")).drop("text")).select("doc_id", "fingerprint", "component_id")
+
+
+def _named(found: DataFrame) -> DataFrame:
+    """Rows with doc_id and fingerprint, and their component's smallest fingerprint (owner) and doc_id."""
     marked = common.WorkTable(found, "fingerprints").df
     first = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
     joined = common.components(links(first.select("fingerprint")))
     owner = F.coalesce("component", "fingerprint")
     classes = first.join(joined, first.fingerprint == joined.node, "left").select("fingerprint", "first", owner.alias("owner"))
     least = classes.groupBy("owner").agg(F.min("first").alias("component_id"))
-    named = classes.join(least, "owner").select("fingerprint", "component_id")
-    return marked.join(named, "fingerprint", "left").select("doc_id", "fingerprint", "component_id")
+    named = classes.join(least, "owner").select("fingerprint", "owner", "component_id")
+    return marked.join(named, "fingerprint", "left")
 
 
 def hexadecimal(fingerprint: Column) -> Column:
@@ -168,9 +172,14 @@ def hexadecimal(fingerprint: Column) -> Column:
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """Deduplicating stage: of each component the document with the smallest id, columns unchanged.
 
-    Of rows that repeat that id, one with the first text stays. Documents without an id stay.
+    Of rows of the component that repeat that id, the one whose text has the smallest hash stays.
+    An id with several texts can name several components. Documents without an id stay.
     """
-    groups = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null")
-    stay = named.join(groups, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    mark = F.xxhash64("text").alias("_mark")
+    found = _named(with_fingerprints(docs.select("doc_id", "text", mark)).drop("text"))
+    # An id and a hash say which text, and so which component.
+    chosen = found.where("doc_id = component_id").groupBy("owner", "component_id").agg(F.min("_mark").alias("_mark"))
+    chosen = chosen.select(F.col("component_id").alias("doc_id"), "_mark")
+    named = docs.where("doc_id is not null").select("*", mark)
+    stay = named.join(chosen, ["doc_id", "_mark"], "left_semi").dropDuplicates(["doc_id", "_mark"]).select(*docs.columns)
     return stay.unionByName(docs.where("doc_id is null"))

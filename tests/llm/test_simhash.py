@@ -119,3 +119,10 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     found = {r.node: r.component for r in common.components(spark.createDataFrame(chain + hub, "a long, b long")).collect()}
     assert set(found.values()) == {0, 1000} and len(found) == 201 + 300
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_an_id_with_several_texts_stays_in_each_component(spark):
+    texts = [" ".join(f"{word}{k}" for k in range(60)) for word in ("alpha", "beta", "gamma")]
+    rows = [(5, texts[0]), (5, texts[1]), (7, texts[1]), (3, texts[2]), (5, texts[2]), (5, texts[0]), (8, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(tuple(r) for r in simhash.keep_one_each(docs).collect()) == sorted([(5, texts[0]), (5, texts[1]), (3, texts[2])])
