@@ -34,7 +34,6 @@ SIZES = (3, 4, 5)
 TABLE = 1 << 17
 WIDTH = 8
 WINDOW, STRIDE = 12, 6
-WINDOWS = 40  # windows of a labelled document that training may look at
 ROUNDS, PASSES = 5, 3
 THRESHOLD = 0.7
 _SLICE = 1 << 18
@@ -137,7 +136,7 @@ def window_bounds(text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _windows(texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
-    """N-grams of the windows of each text that training may look at, evenly spread, and their text."""
+    """N-grams of the all windows of each text, and their text."""
     bags, owner = [], []
     for number, text in enumerate(texts):
         gram, word, text_of = grams([text])
@@ -146,7 +145,7 @@ def _windows(texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
         order = np.argsort(word, kind="stable")
         gram, ends = gram[order], np.concatenate(([0], np.cumsum(np.bincount(word, minlength=len(text_of)))))
         begin, end = window_bounds(text_of)
-        for k in np.unique(np.linspace(0, len(begin) - 1, min(WINDOWS, len(begin))).astype(int)):
+        for k in range(len(begin)):
             bag = gram[ends[begin[k]] : ends[end[k]]]
             if len(bag):
                 bags.append(bag)

@@ -76,3 +76,11 @@ def test_awkward_rows(spark):
     none = toxicity.train(docs, labels.limit(0))
     assert none is None and {r.predicted for r in toxicity.score(docs, none).collect()} == {0}
     assert toxicity.score(helpers.empty(spark), none).count() == 0
+
+
+def test_training_sees_every_window():
+    words = [f"w{k}x{k * 7919 % 997}" for k in range(1000)]
+    bags, owner = toxicity._windows([" ".join(words)])
+    begin, _ = toxicity.window_bounds(np.zeros(len(words), np.int64))
+    assert len(bags) == len(begin) and set(owner) == {0}
+    assert set(np.concatenate(bags).tolist()) == set(toxicity.grams([" ".join(words)])[0].tolist())
