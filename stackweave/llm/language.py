@@ -25,9 +25,9 @@ from stackweave.llm import common
 UNKNOWN = "und"
 ORDER = 4
 FIT_ROWS = 400  # about so many labelled rows a language are read to count n-grams
-CALIBRATION_ROWS = 1000  # and so many to place the threshold of rejection
+CALIBRATION_ROWS = 3000  # and so many to place the threshold of rejection
 REJECT = 0.001  # share of labelled rows that may lie beyond the threshold
-SLACK = 1.5  # times the calibrated threshold
+TAIL = 2  # power by which the share of ordinary texts beyond a threshold falls, where a sample is too small to see it
 _SLICE = 1 << 17  # characters scored at once
 _JUDGED = (
     T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
@@ -213,7 +213,9 @@ def _sample(docs: DataFrame, rows: int, salt: int) -> DataFrame:
 def train(docs: DataFrame, order: int = ORDER, fit_rows: int = FIT_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> Model | None:
     """Count n-grams on one bounded sample and calibrate rejection on another."""
     # The fit runs in numpy on the driver; the sample's bound is what it may cost.
-    sample = _sample(docs, fit_rows, 1).orderBy("doc_id").collect()
+    # Rows that were counted fit too well to calibrate on: a quarter is kept for that alone.
+    kept = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(4)) == 0
+    sample = _sample(docs.where(~kept), fit_rows, 1).orderBy("doc_id").collect()
     texts: dict[str, list[str]] = {}
     for row in sample:
         if any(map(str.isalpha, row.text)):
@@ -221,7 +223,8 @@ def train(docs: DataFrame, order: int = ORDER, fit_rows: int = FIT_ROWS, calibra
     if not texts:
         return None
     model = fit(texts, order)
-    held = identify(_sample(docs, calibration_rows, 2), model).where(f"lang_pred != '{UNKNOWN}'")
+    fitted = docs.where(kept & F.col("lang").isin(model.names))
+    held = identify(_sample(fitted, calibration_rows, 2), model).where(f"lang_pred != '{UNKNOWN}'")
     rows = held.select("lang_pred", "entropy", "letters").collect()
     best = np.array([model.names.index(row.lang_pred) for row in rows], int)
     entropy = np.array([row.entropy for row in rows])
@@ -229,9 +232,11 @@ def train(docs: DataFrame, order: int = ORDER, fit_rows: int = FIT_ROWS, calibra
     model.centre = np.zeros(len(model.names))
     for k in set(best):
         model.centre[k] = np.median(entropy[best == k])
-    rank = int(np.ceil((len(rows) + 1) * (1 - REJECT)))
-    if rank <= len(rows):
-        model.limit = SLACK * max(0.0, np.sort(_residual(model, entropy, letters, best))[rank - 1])
+    if rows:
+        # A sample too small for the quantile gives its largest residual, carried on to the quantile.
+        rank = min(int(np.ceil((len(rows) + 1) * (1 - REJECT))), len(rows))
+        short = max(1.0, 1 / (REJECT * (len(rows) + 1))) ** (1 / TAIL)
+        model.limit = short * max(0.0, np.sort(_residual(model, entropy, letters, best))[rank - 1])
     return model
 
 

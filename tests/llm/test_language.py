@@ -84,3 +84,15 @@ def test_nothing_to_learn_from(spark):
 def test_held_out_rows_are_not_learned_from(spark):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("abra cadabra").alias("text"), F.when(common.in_training(F.col("id")), "x").otherwise("held").alias("lang"))
     assert language.train(docs).names == ["x"]
+
+
+def test_a_small_sample_rejects_too(spark, small):
+    """Fewer rows than the quantile needs; letters without words and an unseen language go, the table stays."""
+    docs = common.documents(spark, small)
+    model = language.train(docs)
+    assert np.isfinite(model.limit)
+    dice = np.random.default_rng(1)
+    rows = [(1, "".join(dice.choice(list("qwxzkjvbpfghty "), 400))), (2, "Быстрая коричневая лиса прыгает через ленивую собаку у реки сегодня утром. " * 3)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string")
+    assert language.identify(odd, model).where("rejected").count() == 2
+    assert language.identify(docs, model).where("rejected and letters > 0").count() == 0
