@@ -46,7 +46,8 @@ def time_of_share(share: Column, knots: Sequence[tuple[float, float]]) -> Column
         slope = (m1 - m0) / (t1 - t0)
         # Solves m0 x + slope x^2 / 2 = rest, in the form that also holds for a slope of 0.
         root = F.sqrt(F.greatest(F.lit(0.0), F.lit(m0 * m0) + F.lit(2 * slope) * rest))
-        inside = F.lit(t0) + F.lit(2.0) * rest / (F.lit(m0) + root)
+        # Where a source starts from nothing, both are 0 at its first word.
+        inside = F.lit(t0) + F.coalesce(F.try_divide(F.lit(2.0) * rest, F.lit(m0) + root), F.lit(0.0))
         out = F.when(share * F.lit(total) < F.lit(done + area), inside).otherwise(out)
     return out
 
@@ -81,9 +82,13 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = S
     return full.select("source", "source_no", "weight", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, repeats: int = REPEATS, schedules: Sequence = SCHEDULES, **shares: object) -> DataFrame:
+def mix(
+    docs: DataFrame, repeats: int = REPEATS, schedules: Sequence = SCHEDULES, ties: Sequence[str] = (), **shares: object
+) -> DataFrame:
     """docs with doc_id, source and size (words) -> the same rows with what the mix takes of them.
 
+    Rows of one id and size are laid in the order of the columns ``ties``.
+
     Adds source_no, weight, source_size, target, offset (words of the source before the
     document), taken (words over all passes) and position (training time, null if not taken).
     """
@@ -97,7 +102,7 @@ def mix(docs: DataFrame, repeats: int = REPEATS, schedules: Sequence = SCHEDULES
     sums = placed.groupBy(*bucket).agg(F.sum("size").alias("_words"))
     before = Window.partitionBy("source_no").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(*bucket, F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy(*bucket).orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*bucket).orderBy("_key", "doc_id", "size", *ties).rowsBetween(Window.unboundedPreceding, -1)
     running = placed.withColumn("_running", F.coalesce(F.sum("size").over(within), F.lit(0))).join(starts, bucket)
     offset = F.col("_start") + F.col("_running")
     words = F.round("target").cast("long")
@@ -121,10 +126,14 @@ def taken_in_pass(words: Column, number: int) -> Column:
 def training_order(docs: DataFrame, repeats: int = REPEATS, schedules: Sequence = SCHEDULES) -> DataFrame:
     """Stage: one row for each time a document is taken, range-sorted by training time.
 
-    Keeps the columns of docs and adds size, taken (words of this pass), pass_no and position.
+    Keeps the columns of docs and adds size, taken (words of this pass), pass_no and position,
+    which take the place of columns of these four names.
     """
-    kept = [name for name in docs.columns if name not in (*_ADDED, "pass_no")]
-    mixed = mix(docs.select(*kept).withColumn("size", common.word_count(F.col("text"))), repeats, schedules)
+    kept = [name for name in docs.columns if name not in ("size", "taken", "pass_no", "position")]
+    sealed = common.sealed(docs.select(*(F.col(f"`{name}`") for name in kept)), "doc_id", "source", "text")
+    # Rows that share an id and a size keep their order in every run: the text decides.
+    sized = sealed.withColumn("size", common.word_count(F.col("text"))).withColumn("_tie", F.sha2(F.coalesce("text", F.lit("")), 256))
+    mixed = mix(sized, repeats, schedules, ["_tie"])
     words = F.round("target").cast("long")
     passes = F.array(*(F.struct(F.lit(k).alias("pass_no"), taken_in_pass(words, k).alias("part")) for k in range(repeats)))
     rows = mixed.where("taken > 0").withColumn("_pass", F.explode(passes)).where("_pass.part > 0")
@@ -132,7 +141,8 @@ def training_order(docs: DataFrame, repeats: int = REPEATS, schedules: Sequence
     position = F.lit(None).cast("double")
     for kind, knots in reversed(list(enumerate(schedules))):
         position = F.when(F.col("source_no") % len(schedules) == kind, time_of_share(share, knots)).otherwise(position)
-    out = rows.select(*kept, "size", F.col("_pass.part").alias("taken"), F.col("_pass.pass_no").alias("pass_no"), position.alias("position"))
+    back = [F.col(name) if name in ("doc_id", "source", "text") else F.col(common.ROW).getField(name).alias(name) for name in kept]
+    out = rows.select(*back, "size", F.col("_pass.part").alias("taken"), F.col("_pass.pass_no").alias("pass_no"), position.alias("position"))
     return by_position(out)
 
 

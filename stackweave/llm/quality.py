@@ -40,30 +40,35 @@ def features(docs: DataFrame) -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_capitals", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed")
     rows = docs.drop(*names, "_text", "_words", "_lines", "_hashes", "_sorted", "_starts")
     text = F.coalesce("text", F.lit(""))
-    # Arrays that lambdas read are columns of their own, so that they are made once a text.
+    # Arrays are columns of their own, so that they are made once a text.
     split = rows.withColumns({
         "_words": common.words(F.col("text")),
         "_lines": F.filter(F.split(text, "\n"), lambda line: F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]"))),
         "n_symbols": F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]", "")),
         "n_capitals": F.length(text) - F.length(F.regexp_replace(text, r"\p{Lu}", "")),
     })
-    last = F.size("_words") - WINDOW
-    at = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    # No lambda reads a column, only its own arguments: where a filter above copies these
+    # expressions, the copies cost as much as the originals and not once a window more.
+    count = F.greatest(F.size("_words") - (WINDOW - 1), F.lit(0))
+    windows = F.arrays_zip(*(F.slice("_words", k + 1, count).alias(f"w{k}") for k in range(WINDOW)))
     counted = split.withColumns({
         "n_words": F.size("_words"),
         "word_chars": F.length(F.array_join("_words", "")),
         "n_lines": F.size("_lines"),
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "_hashes": F.transform(at, lambda i: F.xxhash64(*(F.get("_words", i + k) for k in range(WINDOW)))),
+        "_hashes": F.transform(windows, lambda window: F.xxhash64(window)),
     })
     # Only texts in which some window comes twice are sorted.
     repeats = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
     pairs = F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     ordered = counted.withColumn("_sorted", F.when(repeats, F.array_sort(pairs)))
-    again = F.filter("_sorted", lambda x, k: (
-        (x["h"] == F.get("_sorted", k - 1)["h"]) | (x["h"] == F.get("_sorted", k + 1)["h"])
-    ))
-    starts = ordered.withColumn("_starts", F.array_sort(F.transform(again, lambda x: x["i"])))
+    hashes = F.transform("_sorted", lambda x: x["h"])
+    same = lambda a, b: a.eqNullSafe(b)
+    before = F.zip_with(hashes, F.concat(F.array(F.lit(None).cast("long")), hashes), same)
+    after = F.zip_with(hashes, F.slice(hashes, 2, F.greatest(F.size("_sorted"), F.lit(1))), same)
+    told = F.arrays_zip(F.col("_sorted").alias("x"), before.alias("before"), after.alias("after"))
+    again = F.filter(told, lambda t: t["x"].isNotNull() & (t["before"] | t["after"]))
+    starts = ordered.withColumn("_starts", F.array_sort(F.transform(again, lambda t: t["x"]["i"])))
     covered = F.aggregate(
         "_starts",
         F.struct(F.lit(0).alias("words"), F.lit(-WINDOW).alias("last")),
@@ -139,12 +144,19 @@ def cutoffs(labelled: DataFrame, rate: float = FALSE_REJECTION, error: float = E
 
 def judge(counted: DataFrame, labels: DataFrame, stratum: str = "lang", rate: float = FALSE_REJECTION) -> DataFrame:
     """Counted features and labels (doc_id, quality) -> the same rows with kept."""
-    layer = F.coalesce(F.col(stratum), F.lit(""))
-    rows = counted.drop("kept", "_stratum", *RULES).withColumn("_stratum", layer).withColumns(shares())
+    # Everything else a row has is put away, so that no name of a rule can clash with it.
+    numbers = {name: value.alias(f"{name}_share") for name, value in shares().items()}
+    rows = counted.select(
+        "doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "base_failed", *numbers.values(),
+        F.struct(*(F.col(f"`{name}`") for name in counted.columns if name != "kept")).alias(common.ROW),
+    )
     good = labels.where("quality is not null").groupBy("doc_id").agg((F.min("quality") > 0).alias("good"))
-    known = rows.where(~F.col("base_failed")).dropDuplicates(["doc_id"]).join(good, "doc_id")
-    limits = cutoffs(known.select(F.col("_stratum").alias("stratum"), "good", *RULES), rate)
-    judged = rows.join(limits.withColumnRenamed("stratum", "_own"), F.col("_stratum") == F.col("_own"), "left")
-    over = [F.coalesce(F.col(rule) > F.col(f"{rule}_cutoff"), F.lit(False)) for rule in RULES]
+    own = [F.col(f"{rule}_share").alias(rule) for rule in RULES]
+    # Of rows that share an id the least by its numbers counts, whatever order they come in.
+    known = rows.where(~F.col("base_failed")).select("doc_id", F.struct("stratum", *own).alias("_own"))
+    one = known.groupBy("doc_id").agg(F.min("_own").alias("_own")).join(good, "doc_id")
+    limits = cutoffs(one.select("_own.*", "good"), rate)
+    judged = rows.join(limits, "stratum", "left")
+    over = [F.coalesce(F.col(f"{rule}_share") > F.col(f"{rule}_cutoff"), F.lit(False)) for rule in RULES]
     kept = ~(F.col("base_failed") | reduce(lambda a, b: a | b, over))
-    return judged.withColumn("kept", kept).select(*(name for name in counted.columns if name != "kept"), "kept")
+    return judged.select(f"{common.ROW}.*", kept.alias("kept"))

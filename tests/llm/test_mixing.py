@@ -74,9 +74,10 @@ def test_time_inverts_the_integrated_schedule(spark, knots):
 
 
 def test_training_order(spark):
-    docs = helpers.awkward(spark).withColumn("size", F.lit("mine")).withColumn("n", F.lit(1))
+    docs = helpers.awkward(spark).withColumns({"size": F.lit("mine"), "n": F.lit(1), "weight": F.lit("own"), "offset": F.lit(7)})
     rows = mixing.training_order(docs).collect()
     assert [r.position for r in rows] == sorted(r.position for r in rows)
-    assert {"doc_id", "text", "lang", "source", "n", "size", "taken", "pass_no", "position"} == set(mixing.training_order(docs).columns)
+    assert {"doc_id", "text", "lang", "source", "n", "weight", "offset", "size", "taken", "pass_no", "position"} == set(mixing.training_order(docs).columns)
+    assert {(r.weight, r.offset) for r in rows} == {("own", 7)}
     assert all(0 < r.taken <= r.size for r in rows)
     assert mixing.training_order(helpers.empty(spark)).count() == 0

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +73,18 @@ def test_awkward_rows(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (3, None), (None, 1)], "doc_id long, quality int")
     judged = quality.judge(counted, labels)
     assert judged.count() == len(helpers.ROWS)
-    assert {r.doc_id for r in judged.where("kept").collect()} == {6}
+    assert {r.symbols for r in judged.collect()} == {"mine"}
+    # The long text consists of two copies of its first half, so the base rule rejects it.
+    assert {r.doc_id: r.n_repeat_words for r in judged.collect()}[6] == 118_852 > 0.3 * 120_000
+    assert judged.where("kept").count() == 0
     none = quality.features(helpers.empty(spark))
     assert quality.judge(none, labels).count() == 0
+
+
+def test_a_filter_on_long_texts_stays_linear(spark):
+    """Filters are pushed below the counts; that may cost a second count, not one for every window."""
+    text = " ".join(f"w{k % 61}x{k}" for k in range(100_000)) + " again " * 40
+    docs = spark.createDataFrame([(1, text, "en"), (2, "a b", "en")], "doc_id long, text string, lang string")
+    began = time.monotonic()
+    assert quality.features(docs).where(~F.col("base_failed")).select("doc_id", "n_repeat_words").collect() == [(1, 40)]
+    assert time.monotonic() - began < 60
