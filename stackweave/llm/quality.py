@@ -18,6 +18,7 @@ only the base rule rejects. Repeated rows are judged alike, and other columns pa
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,50 +36,64 @@ GRID = (5, 10, 15, 20, 30, 40, 50, 75, 100, 150, 200, 300, 400, 500, 700)
 RULES = ("symbols", "capitals", "lines", "repeats")
 
 
+def _named(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body, with a name for a value that it uses more than once.
+
+    A column of its own would not do: a filter above is pushed below it, and copies what it
+    stands for into every use, down to the lambdas that run once a word.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _repeats(words: Column) -> Column:
+    """How many words lie in windows that come twice or more."""
+    last = F.size(words) - WINDOW
+    at = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    hashes = F.transform(at, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(WINDOW))))
+
+    def starts(ordered: Column) -> Column:
+        same = lambda x, k: x["h"] == F.get(ordered, k)["h"]
+        again = F.filter(ordered, lambda x, k: F.coalesce(same(x, k - 1), F.lit(False)) | F.coalesce(same(x, k + 1), F.lit(False)))
+        return F.array_sort(F.transform(again, lambda x: x["i"]))
+
+    def covered(hashes: Column) -> Column:
+        pairs = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+        return F.aggregate(
+            _named(F.array_sort(pairs), starts),
+            F.struct(F.lit(0).alias("words"), F.lit(-WINDOW).alias("last")),
+            lambda done, i: F.struct((done["words"] + F.least(F.lit(WINDOW), i - done["last"])).alias("words"), i.alias("last")),
+            lambda done: done["words"],
+        )
+
+    # Only texts in which some window comes twice are sorted.
+    return _named(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(0))
+
+
 def features(docs: DataFrame) -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_capitals, n_lines, n_dup_lines, n_repeat_words, base_failed."""
     names = ("n_words", "word_chars", "n_symbols", "n_capitals", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed")
-    rows = docs.drop(*names, "_text", "_words", "_lines", "_hashes", "_sorted", "_starts")
+    rows = docs.drop(*names)
     text = F.coalesce("text", F.lit(""))
-    # Arrays are columns of their own, so that they are made once a text.
-    split = rows.withColumns({
-        "_words": common.words(F.col("text")),
-        "_lines": F.filter(F.split(text, "\n"), lambda line: F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]"))),
-        "n_symbols": F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]", "")),
-        "n_capitals": F.length(text) - F.length(F.regexp_replace(text, r"\p{Lu}", "")),
-    })
-    # No lambda reads a column, only its own arguments: where a filter above copies these
-    # expressions, the copies cost as much as the originals and not once a window more.
-    count = F.greatest(F.size("_words") - (WINDOW - 1), F.lit(0))
-    windows = F.arrays_zip(*(F.slice("_words", k + 1, count).alias(f"w{k}") for k in range(WINDOW)))
-    counted = split.withColumns({
-        "n_words": F.size("_words"),
-        "word_chars": F.length(F.array_join("_words", "")),
-        "n_lines": F.size("_lines"),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "_hashes": F.transform(windows, lambda window: F.xxhash64(window)),
-    })
-    # Only texts in which some window comes twice are sorted.
-    repeats = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
-    pairs = F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    ordered = counted.withColumn("_sorted", F.when(repeats, F.array_sort(pairs)))
-    hashes = F.transform("_sorted", lambda x: x["h"])
-    same = lambda a, b: a.eqNullSafe(b)
-    before = F.zip_with(hashes, F.concat(F.array(F.lit(None).cast("long")), hashes), same)
-    after = F.zip_with(hashes, F.slice(hashes, 2, F.greatest(F.size("_sorted"), F.lit(1))), same)
-    told = F.arrays_zip(F.col("_sorted").alias("x"), before.alias("before"), after.alias("after"))
-    again = F.filter(told, lambda t: t["x"].isNotNull() & (t["before"] | t["after"]))
-    starts = ordered.withColumn("_starts", F.array_sort(F.transform(again, lambda t: t["x"]["i"])))
-    covered = F.aggregate(
-        "_starts",
-        F.struct(F.lit(0).alias("words"), F.lit(-WINDOW).alias("last")),
-        lambda done, i: F.struct((done["words"] + F.least(F.lit(WINDOW), i - done["last"])).alias("words"), i.alias("last")),
-        lambda done: done["words"],
+    lines = F.filter(F.split(text, "\n"), lambda line: F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]")))
+
+    def of_words(words: Column, lines: Column) -> Column:
+        length, size = F.size(words), F.size(lines)
+        counts = lambda again: {
+            "n_words": length, "word_chars": F.length(F.array_join(words, "")),
+            "n_symbols": F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]", "")),
+            "n_capitals": F.length(text) - F.length(F.regexp_replace(text, r"\p{Lu}", "")),
+            "n_lines": size, "n_dup_lines": size - F.size(F.array_distinct(lines)), "n_repeat_words": again,
+        }
+        failed = lambda again: (length < MIN_WORDS) | (100 * again.cast("long") > MAX_REPEATS * length)
+        return _named(_repeats(words), lambda again: F.struct(
+            *(value.cast("long").alias(name) for name, value in counts(again).items()), failed(again).alias("base_failed")
+        ))
+
+    # One expression makes all counts, so that they are made at once.
+    counted = _named(common.words(F.col("text")), lambda words: _named(lines, lambda found: of_words(words, found)))
+    return rows.select(*(F.col(f"`{name}`") for name in rows.columns), counted.alias(common.ROW)).select(
+        *(F.col(f"`{name}`") for name in rows.columns), *(F.col(f"{common.ROW}.{name}") for name in names)
     )
-    full = starts.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)))
-    full = full.withColumns({name: F.col(name).cast("long") for name in names[:-1]})
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATS * F.col("n_words"))
-    return full.withColumn("base_failed", failed).select(*rows.columns, *names)
 
 
 def shares() -> dict[str, Column]:
