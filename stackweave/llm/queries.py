@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import common, language, licenses, mixing, quality, scoring, simhash, suffixes, tiling, toxicity, warc
+from stackweave.llm import common, language, licenses, mixing, quality, repair, scoring, simhash, suffixes, tiling, toxicity, warc
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +67,11 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = common.table(spark, folder, "conversations")
+    return repair.audited(rows, repair.damage(rows))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_licenses": op9_licenses,
     "op10_language": op10_language,
+    "op11_repair": op11_repair,
 }
 
 STATEMENTS: dict[str, str] = {
@@ -188,4 +194,77 @@ STATEMENTS: dict[str, str] = {
             case when page_id = first then null else first end as refers_to
         from first
     """,
+    "op11_repair": r"""
+        with recursive keyed as (
+            select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k
+            from conversations
+        ), coded as (
+            select *, xor(4294967295, list_reduce(
+                list_concat([4294967295::bigint], list_transform(string_split(k, ''), lambda c: ord(c)::bigint)),
+                lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+                    lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end))) % 20 as kind
+            from keyed
+        ), hurt as (
+            select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+                case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+            from coded, unnest(range(case when kind = 3 then 2 else 1 end)) where kind <> 0
+        ), placed as (
+            select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) as i,
+                row_number() over (partition by conv_id, role, text order by turn nulls first) as again
+            from hurt
+        ), flagged as (
+            select conv_id, turn, role, text, i, left(role, 1) as initial, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+                when again > 1 then 'duplicate' when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault,
+                lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1) as pair
+            from placed
+        ), counted as (
+            select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (fault = 'blank') as blank,
+                count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+                count(*) filter (pair not in ('su', 'ua', 'au')) as illegal, count(*) as n
+            from flagged group by conv_id
+        ), moves(s1, edit, initial, s2, cost) as (
+            values ('E', 'K', 's', 'S', 0), ('E', 'K', 'u', 'U', 0), ('S', 'K', 'u', 'U', 0), ('A', 'K', 'u', 'U', 0), ('U', 'K', 'a', 'A', 0),
+                ('E', 'R', null, 'U', 2), ('S', 'R', null, 'U', 2), ('A', 'R', null, 'U', 2), ('U', 'R', null, 'A', 2),
+                ('E', 'D', null, 'E', 3), ('S', 'D', null, 'S', 3), ('U', 'D', null, 'U', 3), ('A', 'D', null, 'A', 3)
+        ), added(s1, s2, letters) as (
+            values ('E', 'E', ''), ('S', 'S', ''), ('U', 'U', ''), ('A', 'A', ''), ('E', 'U', 'I'), ('S', 'U', 'I'), ('A', 'U', 'I'), ('U', 'A', 'I'),
+                ('E', 'A', 'II'), ('S', 'A', 'II')
+        ), search(conv_id, i, state, cost, audit) as (
+            select conv_id, 0::bigint, s2, 2 * length(letters), letters from counted, added where s1 = 'E'
+            union all
+            select conv_id, i, state, best.cost, best.audit from (
+                select f.conv_id, f.i, a.s2 as state, min({
+                    'cost': s.cost + m.cost + 2 * length(a.letters) + case when f.fault = 'truncated' and m.edit <> 'D' then 1 else 0 end,
+                    'audit': s.audit || m.edit || a.letters}) as best
+                from search s join flagged f on f.conv_id is not distinct from s.conv_id and f.i = s.i + 1
+                join moves m on m.s1 = s.state and (m.initial is null or m.initial = f.initial) and (m.edit = 'D' or f.fault not in ('blank', 'duplicate'))
+                join added a on a.s1 = m.s2
+                group by f.conv_id, f.i, a.s2
+            )
+        ), best as (
+            select c.*, b.best.cost as cost, b.best.audit as audit from counted c join (
+                select s.conv_id, min({'cost': s.cost, 'audit': s.audit}) as best
+                from search s join counted c on c.conv_id is not distinct from s.conv_id and c.n = s.i
+                where s.state in ('E', 'A') group by s.conv_id
+            ) b on b.conv_id is not distinct from c.conv_id
+        ), letters as (
+            select conv_id, p, audit[p] as edit, count(*) filter (audit[p] <> 'I') over (partition by conv_id order by p) as i,
+                count(*) filter (audit[p] <> 'D') over (partition by conv_id order by p) as place
+            from (select conv_id, audit, unnest(range(1, length(audit) + 1)) as p from best)
+        ), laid as (
+            select l.*, f.role, f.text, f.initial, max(case when place = 1 and edit = 'K' and initial = 's' then 1 else 0 end) over (partition by l.conv_id) as headed
+            from letters l left join flagged f on f.conv_id is not distinct from l.conv_id and f.i = l.i and l.edit <> 'I'
+            where l.edit <> 'D'
+        ), repaired as (
+            select conv_id, string_agg(case when edit = 'K' then role when (place - headed) % 2 = 1 then 'user' else 'assistant' end
+                || ':' || coalesce(text, ''), chr(10) order by p) as said
+            from laid group by conv_id
+        )
+        select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+            coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cost, 0)::bigint as cost, coalesce(audit, '') as audit,
+            sha256(coalesce(said, '')) as repaired_sha256
+        from (select distinct conv_id from conversations) o left join best b on b.conv_id is not distinct from o.conv_id
+            left join repaired r on r.conv_id is not distinct from o.conv_id
+    """,
 }
