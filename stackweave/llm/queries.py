@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackweave.llm import common, language, licenses, mixing, quality, repair, scoring, simhash, suffixes, tiling, toxicity, warc
+from stackweave.llm import common, language, licenses, mixing, negatives, quality, repair, scoring, simhash, suffixes, tiling, toxicity, warc
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,6 +72,11 @@ def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.audited(rows, repair.damage(rows))
 
 
+def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = common.table(spark, folder, "embeddings")
+    return negatives.mine(negatives.mislabelled(negatives.usable(rows)))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -84,6 +89,7 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_language": op10_language,
     "op11_repair": op11_repair,
+    "op12_negatives": op12_negatives,
 }
 
 STATEMENTS: dict[str, str] = {
@@ -267,4 +273,24 @@ STATEMENTS: dict[str, str] = {
         from (select distinct conv_id from conversations) o left join best b on b.conv_id is not distinct from o.conv_id
             left join repaired r on r.conv_id is not distinct from o.conv_id
     """,
+    "op12_negatives": r"""
+        with taken as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings where vec_id is not null and label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), pairs as (
+            select a.vec_id as anchor_id, a.label = c.label as same, c.vec_id, list_inner_product(a.v, c.v)::bigint as score
+            from taken a join taken c on a.vec_id <> c.vec_id where a.vec_id % 50 = 0
+        ), positives as (
+            select * from (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as place from pairs where same)
+            where place <= 5
+        ), banded as (
+            select n.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.score as positive_score, n.score as negative_score,
+                row_number() over (partition by n.anchor_id, p.vec_id order by n.score desc, n.vec_id)::int as rank
+            from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same
+                and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+        )
+        select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from banded where rank <= 3
+    """,
 }
