@@ -1,4 +1,4 @@
-"""Log exports: flattening, filtering and routing; presence of metrics."""
+"""Log, span and metric exports: flattening, filtering and routing; presence of metrics."""
 
 from __future__ import annotations
 
@@ -10,18 +10,86 @@ from pyspark.sql import functions as F
 DEFAULT_ROUTE = "default"
 
 
+def _flatten(exports: DataFrame, resources: str, scopes: str, items: str, *keep: str) -> DataFrame:
+    """Requests holding resources holding scopes holding items, as one row per item."""
+    of_resource = exports.select(*keep, F.explode(resources).alias("_r"))
+    of_scope = of_resource.select(
+        *keep, F.col("_r.resource.attributes").alias("resource"), F.explode(f"_r.{scopes}").alias("_s")
+    )
+    return of_scope.select(
+        *keep, "resource", F.col("_s.scope.name").alias("scope"), F.posexplode(f"_s.{items}").alias("position", "_item")
+    )
+
+
 def flatten_logs(exports: DataFrame, *keep: str) -> DataFrame:
-    """Requests holding resources holding scopes holding records, as one row per record."""
-    resources = exports.select(*keep, F.explode("resource_logs").alias("_r"))
-    scopes = resources.select(
-        *keep,
-        F.col("_r.resource.attributes").alias("resource"),
-        F.explode("_r.scope_logs").alias("_s"),
+    """One row per log record."""
+    return _flatten(exports, "resource_logs", "scope_logs", "log_records", *keep).select(
+        *keep, "resource", "scope", "position", "_item.*"
+    )
+
+
+def _hex(value: Column, kind: str) -> Column:
+    """Ids are bytes on the wire and text in JSON; rows hold them as lower-case hex, empty ones as null."""
+    text = F.lower(F.hex(value)) if kind == "binary" else F.lower(value)
+    return F.when(text != "", text)
+
+
+def _moment(nanos: Column) -> Column:
+    return F.timestamp_micros(F.floor(nanos / 1000))
+
+
+def flatten_spans(exports: DataFrame, *keep: str) -> DataFrame:
+    """One row per span. Ids become hex text, unset times null, and nanoseconds stay beside the times."""
+    rows = _flatten(exports, "resource_spans", "scope_spans", "spans", *keep)
+    kinds = dict(rows.select("_item.*").dtypes)
+    ids = {name: _hex(F.col(f"_item.{name}"), kinds[name]) for name in ("trace_id", "span_id", "parent_span_id")}
+    times = {}
+    for name in ("start", "end"):
+        nanos = F.col(f"_item.{name}_time_unix_nano").cast("long")
+        times[f"{name}_ns"] = F.when(nanos > 0, nanos)
+        times[f"{name}_ts"] = _moment(times[f"{name}_ns"])
+    own = [F.col(f"_item.{name}") for name in kinds if name not in ids and not name.endswith("_time_unix_nano")]
+    return rows.select(
+        *keep, "resource", "scope", "position", *(v.alias(k) for k, v in {**ids, **times}.items()), *own
+    )
+
+
+# What a metric's data may be; of these, one is set. Points of all kinds become rows of one shape.
+NUMBERS = ("gauge", "sum")
+POINT = "time_ns long, value double, int_value long, count long, total double, bounds array<double>, buckets array<long>, attributes map<string,string>"
+
+
+def _number_point(point: Column) -> Column:
+    return F.struct(
+        point["time_unix_nano"].cast("long"), F.coalesce(point["as_double"], point["as_int"].cast("double")), point["as_int"].cast("long"),
+        F.lit(None), F.lit(None), F.lit(None), F.lit(None), point["attributes"],
+    ).cast(f"struct<{POINT.replace(' ', ':').replace(',:', ',')}>")
+
+
+def _histogram_point(point: Column) -> Column:
+    return F.struct(
+        point["time_unix_nano"].cast("long"), F.lit(None), F.lit(None), point["count"].cast("long"), point["sum"].cast("double"),
+        point["explicit_bounds"], point["bucket_counts"], point["attributes"],
+    ).cast(f"struct<{POINT.replace(' ', ':').replace(',:', ',')}>")
+
+
+def flatten_metrics(exports: DataFrame, *keep: str) -> DataFrame:
+    """One row per data point: metric, unit, kind (gauge, sum or histogram), temporality, whether a sum
+    only grows, and the point. A whole number is also given as a double. A metric without data, or of
+    another kind, has no rows."""
+    rows = _flatten(exports, "resource_metrics", "scope_metrics", "metrics", *keep)
+    item = F.col("_item")
+    points = F.coalesce(
+        *(F.transform(item[kind]["data_points"], _number_point) for kind in NUMBERS),
+        F.transform(item["histogram"]["data_points"], _histogram_point),
     )
-    records = scopes.select(
-        *keep, "resource", F.col("_s.scope.name").alias("scope"), F.posexplode("_s.log_records").alias("position", "_l")
+    kind = F.coalesce(*(F.when(item[name].isNotNull(), F.lit(name)) for name in (*NUMBERS, "histogram")))
+    temporality = F.coalesce(item["sum"]["aggregation_temporality"], item["histogram"]["aggregation_temporality"])
+    described = rows.select(
+        *keep, "resource", "scope", item["name"].alias("metric"), item["unit"].alias("unit"), kind.alias("kind"),
+        temporality.alias("temporality"), item["sum"]["is_monotonic"].alias("is_monotonic"), F.posexplode(points).alias("position", "_point"),
     )
-    return records.select(*keep, "resource", "scope", "position", "_l.*")
+    return described.select(*(c for c in described.columns if c != "_point"), "_point.*")
 
 
 def route_of(scope: Column, routes: Mapping[str, str]) -> Column:

@@ -1,12 +1,14 @@
 """Stack samples as dictionary-encoded profiles, in relational form.
 
-A profile holds the samples of one process and one tick. Strings, functions and locations
-are numbered in the order in which they are first seen, walking the samples in time order and
-each stack from its leaf. All tables share the key (service, instance, source, tick_ts, part), and
-everything below is computed inside that key, so samples cross the network once.
-
-One profile becomes one log record, so it has to fit a row whatever computes it. Where a tick
-is too wide for that, `parts` spreads its samples over several self-contained records.
+A profile holds the samples of one process and one tick, in time order. A tick of many samples
+is cut into parts of at most `PART_SAMPLES`, each a self-contained profile, so that no record, no
+window and no task grows with the tick. Strings, functions and locations are numbered in the
+order in which they are first seen, walking the samples of a part in order and each stack from
+its leaf. All tables share the key (service, instance, source, tick_ts, part).
+
+Numbering has no window over a whole tick. Samples are sorted by range, which splits a tick that
+holds most of them over many tasks; every task numbers its own run of samples, and a prefix sum
+over the sizes of a tick's runs (one row for each run) gives the number at which a run starts.
 """
 
 from __future__ import annotations
@@ -19,7 +21,9 @@ from pyspark.sql import functions as F
 from stackweave import session
 from stackweave.functions import clock, ids
 
-KEY = ["service", "instance", "source", "tick_ts", "part"]
+TICK = ["service", "instance", "source", "tick_ts"]
+KEY = [*TICK, "part"]
+PART_SAMPLES = 20_000
 
 # Sample label keys, in the order of their string-table entries 0 to 4.
 LABEL_TIME = "source.event.time"
@@ -42,7 +46,6 @@ def in_ticks(
     samples: DataFrame,
     source: str = CONTINUOUS,
     period: str = "1 second",
-    parts: int = 1,
     keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Give every sample the tick, and so the profile, it belongs to.
@@ -53,24 +56,24 @@ def in_ticks(
     kept = samples.transform(keep) if keep else samples
     if "instance" not in kept.columns:
         kept = kept.withColumn("instance", F.lit(""))
-    part = F.lit(0) if parts == 1 else F.pmod(F.xxhash64("tid"), F.lit(parts)).cast("int")
-    return (
-        kept.withColumn("source", F.lit(source))
-        .withColumn("tick_ts", F.window("ts", period).start)
-        .withColumn("part", part)
-    )
+    return kept.withColumn("source", F.lit(source)).withColumn("tick_ts", F.window("ts", period).start)
 
 
 def ticks(ticked: DataFrame) -> DataFrame:
-    return ticked.groupBy("service", "instance", "source", "tick_ts").agg(F.count("*").alias("samples"))
+    return ticked.groupBy(*TICK).agg(F.count("*").alias("samples"))
+
+
+def records(numbered: DataFrame) -> DataFrame:
+    """The log record of every profile, without its body, from samples with their frames or `depth`."""
+    depth = F.col("depth") if "depth" in numbered.columns else F.size("frames").cast("long")
+    counted = numbered.groupBy(*KEY).agg(F.sum(depth).alias("total_frames"), F.count("*").alias("samples"))
+    return with_attributes(counted)
 
 
-def records(ticked: DataFrame) -> DataFrame:
-    """The log record of every profile, without its body."""
+def with_attributes(counted: DataFrame) -> DataFrame:
+    """What every record says about itself."""
     return (
-        ticked.groupBy(*KEY)
-        .agg(F.sum(F.size("frames").cast("long")).alias("total_frames"), F.count("*").alias("samples"))
-        .withColumn("timestamp_ns", clock.nanos(F.col("tick_ts")))
+        counted.withColumn("timestamp_ns", clock.nanos(F.col("tick_ts")))
         .withColumn("scope", F.lit(SCOPE))
         .withColumn(
             "attributes",
@@ -85,13 +88,33 @@ def records(ticked: DataFrame) -> DataFrame:
     )
 
 
-def number_samples(ticked: DataFrame) -> DataFrame:
-    """Order the samples of a profile, whatever order they arrived in."""
-    return ticked.withColumn(
-        "sample", F.row_number().over(Window.partitionBy(*KEY).orderBy("ts", "tid", "sample_id"))
+def number_samples(ticked: DataFrame, part_samples: int = PART_SAMPLES) -> DataFrame:
+    """Order the samples of a tick, whatever order they arrived in, and cut it into parts.
+
+    Adds `part` and `sample`, the place within the part from 1. The sorted samples are written to
+    the shared folder: the ranges are drawn once, and all that follows reads them again.
+    """
+    order = [*TICK, "ts", "tid", "sample_id"]
+    ranged = ticked.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The number holds the task's number above its 33rd bit and a place in the task below.
+    laid = session.written(ranged.withColumn("_at", F.monotonically_increasing_id()), "profile-samples")
+    laid = laid.withColumn("_run", F.shiftright("_at", 33))
+    runs = laid.groupBy(*TICK, "_run").agg(F.min("_at").alias("_first"), F.count("*").alias("_size"))
+    earlier = Window.partitionBy(*TICK).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select(*TICK, "_run", (F.col("_first") - F.coalesce(F.sum("_size").over(earlier), F.lit(0))).alias("_start"))
+    place = F.col("_at") - F.col("_start")
+    return (
+        laid.join(starts, [*TICK, "_run"])
+        .withColumns({"part": F.floor(place / part_samples).cast("int"), "sample": (place % part_samples + 1).cast("int")})
+        .drop("_at", "_run", "_start")
     )
 
 
+def together(numbered: DataFrame) -> DataFrame:
+    """All samples of a part in one task, so that what is grouped by it needs no further shuffle."""
+    return numbered.repartition(*KEY)
+
+
 def frames(numbered: DataFrame) -> DataFrame:
     """One row per frame, leaf first."""
     return numbered.select(
@@ -164,7 +187,7 @@ def _label_tokens(numbered: DataFrame) -> DataFrame:
 
 def strings(numbered: DataFrame, seen: DataFrame) -> DataFrame:
     """String table of every profile. Labels come before the frames of their sample, and a
-    function's name before its file."""
+    function's name before its file. `in_labels` tells which strings a label may use."""
     sample, place = _seen_sample("_seen"), 2 * _seen_place("_seen")
     of_functions = _first_functions(seen).select(
         *KEY,
@@ -177,10 +200,11 @@ def strings(numbered: DataFrame, seen: DataFrame) -> DataFrame:
     )
     return (
         _label_tokens(numbered)
-        .unionByName(of_functions)
+        .withColumn("in_labels", F.lit(True))
+        .unionByName(of_functions.withColumn("in_labels", F.lit(False)))
         .groupBy(*KEY, "token")
-        .agg(F.min("_seen").alias("_seen"))
-        .select(*KEY, (_rank("_seen") - 1).alias("string_id"), "token")
+        .agg(F.min("_seen").alias("_seen"), F.max("in_labels").alias("in_labels"))
+        .select(*KEY, (_rank("_seen") - 1).alias("string_id"), "token", "in_labels")
     )
 
 
@@ -233,93 +257,46 @@ def samples(numbered: DataFrame) -> DataFrame:
     )
 
 
+def _label(key: str, text: Column | None = None, num: Column | None = None) -> Column:
+    return F.struct(
+        F.lit(RESERVED.index(key)).cast("long").alias("key_id"),
+        (F.lit(None) if text is None else text).cast("string").alias("token"),
+        (F.lit(None) if num is None else num).cast("long").alias("num"),
+    )
+
+
 def labels(numbered: DataFrame, strings_of: DataFrame, period_millis: int) -> DataFrame:
     """Labels of every sample as (key index, string index or number).
 
-    All samples of a tick carry the tick's time.
+    All samples of a tick carry the tick's time. Only the two context labels name strings, so only
+    these are joined, with the few strings that labels use.
     """
-    def label(key: str, text: Column | None = None, num: Column | None = None) -> Column:
-        return F.struct(
-            F.lit(RESERVED.index(key)).cast("long").alias("key_id"),
-            (F.lit(None) if text is None else text).cast("string").alias("token"),
-            (F.lit(None) if num is None else num).cast("long").alias("num"),
-        )
-
-    listed = F.array(
-        label(LABEL_TIME, num=clock.millis(F.col("tick_ts"))),
-        label(LABEL_PERIOD, num=F.lit(period_millis)),
-        label(LABEL_THREAD, num=F.col("tid")),
-        label(LABEL_TRACE, text=ids.trace_label(F.col("trace_id"))),
-        label(LABEL_SPAN, text=ids.span_label(F.col("span_id"))),
+    numbers = F.array(
+        _label(LABEL_TIME, num=clock.millis(F.col("tick_ts"))),
+        _label(LABEL_PERIOD, num=F.lit(period_millis)),
+        _label(LABEL_THREAD, num=F.col("tid")),
     )
-    return (
-        numbered.select(*KEY, "sample", F.posexplode(listed).alias("ord", "_label"))
-        .select(*KEY, "sample", "ord", "_label.*")
-        .filter(F.col("token").isNotNull() | F.col("num").isNotNull())
-        .join(strings_of, [*KEY, "token"], "left")
-        .select(*KEY, "sample", "ord", "key_id", "string_id", "num")
+    texts = F.array(
+        _label(LABEL_TRACE, text=ids.trace_label(F.col("trace_id"))), _label(LABEL_SPAN, text=ids.span_label(F.col("span_id")))
     )
-
-
-def resolve_labels(encoded: DataFrame, strings_of: DataFrame) -> DataFrame:
-    """Labels as text again. Key 0 is a real key."""
-    keys = strings_of.select(*KEY, F.col("string_id").alias("key_id"), F.col("token").alias("key"))
-    texts = strings_of.select(*KEY, "string_id", F.col("token").alias("text"))
-    return (
-        encoded.join(keys, [*KEY, "key_id"])
-        .join(texts, [*KEY, "string_id"], "left")
-        .select(*KEY, "sample", "key", "text", "num")
+    none = F.lit(None).cast("long")
+    plain = numbered.select(*KEY, "sample", F.posexplode(numbers).alias("ord", "_label")).select(
+        *KEY, "sample", "ord", "_label.key_id", none.alias("string_id"), "_label.num"
+    )
+    named = numbered.select(*KEY, "sample", F.posexplode(texts).alias("ord", "_label")).where("_label.token is not null")
+    used = strings_of.where("in_labels").select(*KEY, "token", "string_id")
+    joined = named.select(*KEY, "sample", (F.col("ord") + 3).alias("ord"), "_label.key_id", "_label.token").join(used, [*KEY, "token"])
+    return plain.where("num is not null").unionByName(
+        joined.select(*KEY, "sample", "ord", "key_id", "string_id", none.alias("num"))
     )
 
 
-def assemble(numbered: DataFrame, period_millis: int) -> DataFrame:
-    """One row per profile with its tables as arrays, ready to be encoded.
-
-    The arrays are in the order of the numbers. Functions and labels still name their strings;
-    the encoder looks these up in the profile's own string table. Everything is grouped and
-    joined on the profile key alone. The distinct frames feed two branches and are written to
-    the shared folder once.
-    """
-    seen = session.written(first_seen(numbered), "profile-frames")
-
-    def listed(*columns: Column | str) -> Column:
-        return F.sort_array(F.collect_list(F.struct(*columns)))
-
-    function_seen = F.min("_seen").over(Window.partitionBy(*KEY, "file", "func"))
-    dictionary = (
-        seen.withColumn("_function_seen", function_seen)
-        .withColumn(
-            "function_id",
-            F.dense_rank().over(Window.partitionBy(*KEY).orderBy("_function_seen")).cast("long"),
-        )
-        .withColumn("line", shown_line(F.col("line")))
-        .groupBy(*KEY)
-        .agg(
-            listed("_seen", "function_id", "line").alias("locations"),
-            F.sort_array(
-                F.collect_list(
-                    F.when(
-                        F.col("_seen") == F.col("_function_seen"),
-                        F.struct("function_id", "func", "file"),
-                    )
-                )
-            ).alias("functions"),
-        )
-    )
-    names = strings(numbered, seen).groupBy(*KEY).agg(listed("string_id", "token").alias("strings"))
-    facts = numbered.groupBy(*KEY).agg(
-        listed(
-            "sample",
-            "tid",
-            ids.trace_label(F.col("trace_id")).alias("trace"),
-            ids.span_label(F.col("span_id")).alias("span"),
-        ).alias("samples")
-    )
-    paths = stacks(numbered).groupBy(*KEY).agg(listed("sample", "location_ids").alias("stacks"))
-    return (
-        facts.join(names, KEY)
-        .join(dictionary, KEY, "left")
-        .join(paths, KEY, "left")
-        .withColumn("time_ms", clock.millis(F.col("tick_ts")))
-        .withColumn("period_ms", F.lit(period_millis).cast("long"))
-    )
+def resolve_labels(encoded: DataFrame, strings_of: DataFrame) -> DataFrame:
+    """Labels as text again. The keys are the reserved entries, which every table starts with."""
+    key = F.element_at(F.array(*map(F.lit, RESERVED)), F.col("key_id").cast("int") + 1)
+    used = strings_of.where("in_labels").select(*KEY, "string_id", F.col("token").alias("text"))
+    with_key = encoded.withColumn("key", key)
+    none = F.lit(None).cast("string")
+    numbers = with_key.where("string_id is null").select(*KEY, "sample", "key", none.alias("text"), "num")
+    texts = with_key.where("string_id is not null").join(used, [*KEY, "string_id"]).select(*KEY, "sample", "key", "text", "num")
+    return numbers.unionByName(texts)

@@ -25,6 +25,7 @@ from stackweave.operators import (
 )
 from stackweave.sources import profile_log, report_log, tables
 from stackweave.streaming import context as stream_context
+from stackweave.streaming import profiles as stream_profiles
 from stackweave.streaming import sinks, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,21 +92,25 @@ def active_intervals(spark, folder):
     return spans.active_intervals(tracked(spark, folder, unit_seconds=60))
 
 
+# The test tables hold about a sample a minute, so an hour stands for a tick, and parts of four
+# samples for those that a busy tick is cut into. Records are also counted by the second.
 TICK = "1 hour"
+SECOND = "1 second"
+PART_SAMPLES = 4
 
 
-def ticked(spark: SparkSession, folder: str) -> DataFrame:
-    return profiles.in_ticks(traced(spark, folder), profiles.CONTINUOUS, TICK)
+def ticked(spark: SparkSession, folder: str, period: str = TICK) -> DataFrame:
+    return profiles.in_ticks(traced(spark, folder), profiles.CONTINUOUS, period)
 
 
 def numbered(spark: SparkSession, folder: str) -> DataFrame:
-    return profiles.number_samples(ticked(spark, folder))
+    return profiles.number_samples(ticked(spark, folder), PART_SAMPLES)
 
 
-def all_ticked(spark: SparkSession, folder: str) -> DataFrame:
+def all_ticked(spark: SparkSession, folder: str, period: str = SECOND) -> DataFrame:
     """Continuous and snapshot samples side by side, told apart by their source."""
-    return ticked(spark, folder).unionByName(
-        profiles.in_ticks(snapshot(spark, folder), profiles.SNAPSHOT, TICK)
+    return ticked(spark, folder, period).unionByName(
+        profiles.in_ticks(snapshot(spark, folder), profiles.SNAPSHOT, period)
     )
 
 
@@ -114,9 +119,22 @@ def ticks(spark, folder):
     return profiles.ticks(all_ticked(spark, folder))
 
 
+@query
+def filtered_ticks(spark, folder):
+    """Ticks of the samples that the caller's own filter keeps; a tick without any is left out."""
+    busy = lambda rows: rows.filter(F.col("trace_id").isNotNull() & (F.col("tid") % 3 != 1))
+    return profiles.ticks(profiles.in_ticks(traced(spark, folder), profiles.CONTINUOUS, TICK, keep=busy))
+
+
+def _counted(ticked: DataFrame) -> DataFrame:
+    """Records without their bodies need the depth of a stack, not its frames."""
+    narrow = ticked.select(*profiles.TICK, "ts", "tid", "sample_id", F.size("frames").cast("long").alias("depth"))
+    return profiles.records(profiles.number_samples(narrow, PART_SAMPLES))
+
+
 @query
 def frame_counts(spark, folder):
-    return profiles.records(ticked(spark, folder)).select("service", "instance", "tick_ts", "total_frames")
+    return _counted(ticked(spark, folder)).select("service", "instance", "tick_ts", "part", "total_frames")
 
 
 def _record_columns(records: DataFrame) -> DataFrame:
@@ -124,7 +142,7 @@ def _record_columns(records: DataFrame) -> DataFrame:
         return F.element_at("attributes", name)
 
     return records.select(
-        "service", "instance", "source", "scope", "timestamp_ns", "samples",
+        "service", "instance", "source", "scope", "timestamp_ns", "part", "samples",
         attribute("profiling.data.format").alias("format"),
         attribute("profiling.data.type").alias("data_type"),
         attribute("profiling.data.total.frame.count").alias("total_frames"),
@@ -133,50 +151,51 @@ def _record_columns(records: DataFrame) -> DataFrame:
 
 @query
 def profile_records(spark, folder):
-    return _record_columns(profiles.records(ticked(spark, folder)))
+    return _record_columns(_counted(ticked(spark, folder)))
 
 
 @query
 def all_profile_records(spark, folder):
-    return _record_columns(profiles.records(all_ticked(spark, folder)))
+    return _record_columns(_counted(all_ticked(spark, folder)))
+
+
+PART = ["service", "instance", "tick_ts", "part"]
 
 
 @query
 def profile_strings(spark, folder):
-    base = numbered(spark, folder)
-    found = profiles.strings(base, profiles.first_seen(base))
-    return found.select("service", "instance", "tick_ts", "string_id", "token")
+    base = profiles.together(numbered(spark, folder))
+    return profiles.strings(base, profiles.first_seen(base)).select(*PART, "string_id", "token")
 
 
 @query
 def profile_functions(spark, folder):
-    return profiles.functions(profiles.first_seen(numbered(spark, folder))).select(
-        "service", "instance", "tick_ts", "function_id", "file", "func"
-    )
+    seen = profiles.first_seen(profiles.together(numbered(spark, folder)))
+    return profiles.functions(seen).select(*PART, "function_id", "file", "func")
 
 
 @query
 def profile_locations(spark, folder):
-    return profiles.locations(profiles.first_seen(numbered(spark, folder))).select(
-        "service", "instance", "tick_ts", "location_id", "file", "func", "line"
-    )
+    seen = profiles.first_seen(profiles.together(numbered(spark, folder)))
+    return profiles.locations(seen).select(*PART, "location_id", "file", "func", "line")
 
 
 @query
 def profile_samples(spark, folder):
-    return profiles.samples(numbered(spark, folder)).select(
-        "service", "instance", "tick_ts", "sample_id", F.col("sample").cast("long").alias("sample"), "tid",
+    return profiles.samples(profiles.together(numbered(spark, folder))).select(
+        *PART, "sample_id", F.col("sample").cast("long").alias("sample"), "tid",
         "trace_id", "span_id", F.array_join("location_ids", ",").alias("location_ids"),
     )
 
 
 @query
 def profile_labels(spark, folder):
-    base = numbered(spark, folder)
-    strings = profiles.strings(base, profiles.first_seen(base))
+    base = profiles.together(numbered(spark, folder))
+    found = profiles.strings(base, profiles.first_seen(base)).where("in_labels")
+    strings = session.written(found, "label-strings")
     encoded = profiles.labels(base, strings, profiles.PERIOD_MILLIS[profiles.CONTINUOUS])
     return profiles.resolve_labels(encoded, strings).select(
-        "service", "instance", "tick_ts", F.col("sample").cast("long").alias("sample"), "key", "text", "num"
+        *PART, F.col("sample").cast("long").alias("sample"), "key", "text", "num"
     )
 
 
@@ -287,6 +306,33 @@ def flatten_scope_logs(spark, folder):
     )
 
 
+@query
+def flatten_spans(spark, folder):
+    flat = logs.flatten_spans(tables.span_exports(spark, folder))
+    return plain(flat, "start_ts", "end_ts").select(
+        F.col("resource").getItem("service.name").alias("service"), "scope", "name", "trace_id", "span_id", "parent_span_id",
+        "start_ns", "end_ns", "start_ts", "end_ts", F.col("attributes").getItem("remote").alias("remote"),
+    )
+
+
+@query
+def exported_span_counts(spark, folder):
+    """Spans counted by service, straight from the requests."""
+    flat = logs.flatten_spans(tables.span_exports(spark, folder))
+    return spans.span_counts(flat.select(F.col("resource").getItem("service.name").alias("service")))
+
+
+@query
+def flatten_metrics(spark, folder):
+    flat = logs.flatten_metrics(tables.metric_exports(spark, folder), "event_id")
+    return flat.select(
+        "event_id", F.col("resource").getItem("service.name").alias("service"), "scope", "metric", "unit", "kind", "temporality",
+        "is_monotonic", F.col("position").cast("long").alias("position"), "time_ns", "value", "int_value", "count", "total",
+        F.array_join(F.transform("bounds", lambda b: F.format_string("%.1f", b)), ",").alias("bounds"),
+        F.array_join(F.col("buckets").cast("array<string>"), ",").alias("buckets"), F.col("attributes").getItem("user").alias("user"),
+    )
+
+
 ROUTES = {"deps": "dependency-reports"}
 
 
@@ -474,25 +520,34 @@ def inventory_counts(spark, folder):
 
 
 def decoded(spark: SparkSession, folder: str) -> DataFrame:
-    return profile_log.decode(profile_log.log_records(ticked(spark, folder), CONTINUOUS_MS))
+    return profile_log.decode(profile_log.log_records(ticked(spark, folder), part_samples=PART_SAMPLES))
 
 
-@query
-def profile_roundtrip(spark, folder):
-    """Samples encoded into log records and read back."""
+def _read_back(decoded: DataFrame) -> DataFrame:
     lines = F.transform("frames", lambda f: F.concat_ws(":", f["file"], f["func"], f["line"].cast("string")))
-    return decoded(spark, folder).select(
-        "service", "instance", "tick_ts", F.col("sample").cast("long").alias("sample"), "time_ms", "period_ms", "tid",
+    return decoded.select(
+        *PART, "source", F.col("sample").cast("long").alias("sample"), "time_ms", "period_ms", "tid",
         ids.trace_hex(F.col("trace_id")).alias("trace_id"), ids.span_hex(F.col("span_id")).alias("span_id"),
         F.size("frames").cast("long").alias("depth"), F.md5(F.array_join(lines, "\n")).alias("stack"),
     )
 
 
+@query
+def profile_roundtrip(spark, folder):
+    """Samples encoded into log records and read back."""
+    return _read_back(decoded(spark, folder))
+
+
+@query
+def all_profiles_roundtrip(spark, folder):
+    """Continuous and snapshot samples encoded together, each with its own period, second by second."""
+    records = profile_log.log_records(all_ticked(spark, folder), part_samples=PART_SAMPLES)
+    return _read_back(profile_log.decode(records))
+
+
 @query
 def profile_quality(spark, folder):
-    return quality.violations(decoded(spark, folder)).select(
-        "service", "instance", "tick_ts", F.col("sample").cast("long").alias("sample"), "rule"
-    )
+    return quality.violations(decoded(spark, folder)).select(*PART, F.col("sample").cast("long").alias("sample"), "rule")
 
 
 @query
@@ -544,6 +599,43 @@ def stream_activity(spark, folder):
     return plain(sinks.drain(out, "activity", starts), "start_ts", "end_ts")
 
 
+@query
+def stream_active_intervals(spark, folder):
+    session.prepare(spark, streaming=True)
+    lasting = tracked(spark, folder, unit_seconds=60).select("service", "instance", "start_ts", "end_ts")
+    replayed = sinks.Replay(lasting, "spans", "start_ts")
+    out = windows.active_intervals(replayed.stream, delay=sinks.delay_of(replayed, until=windows.NEVER))
+    return plain(sinks.drain(out, "active", replayed), "start_ts", "end_ts").drop("spans")
+
+
+@query
+def stream_profile_records(spark, folder):
+    """Samples that become records in one stream, and records that are decoded in another."""
+    session.prepare(spark, streaming=True)
+    replayed = sinks.Replay(traced(spark, folder), "samples", "ts")
+    encoded = stream_profiles.records(replayed.stream, profiles.CONTINUOUS, TICK, sinks.delay_of(replayed), part_samples=PART_SAMPLES)
+    landed = session.new_folder(spark, "landed-records")
+    sinks.drain(encoded, "records", replayed).write.parquet(landed)
+    found = profile_log.decode(spark.readStream.schema(encoded.schema).parquet(landed))
+    decoded = sinks.drain(found, "decoded-records").withColumn("part", F.shiftright("part", 16))
+    return _read_back(plain(decoded, "tick_ts"))
+
+
+@query
+def late_samples(spark, folder):
+    """Samples that arrive in three deliveries; those of the later ones that come behind the watermark
+    are told apart from the others, and none is lost."""
+    session.prepare(spark, streaming=True)
+    path, landed = session.new_folder(spark, "late"), session.new_folder(spark, "deliveries")
+    taken = samples(spark, folder).select("service", "instance", "tid", "ts", "sample_id")
+    for delivery in range(3):
+        taken.where(F.col("sample_id") % 3 == delivery).write.mode("append").parquet(landed)
+        arriving = spark.readStream.schema(taken.schema).parquet(landed)
+        sinks.split_late(arriving, "ts", "5 days", path, f"{path}-checkpoint").awaitTermination()
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows.select("service", "instance", "tid", "ts", "sample_id", F.col("number").cast("long").alias("batch"), "timing", "behind_seconds")
+
+
 @query
 def stream_ticks(spark, folder):
     taken = samples(spark, folder).select("service", "instance", "ts")

@@ -113,11 +113,18 @@ select service, instance, tid, ts, sample_id, trace_id, span_id from snapshot"""
     "active_intervals": ACTIVE_INTERVALS,
 }
 
+def _parts(rows: str, unit: str) -> str:
+    """Samples numbered within their tick, and cut into parts of four."""
+    return f"""
+  select c.*, date_trunc('{unit}', c.ts) as tick_ts, cast((place - 1) // 4 as int) as part, (place - 1) % 4 + 1 as sample
+  from (select r.*, row_number() over (partition by r.service, r.instance, r.source, date_trunc('{unit}', r.ts)
+      order by r.ts, r.tid, r.sample_id) as place from ({rows}) r) c"""
+
+
 TICKED = f"""{WITH_CONTEXT},
-ticked as (
-  select c.*, date_trunc('hour', c.ts) as tick_ts, cast(row_number() over (
-      partition by c.service, c.instance, date_trunc('hour', c.ts) order by c.ts, c.tid, c.sample_id) as bigint) as sample
-  from with_context c)"""
+ticked as ({_parts("select *, 'continuous' as source from with_context", 'hour')})"""
+
+PART = "service, instance, tick_ts, part"
 
 TICKED_FRAMES = f"""{TICKED},
 stack_words as (
@@ -125,15 +132,12 @@ stack_words as (
     unnest(words) as func, unnest(range(len(words))) as depth
   from stack_samples),
 frames as (
-  select t.service, t.instance, t.tick_ts, t.sample, w.depth_count - 1 - w.depth as pos, w.file, w.func,
+  select t.service, t.instance, t.tick_ts, t.part, t.sample, w.depth_count - 1 - w.depth as pos, w.file, w.func,
     case when not ends_with(w.func, '.') then length(w.func) end as line
   from ticked t join stack_words w using (sample_id))"""
 
 ALL_TICKED = f"""{SNAPSHOT},
-all_ticked as (
-  select *, 'continuous' as source, date_trunc('hour', ts) as tick_ts from with_context
-  union all
-  select *, 'snapshot', date_trunc('hour', ts) from snapshot)"""
+all_ticked as ({_parts("select *, 'continuous' as source from with_context union all select *, 'snapshot' from snapshot", 'second')})"""
 
 LABEL_FORM = """
   case when length(ltrim({0}, '0')) < {1} then lpad(ltrim({0}, '0'), {1}, '0') else ltrim({0}, '0') end"""
@@ -142,88 +146,92 @@ SPAN_LABEL = LABEL_FORM.format("span_id", 8)
 
 LOCATION_IDS = f"""{TICKED_FRAMES},
 locations as (
-  select *, row_number() over (partition by service, instance, tick_ts order by sample, pos) as location_id
+  select *, row_number() over (partition by {PART} order by sample, pos) as location_id
   from (select *, row_number() over (
-      partition by service, instance, tick_ts, file, func, line order by sample, pos) as occurrence from frames)
+      partition by {PART}, file, func, line order by sample, pos) as occurrence from frames)
   where occurrence = 1)"""
 
 STATEMENTS |= {
     "ticks": f"""
 with {ALL_TICKED}
 select service, instance, source, tick_ts, count(*) as samples from all_ticked group by all""",
+    "filtered_ticks": f"""
+with {WITH_CONTEXT}
+select service, instance, 'continuous' as source, date_trunc('hour', ts) as tick_ts, count(*) as samples
+from with_context where trace_id is not null and tid % 3 <> 1 group by all""",
     "frame_counts": f"""
 with {TICKED}
-select t.service, t.instance, t.tick_ts, cast(sum(len(s.words)) as bigint) as total_frames
+select t.service, t.instance, t.tick_ts, t.part, cast(sum(len(s.words)) as bigint) as total_frames
 from ticked t join stack_samples s using (sample_id) group by all""",
     "profile_records": f"""
 with {TICKED}
 select t.service, t.instance, 'continuous' as source, 'profiling' as scope,
-  epoch_us(t.tick_ts) * 1000 as timestamp_ns, count(*) as samples,
+  epoch_us(t.tick_ts) * 1000 as timestamp_ns, t.part, count(*) as samples,
   'pprof-gzip-base64' as format, 'cpu' as data_type,
   cast(sum(len(s.words)) as varchar) as total_frames
-from ticked t join stack_samples s using (sample_id) group by t.service, t.instance, t.tick_ts""",
+from ticked t join stack_samples s using (sample_id) group by t.service, t.instance, t.tick_ts, t.part""",
     "all_profile_records": f"""
 with {ALL_TICKED}
 select t.service, t.instance, t.source, 'profiling' as scope,
-  epoch_us(t.tick_ts) * 1000 as timestamp_ns, count(*) as samples,
+  epoch_us(t.tick_ts) * 1000 as timestamp_ns, t.part, count(*) as samples,
   'pprof-gzip-base64' as format, 'cpu' as data_type,
   cast(sum(len(s.words)) as varchar) as total_frames
-from all_ticked t join stack_samples s using (sample_id) group by t.service, t.instance, t.source, t.tick_ts""",
+from all_ticked t join stack_samples s using (sample_id) group by t.service, t.instance, t.source, t.tick_ts, t.part""",
     "profile_strings": f"""
 with {TICKED_FRAMES},
 tokens as (
-  select service, instance, tick_ts, sample, 0 as ord, {TRACE_LABEL} as token from ticked where trace_id is not null
+  select {PART}, sample, 0 as ord, {TRACE_LABEL} as token from ticked where trace_id is not null
   union all
-  select service, instance, tick_ts, sample, 1, {SPAN_LABEL} from ticked where span_id is not null
+  select {PART}, sample, 1, {SPAN_LABEL} from ticked where span_id is not null
   union all
-  select service, instance, tick_ts, sample, 2 * pos + 2, func from frames
+  select {PART}, sample, 2 * pos + 2, func from frames
   union all
-  select service, instance, tick_ts, sample, 2 * pos + 3, file from frames
+  select {PART}, sample, 2 * pos + 3, file from frames
   union all
-  select distinct service, instance, tick_ts, 0, unnest([0, 1, 2, 3, 4]),
+  select distinct {PART}, 0, unnest([0, 1, 2, 3, 4]),
     unnest(['source.event.time', 'trace_id', 'span_id', 'thread.id', 'source.event.period'])
   from ticked),
 firsts as (
-  select *, row_number() over (partition by service, instance, tick_ts, token order by sample, ord) as occurrence
+  select *, row_number() over (partition by {PART}, token order by sample, ord) as occurrence
   from tokens)
-select service, instance, tick_ts, token,
-  row_number() over (partition by service, instance, tick_ts order by sample, ord) - 1 as string_id
+select {PART}, token,
+  row_number() over (partition by {PART} order by sample, ord) - 1 as string_id
 from firsts where occurrence = 1""",
     "profile_functions": f"""
 with {TICKED_FRAMES},
 firsts as (
   select *, row_number() over (
-    partition by service, instance, tick_ts, file, func order by sample, pos) as occurrence
+    partition by {PART}, file, func order by sample, pos) as occurrence
   from frames)
-select service, instance, tick_ts, file, func,
-  row_number() over (partition by service, instance, tick_ts order by sample, pos) as function_id
+select {PART}, file, func,
+  row_number() over (partition by {PART} order by sample, pos) as function_id
 from firsts where occurrence = 1""",
     "profile_locations": f"""
 with {LOCATION_IDS}
-select service, instance, tick_ts, location_id, file, func,
+select {PART}, location_id, file, func,
   case when coalesce(line, 0) = 0 then -1 else line end as line
 from locations""",
     "profile_samples": f"""
 with {LOCATION_IDS},
 stacks as (
-  select f.service, f.instance, f.tick_ts, f.sample, string_agg(l.location_id, ',' order by f.pos) as location_ids
-  from frames f join locations l on l.service = f.service and l.instance = f.instance and l.tick_ts = f.tick_ts
+  select f.service, f.instance, f.tick_ts, f.part, f.sample, string_agg(l.location_id, ',' order by f.pos) as location_ids
+  from frames f join locations l on l.service = f.service and l.instance = f.instance and l.tick_ts = f.tick_ts and l.part = f.part
     and l.file = f.file and l.func = f.func and l.line is not distinct from f.line
-  group by f.service, f.instance, f.tick_ts, f.sample)
-select t.service, t.instance, t.tick_ts, t.sample_id, t.sample, t.tid, t.trace_id, t.span_id, s.location_ids
-from ticked t join stacks s using (service, instance, tick_ts, sample)""",
+  group by f.service, f.instance, f.tick_ts, f.part, f.sample)
+select t.service, t.instance, t.tick_ts, t.part, t.sample_id, t.sample, t.tid, t.trace_id, t.span_id, s.location_ids
+from ticked t join stacks s using (service, instance, tick_ts, part, sample)""",
     "profile_labels": f"""
 with {TICKED}
-select service, instance, tick_ts, sample, 'source.event.time' as key, cast(null as varchar) as text,
+select {PART}, sample, 'source.event.time' as key, cast(null as varchar) as text,
   epoch_ms(tick_ts) as num from ticked
 union all
-select service, instance, tick_ts, sample, 'source.event.period', null, 1000 from ticked
+select {PART}, sample, 'source.event.period', null, 1000 from ticked
 union all
-select service, instance, tick_ts, sample, 'thread.id', null, tid from ticked
+select {PART}, sample, 'thread.id', null, tid from ticked
 union all
-select service, instance, tick_ts, sample, 'trace_id', {TRACE_LABEL}, null from ticked where trace_id is not null
+select {PART}, sample, 'trace_id', {TRACE_LABEL}, null from ticked where trace_id is not null
 union all
-select service, instance, tick_ts, sample, 'span_id', {SPAN_LABEL}, null from ticked where span_id is not null""",
+select {PART}, sample, 'span_id', {SPAN_LABEL}, null from ticked where span_id is not null""",
 }
 
 ORDER_SPANS = """
@@ -471,6 +479,28 @@ scoped as (select *, case when contains(body, '|') then 'deps' else 'app' end as
 select doc_id, lang, scope, body,
   row_number() over (partition by doc_id, scope order by line) - 1 as position
 from scoped""",
+    "flatten_spans": f"""
+with {ORDER_SPANS}
+select service, 'orders' as scope, 'line ' || left(span_id, 4) as name, trace_id, span_id, parent_span_id,
+  epoch_us(start_ts) * 1000 as start_ns, epoch_us(end_ts) * 1000 as end_ns, start_ts, end_ts,
+  cast(parent_is_remote as varchar) as remote
+from order_spans""",
+    "exported_span_counts": f"""
+with {ORDER_SPANS}
+select service, count(*) as spans from order_spans group by service""",
+    "flatten_metrics": """
+with points as (
+  select *, unnest(case event_type when 'error' then [0, 1] when 'signup' then [] else [0] end) as position from events)
+select event_id, concat('svc', user_id % 5) as service, 'events' as scope, 'events.' || event_type as metric, '1' as unit,
+  case event_type when 'click' then 'sum' when 'purchase' then 'histogram' else 'gauge' end as kind,
+  case event_type when 'click' then 2 when 'purchase' then 1 end as temporality,
+  case event_type when 'click' then true end as is_monotonic, cast(position as bigint) as position, epoch_us(ts) * 1000 as time_ns,
+  case when event_type = 'click' or position = 1 then cast(event_id % 7 as double) when event_type <> 'purchase' then cast(value as double) end as value,
+  case when event_type = 'click' or position = 1 then event_id % 7 end as int_value,
+  case event_type when 'purchase' then event_id % 7 + 1 end as count, case event_type when 'purchase' then cast(value as double) end as total,
+  case event_type when 'purchase' then '10.0' end as bounds, case event_type when 'purchase' then '1,' || event_id % 7 end as buckets,
+  cast(user_id as varchar) as user
+from points""",
     "route_logs": """
 select event_id, case event_type when 'error' then 'deps' when 'purchase' then 'profiling' else 'app' end as scope,
   case event_type when 'error' then 'dependency-reports' else 'default' end as route
@@ -624,21 +654,31 @@ union all
 select 'settings', 20""",
 }
 
-STATEMENTS |= {
-    "profile_roundtrip": f"""
-with {TICKED},
+STACK_LINES = """
 lines as (
   select sample_id, len(words) as depth, list_transform(words, lambda w: concat(file, ':', w, ':',
       case when ends_with(w, '.') or length(w) = 0 then -1 else length(w) end)) as lines
-  from stack_samples)
-select service, instance, tick_ts, sample, epoch_ms(tick_ts) as time_ms, cast(1000 as bigint) as period_ms, tid,
+  from stack_samples)"""
+
+STATEMENTS |= {
+    "profile_roundtrip": f"""
+with {TICKED},
+{STACK_LINES}
+select {PART}, source, sample, epoch_ms(tick_ts) as time_ms, cast(1000 as bigint) as period_ms, tid,
   trace_id, span_id, depth, md5(array_to_string(lines, chr(10))) as stack
 from ticked join lines using (sample_id)""",
+    "all_profiles_roundtrip": f"""
+with {ALL_TICKED},
+{STACK_LINES}
+select {PART}, source, sample, epoch_ms(tick_ts) as time_ms,
+  cast(case source when 'snapshot' then 10 else 1000 end as bigint) as period_ms, tid,
+  trace_id, span_id, depth, md5(array_to_string(lines, chr(10))) as stack
+from all_ticked join lines using (sample_id)""",
     "profile_quality": f"""
 with {TICKED}
-select service, instance, tick_ts, sample, 'missing_trace_id' as rule from ticked where trace_id is null
+select {PART}, sample, 'missing_trace_id' as rule from ticked where trace_id is null
 union all
-select service, instance, tick_ts, sample, 'missing_span_id' from ticked where span_id is null""",
+select {PART}, sample, 'missing_span_id' from ticked where span_id is null""",
     "decode_reports": f"""
 with {PACKAGE_REPORTS}
 select id, fragment_index, max_fragments, is_done,
@@ -664,6 +704,18 @@ from numbered group by service, instance, run""",
 with {STACK_SAMPLES}
 select service, instance, 'continuous' as source, date_trunc('hour', ts) as tick_ts, count(*) as samples
 from stack_samples group by all""",
+    "stream_active_intervals": STATEMENTS["active_intervals"],
+    "stream_profile_records": STATEMENTS["profile_roundtrip"],
+    "late_samples": f"""
+with {STACK_SAMPLES},
+delivered as (
+  select service, instance, tid, ts, sample_id, sample_id % 3 as batch from stack_samples),
+marks as (
+  select batch, max(ts) over (order by batch rows between unbounded preceding and 1 preceding) - interval 5 day as mark
+  from (select batch, max(ts) as ts from delivered group by batch))
+select service, instance, tid, ts, sample_id, batch, case when ts < mark then 'late' else 'timely' end as timing,
+  greatest(coalesce(epoch_us(mark) - epoch_us(ts), 0), 0) / 1e6::double as behind_seconds
+from delivered join marks using (batch)""",
     "stream_routes": STATEMENTS["route_logs"],
     "stream_sanitised_endpoints": STATEMENTS["sanitised_endpoints"],
     "stream_decoded_reports": STATEMENTS["decode_reports"],

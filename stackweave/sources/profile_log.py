@@ -1,7 +1,8 @@
 """Profile log records: the encoded body, and writing and reading the records.
 
-Spark numbers strings, functions, locations and samples. Python only turns one finished
-profile into bytes, or bytes into rows, inside Arrow batches; one profile is held at a time.
+Spark orders the samples, cuts ticks into parts and brings each part together; the codec turns the
+columns of a part into bytes, or bytes into columns, with numpy and Arrow. One part is held at a
+time. Its numbers are those of `operators.profiles`, which the tests hold against each other.
 """
 
 from __future__ import annotations
@@ -11,11 +12,14 @@ import gzip
 from collections.abc import Iterable, Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stackweave import session
+from stackweave.functions import clock, ids
 from stackweave.operators import profiles
 
 KEY_SCHEMA = "service string, instance string, source string, tick_ts {ts}, part int"
@@ -40,7 +44,7 @@ PPROF = {
     ],
 }
 
-_FRAMES_PER_BATCH = 100_000
+_BODY_BYTES = 1 << 24
 
 
 @cache
@@ -74,142 +78,183 @@ def profile_message():
     return message_factory.GetMessageClass(pool.FindMessageTypeByName(f"{package}.Profile"))
 
 
-def to_body(row: dict) -> str:
-    """One assembled profile as record body. Equal profiles give equal text."""
+def _first_seen(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places at which new codes are met, in order, and for every code the number of its first one."""
+    _, first, inverse = np.unique(codes, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    return first[order], number[inverse]
+
+
+def _codes(column: pa.Array) -> tuple[np.ndarray, list]:
+    """Numbers for the values of a column, missing ones included, and the values."""
+    encoded = pc.dictionary_encode(column, null_encoding="encode")
+    return encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary.to_pylist()
+
+
+def to_body(part: pa.Table | pa.RecordBatch) -> tuple[str, int]:
+    """One profile as record body, and its number of frames, from its samples in order: time_ms,
+    period_ms, tid, trace, span, frames root first. Equal profiles give equal text."""
     profile = profile_message()()
-    table = [entry["token"] for entry in row["strings"]]
-    number = {token: i for i, token in enumerate(table)}
-    profile.string_table.extend(table)
-    for function in row["functions"] or ():
-        name = number[function["func"]]
-        profile.function.add(
-            id=function["function_id"], name=name, system_name=name, filename=number[function["file"]]
-        )
-    for i, location in enumerate(row["locations"] or (), 1):
-        profile.location.add(id=i).line.add(function_id=location["function_id"], line=location["line"])
-    stacks = {stack["sample"]: stack["location_ids"] for stack in row["stacks"] or ()}
-    for sample in row["samples"]:
-        added = profile.sample.add(location_id=stacks.get(sample["sample"], ()))
-        for key, value in (
-            (profiles.LABEL_TIME, row["time_ms"]),
-            (profiles.LABEL_PERIOD, row["period_ms"]),
-            (profiles.LABEL_THREAD, sample["tid"]),
-        ):
-            added.label.add(key=number[key], num=value)
-        for key, value in ((profiles.LABEL_TRACE, sample["trace"]), (profiles.LABEL_SPAN, sample["span"])):
+    stacks = part["frames"].combine_chunks() if isinstance(part, pa.Table) else part["frames"]
+    stacks = stacks.fill_null(pa.scalar([], stacks.type)) if stacks.null_count else stacks
+    sizes = np.diff(stacks.offsets.to_numpy())
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    # Frames in the order of numbering: sample by sample, each from its leaf.
+    walk = np.repeat(2 * ends - sizes - 1, sizes) - np.arange(total)
+    place = np.arange(total) - np.repeat(ends - sizes, sizes)
+    sample = np.repeat(np.arange(len(sizes)), sizes)
+    flat = stacks.flatten()
+    (file, files), (func, funcs), (line, lines) = (_codes(flat.field(name)) for name in ("file", "func", "line"))
+    pair = (file * len(funcs) + func)[walk]
+    met, function_of = _first_seen(pair)
+    new, location_of = _first_seen(function_of * len(lines) + line[walk])
+    # Strings: what is met first, labels before the frames of a sample, a name before its file.
+    labels = [part[name].to_pylist() for name in ("trace", "span")]
+    tokens = [(s, k, value) for k in (0, 1) for s, value in enumerate(labels[k]) if value is not None]
+    tokens += [(s, 2 * p + 2, funcs[f]) for s, p, f in zip(sample[met].tolist(), place[met].tolist(), func[walk[met]].tolist(), strict=True)]
+    tokens += [(s, 2 * p + 3, files[f]) for s, p, f in zip(sample[met].tolist(), place[met].tolist(), file[walk[met]].tolist(), strict=True)]
+    number = {name: i for i, name in enumerate(profiles.RESERVED)}
+    for _, _, token in sorted(tokens, key=lambda t: t[:2]):
+        # A missing name is the empty string, as a message has no other.
+        number.setdefault(token or "", len(number))
+    profile.string_table.extend(number)
+    for i, at in enumerate(walk[met].tolist(), 1):
+        name = number[funcs[func[at]] or ""]
+        profile.function.add(id=i, name=name, system_name=name, filename=number[files[file[at]] or ""])
+    shown = [value or -1 for value in lines]
+    for i, (function, at) in enumerate(zip(function_of[new].tolist(), walk[new].tolist(), strict=True), 1):
+        profile.location.add(id=i).line.add(function_id=function + 1, line=shown[line[at]])
+    location_of += 1
+    key = [number[name] for name in profiles.RESERVED]
+    facts = zip(*(part[name].to_pylist() for name in ("time_ms", "period_ms", "tid")), *labels, ends.tolist(), sizes.tolist(), strict=True)
+    for time_ms, period_ms, tid, trace, span, end, size in facts:
+        added = profile.sample.add(location_id=location_of[end - size : end].tolist())
+        for which, value in ((0, time_ms), (4, period_ms), (3, tid)):
             if value is not None:
-                added.label.add(key=number[key], str=number[value])
-    return base64.b64encode(gzip.compress(profile.SerializeToString(), mtime=0)).decode("ascii")
+                added.label.add(key=key[which], num=value)
+        for which, value in ((1, trace), (2, span)):
+            if value is not None:
+                added.label.add(key=key[which], str=number[value])
+    return base64.b64encode(gzip.compress(profile.SerializeToString(), mtime=0)).decode("ascii"), total
 
 
-def from_body(body: str) -> list[tuple]:
-    """Samples of a record body: (time, period, thread, trace, span, frames root first)."""
+def from_body(body: str) -> tuple[list[tuple], pa.Array]:
+    """Samples of a record body: (time, period, thread, trace, span) each, and their frames, root first."""
     profile = profile_message()()
     profile.ParseFromString(gzip.decompress(base64.b64decode(body, validate=True)))
     text = profile.string_table
-    names = {f.id: (text[f.filename], text[f.name]) for f in profile.function}
-    places = {p.id: (*names[p.line[0].function_id], p.line[0].line) for p in profile.location}
-    rows = []
+    table = pa.array(list(text), pa.string())
+    functions = {f.id: i for i, f in enumerate(profile.function)}
+    named = np.array([(f.filename, f.name) for f in profile.function], np.int64).reshape(-1, 2)
+    places = {p.id: i for i, p in enumerate(profile.location)}
+    shown = np.array([(functions[p.line[0].function_id], p.line[0].line) for p in profile.location], np.int64).reshape(-1, 2)
+    rows, stacks = [], []
     for sample in profile.sample:
         found = {text[label.key]: label for label in sample.label}
         number = {key: found[key].num if key in found else None for key in profiles.RESERVED}
         name = {key: text[found[key].str] if key in found else None for key in profiles.RESERVED}
-        rows.append(
-            (
-                number[profiles.LABEL_TIME],
-                number[profiles.LABEL_PERIOD],
-                number[profiles.LABEL_THREAD],
-                name[profiles.LABEL_TRACE],
-                name[profiles.LABEL_SPAN],
-                [places[i] for i in reversed(sample.location_id)],
-            )
-        )
-    return rows
+        rows.append((
+            number[profiles.LABEL_TIME], number[profiles.LABEL_PERIOD], number[profiles.LABEL_THREAD],
+            name[profiles.LABEL_TRACE], name[profiles.LABEL_SPAN],
+        ))
+        stacks.append([places[i] for i in reversed(sample.location_id)])
+    offsets = np.concatenate(([0], np.cumsum([len(stack) for stack in stacks], dtype=np.int64)))
+    at = shown[np.fromiter((i for stack in stacks for i in stack), np.int64, int(offsets[-1]))]
+    columns = [table.take(pa.array(named[at[:, 0], which])) for which in (0, 1)]
+    frames = pa.StructArray.from_arrays([*columns, pa.array(at[:, 1])], ["file", "func", "line"])
+    return rows, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), frames)
+
+
+SAMPLE_COLUMNS = ["sample", "time_ms", "period_ms", "tid", "trace", "span", "frames"]
 
 
 def _encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by part and sample -> a record for each part."""
+    held: list[pa.RecordBatch] = []
+    done: list[tuple] = []
+    size = 0
+
+    def close() -> None:
+        nonlocal size
+        if held:
+            body, frames = to_body(pa.Table.from_batches(held))
+            done.append((held[0].slice(0, 1).select(profiles.KEY), frames, sum(b.num_rows for b in held), body))
+            size += len(body)
+            held.clear()
+
+    def flush() -> pa.RecordBatch:
+        nonlocal size
+        keys = pa.Table.from_batches([key for key, *_ in done]).combine_chunks().to_batches()[0]
+        columns = [pa.array(column, kind) for column, kind in zip(zip(*(d[1:] for d in done), strict=True), (pa.int64(), pa.int64(), pa.string()), strict=True)]
+        done.clear()
+        size = 0
+        return pa.RecordBatch.from_arrays([*keys.columns, *columns], [*profiles.KEY, "total_frames", "samples", "body"])
+
     for batch in batches:
-        bodies = [to_body(batch.slice(i, 1).to_pylist()[0]) for i in range(batch.num_rows)]
-        keys = [batch.column(name) for name in profiles.KEY]
-        yield pa.RecordBatch.from_arrays([*keys, pa.array(bodies, pa.string())], [*profiles.KEY, "body"])
-
-
-def _frames(stacks: list[list[tuple]]) -> pa.Array:
-    flat = [frame for stack in stacks for frame in stack]
-    offsets = [0]
-    for stack in stacks:
-        offsets.append(offsets[-1] + len(stack))
-    return pa.ListArray.from_arrays(
-        pa.array(offsets, pa.int32()),
-        pa.StructArray.from_arrays(
-            [
-                pa.array([f[0] for f in flat], pa.string()),
-                pa.array([f[1] for f in flat], pa.string()),
-                pa.array([f[2] for f in flat], pa.int64()),
-            ],
-            ["file", "func", "line"],
-        ),
-    )
+        # A part starts where the number of the sample does not grow.
+        numbers = batch.column("sample").to_numpy(zero_copy_only=False)
+        starts = np.flatnonzero(np.concatenate(([True], numbers[1:] <= numbers[:-1]))).tolist()
+        for begin, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            if numbers[begin] == 1:
+                close()
+            held.append(batch.slice(begin, end - begin))
+            if size >= _BODY_BYTES:
+                yield flush()
+    close()
+    if done:
+        yield flush()
 
 
 def _decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    none = pa.array([[]], pa.list_(pa.struct([("file", pa.string()), ("func", pa.string()), ("line", pa.int64())])))
+    names = [*profiles.KEY, "format", "sample", "time_ms", "period_ms", "tid", "trace_id", "span_id", "frames", "error"]
     for batch in batches:
-        formats, bodies = batch.column("format"), batch.column("body")
-        origin, numbers, rows, errors, size = [], [], [], [], 0
-
-        def flush(batch=batch, formats=formats):
-            at = pa.array(origin, pa.int64())
-            columns = [batch.column(name).take(at) for name in profiles.KEY]
-            columns += [formats.take(at), pa.array(numbers, pa.int32())]
-            for i, kind in enumerate([pa.int64()] * 3 + [pa.string()] * 2):
-                columns.append(pa.array([row[i] for row in rows], kind))
-            columns += [_frames([row[5] for row in rows]), pa.array(errors, pa.string())]
-            names = [*profiles.KEY, "format", "sample", "time_ms", "period_ms", "tid", "trace_id",
-                     "span_id", "frames", "error"]
-            return pa.RecordBatch.from_arrays(columns, names)
-
         for i in range(batch.num_rows):
             error = None
             try:
-                found = from_body(bodies[i].as_py())
+                rows, stacks = from_body(batch.column("body")[i].as_py())
             except Exception as failure:  # noqa: BLE001 - one bad record must not stop the job
-                found, error = [], f"{type(failure).__name__}: {failure}"
-            listed = list(enumerate(found, 1)) or [(None, (None, None, None, None, None, []))]
-            for number, row in listed:
-                origin.append(i)
-                numbers.append(number)
-                rows.append(row)
-                errors.append(error)
-                size += len(row[5]) + 1
-                if size >= _FRAMES_PER_BATCH:
-                    yield flush()
-                    origin, numbers, rows, errors, size = [], [], [], [], 0
-        if origin:
-            yield flush()
+                rows, error = [], f"{type(failure).__name__}: {failure}"
+            numbers = list(range(1, len(rows) + 1)) or [None]
+            if not rows:
+                rows, stacks = [(None,) * 5], none
+            at = pa.array([i] * len(rows), pa.int64())
+            columns = [batch.column(name).take(at) for name in (*profiles.KEY, "format")]
+            columns.append(pa.array(numbers, pa.int32()))
+            for k, kind in enumerate([pa.int64()] * 3 + [pa.string()] * 2):
+                columns.append(pa.array([row[k] for row in rows], kind))
+            yield pa.RecordBatch.from_arrays([*columns, stacks, pa.array([error] * len(rows), pa.string())], names)
 
 
 def _key_schema(df: DataFrame) -> str:
     return KEY_SCHEMA.format(ts=df.schema["tick_ts"].dataType.simpleString())
 
 
-def encode(assembled: DataFrame) -> DataFrame:
-    """Assembled profiles to (key, body)."""
-    return assembled.mapInArrow(_encode, f"{_key_schema(assembled)}, body string")
+def sample_columns(numbered: DataFrame, period_millis: int | None = None) -> DataFrame:
+    """What the codec reads of a sample. The period follows from the source where none is given, so
+    that continuous and snapshot samples may be encoded together."""
+    of_source = F.create_map(*(F.lit(x) for item in profiles.PERIOD_MILLIS.items() for x in item))
+    period = of_source[F.col("source")] if period_millis is None else F.lit(period_millis)
+    return numbered.select(
+        *profiles.KEY, "sample", clock.millis(F.col("tick_ts")).alias("time_ms"), period.cast("long").alias("period_ms"),
+        F.col("tid").cast("long").alias("tid"), ids.trace_label(F.col("trace_id")).alias("trace"),
+        ids.span_label(F.col("span_id")).alias("span"), "frames",
+    )
 
 
-def log_records(ticked: DataFrame, period_millis: int) -> DataFrame:
-    """Complete profile log records: the facts of every profile and its encoded body.
+def encode(numbered: DataFrame, period_millis: int | None = None) -> DataFrame:
+    """Numbered samples to (key, total_frames, samples, body), one row a part."""
+    rows = profiles.together(sample_columns(numbered, period_millis)).sortWithinPartitions(*profiles.KEY, "sample")
+    return rows.mapInArrow(_encode, f"{_key_schema(numbered)}, total_frames bigint, samples bigint, body string")
 
-    The tables of a profile are built in several branches. Samples with their context are
-    written to the shared folder first, so that no branch repeats the as-of join and losing
-    an executor costs a rescan.
-    """
-    ticked = session.written(
-        ticked.select(*profiles.KEY, "ts", "tid", "sample_id", "trace_id", "span_id", "frames"),
-        "profile-samples",
-    )
-    assembled = profiles.assemble(profiles.number_samples(ticked), period_millis)
-    return profiles.records(ticked).join(encode(assembled), profiles.KEY)
+
+def log_records(ticked: DataFrame, period_millis: int | None = None, part_samples: int = profiles.PART_SAMPLES) -> DataFrame:
+    """Complete profile log records: the facts of every profile and its encoded body."""
+    columns = [*profiles.TICK, "ts", "tid", "sample_id", "trace_id", "span_id", "frames"]
+    return profiles.with_attributes(encode(profiles.number_samples(ticked.select(*columns), part_samples), period_millis))
 
 
 def write(records: DataFrame, path: str) -> None:

@@ -213,6 +213,60 @@ def log_exports(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def span_exports(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested export requests: an order is a request, each service that takes part in it a resource.
+    Ids are bytes, and times nanoseconds, as exporters send them."""
+    def unhex(name: str) -> Column:
+        return F.coalesce(F.unhex(name), F.lit(b"")).alias(name)
+
+    def nanos(name: str) -> Column:
+        return (F.unix_micros(F.col(name).cast("timestamp")) * 1000).alias(name.replace("_ts", "_time_unix_nano"))
+
+    span = F.struct(
+        unhex("trace_id"), unhex("span_id"), unhex("parent_span_id"), F.concat(F.lit("line "), F.substring("span_id", 1, 4)).alias("name"),
+        nanos("start_ts"), nanos("end_ts"), F.create_map(F.lit("remote"), F.col("parent_is_remote").cast("string")).alias("attributes"),
+    )
+    of_service = order_spans(spark, folder).groupBy("trace_id", "service").agg(F.collect_list(span).alias("spans"))
+    scope = F.struct(F.struct(F.lit("orders").alias("name")).alias("scope"), F.col("spans"))
+    resource = F.struct(F.create_map(F.lit("service.name"), F.col("service")).alias("attributes"))
+    entry = F.struct(resource.alias("resource"), F.array(scope).alias("scope_spans"))
+    return of_service.groupBy("trace_id").agg(F.collect_list(entry).alias("resource_spans")).select("resource_spans")
+
+
+METRIC_SCHEMA = """struct<name:string, unit:string,
+  gauge:struct<data_points:array<struct<time_unix_nano:bigint, as_double:double, as_int:bigint, attributes:map<string,string>>>>,
+  sum:struct<data_points:array<struct<time_unix_nano:bigint, as_double:double, as_int:bigint, attributes:map<string,string>>>,
+    aggregation_temporality:int, is_monotonic:boolean>,
+  histogram:struct<data_points:array<struct<time_unix_nano:bigint, count:bigint, sum:double, bucket_counts:array<bigint>,
+    explicit_bounds:array<double>, attributes:map<string,string>>>, aggregation_temporality:int>>"""
+
+
+def metric_exports(spark: SparkSession, folder: str) -> DataFrame:
+    """Nested export requests: an event is a request with a metric of the kind that goes with its type:
+    gauges of one or two points, growing sums, histograms, and metrics without data."""
+    event, value = F.col("event_type"), F.col("value").cast("double")
+    nanos = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
+    attributes = F.create_map(F.lit("user"), F.col("user_id").cast("string"))
+    none = F.lit(None)
+
+    def point(as_double: Column, as_int: Column) -> Column:
+        return F.struct(nanos, as_double, as_int, attributes)
+
+    whole = (F.col("event_id") % 7).cast("long")
+    gauge = F.when(event == "view", F.struct(F.array(point(value, none.cast("long"))))).when(
+        event == "error", F.struct(F.array(point(value, none.cast("long")), point(none.cast("double"), whole)))
+    )
+    total = F.when(event == "click", F.struct(F.array(point(none.cast("double"), whole)), F.lit(2), F.lit(True)))
+    histogram = F.when(event == "purchase", F.struct(F.array(F.struct(
+        nanos, whole + 1, value, F.array(F.lit(1).cast("long"), whole), F.array(F.lit(10.0)), attributes)), F.lit(1)))
+    metric = F.struct(F.concat(F.lit("events."), event), F.lit("1"), gauge, total, histogram).cast(METRIC_SCHEMA)
+    scope = F.struct(F.struct(F.lit("events").alias("name")).alias("scope"), F.array(metric).alias("metrics"))
+    resource = F.struct(F.create_map(F.lit("service.name"), _service("user_id", EVENT_SERVICES)).alias("attributes"))
+    return table(spark, folder, "events").select(
+        "event_id", F.array(F.struct(resource.alias("resource"), F.array(scope).alias("scope_metrics"))).alias("resource_metrics")
+    )
+
+
 def metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Exported metric points, named after the return flag and status of order lines."""
     return table(spark, folder, "lineitem").select(

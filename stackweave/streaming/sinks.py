@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Mapping
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +58,44 @@ class LateRows(StreamingQueryListener):
         return self.rows[str(query.id)]
 
 
+def split_late(
+    stream: DataFrame, time: str, delay: str, path: str, checkpoint: str
+) -> StreamingQuery:
+    """Write all rows to `path`/rows, told apart by whether they came behind the watermark.
+
+    The watermark of a batch is the latest time in all batches before it, less the delay, as
+    Spark's own is; but late rows are kept as data, with the number of their batch and how far
+    behind they were, so that they can be counted, repaired or merged later. `timing` and `number`
+    are partitions: a reader of one kind prunes the other. Each batch notes the latest time seen so
+    far under its own number, and overwrites its own folders, so a batch that is repeated after a
+    failure decides alike and leaves nothing twice.
+    """
+    seconds = _seconds(delay)
+
+    def save(batch: DataFrame, number: int) -> None:
+        notes, rows = f"{path}/latest/number={number}", f"{path}/rows/number={number}"
+        spark = batch.sparkSession
+        latest = spark.read.parquet(f"{path}/latest/number={number - 1}").first()[0] if number else None
+        known = F.lit(latest).cast("timestamp")
+        at = F.col(time).cast("timestamp")
+        behind = F.coalesce(F.unix_micros(known) - F.lit(round(seconds * 1e6)) - F.unix_micros(at), F.lit(0))
+        marked = batch.withColumns({
+            "behind_seconds": F.greatest(behind, F.lit(0)) / F.lit(1e6), "timing": F.when(behind > 0, "late").otherwise("timely"),
+        })
+        marked.write.mode("overwrite").partitionBy("timing").parquet(rows)
+        told = spark.read.schema(marked.schema).parquet(rows)
+        told.agg(F.greatest(F.max(at), known).alias("latest")).write.mode("overwrite").parquet(notes)
+
+    return stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _seconds(delay: str) -> float:
+    """A delay such as '10 minutes' in seconds."""
+    amount, _, unit = delay.strip().partition(" ")
+    sizes = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}
+    return float(amount) * sizes[unit.strip().rstrip("s")]
+
+
 def drain(stream: DataFrame, label: str, *replays: Replay) -> DataFrame:
     """Process what is there, keep the result in the shared folder, and read it back.
 
@@ -114,11 +153,15 @@ class Replay:
         self.spark.range(1).select(*columns).coalesce(1).write.mode("append").parquet(self.path)
 
 
-def delay_of(*replays: Replay) -> str:
-    """A watermark delay for tables that are replayed together."""
+def delay_of(*replays: Replay, until: str | None = None) -> str:
+    """A watermark delay for tables that are replayed together; `until` is a day up to which what
+    follows may reach beyond their times."""
     seconds = [second for replayed in replays for second in replayed.range] or [0]
     # A second for what the seconds leave out, and a day for windows that reach further.
     delay = max(seconds) - min(seconds) + 1
     for replayed in replays:
-        replayed.until = max(seconds) + delay + 86_400
+        reach = max(seconds)
+        if until:
+            reach = max(reach, int(datetime.fromisoformat(until).replace(tzinfo=timezone.utc).timestamp()))
+        replayed.until = reach + delay + 86_400
     return f"{delay} seconds"

@@ -1,3 +1,5 @@
+import base64
+import gzip
 import random
 from datetime import datetime, timedelta
 
@@ -70,7 +72,7 @@ def frames(text):
 
 def numbered(spark, rows, **options):
     df = spark.createDataFrame(rows, SAMPLES)
-    return profiles.number_samples(profiles.in_ticks(df, **options))
+    return profiles.together(profiles.number_samples(profiles.in_ticks(df), **options))
 
 
 def in_order(df, number, *columns):
@@ -102,9 +104,6 @@ def message(spark, rows, period=100, **options):
     df = profiles.in_ticks(spark.createDataFrame(rows, SAMPLES), **options)
     record = profile_log.log_records(df, period).collect()[0]
     found = profile_log.profile_message()()
-    import base64
-    import gzip
-
     found.ParseFromString(gzip.decompress(base64.b64decode(record.body)))
     return record, found
 
@@ -169,11 +168,11 @@ def test_arrival_order_does_not_matter(spark):
         assert first == second
 
 
-@pytest.mark.parametrize("parts", [1, 3])
-def test_encode_then_decode_gives_the_samples_back(spark, parts):
+@pytest.mark.parametrize("part_samples", [1, 3, 1000])
+def test_encode_then_decode_gives_the_samples_back(spark, part_samples):
     rows = several(random.Random(4))
-    ticked = profiles.in_ticks(spark.createDataFrame(rows, SAMPLES), parts=parts)
-    records = profile_log.log_records(ticked, 1000)
+    ticked = profiles.in_ticks(spark.createDataFrame(rows, SAMPLES))
+    records = profile_log.log_records(ticked, 1000, part_samples)
     got = sorted(
         (r.tid, r.trace_id, r.span_id, [tuple(f) for f in r.frames])
         for r in profile_log.decode(records)
@@ -203,7 +202,7 @@ def test_user_filter_and_empty_ticks(spark):
     rows = [("a", 1, TICK, 1, None, None, [("f", "g", 1)]), ("a", 2, TICK + timedelta(seconds=5), 2, None, None, [("f", "g", 1)])]
     df = spark.createDataFrame(rows, SAMPLES)
     kept = profiles.in_ticks(df, keep=lambda samples: samples.filter("tid = 2"))
-    assert [r.samples for r in profiles.records(kept).collect()] == [1]
+    assert [r.samples for r in profiles.records(profiles.number_samples(kept)).collect()] == [1]
 
 
 def test_quality_finds_planted_faults(spark):
@@ -244,3 +243,52 @@ def test_recursion_counts_once_per_sample(spark):
     assert edges == {("main", "rec"): 1, ("rec", "rec"): 1}
     paths = {r.stack: r.samples for r in callgraph.folded_stacks(df, 10).collect()}
     assert paths == {"main": 1, "main;rec;rec;rec": 1}
+
+
+def test_the_codec_numbers_as_the_tables_do(spark):
+    """Strings, functions, locations and stacks of a record are those of the relational tables."""
+    rows = several(random.Random(9)) + [("a", 3, TICK, 90 + i, None, None, [("h", "a", i)] * 3) for i in range(5)]
+    base = numbered(spark, rows, part_samples=7).cache()
+    seen = profiles.first_seen(base)
+    strings = {}
+    for r in profiles.strings(base, seen).orderBy("string_id").collect():
+        strings.setdefault((r.tick_ts, r.part), []).append(r.token)
+    places = {}
+    for r in profiles.locations(seen).orderBy("location_id").collect():
+        places.setdefault((r.tick_ts, r.part), []).append((r.file, r.func, r.line))
+    stacks = {(r.tick_ts, r.part, r.sample): r.location_ids for r in profiles.samples(base).collect()}
+    records = profile_log.encode(base, 1000).collect()
+    assert len(records) == len(strings) > 6
+    for record in records:
+        profile = profile_log.profile_message()()
+        profile.ParseFromString(gzip.decompress(base64.b64decode(record.body)))
+        text, key = profile.string_table, (record.tick_ts, record.part)
+        assert list(text) == strings[key]
+        names = {f.id: (text[f.filename], text[f.name]) for f in profile.function}
+        assert [(*names[p.line[0].function_id], p.line[0].line) for p in profile.location] == places[key]
+        for number, sample in enumerate(profile.sample, 1):
+            assert list(sample.location_id) == stacks[(*key, number)]
+    base.unpersist()
+
+
+def test_a_tick_with_most_samples_is_spread(spark):
+    """Nine of ten samples, all of one moment, lie in one tick: its numbers are exact, and the work
+    on it is cut into parts that lie in several tasks."""
+    n = 9000
+    rows = [("a", k % 700, TICK, k, None, None, [("f", str(k % 50), 1)]) for k in range(n)]
+    rows += [("b", 1, TICK + timedelta(seconds=k), k, None, None, [("f", "g", 1)]) for k in range(n // 9)]
+    random.Random(1).shuffle(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = profiles.number_samples(profiles.in_ticks(spark.createDataFrame(rows, SAMPLES)), 500)
+        found = ranged.where("service = 'a'").orderBy("part", "sample").select("part", "sample", "tid", "sample_id").collect()
+        want = sorted((k % 700, k) for k in range(n))
+        assert [(r.tid, r.sample_id) for r in found] == want
+        assert [(r.part, r.sample) for r in found] == [(k // 500, k % 500 + 1) for k in range(n)]
+        paths = ranged.inputFiles()
+        sizes = spark.read.parquet(*paths).groupBy(F.input_file_name()).count().collect()
+        assert len(sizes) >= 3 and max(r["count"] for r in sizes) < 0.6 * len(rows)
+        tasks = profiles.together(ranged).groupBy(F.spark_partition_id()).agg(F.count_distinct("part").alias("parts")).collect()
+        assert len(tasks) >= 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
