@@ -56,3 +56,15 @@ def server_timing(trace_id: Column, span_id: Column) -> Column:
         is_valid_id(trace_id) & is_valid_id(span_id),
         F.format_string('traceparent;desc="00-%s-%s-01"', trace_hex(trace_id), span_hex(span_id)),
     )
+
+
+# The response header, and the one that lets scripts of other origins read it.
+SERVER_TIMING = "Server-Timing"
+EXPOSE_HEADERS = "Access-Control-Expose-Headers"
+
+
+def response_headers(trace_id: Column, span_id: Column) -> Column:
+    """All headers of a response as a map; none when the span is not valid."""
+    value = server_timing(trace_id, span_id)
+    headers = F.create_map(F.lit(SERVER_TIMING), value, F.lit(EXPOSE_HEADERS), F.lit(SERVER_TIMING))
+    return F.when(value.isNotNull(), headers).otherwise(F.create_map().cast("map<string,string>"))

@@ -1,8 +1,9 @@
 """Effective configuration of every process in a fleet.
 
-Settings arrive as rows (process, key, value). They are turned once into a row per process
-with a column per known setting, by a partial aggregate of constant size; everything after
-that is column arithmetic without a shuffle. A missing setting is null, an empty one is ''.
+Settings arrive as rows (process, key, value), with the time `ts` at which they were told if that
+is known. Of a setting that comes more than once the latest counts, whether its name is known or
+not. The settings of a process then become one map and a column per known setting; everything
+after that is column arithmetic without a shuffle. A missing setting is null, an empty one is ''.
 """
 
 from __future__ import annotations
@@ -118,21 +119,25 @@ def property_name(variable: Column, *prefixes: str) -> Column:
     return F.translate(name, "_", ".")
 
 
-def per_process(entries: DataFrame) -> DataFrame:
-    """One row per process, one column per known setting.
+SETTINGS_MAP = "_settings"
 
-    The known settings of a process are gathered into one short list, since a maximum of texts
-    would sort all entries on both sides of the shuffle. Of a setting that comes more than once
-    the greatest text counts.
-    """
-    known = F.when(F.col("key").isin(*DEFAULTS), F.struct("key", F.coalesce("value", F.lit("")).alias("value")))
-    listed = entries.groupBy(PROCESS).agg(F.collect_list(known).alias("_known"))
 
-    def value_of(name: str) -> Column:
-        mine = F.filter("_known", lambda entry: entry["key"] == name)
-        return F.array_max(F.transform(mine, lambda entry: entry["value"]))
+def latest(entries: DataFrame) -> DataFrame:
+    """One row per process and setting: its value at the latest time, of equal times the greatest
+    text. Repeats are dropped before the shuffle, so a process that tells its settings again and
+    again does not grow a group."""
+    at = F.col("ts") if "ts" in entries.columns else F.lit(None).cast("timestamp")
+    told = F.struct(at.alias("ts"), F.coalesce("value", F.lit("")).alias("value"))
+    named = entries.filter(F.col("key").isNotNull())
+    return named.groupBy(PROCESS, "key").agg(F.max(told).alias("_told")).select(PROCESS, "key", "_told.value")
+
 
-    return listed.select(PROCESS, *[value_of(name).alias(column(name)) for name in DEFAULTS])
+def per_process(entries: DataFrame) -> DataFrame:
+    """One row per process: all settings as a map, and one column per known setting."""
+    listed = latest(entries).groupBy(PROCESS).agg(F.collect_list(F.struct("key", "value")).alias("_listed"))
+    mapped = listed.select(PROCESS, F.map_from_entries("_listed").alias(SETTINGS_MAP))
+    own = [F.col(SETTINGS_MAP).getItem(name).alias(column(name)) for name in DEFAULTS]
+    return mapped.select(PROCESS, SETTINGS_MAP, *own)
 
 
 def apply_distribution(config: DataFrame, distribution: Distribution = Distribution()) -> DataFrame:
@@ -190,19 +195,12 @@ def apply_distribution(config: DataFrame, distribution: Distribution = Distribut
     )
 
 
-def as_entries(config: DataFrame) -> DataFrame:
-    """Back to rows (process, key, value); absent settings give none."""
-    listed = F.array(
-        *[F.struct(F.lit(name).alias("key"), setting(name).alias("value")) for name in DEFAULTS]
-    )
-    return config.select(PROCESS, F.inline(listed)).filter(F.col("value").isNotNull())
-
-
 def effective(entries: DataFrame, distribution: Distribution = Distribution()) -> DataFrame:
     """All settings of every process after start-up, unknown ones unchanged."""
-    known = as_entries(apply_distribution(per_process(entries), distribution))
-    unknown = entries.filter(~F.col("key").isin(*DEFAULTS)).select(PROCESS, "key", "value")
-    return known.unionByName(unknown)
+    config = apply_distribution(per_process(entries), distribution)
+    known = F.array(*[F.struct(F.lit(name).alias("key"), setting(name).alias("value")) for name in DEFAULTS])
+    others = F.map_entries(F.map_filter(SETTINGS_MAP, lambda key, _: ~key.isin(*DEFAULTS)))
+    return config.select(PROCESS, F.inline(F.concat(known, others))).filter(F.col("value").isNotNull())
 
 
 def signal_endpoint(signal: str) -> Column:
@@ -227,47 +225,55 @@ def resolved_endpoints(config: DataFrame) -> DataFrame:
     return config.select(PROCESS, F.inline(listed))
 
 
-def typed(config: DataFrame) -> DataFrame:
-    """Settings as numbers and flags, and which of them could not be read."""
-    polling = text.as_int(setting("agent.polling.interval"), int(DEFAULTS["agent.polling.interval"]))
-    readable = {
-        "profiler.call.stack.interval": "bigint",
-        "snapshot.sampling.interval": "bigint",
-        "snapshot.selection.probability": "double",
-        "agent.polling.interval": "bigint",
-    }
-    bad = F.array_compact(
-        F.array(
-            *[F.when(text.is_bad(setting(name), kind), F.lit(name)) for name, kind in readable.items()]
-        )
-    )
+SPARK_TYPES = {"int": "bigint", "double": "double", "boolean": "boolean"}
+TYPED = {name: kind for name, _, kind, _ in SETTINGS if kind in SPARK_TYPES}
 
-    def flag(name: str) -> Column:
-        return text.is_true(F.coalesce(setting(name), F.lit(DEFAULTS[name])))
 
-    def whole(name: str) -> Column:
-        return text.as_int(setting(name), int(DEFAULTS[name]))
+def _unreadable(name: str) -> Column:
+    """Told, but not a number of the declared type. A limit without a default may be empty, which is no limit."""
+    value = setting(name) if DEFAULTS[name] else text.present(setting(name))
+    return text.is_bad(value, SPARK_TYPES[TYPED[name]])
+
 
+def _read(name: str) -> Column:
+    """A setting as its declared type; its declared default, or null, where it is absent or unreadable."""
+    kind, default = TYPED[name], DEFAULTS[name]
+    if kind == "boolean":
+        return text.is_true(F.coalesce(setting(name), F.lit(default)))
+    return F.coalesce(setting(name).try_cast(SPARK_TYPES[kind]), F.lit(default or None).cast(SPARK_TYPES[kind]))
+
+
+def typed(config: DataFrame) -> DataFrame:
+    """Every declared number and flag as its type, and which of the numbers could not be read."""
+    numbers = [name for name, kind in TYPED.items() if kind != "boolean"]
+    bad = F.array_compact(F.array(*[F.when(_unreadable(name), F.lit(name)) for name in numbers]))
+    polling = _read("agent.polling.interval")
+    values = {column(name): _read(name) for name in TYPED}
+    values["agent_polling_interval"] = F.when(polling > 0, polling).otherwise(
+        F.lit(int(DEFAULTS["agent.polling.interval"])).cast("bigint")
+    )
     return config.select(
         PROCESS,
-        flag("profiler.enabled").alias("profiler_enabled"),
-        flag("snapshot.profiler.enabled").alias("snapshot_profiler_enabled"),
-        flag("trace.response.header.enabled").alias("trace_response_header_enabled"),
-        flag("agent.enabled").alias("agent_enabled"),
-        whole("profiler.call.stack.interval").alias("profiler_call_stack_interval"),
-        whole("snapshot.sampling.interval").alias("snapshot_sampling_interval"),
-        text.as_float(
-            setting("snapshot.selection.probability"),
-            float(DEFAULTS["snapshot.selection.probability"]),
-        ).alias("snapshot_selection_probability"),
-        F.when(polling > 0, polling)
-        .otherwise(F.lit(int(DEFAULTS["agent.polling.interval"])).cast("bigint"))
-        .alias("agent_polling_interval"),
+        *[value.alias(name) for name, value in values.items()],
         (polling <= 0).alias("polling_interval_not_positive"),
         F.array_join(bad, ",").alias("unreadable"),
     )
 
 
+def read_warnings(config: DataFrame) -> DataFrame:
+    """One row for every number that could not be read: process, key, value, and the warning."""
+    listed = F.array(*[
+        F.when(
+            _unreadable(name),
+            F.struct(F.lit(name).alias("key"), setting(name).alias("value"), F.lit(kind).alias("type"), F.lit(DEFAULTS[name]).alias("used")),
+        )
+        for name, kind in TYPED.items() if kind != "boolean"
+    ])
+    return config.select(PROCESS, F.inline(F.array_compact(listed))).withColumn(
+        "warning", F.format_string("setting %s: %s is no %s", "key", "value", "type")
+    )
+
+
 def report(config: DataFrame) -> DataFrame:
     """The effective-configuration report of every process as properties text."""
     def truth(name: str) -> Column:

@@ -297,6 +297,13 @@ def server_timing(spark, folder):
     )
 
 
+@query
+def response_headers(spark, folder):
+    """One row per header of a response."""
+    headers = ids.response_headers(F.col("trace_id"), F.col("parent_span_id"))
+    return tables.order_spans(spark, folder).select("trace_id", "span_id", F.explode(headers).alias("name", "value"))
+
+
 @query
 def flatten_scope_logs(spark, folder):
     flat = logs.flatten_logs(tables.log_exports(spark, folder), "doc_id")
@@ -413,6 +420,11 @@ def typed_config(spark, folder):
     return config.typed(config.per_process(tables.config_entries(spark, folder)))
 
 
+@query
+def unreadable_settings(spark, folder):
+    return config.read_warnings(config.per_process(tables.config_entries(spark, folder)))
+
+
 @query
 def config_report(spark, folder):
     return config.report(process_config(spark, folder))

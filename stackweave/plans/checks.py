@@ -289,6 +289,8 @@ raw_config as (
     case c_custkey % 6 when 0 then 'logging' when 1 then 'requests, logging , flask' when 2 then '*'
       when 3 then 'requests,flask' when 4 then '' end as disabled,
     case c_custkey % 5 when 0 then '10' when 1 then '' end as link_limit,
+    case c_custkey % 4 when 0 then '64' when 1 then '' when 2 then 'many' end as attribute_limit,
+    case c_custkey % 3 when 0 then 'true' when 1 then ' True' end as system_metrics,
     case when c_custkey % 2 = 0 then c_mktsegment end as custom
   from customer),
 named_config as (
@@ -307,7 +309,7 @@ full_config as (
         else headers end as headers,
       concat_ws(',', nullif(resource, ''), 'telemetry.distro.name=stackweave',
         'telemetry.distro.version=0.1.0') as resource,
-      coalesce(link_limit, '1000') as link_limit),
+      coalesce(link_limit, '1000') as link_limit, coalesce(attribute_limit, '') as attribute_limit),
     coalesce(nullif(service_name, ''), '') = '' as service_name_missing,
     coalesce(trim(realm), '') <> '' and good_realm is null as realm_ignored,
     'https://ingest.' || good_realm || '.example.com/v2/datapoint/otlp' as metrics_endpoint,
@@ -470,6 +472,11 @@ with {ORDER_SPANS}
 select trace_id, parent_span_id,
   'traceparent;desc="00-' || trace_id || '-' || parent_span_id || '-01"' as header
 from order_spans""",
+    "response_headers": f"""
+with {ORDER_SPANS}
+select trace_id, span_id, unnest(['Server-Timing', 'Access-Control-Expose-Headers']) as name,
+  unnest(['traceparent;desc="00-' || trace_id || '-' || parent_span_id || '-01"', 'Server-Timing']) as value
+from order_spans where parent_span_id is not null""",
     "flatten_scope_logs": """
 with lines as (
   select doc_id, lang, unnest(string_split(text, chr(10))) as body,
@@ -551,11 +558,11 @@ entries as (
       'resource.attributes', 'disabled.instrumentations', 'span.link.count.limit', 'custom.setting',
       'attribute.count.limit', 'span.attribute.count.limit', 'span.event.count.limit',
       'event.attribute.count.limit', 'link.attribute.count.limit', 'attribute.value.length.limit',
-      'experimental.resource.detectors', 'traces.sampler']) as key,
+      'experimental.resource.detectors', 'traces.sampler', 'system.metrics.enabled']) as key,
     unnest([service_name, realm, token, base_endpoint, base_protocol, traces_endpoint, metrics_endpoint,
       logs_endpoint, metrics_protocol, headers, logs_exporter, 'otlp', 'otlp', profiler, profiler_logs,
       stack_interval, snapshot, snapshot_interval, probability, polling, resource, disabled, link_limit,
-      custom, '', '', '', '', '', '12000', 'host,process', 'always_on']) as value
+      custom, attribute_limit, '', '', '', '', '12000', 'host,process', 'always_on', system_metrics]) as value
   from full_config)
 select * from entries where value is not null""",
     "resolved_endpoints": f"""
@@ -564,18 +571,38 @@ select * from resolved""",
     "typed_config": f"""
 with {CONFIG}
 select process, profiler_on as profiler_enabled, snapshot_on as snapshot_profiler_enabled,
-  true as trace_response_header_enabled, false as agent_enabled,
+  true as trace_response_header_enabled, false as agent_enabled, coalesce(lower(trim(system_metrics)) = 'true', false) as system_metrics_enabled,
+  try_cast(nullif(attribute_limit, 'many') as bigint) as attribute_count_limit, cast(12000 as bigint) as attribute_value_length_limit,
+  cast(null as bigint) as span_attribute_count_limit, cast(null as bigint) as span_event_count_limit,
+  cast(null as bigint) as event_attribute_count_limit, cast(null as bigint) as link_attribute_count_limit,
+  coalesce(try_cast(nullif(link_limit, '') as bigint), 1000) as span_link_count_limit,
   {WHOLE.format('stack_interval', 1000)} as profiler_call_stack_interval,
   {WHOLE.format('snapshot_interval', 10)} as snapshot_sampling_interval,
   coalesce(try_cast(nullif(probability, 'half') as double), 0.01) as snapshot_selection_probability,
   case when {WHOLE.format('polling', 30000)} > 0 then {WHOLE.format('polling', 30000)} else 30000 end
     as agent_polling_interval,
   coalesce(polling in ('0', '-5'), false) as polling_interval_not_positive,
-  concat_ws(',', case when stack_interval in ('abc', '', '1.5') then 'profiler.call.stack.interval' end,
+  concat_ws(',', case when attribute_limit = 'many' then 'attribute.count.limit' end,
+    case when link_limit = '' then 'span.link.count.limit' end, case when stack_interval in ('abc', '', '1.5') then 'profiler.call.stack.interval' end,
     case when snapshot_interval = 'x' then 'snapshot.sampling.interval' end,
     case when probability in ('half', '') then 'snapshot.selection.probability' end,
     case when polling = 'soon' then 'agent.polling.interval' end) as unreadable
 from full_config""",
+    "unreadable_settings": f"""
+with {CONFIG},
+bad as (
+  select process, 'attribute.count.limit' as key, attribute_limit as value, 'int' as type, '' as used from raw_config where attribute_limit = 'many'
+  union all
+  select process, 'span.link.count.limit', link_limit, 'int', '1000' from raw_config where link_limit = ''
+  union all
+  select process, 'profiler.call.stack.interval', stack_interval, 'int', '1000' from raw_config where stack_interval in ('abc', '', '1.5')
+  union all
+  select process, 'snapshot.sampling.interval', snapshot_interval, 'int', '10' from raw_config where snapshot_interval = 'x'
+  union all
+  select process, 'snapshot.selection.probability', probability, 'double', '0.01' from raw_config where probability in ('half', '')
+  union all
+  select process, 'agent.polling.interval', polling, 'int', '30000' from raw_config where polling = 'soon')
+select *, 'setting ' || key || ': ' || value || ' is no ' || type as warning from bad""",
     "config_report": f"""
 with {REPORT_SQL}
 select process, string_agg(key || '=' || value, chr(10) order by line) as report
@@ -646,12 +673,19 @@ select keys, concat('lib-', p_partkey) as name, unnest(range(len(components))) a
   case when p_partkey in (1, 2) then 'supported' else 'community' end as support
 from listed""",
     "inventory_counts": f"""
-with {REQUIREMENTS}
+with {REQUIREMENTS},
+{CONFIG},
+told as (
+  select unnest([count(service_name), count(realm), count(token), count(base_endpoint), count(base_protocol), count(traces_endpoint),
+    count(metrics_protocol), count(headers), count(logs_exporter), count(profiler), count(profiler_logs), count(stack_interval),
+    count(snapshot), count(snapshot_interval), count(probability), count(polling), count(resource), count(disabled),
+    count(link_limit), count(attribute_limit), count(system_metrics), count(custom)]) as processes
+  from raw_config)
 select 'dependencies' as kind, count(*) as entries from inventory
 union all
 select 'instrumentations', count(*) from part where p_size % 5 <> 0
 union all
-select 'settings', 20""",
+select 'settings', count(*) from told where processes > 0""",
 }
 
 STACK_LINES = """

@@ -325,12 +325,24 @@ def config_entries(spark: SparkSession, folder: str) -> DataFrame:
         "resource.attributes": pick(4, "team=a", "", "team=b,env=prod=x"),
         "disabled.instrumentations": pick(6, "logging", "requests, logging , flask", "*", "requests,flask", ""),
         "span.link.count.limit": pick(5, "10", ""),
+        "attribute.count.limit": pick(4, "64", "", "many"),
+        "system.metrics.enabled": pick(3, "true", " True"),
         "custom.setting": pick(2, F.col("c_mktsegment")),
     }
-    listed = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in values.items()])
+    # Some settings were told before with another value, and are told again.
+    told = F.to_timestamp(F.lit("2024-03-01")) + F.make_dt_interval(hours=(key % 50).cast("int"))
+    before = {"profiler.call.stack.interval": "77777", "snapshot.selection.probability": "zzz", "custom.setting": "zzz"}
+    rows = [F.struct(F.lit(k).alias("key"), v.alias("value"), told.alias("ts")) for k, v in values.items()]
+    rows += [
+        F.struct(
+            F.lit(k).alias("key"), F.when((key % 3 == 0) & values[k].isNotNull(), F.lit(v)).alias("value"),
+            (told - F.make_dt_interval(days=F.lit(1))).alias("ts"),
+        )
+        for k, v in before.items()
+    ]
     return (
         table(spark, folder, "customer")
-        .select(F.concat(F.lit("p"), number).alias("process"), F.inline(listed))
+        .select(F.concat(F.lit("p"), number).alias("process"), F.inline(F.array(*rows)))
         .filter(F.col("value").isNotNull())
     )
 

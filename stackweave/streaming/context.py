@@ -29,6 +29,9 @@ class CurrentContext(InOrder):
         self.current.update(state)
         return kept
 
+    def forget(self) -> None:
+        self.current.clear()
+
     def output(self, key, row):
         at, sample_id, trace_id, span_id, payload = row
         return (key[0], key[1], int(key[2]), at, sample_id, trace_id, span_id, payload)
@@ -46,20 +49,28 @@ class TrackedSpans(InOrder):
         self.open = handle.getMapState("open", "span_id string", "at bigint")
 
     def fold(self, rows: list[tuple]) -> list[tuple]:
-        known = {key[0] for key in self.open.keys()}
+        known = {key[0]: value[0] for key, value in self.open.iterator()}
+        if self.idle and rows:
+            # A span that has been open for so long has lost its end.
+            for span_id in [s for s, at in known.items() if at + self.idle * 1000 < rows[0][0]]:
+                del known[span_id]
+                self.open.removeKey((span_id,))
         kept = []
         for at, rank, seq, sample_id, trace_id, span_id, payload in rows:
             if rank == 1:
                 if known:
                     kept.append((at, sample_id, seq, span_id, payload))
             elif seq > 0:
-                known.add(span_id)
+                known[span_id] = at
                 self.open.updateValue((span_id,), (at,))
             elif span_id in known:
-                known.discard(span_id)
+                del known[span_id]
                 self.open.removeKey((span_id,))
         return kept
 
+    def forget(self) -> None:
+        self.open.clear()
+
     def output(self, key, row):
         at, sample_id, tid, span_id, payload = row
         return (key[0], key[1], tid, at, sample_id, key[2], span_id, payload)
@@ -97,18 +108,28 @@ def _restored(out: DataFrame, samples: DataFrame) -> DataFrame:
     return out.withColumn("frames", F.from_json("payload", FRAMES)).drop("payload")
 
 
-def attach_context(samples: DataFrame, changes: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Streaming as-of join; equals the batch one once the watermark has passed."""
+def attach_context(
+    samples: DataFrame, changes: DataFrame, delay: str = "10 minutes", bucket_seconds: int = 60, idle_seconds: int | None = None
+) -> DataFrame:
+    """Streaming as-of join; equals the batch one once the watermark has passed.
+
+    The context of a thread that was silent for `idle_seconds` is forgotten; without it, every thread
+    that ever had one keeps its last context in state."""
     at = F.col("ts").cast("timestamp").alias("ts")
     plain = samples.withColumns({"trace_id": F.lit(None), "span_id": F.lit(None)})
     rows = plain.select("service", _instance(samples), "tid", at, *_row(1, F.lit(0), F.col("sample_id"), _payload(samples)))
     moves = changes.select("service", _instance(changes), "tid", at, *_row(0, F.col("seq")))
-    out = run_in_order(rows.unionByName(moves), ["service", "instance", "tid"], CurrentContext(), delay)
+    out = run_in_order(rows.unionByName(moves), ["service", "instance", "tid"], CurrentContext(bucket_seconds, idle_seconds), delay)
     return _restored(out, samples)
 
 
-def keep_tracked(samples: DataFrame, tracked: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Streaming snapshot filter over samples that carry their context."""
+def keep_tracked(
+    samples: DataFrame, tracked: DataFrame, delay: str = "10 minutes", bucket_seconds: int = 60, idle_seconds: int | None = None
+) -> DataFrame:
+    """Streaming snapshot filter over samples that carry their context.
+
+    With `idle_seconds`, a span that has been open for longer, and a trace that was silent for as
+    long, are forgotten; without it, spans that never end stay in state."""
     at = F.col("ts").cast("timestamp").alias("ts")
     rows = samples.filter(F.col("trace_id").isNotNull()).select(
         "service", _instance(samples), at, *_row(1, F.col("tid"), F.col("sample_id"), _payload(samples))
@@ -121,5 +142,5 @@ def keep_tracked(samples: DataFrame, tracked: DataFrame, delay: str = "10 minute
     lasting = tracked.filter(F.col("end_ts").isNull() | (F.col("end_ts") > F.col("start_ts")))
     edges = lasting.select("service", _instance(lasting), "trace_id", "span_id", F.inline(moments)).filter("ts is not null")
     moves = edges.select("service", "instance", at, *_row(0, F.col("delta")))
-    out = run_in_order(rows.unionByName(moves), ["service", "instance", "trace_id"], TrackedSpans(), delay)
+    out = run_in_order(rows.unionByName(moves), ["service", "instance", "trace_id"], TrackedSpans(bucket_seconds, idle_seconds), delay)
     return _restored(out, samples)

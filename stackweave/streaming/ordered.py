@@ -1,12 +1,15 @@
 """State that follows event order although rows arrive in any order.
 
-Rows of one key wait in state until the watermark has passed them, and are then folded in
-time order. A key here is one thread, or one trace in one process; its rate is bounded by
-the sampling period.
+Rows of one key wait in coarse buckets of time. A bucket is one entry of the state, with a timer at
+its end: once the watermark has passed it, that bucket alone is read, folded in time order and
+removed. Rows that wait for later buckets are not touched, so the work on a row does not depend on
+how many wait. Keys that stay silent for `idle_seconds` are forgotten, if that is asked for.
 """
 
 from __future__ import annotations
 
+import json
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,46 +30,71 @@ def _text(item):
 
 
 class InOrder(StatefulProcessor):
-    """Buffers rows, and folds those the watermark has passed."""
+    """Keeps rows in buckets, and folds the buckets that the watermark has passed."""
+
+    def __init__(self, bucket_seconds: int = 60, idle_seconds: int | None = None):
+        self.width = bucket_seconds * 1_000_000
+        self.idle = idle_seconds * 1000 if idle_seconds else None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", ROW_SCHEMA)
+        self.waiting = handle.getMapState("waiting", "bucket bigint", "rows string")
+        self.known = handle.getValueState("known", "buckets string, last bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        earliest = None
+        found = defaultdict(list)
         for batch in rows:
-            found = [
-                (
-                    int(r.at), int(r.rank), int(r.seq), int(r.sample_id),
-                    _text(r.trace_id), _text(r.span_id), _text(r.payload),
-                )
-                for r in batch[ROW_NAMES].itertuples(index=False)
-            ]
-            if found:
-                self.waiting.appendList(found)
-                first = min(row[0] for row in found)
-                earliest = first if earliest is None else min(earliest, first)
-        if earliest is not None:
-            self._wake(earliest)
+            for r in batch[ROW_NAMES].itertuples(index=False):
+                row = (int(r.at), int(r.rank), int(r.seq), int(r.sample_id), _text(r.trace_id), _text(r.span_id), _text(r.payload))
+                found[row[0] // self.width].append(row)
+        buckets, last = self._known()
+        for bucket, new in found.items():
+            if bucket in buckets:
+                new = json.loads(self.waiting.getValue((bucket,))[0]) + new
+            else:
+                buckets.append(bucket)
+                self.handle.registerTimer(self._end(bucket))
+            self.waiting.updateValue((bucket,), (json.dumps(new),))
+            last = max(last, self._end(bucket))
+        if found:
+            self._remember(buckets, last)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted((tuple(row) for row in self.waiting.get()), key=lambda row: row[:3])
-        ready = [row for row in rows if row[0] <= passed]
-        later = rows[len(ready):]
-        self.waiting.clear()
-        if later:
-            self.waiting.put(later)
-            self._wake(later[0][0])
-        kept = self.fold(ready)
-        if kept:
-            names = ["service", "instance", "tid", "at", "sample_id", "trace_id", "span_id", "payload"]
-            yield pd.DataFrame([self.output(key, row) for row in kept], columns=names)
-
-    def _wake(self, at: int) -> None:
-        self.handle.registerTimer(-(-at // 1000))
+        passed = timerValues.getCurrentWatermarkInMs()
+        buckets, last = self._known()
+        due = sorted(bucket for bucket in buckets if self._end(bucket) <= passed)
+        for bucket in due:
+            rows = sorted((tuple(row) for row in json.loads(self.waiting.getValue((bucket,))[0])), key=lambda row: row[:3])
+            self.waiting.removeKey((bucket,))
+            kept = self.fold(rows)
+            if kept:
+                names = ["service", "instance", "tid", "at", "sample_id", "trace_id", "span_id", "payload"]
+                yield pd.DataFrame([self.output(key, row) for row in kept], columns=names)
+        left = [bucket for bucket in buckets if bucket not in set(due)]
+        if self.idle and not left and last + self.idle <= passed:
+            self.forget()
+            self.known.clear()
+        elif due:
+            self._remember(left, last)
+            if self.idle:
+                self.handle.registerTimer(last + self.idle)
+
+    def forget(self) -> None:
+        """Drop what a silent key has left."""
+
+    def _end(self, bucket: int) -> int:
+        """When a bucket is over, in milliseconds."""
+        return -(-(bucket + 1) * self.width // 1000)
+
+    def _known(self) -> tuple[list[int], int]:
+        if not self.known.exists():
+            return [], 0
+        buckets, last = self.known.get()
+        return json.loads(buckets), last
+
+    def _remember(self, buckets: list[int], last: int) -> None:
+        self.known.update((json.dumps(buckets), last))
 
     def close(self) -> None:
         pass

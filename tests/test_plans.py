@@ -62,10 +62,12 @@ def test_stateless_work_has_no_shuffle(spark, small):
         assert "Exchange" not in plan_of(spark, small, name), name
 
 
-def test_configuration_is_shuffled_once(spark, small):
-    for name in ("config_report", "resolved_endpoints", "typed_config"):
+def test_configuration_is_shuffled_as_settings_and_as_processes(spark, small):
+    """Repeats go before the first exchange; the second moves one row per process and setting, and
+    nothing after it moves or sorts anything, whatever is computed."""
+    for name in ("config_report", "resolved_endpoints", "typed_config", "effective_config"):
         plan = plan_of(spark, small, name)
-        assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan, name
+        assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Scan parquet") == 1, name
 
 
 def test_profiles_are_shuffled_once(spark, small):
