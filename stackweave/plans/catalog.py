@@ -475,6 +475,16 @@ def unsupported_attributes(spark, folder):
     return attributes.unsupported(tables.typed_attributes(spark, folder)).select("p_partkey", "warning")
 
 
+@query
+def encoded_variants(spark, folder):
+    return attributes.encode_variants(tables.variant_attributes(spark, folder))
+
+
+@query
+def unsupported_variants(spark, folder):
+    return attributes.unsupported_variants(tables.variant_attributes(spark, folder)).select("p_partkey", "warning")
+
+
 @query
 def attribute_partition(spark, folder):
     resource = tables.resource_maps(spark, folder)
@@ -557,6 +567,19 @@ def all_profiles_roundtrip(spark, folder):
     return _read_back(profile_log.decode(records))
 
 
+@query
+def dated_records(spark, folder):
+    """Records written by date, one batch twice over, and the first week of them read back."""
+    path = session.new_folder(spark, "dated-records")
+    narrow = profile_log.encode(profiles.number_samples(ticked(spark, folder, SECOND), PART_SAMPLES))
+    records = session.written(profiles.with_attributes(narrow), "records")
+    early = F.col("tick_ts") < F.lit("2024-01-05").cast("timestamp_ntz")
+    for batch, chosen in enumerate((early, ~early, ~early)):
+        profile_log.write(records.where(chosen), path, batch=min(batch, 1))
+    found = profile_log.read(spark, path, "2024-01-03", "2024-01-08")
+    return found.groupBy("date", "service", "source").agg(F.count("*").alias("records"), F.sum("samples").alias("samples"))
+
+
 @query
 def profile_quality(spark, folder):
     return quality.violations(decoded(spark, folder)).select(*PART, F.col("sample").cast("long").alias("sample"), "rule")

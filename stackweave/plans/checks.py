@@ -649,6 +649,16 @@ from part""",
 select p_partkey, 'attribute custom.mapping has unsupported type map' as warning from part
 union all
 select p_partkey, 'attribute custom.missing has unsupported type list' from part""",
+    "encoded_variants": """
+select p_partkey, unnest(['service.name', 'process.pid', 'custom.share', 'custom.flag', 'custom.mixed', 'custom.objects', 'custom.empty']) as key,
+  unnest(['string', 'int', 'float', 'bool', 'string', 'string', 'string']) as type,
+  unnest([lower(p_brand), p_size::varchar, p_size || '.5', case when p_size > 25 then 'true' else 'false' end,
+    '[1,"' || string_split(p_name, ' ')[1] || chr(92) || 'u00e9",true,null,2.5,[' || p_size || ',"x"]]',
+    '[{"k":' || p_size || '}]', '[]']) as value
+from part""",
+    "unsupported_variants": """
+select p_partkey, unnest(['attribute custom.mapping has unsupported type map', 'attribute custom.missing has unsupported type none']) as warning
+from part""",
     "attribute_partition": """
 select p_partkey, concat('service.instance.id=', p_partkey, ';service.name=', lower(p_brand)) as identifying,
   concat('host.name=', p_name, ';process.pid=', p_size) as describing
@@ -708,6 +718,13 @@ select {PART}, source, sample, epoch_ms(tick_ts) as time_ms,
   cast(case source when 'snapshot' then 10 else 1000 end as bigint) as period_ms, tid,
   trace_id, span_id, depth, md5(array_to_string(lines, chr(10))) as stack
 from all_ticked join lines using (sample_id)""",
+    "dated_records": f"""
+with {WITH_CONTEXT},
+seconds as (
+  select service, instance, date_trunc('second', ts) as tick_ts, count(*) as samples from with_context group by all)
+select cast(tick_ts as date) as date, service, 'continuous' as source, cast(sum((samples + 3) // 4) as bigint) as records,
+  cast(sum(samples) as bigint) as samples
+from seconds where tick_ts >= '2024-01-03' and tick_ts < '2024-01-08' group by all""",
     "profile_quality": f"""
 with {TICKED}
 select {PART}, sample, 'missing_trace_id' as rule from ticked where trace_id is null

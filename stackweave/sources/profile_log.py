@@ -15,8 +15,9 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from stackweave import session
 from stackweave.functions import clock, ids
@@ -257,11 +258,36 @@ def log_records(ticked: DataFrame, period_millis: int | None = None, part_sample
     return profiles.with_attributes(encode(profiles.number_samples(ticked.select(*columns), part_samples), period_millis))
 
 
-def write(records: DataFrame, path: str) -> None:
-    """Append records by service and source. Rebalancing keeps the number of files down and
-    still splits a service that holds much of the data."""
-    spread = records.hint("rebalance", F.col("service"), F.col("source"))
-    spread.write.mode("append").partitionBy("service", "source").parquet(path)
+def write(records: DataFrame, path: str, batch: int = 0) -> None:
+    """Write one batch of records by date, service and source, beside the batches that are there.
+
+    Only the partitions of this batch are replaced, so writing it again changes nothing. Rebalancing
+    keeps the number of files down and still splits a service that holds much of the data.
+    """
+    dated = records.withColumns({"date": F.to_date("tick_ts"), "batch": F.lit(batch)})
+    spread = dated.hint("rebalance", F.col("date"), F.col("service"), F.col("source"))
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "date", "service", "source", "batch"
+    ).parquet(path)
+
+
+def write_stream(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """A stream of records to the same layout; a batch that is repeated after a failure replaces itself."""
+    def save(batch: DataFrame, number: int) -> None:
+        write(batch, path, number)
+
+    return records.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read(spark: SparkSession, path: str, begin: str | None = None, end: str | None = None) -> DataFrame:
+    """Written records whose tick lies in [begin, end); the days outside are not opened."""
+    records = spark.read.parquet(path)
+    kind = records.schema["tick_ts"].dataType
+    if begin is not None:
+        records = records.where((F.col("date") >= F.to_date(F.lit(begin))) & (F.col("tick_ts") >= F.lit(begin).cast(kind)))
+    if end is not None:
+        records = records.where((F.col("date") <= F.to_date(F.lit(end))) & (F.col("tick_ts") < F.lit(end).cast(kind)))
+    return records
 
 
 def decode(records: DataFrame) -> DataFrame:

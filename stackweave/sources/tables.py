@@ -413,6 +413,25 @@ def typed_attributes(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select("p_partkey", F.inline(listed))
 
 
+def variant_attributes(spark: SparkSession, folder: str) -> DataFrame:
+    """Resource attributes as variants: lists of items of several types, nested lists, mappings."""
+    size, name = F.col("p_size").cast("string"), F.element_at(F.split("p_name", " "), 1)
+    texts = {
+        "service.name": F.concat(F.lit('"'), F.lower("p_brand"), F.lit('"')),
+        "process.pid": size,
+        "custom.share": F.concat(size, F.lit(".5")),
+        "custom.flag": F.when(F.col("p_size") > 25, "true").otherwise("false"),
+        "custom.mixed": F.concat(F.lit('[ 1, "'), name, F.lit('é", true, null, 2.5, ['), size, F.lit(', "x"] ]')),
+        "custom.objects": F.concat(F.lit('[{"k": '), size, F.lit("}]")),
+        "custom.empty": F.lit("[]"),
+        "custom.mapping": F.concat(F.lit('{"k": '), size, F.lit("}")),
+        "custom.missing": F.lit("null"),
+    }
+    listed = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("text")) for k, v in texts.items()])
+    rows = table(spark, folder, "part").select("p_partkey", F.inline(listed))
+    return rows.select("p_partkey", "key", F.parse_json("text").alias("value"))
+
+
 def resource_maps(spark: SparkSession, folder: str) -> DataFrame:
     """The same kind of attributes as one map per resource."""
     return table(spark, folder, "part").select(

@@ -33,13 +33,16 @@ class InOrder(StatefulProcessor):
     """Keeps rows in buckets, and folds the buckets that the watermark has passed."""
 
     def __init__(self, bucket_seconds: int = 60, idle_seconds: int | None = None):
+        if idle_seconds is not None and idle_seconds < bucket_seconds:
+            raise ValueError("a key cannot be silent for less than a bucket")
         self.width = bucket_seconds * 1_000_000
         self.idle = idle_seconds * 1000 if idle_seconds else None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getMapState("waiting", "bucket bigint", "rows string")
-        self.known = handle.getValueState("known", "buckets string, last bigint")
+        # Buckets that wait, the end of the latest, and the time of the last row that was folded.
+        self.known = handle.getValueState("known", "told string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         found = defaultdict(list)
@@ -47,7 +50,7 @@ class InOrder(StatefulProcessor):
             for r in batch[ROW_NAMES].itertuples(index=False):
                 row = (int(r.at), int(r.rank), int(r.seq), int(r.sample_id), _text(r.trace_id), _text(r.span_id), _text(r.payload))
                 found[row[0] // self.width].append(row)
-        buckets, last = self._known()
+        buckets, last, folded = self._known()
         for bucket, new in found.items():
             if bucket in buckets:
                 new = json.loads(self.waiting.getValue((bucket,))[0]) + new
@@ -57,16 +60,20 @@ class InOrder(StatefulProcessor):
             self.waiting.updateValue((bucket,), (json.dumps(new),))
             last = max(last, self._end(bucket))
         if found:
-            self._remember(buckets, last)
+            self._remember(buckets, last, folded)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        buckets, last = self._known()
+        buckets, last, folded = self._known()
         due = sorted(bucket for bucket in buckets if self._end(bucket) <= passed)
         for bucket in due:
             rows = sorted((tuple(row) for row in json.loads(self.waiting.getValue((bucket,))[0])), key=lambda row: row[:3])
             self.waiting.removeKey((bucket,))
+            # Silence is measured between rows, so that it does not matter when the timer came.
+            if self.idle and folded is not None and rows[0][0] - folded > self.idle * 1000:
+                self.forget()
+            folded = rows[-1][0]
             kept = self.fold(rows)
             if kept:
                 names = ["service", "instance", "tid", "at", "sample_id", "trace_id", "span_id", "payload"]
@@ -76,7 +83,7 @@ class InOrder(StatefulProcessor):
             self.forget()
             self.known.clear()
         elif due:
-            self._remember(left, last)
+            self._remember(left, last, folded)
             if self.idle:
                 self.handle.registerTimer(last + self.idle)
 
@@ -87,14 +94,11 @@ class InOrder(StatefulProcessor):
         """When a bucket is over, in milliseconds."""
         return -(-(bucket + 1) * self.width // 1000)
 
-    def _known(self) -> tuple[list[int], int]:
-        if not self.known.exists():
-            return [], 0
-        buckets, last = self.known.get()
-        return json.loads(buckets), last
+    def _known(self) -> tuple[list[int], int, int | None]:
+        return tuple(json.loads(self.known.get()[0])) if self.known.exists() else ([], 0, None)
 
-    def _remember(self, buckets: list[int], last: int) -> None:
-        self.known.update((json.dumps(buckets), last))
+    def _remember(self, buckets: list[int], last: int, folded: int | None) -> None:
+        self.known.update((json.dumps([buckets, last, folded]),))
 
     def close(self) -> None:
         pass

@@ -214,3 +214,36 @@ def test_attributes(spark):
     assert [r.warning for r in attributes.unsupported(df).collect()] == [
         "attribute custom.mapping has unsupported type map"
     ]
+
+
+def test_the_latest_setting_counts_whether_known_or_not(spark):
+    rows = [("p", "realm", "zz", "2024-01-01"), ("p", "realm", "aa", "2024-01-02"), ("p", "own", "z", "2024-01-01"),
+            ("p", "own", "a", "2024-01-03"), ("p", "own", "b", "2024-01-03"), ("p", "own", "c", None), ("q", None, "x", None)]
+    df = spark.createDataFrame(rows, "process string, key string, value string, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    found = {(r.process, r.key): r.value for r in config.effective(df).collect()}
+    assert found["p", "realm"] == "aa" and found["p", "own"] == "b" and not any(process == "q" for process, _ in found)
+
+
+def test_every_declared_number_and_flag_is_typed(spark):
+    kinds = {config.column(n): k for n, _, k, _ in config.SETTINGS if k != "string"}
+    bad = {n: "abc" for n, _, k, _ in config.SETTINGS if k in ("int", "double")}
+    df = spark.createDataFrame([("p", n, v) for n, v in bad.items()] + [("p", "profiler.enabled", " TRUE")], "process string, key string, value string")
+    read = config.typed(config.per_process(df))
+    names = {"int": "bigint", "double": "double", "boolean": "boolean"}
+    assert {c: t for c, t in read.dtypes if c in kinds} == {c: names[k] for c, k in kinds.items()}
+    row = read.first()
+    assert row.profiler_enabled and row.span_link_count_limit == 1000 and row.attribute_count_limit is None
+    assert row.unreadable.split(",") == list(bad)
+    told = config.read_warnings(config.per_process(df)).collect()
+    assert {r.key for r in told} == set(bad) and told[0].warning.startswith("setting ")
+
+
+def test_variant_attributes_keep_the_type_of_every_item(spark):
+    texts = {"a": '[1,"\\u00e9\\ud83d\\ude00",true,null,2.5,["x",[3]],{"k":"v"}]', "b": '{"k":1}', "c": "null", "d": '"x"', "e": "7", "f": "1.5", "g": "true", "h": "[]"}
+    df = spark.createDataFrame(list(texts.items()), "key string, text string").select("key", F.parse_json("text").alias("value"))
+    packed = df.unionByName(spark.sql("select 'i' as key, to_variant_object(array(cast('ab' as binary))) as value")).unionByName(
+        spark.sql("select 'j' as key, cast(cast('ab' as binary) as variant) as value"))
+    found = {r.key: (r.type, r.value) for r in attributes.encode_variants(packed).collect()}
+    assert found == {"a": ("string", texts["a"]), "d": ("string", "x"), "e": ("int", "7"), "f": ("float", "1.5"), "g": ("bool", "true"),
+                     "h": ("string", "[]"), "j": ("bytes", "YWI=")}
+    assert {r.key: r.type for r in attributes.unsupported_variants(packed).collect()} == {"b": "map", "c": "none", "i": "list"}

@@ -227,11 +227,23 @@ def test_quality_finds_planted_faults(spark):
     assert "wrong_format" in rules
 
 
-def test_records_are_written_by_service_and_source(spark, tmp_path):
-    df = profiles.in_ticks(spark.createDataFrame([("a", 1, TICK, 1, TRACE, SPAN, [("f", "g", 1)])], SAMPLES))
-    profile_log.write(profile_log.log_records(df, 1000), str(tmp_path / "out"))
-    assert (tmp_path / "out" / "service=a" / "source=continuous").is_dir()
-    assert profile_log.decode(spark.read.parquet(str(tmp_path / "out"))).count() == 1
+def test_records_are_written_by_date_and_a_repeated_batch_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "out")
+    days = [TICK, TICK + timedelta(days=1), TICK + timedelta(days=2)]
+    records = [
+        profile_log.log_records(profiles.in_ticks(spark.createDataFrame([("a", 1, ts, k, TRACE, SPAN, [("f", "g", 1)])], SAMPLES)), 1000)
+        for k, ts in enumerate(days)
+    ]
+    profile_log.write(records[0].unionByName(records[1]), path, 0)
+    for _ in range(2):
+        profile_log.write(records[1].unionByName(records[2]), path, 1)
+    assert (tmp_path / "out" / "date=2024-09-20" / "service=a" / "source=continuous" / "batch=1").is_dir()
+    assert profile_log.decode(spark.read.parquet(path)).count() == 4
+    some = profile_log.read(spark, path, "2024-09-20", "2024-09-21")
+    assert profile_log.decode(some).count() == 2
+    assert "PartitionFilters: [isnotnull(date" in some._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
 
 
 def test_recursion_counts_once_per_sample(spark):

@@ -1,13 +1,18 @@
+import random
 import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from stackweave import session
 from stackweave.operators import context as batch_context
+from stackweave.operators import profiles
 from stackweave.operators import spans as batch_spans
 from stackweave.plans import catalog
+from stackweave.sources import profile_log
 from stackweave.streaming import context, sinks, windows
+from stackweave.streaming import profiles as stream_profiles
 
 START = datetime(2024, 1, 1)
 
@@ -144,3 +149,102 @@ def test_a_table_may_be_a_file_or_a_folder(spark, small, parts):
     pages.repartition(parts).write.parquet(f"{folder}/pages.parquet")
     assert sinks.drain(catalog.stream_of(spark, folder, "pages"), "pages").count() == pages.count()
     assert sinks.drain(catalog.stream_of(spark, small, "pages"), "pages").count() == pages.count()
+
+
+def state_rows(query):
+    """Rows in state after the last batch that had any state."""
+    told = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress if p["stateOperators"]]
+    return told[-1]
+
+
+def run(df, label):
+    path = session.new_folder(df.sparkSession, label)
+    query = (
+        df.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{path}-c").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return query, df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def test_silent_threads_are_forgotten(spark):
+    """Buckets that were folded are gone, and with a limit so is the context of a silent thread."""
+    samples = [[("a", t, at(60 * t), t, []) for t in range(30)], [("z", 9, at(90_000), 99, [])], [("a", 1, at(90_001), 98, [])], [("z", 9, at(200_000), 97, [])]]
+    changes = [[("a", t, at(60 * t - 5), t, f"t{t}", f"s{t}") for t in range(30)], [("z", 9, at(90_000), 1, None, None)], [], [("z", 9, at(200_000), 2, None, None)]]
+    kept = {}
+    for idle in (None, 3600):
+        out = context.attach_context(stream(spark, samples, SAMPLES), stream(spark, [c for c in changes if c], CHANGES), "1 second", 30, idle)
+        query, found = run(out.drop("frames"), "idle")
+        rows = {r.sample_id: r.trace_id for r in found.collect()}
+        assert all(rows[t] == f"t{t}" for t in range(30))
+        kept[idle] = (state_rows(query), rows.get(98))
+    assert kept[None][1] == "t1" and kept[3600][1] is None
+    assert kept[3600][0] < kept[None][0] / 2
+
+
+def test_spans_without_an_end_are_forgotten(spark):
+    sample_schema = "service string, tid long, ts timestamp, sample_id long, trace_id string, span_id string"
+    span_schema = "service string, trace_id string, span_id string, start_ts timestamp, end_ts timestamp"
+    samples = [[("a", 1, at(s), s, "t", "x") for s in (10, 500, 5000)], [("a", 1, at(9000), 9000, "u", "x")], [("a", 1, at(99_000), 99_000, "v", "x")]]
+    spans = [[("a", "t", "s", at(5), None)], [("a", "u", "s", at(9000), None)], [("a", "v", "s", at(99_000), None)]]
+    found = {}
+    for idle in (None, 1000):
+        out = context.keep_tracked(stream(spark, samples, sample_schema), stream(spark, spans, span_schema), "1 second", 60, idle)
+        found[idle] = sorted(r.sample_id for r in run(out, "open")[1].collect())
+    assert found == {None: [10, 500, 5000, 9000], 1000: [10, 500, 9000]}
+
+
+def test_late_rows_are_kept_as_data_and_a_repeated_batch_changes_nothing(spark):
+    rows = [[(1, at(100)), (2, at(200))], [(3, at(139)), (4, at(140)), (5, None)], [], [(6, at(300)), (7, at(0))]]
+    df = stream(spark, [r for r in rows if r], "id int, ts timestamp")
+    path = session.new_folder(spark, "late-data")
+    for attempt in ("one", "two"):
+        sinks.split_late(df, "ts", "1 minute", path, f"{path}-{attempt}").awaitTermination()
+        found = {r.id: (r.timing, r.number, r.behind_seconds) for r in spark.read.parquet(f"{path}/rows").collect()}
+        assert found == {1: ("timely", 0, 0.0), 2: ("timely", 0, 0.0), 3: ("late", 1, 1.0), 4: ("timely", 1, 0.0), 5: ("timely", 1, 0.0),
+                         6: ("timely", 2, 0.0), 7: ("late", 2, 140.0)}
+
+
+def test_stream_intervals_equal_batch_on_odd_spans(spark):
+    """Spans that touch, nest, never end, end as they start, or end before; whatever order they come in."""
+    schema = "service string, start_ts timestamp, end_ts timestamp"
+    spans = [("a", at(0), at(10)), ("a", at(70), at(70)), ("a", at(130), at(120)), ("a", at(191), at(195)), ("a", at(192), at(900)), ("a", at(300), at(301)),
+             ("b", at(0), at(5)), ("b", at(1000), None), ("b", at(5000), at(5001)), ("c", at(7), at(7))]
+    dice = random.Random(3)
+    spans += [("d", at(s), at(s + dice.randrange(200))) for s in (dice.randrange(20_000) for _ in range(60))]
+    dice.shuffle(spans)
+    df = spark.createDataFrame(spans, schema)
+    replayed = sinks.Replay(df, "odd-intervals", "start_ts")
+    out = windows.active_intervals(replayed.stream, delay=sinks.delay_of(replayed, until=windows.NEVER))
+    columns = ["service", "start_ts", "end_ts"]
+    got = sorted(map(tuple, sinks.drain(out, "odd-active", replayed).select(columns).collect()), key=repr)
+    assert got == sorted(map(tuple, batch_spans.active_intervals(df, keys=["service"]).select(columns).collect()), key=repr)
+
+
+@pytest.mark.parametrize(("parts", "part_samples"), [(1, 1000), (1, 3), (4, 2)])
+def test_streamed_records_hold_the_samples_of_batch_records(spark, parts, part_samples):
+    dice = random.Random(8)
+    rows = [("a", dice.randrange(6), at(dice.randrange(4)), k, dice.choice([None, "ab" * 16]), None, [("f", dice.choice("gh"), dice.choice([None, 0, 3]))] * dice.randrange(3)) for k in range(50)]
+    schema = "service string, tid long, ts timestamp, sample_id long, trace_id string, span_id string, frames array<struct<file:string,func:string,line:int>>"
+    df = spark.createDataFrame(rows, schema)
+    replayed = sinks.Replay(df, "to-records", "ts")
+    out = stream_profiles.records(replayed.stream, delay=sinks.delay_of(replayed), parts=parts, part_samples=part_samples)
+    records = sinks.drain(out, "streamed-records", replayed)
+    batch = profile_log.log_records(profiles.in_ticks(df), part_samples=part_samples)
+    facts = ["service", "tick_ts", "time_ms", "period_ms", "tid", "trace_id", "frames", "error"]
+    both = [sorted(map(repr, profile_log.decode(r).select(*facts).collect())) for r in (records, batch)]
+    assert both[0] == both[1] and len(both[0]) == 50
+    assert records.agg(F.max("samples")).first()[0] <= part_samples
+    assert records.groupBy(*profiles.KEY).count().where("count > 1").count() == 0
+    if parts == 1 and part_samples == 1000:
+        assert {r.body for r in records.collect()} == {r.body for r in batch.collect()}
+
+
+def test_records_are_written_as_a_stream(spark):
+    df = spark.createDataFrame([("a", 1, at(k), k, None, None, [("f", "g", 1)]) for k in range(5)], SAMPLES.replace("sample_id long,", "sample_id long, trace_id string, span_id string,"))
+    landed, path = session.new_folder(spark, "landed"), session.new_folder(spark, "written")
+    records = profile_log.log_records(profiles.in_ticks(df))
+    records.write.parquet(landed)
+    for attempt in ("one", "two"):
+        arriving = spark.readStream.schema(records.schema).parquet(landed)
+        profile_log.write_stream(arriving, path, f"{path}-{attempt}").awaitTermination()
+    assert profile_log.read(spark, path, "2024-01-01", "2024-01-02").count() == 5
