@@ -46,6 +46,19 @@ def in_training(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3, F.lit(0)) != 1
 
 
+def first_by(rows: DataFrame, order: Column, number: int, size: int | None = None) -> DataFrame:
+    """The ``number`` rows with the least hash ``order`` (a long).
+
+    Most rows are left out by a threshold before any is sent to the task that takes the first:
+    hashes are even, so of ``size`` rows (counted if not given) four times as many as are wanted
+    pass it. Only where the size given is far too great can fewer than ``number`` come.
+    """
+    size = rows.count() if size is None else size
+    share = min(1.0, 4 * number / max(1, size))
+    least = order < F.lit(int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1)
+    return rows.where(least).orderBy(order).limit(number)
+
+
 def with_arrow_columns(df: DataFrame, fields: Iterable[T.StructField], compute: Callable[[pa.RecordBatch], list]) -> DataFrame:
     """df and new columns that ``compute`` makes from each Arrow batch; the others pass through."""
     session.prepare(df.sparkSession)

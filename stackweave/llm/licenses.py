@@ -23,7 +23,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stackweave.llm import common
@@ -47,12 +47,15 @@ TEMPLATES = {
     "CC-BY": (
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Licensed under CC BY 4.0.",
-        "Licensed under CC BY-SA 4.0.",
     ),
     "CC-BY-NC": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ),
+    "CC-BY-SA": (
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
@@ -95,6 +98,11 @@ def shingles(tokens: Column) -> Column:
     return F.array_distinct(several)
 
 
+def _running(tokens: str) -> Column:
+    """Words with a blank around each, so that a text inside another is found at whole words."""
+    return F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
     """(doc_id, paragraph, body, words) of every line with a word."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "body"))
@@ -152,15 +160,17 @@ def train(docs: DataFrame) -> Scanner:
     known = templates.select(F.explode(shingles(F.col("words"))).alias("shingle")).distinct()
     # Ordinary text: corpus paragraphs, chosen by hash, that share no shingle with a template.
     order = F.xxhash64(F.lit(9), "doc_id", "paragraph")
-    drawn = paragraphs(docs).select("doc_id", "paragraph", "words").orderBy(order, "doc_id", "paragraph").limit(ORDINARY)
-    tagged = drawn.select("words", F.monotonically_increasing_id().alias("row"))
+    lines = docs.agg(F.sum(F.regexp_count("text", F.lit("\n")) + 1)).first()[0] or 0
+    drawn = common.first_by(paragraphs(docs).select("doc_id", "paragraph", "words"), order, ORDINARY, lines)
+    tagged = common.WorkTable(drawn.select("words", F.monotonically_increasing_id().alias("row")), "drawn").df
     near = tagged.select("row", F.explode(shingles(F.col("words"))).alias("shingle")).join(known, "shingle").select("row").distinct()
     ordinary = tagged.join(near, "row", "left_anti").select(F.lit(ORDINARY_TEXT).alias("family"), "words")
     variants = _variants(templates).unionByName(ordinary)
     held = F.pmod(F.xxhash64("words"), F.lit(4)) == 0
     # Every family weighs as much as ordinary text.
     rows = variants.withColumn("held", held).withColumn("label", F.array_position(names, F.col("family")) - 1.0)
-    weighed = common.WorkTable(rows.withColumn("weight", 1000.0 / F.count("*").over(Window.partitionBy("family"))), "paragraphs").df
+    weights = rows.groupBy("family").agg((1000.0 / F.count("*")).alias("weight"))
+    weighed = common.WorkTable(rows.join(weights, "family"), "paragraphs").df
     regression = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", family="multinomial", regParam=1e-4, maxIter=40)
     model = Pipeline(stages=[*_features(), regression]).fit(weighed.where("not held"))
     judged = _probabilities(model, weighed.where("held")).select("label", F.get("p", 0).alias("none"), F.get("p", F.col("label").cast("int")).alias("own"))
@@ -182,12 +192,15 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     scored = _probabilities(scanner.model, paragraphs(docs)).where(F.get("p", 0) < scanner.ordinary)
     families = F.slice("p", 2, len(TEMPLATES))
     guessed = scored.select(
-        "doc_id", "paragraph", "body", shingles(F.col("words")).alias("own"),
+        "doc_id", "paragraph", "body", shingles(F.col("words")).alias("own"), _running("words").alias("running"),
         F.array_max(families).alias("probability"), F.get(names, (F.array_position(families, F.array_max(families)) - 1).cast("int")).alias("guess"),
     )
-    templates = template_table(docs.sparkSession).groupBy(F.col("family").alias("guess")).agg(F.collect_list(shingles(F.col("words"))).alias("theirs"))
-    # A template inside the paragraph, or the paragraph inside a template.
-    shared = lambda t: F.size(F.array_intersect(t, F.col("own"))) / F.least(F.size(t), F.size("own"))
+    theirs = F.struct(shingles(F.col("words")).alias("shingles"), _running("words").alias("running"), (F.size("words") < SHINGLE).alias("short"))
+    templates = template_table(docs.sparkSession).groupBy(F.col("family").alias("guess")).agg(F.collect_list(theirs).alias("theirs"))
+    # A template inside the paragraph, or the paragraph inside a template; a template shorter than a
+    # shingle has to stand in the paragraph as it is.
+    inside = lambda t: F.size(F.array_intersect(t["shingles"], F.col("own"))) / F.least(F.size(t["shingles"]), F.size("own"))
+    shared = lambda t: F.when(t["short"], F.contains(F.col("running"), t["running"]).cast("double")).otherwise(inside(t))
     compared = guessed.join(templates, "guess").withColumn("similarity", F.array_max(F.transform("theirs", shared)))
     sure = (F.col("probability") >= scanner.family) & (F.col("similarity") >= SIMILARITY)
     family = F.when(sure, F.col("guess")).otherwise(F.lit(UNKNOWN))

@@ -7,8 +7,10 @@ in marked runs is its coverage, in whatever order the runs come, so a passage wi
 reordered is caught. A document is contaminated by the items it covers by ``COVERAGE`` or more.
 
 Words are runs of letters and digits in lower case. Defined cases: a null or empty text has no
-words, items of fewer than five words are never matched, repeated items are reported one by one,
-repeated documents once, and a document without an id cannot be reported.
+words, items of fewer than five words are never matched, and repeated items count as one. Rows are
+judged by their own texts: those that share an id, or have none, do not decide for each other. The
+report names ids: rows without one appear under a null id, and of rows that share an id the greatest
+coverage is given.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stackweave.llm import common
+
 SEED = 5
 FIRST_LENGTH = 20
 COVERAGE = 0.5
@@ -116,21 +120,27 @@ def tiles(item_words: list[str], text_words: list[str], least: int = SEED) -> li
         length = max(least, length // 2)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """(doc_id, item_id, coverage, n_tiles) of every document and item it gives away."""
+def _text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text))
+
+
+def _covered(texts: DataFrame, benchmark: DataFrame, coverage: float) -> DataFrame:
+    """text -> (_key, item_id, coverage, n_tiles) of every different text and item it gives away.
+
+    What a text gives away depends on nothing but the text, so copies are tiled once.
+    """
     # Words are a column of their own: within a lambda they would be made anew for each place.
     items = benchmark.select("item_id", F.col("text").alias("_item"), _words(F.col("text")).alias("_words"))
     seeds = items.select("item_id", F.size("_words").alias("_size"), F.posexplode(_seeds(F.col("_words"))).alias("_place", "_seed"))
-    texts = docs.where("doc_id is not null").select("doc_id", _words(F.col("text")).alias("_words"))
-    runs = texts.select("doc_id", F.explode(F.array_distinct(_seeds(F.col("_words")))).alias("_seed"))
+    keyed = texts.where("text is not null").select(_text_key(F.col("text")).alias("_key"), F.col("text").alias("_text"))
+    runs = keyed.select("_key", _words(F.col("_text")).alias("_words")).select("_key", F.explode(F.array_distinct(_seeds(F.col("_words")))).alias("_seed"))
     # Spark sends the seeds of the benchmark to all tasks if they are small, else it shuffles.
-    shared = runs.join(seeds, "_seed").groupBy("doc_id", "item_id", "_size").agg(F.countDistinct("_place").alias("_places"))
+    shared = runs.join(seeds, "_seed").groupBy("_key", "item_id", "_size").agg(F.countDistinct("_place").alias("_places"))
     # A run of w words has w - 4 seeds, so coverage needs at least a fifth as many.
-    pairs = shared.where(F.col("_places") * SEED >= F.col("_size") * coverage).select("doc_id", "item_id")
-    texts = docs.select("doc_id", F.col("text").alias("_text"))
-    both = pairs.join(texts, "doc_id").join(items.select("item_id", "_item"), "item_id").select("doc_id", "item_id", "_text", "_item")
-
-    schema = both.select("doc_id", "item_id").schema.add("coverage", "double").add("n_tiles", "long")
+    pairs = shared.where(F.col("_places") * SEED >= F.col("_size") * coverage).select("_key", "item_id")
+    # Copies of a text that is given away all meet its pairs; one of each goes on.
+    both = pairs.join(keyed, "_key").dropDuplicates(["_key", "item_id"]).join(items.select("item_id", "_item"), "item_id")
+    schema = both.select("_key", "item_id").schema.add("coverage", "double").add("n_tiles", "long")
 
     def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,13 +151,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
                 shares.append(sum(size for _, _, size in found) / max(1, len(wanted)))
                 counts.append(len(found))
             arrays = [batch.column(0), batch.column(1), pa.array(shares, pa.float64()), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "item_id", "coverage", "n_tiles"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["_key", "item_id", "coverage", "n_tiles"])
+
+    return both.select("_key", "item_id", "_text", "_item").mapInArrow(tile, schema).where(F.col("coverage") >= coverage)
+
 
-    tiled = both.mapInArrow(tile, schema).where(F.col("coverage") >= coverage)
-    return tiled.groupBy("doc_id", "item_id").agg(F.max("coverage").alias("coverage"), F.max("n_tiles").alias("n_tiles"))
+def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    """(doc_id, item_id, coverage, n_tiles) of every document and item it gives away."""
+    found = _covered(docs, benchmark, coverage)
+    named = docs.select("doc_id", _text_key(F.col("text")).alias("_key")).join(found, "_key")
+    return named.groupBy("doc_id", "item_id").agg(F.max("coverage").alias("coverage"), F.max("n_tiles").alias("n_tiles"))
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Filtering stage: documents that give no item away, columns unchanged."""
-    spoilt = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(spoilt, "doc_id", "left_anti").select(*docs.columns)
+def keep_clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    """Filtering stage: rows whose text gives no item away, columns unchanged."""
+    spoilt = _covered(docs, benchmark, coverage).select("_key").distinct()
+    rows = common.sealed(docs, "text").withColumn("_key", _text_key(F.col("text")))
+    return common.unsealed(rows.join(spoilt, "_key", "left_anti"), docs.columns, "text")

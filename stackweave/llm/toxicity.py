@@ -36,6 +36,8 @@ WIDTH = 8
 WINDOW, STRIDE = 12, 6
 ROUNDS, PASSES = 5, 3
 THRESHOLD = 0.7
+# Share of the windows of clean documents that enter a round of training, beside all that look toxic.
+CLEAN_WINDOWS = 0.25
 _SLICE = 1 << 18
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SCORED = (T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()))
@@ -163,8 +165,8 @@ def fit(texts: list[str], toxic: list[bool], seed: int = 7) -> Model:
     bias = np.zeros(2, np.float32)
     table_steps, weight_steps = np.full(TABLE, 1e-6, np.float32), np.full((WIDTH, 2), 1e-6, np.float32)
     sizes = np.fromiter(map(len, bags), np.int64, len(bags))
-    # Of clean documents a quarter of the windows, and later those that look toxic.
-    drawn = (label == 1) | (dice.random(len(bags)) < 0.25)
+    # All windows of toxic documents; of clean ones a share, and later those that look toxic.
+    drawn = (label == 1) | (dice.random(len(bags)) < CLEAN_WINDOWS)
     active = np.flatnonzero(drawn)
     for round_ in range(ROUNDS):
         # Both classes weigh the same, however many windows each has.
@@ -197,7 +199,7 @@ def fit(texts: list[str], toxic: list[bool], seed: int = 7) -> Model:
         odds = np.array([evidence[bag].mean() for bag in bags]) + model.bias
         worst = np.full(len(texts), -np.inf)
         np.maximum.at(worst, owner, odds)
-        drawn = dice.random(len(bags)) < 0.25
+        drawn = dice.random(len(bags)) < CLEAN_WINDOWS
         active = np.flatnonzero(np.where(label == 1, (odds > 0) | (odds == worst[owner]), drawn | (odds > -2)))
     return model
 
@@ -232,10 +234,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model | None:
     ).where("low = toxic")
     order = F.xxhash64(F.lit(4), "doc_id")
     # At most 2 x rows ids: small enough to be sent to every task.
-    chosen = known.where("toxic = 0").orderBy(order).limit(rows).unionByName(known.where("toxic > 0").orderBy(order).limit(rows))
+    chosen = common.first_by(known.where("toxic = 0"), order, rows).unionByName(common.first_by(known.where("toxic > 0"), order, rows))
     sample = docs.where("text is not null").join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id")
     # The numpy model is fitted on the driver; the sample's bound is what it may cost.
-    found = sample.select("doc_id", "text", "toxic").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    # Of rows that share an id the least text counts, whatever order they come in.
+    found = sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).orderBy("doc_id").collect()
     toxic = [row.toxic > 0 for row in found]
     if len(set(toxic)) < 2:
         return None

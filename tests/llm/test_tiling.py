@@ -68,9 +68,9 @@ def test_reordered_passages_and_clean_texts(spark):
     docs = spark.createDataFrame([(1, swapped, "x"), (2, "alpha beta gamma delta epsilon and nothing else", "x"), (3, None, "x"), (None, item, "x")], "doc_id long, text string, item_id string")
     benchmark = spark.createDataFrame([(7, item), (8, None), (9, "too short an item"), (7, item)], "item_id long, text string")
     found = tiling.contaminated(docs, benchmark)
-    assert helpers.rows(found, "doc_id", "item_id", "coverage", "n_tiles") == [(1, 7, 1.0, 2)]
+    assert helpers.rows(found, "doc_id", "item_id", "coverage", "n_tiles") == [(1, 7, 1.0, 2), (None, 7, 1.0, 1)]
     kept = tiling.keep_clean(docs, benchmark)
-    assert kept.columns == docs.columns and sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 2, 3]
+    assert kept.columns == docs.columns and sorted((r.doc_id or -1) for r in kept.collect()) == [2, 3]
 
 
 def test_awkward_rows(spark):
@@ -79,3 +79,14 @@ def test_awkward_rows(spark):
     assert tiling.keep_clean(helpers.empty(spark), benchmark).count() == 0
     none = benchmark.limit(0)
     assert tiling.keep_clean(helpers.awkward(spark).withColumn("_text", F.lit(1)), none).count() == len(helpers.ROWS)
+
+
+def test_rows_that_share_an_id_or_have_none_are_judged_alone(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
+    clean = "nothing of the kind stands in this text at all"
+    rows = [(1, item), (1, clean), (None, item), (None, clean), (None, None), (2, item), (2, item), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"_key": F.lit("mine"), "item_id": F.lit(1)})
+    benchmark = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert helpers.rows(tiling.keep_clean(docs, benchmark), "doc_id", "text", "_key") == sorted(
+        [(1, clean, "mine"), (None, clean, "mine"), (None, None, "mine"), (3, "", "mine")], key=repr)
+    assert helpers.rows(tiling.contaminated(docs, benchmark), "doc_id", "item_id") == [(1, 7), (2, 7), (None, 7)]
