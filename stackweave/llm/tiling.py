@@ -120,25 +120,23 @@ def tiles(item_words: list[str], text_words: list[str], least: int = SEED) -> li
         length = max(least, length // 2)
 
 
-def _text_key(text: Column) -> Column:
-    return F.unhex(F.md5(text))
+def _row_key() -> Column:
+    """Id and text together name a row, so that no group of copies becomes one key."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(":"), F.col("text"))))
 
 
-def _covered(texts: DataFrame, benchmark: DataFrame, coverage: float) -> DataFrame:
-    """text -> (_key, item_id, coverage, n_tiles) of every different text and item it gives away.
-
-    What a text gives away depends on nothing but the text, so copies are tiled once.
-    """
+def _covered(docs: DataFrame, benchmark: DataFrame, coverage: float) -> DataFrame:
+    """(_key, item_id, coverage, n_tiles) of every row and item it gives away; repeated rows are one."""
     # Words are a column of their own: within a lambda they would be made anew for each place.
     items = benchmark.select("item_id", F.col("text").alias("_item"), _words(F.col("text")).alias("_words"))
     seeds = items.select("item_id", F.size("_words").alias("_size"), F.posexplode(_seeds(F.col("_words"))).alias("_place", "_seed"))
-    keyed = texts.where("text is not null").select(_text_key(F.col("text")).alias("_key"), F.col("text").alias("_text"))
+    keyed = docs.where("text is not null").select(_row_key().alias("_key"), F.col("text").alias("_text"))
     runs = keyed.select("_key", _words(F.col("_text")).alias("_words")).select("_key", F.explode(F.array_distinct(_seeds(F.col("_words")))).alias("_seed"))
     # Spark sends the seeds of the benchmark to all tasks if they are small, else it shuffles.
     shared = runs.join(seeds, "_seed").groupBy("_key", "item_id", "_size").agg(F.countDistinct("_place").alias("_places"))
     # A run of w words has w - 4 seeds, so coverage needs at least a fifth as many.
     pairs = shared.where(F.col("_places") * SEED >= F.col("_size") * coverage).select("_key", "item_id")
-    # Copies of a text that is given away all meet its pairs; one of each goes on.
+    # Repeated rows all meet their pairs; one of each goes on.
     both = pairs.join(keyed, "_key").dropDuplicates(["_key", "item_id"]).join(items.select("item_id", "_item"), "item_id")
     schema = both.select("_key", "item_id").schema.add("coverage", "double").add("n_tiles", "long")
 
@@ -159,12 +157,12 @@ def _covered(texts: DataFrame, benchmark: DataFrame, coverage: float) -> DataFra
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, item_id, coverage, n_tiles) of every document and item it gives away."""
     found = _covered(docs, benchmark, coverage)
-    named = docs.select("doc_id", _text_key(F.col("text")).alias("_key")).join(found, "_key")
+    named = docs.select("doc_id", _row_key().alias("_key")).join(found, "_key")
     return named.groupBy("doc_id", "item_id").agg(F.max("coverage").alias("coverage"), F.max("n_tiles").alias("n_tiles"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """Filtering stage: rows whose text gives no item away, columns unchanged."""
     spoilt = _covered(docs, benchmark, coverage).select("_key").distinct()
-    rows = common.sealed(docs, "text").withColumn("_key", _text_key(F.col("text")))
-    return common.unsealed(rows.join(spoilt, "_key", "left_anti"), docs.columns, "text")
+    rows = common.sealed(docs, "doc_id", "text").withColumn("_key", _row_key())
+    return common.unsealed(rows.join(spoilt, "_key", "left_anti"), docs.columns, "doc_id", "text")
