@@ -556,7 +556,8 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 def formatted(rows: DataFrame, source: str = TEMPLATE, controls: Iterable[str] = CONTROLS, size: int = PIECE) -> DataFrame:
     """conv_id, turn, role, text -> conv_id, piece, text, starts, ends; the pieces of a conversation
-    follow each other in their partition."""
+    follow each other in their partition. Messages come to the template one by one: it can loop over
+    them once, and knows neither their number nor one by its place."""
     session.prepare(rows.sparkSession)
     Template(source, controls)  # errors of the template show here
     controls = tuple(controls)

@@ -105,5 +105,5 @@ def test_rows_of_all_kinds(spark):
 
 def test_other_templates_run_in_spark(spark):
     df = helpers.awkward(spark).select(F.col("doc_id").alias("conv_id"), F.lit(0).alias("turn"), F.lit("x").alias("role"), "text")
-    lines = chat.formatted(df, "{% for m in messages %}{{ m.role | upper }}{{ m.text | length }};{% endfor %}")
+    lines = chat.formatted(df, "{% for m in messages %}{{ m.role | upper }}{{ m.text | length }};{% endfor %}{{ messages[0].text }}")
     assert {r.conv_id: r.text for r in lines.collect()}[3] == "X0;"
