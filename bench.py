@@ -7,6 +7,8 @@ import os
 import pathlib
 import time
 
+from pyspark.sql import SparkSession
+
 from stackweave import session
 from stackweave.plans import catalog
 
@@ -43,15 +45,33 @@ HEADLINE = (
 )
 
 
+REPEAT_UNTIL = 12.0  # seconds that a query may take in all before it is not run again
+MOST_RUNS = 3
+
+
+def machine_seconds(spark: SparkSession) -> float:
+    """A fixed job, so that runs on machines of different speed can be compared."""
+    start = time.perf_counter()
+    spark.range(0, 60_000_000, 1, 16).selectExpr("sum(xxhash64(id, id % 7) % 1000)").collect()
+    return round(time.perf_counter() - start, 3)
+
+
+def seconds_of(spark: SparkSession, name: str, folder: str) -> float:
+    """The least of up to three runs; long queries run once."""
+    runs: list[float] = []
+    while len(runs) < MOST_RUNS and sum(runs) < REPEAT_UNTIL:
+        start = time.perf_counter()
+        catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        runs.append(time.perf_counter() - start)
+    return round(min(runs), 3)
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session.local_session(int(os.environ.get("BENCH_CPUS", "8")), "bench")
-    spark.range(1_000_000).selectExpr("sum(id)").collect()
-    seconds = {}
-    for name in HEADLINE:
-        start = time.perf_counter()
-        catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+    machine_seconds(spark)
+    machine = machine_seconds(spark)
+    seconds = {name: seconds_of(spark, name, folder) for name in HEADLINE}
     print(
         json.dumps(
             {
@@ -60,6 +80,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": pathlib.Path(folder).name.removeprefix("sf"),
+                "machine_seconds": machine,
             }
         )
     )

@@ -23,7 +23,7 @@ from stackweave.operators import (
     reports,
     spans,
 )
-from stackweave.sources import profile_log, report_log, tables
+from stackweave.sources import landed, profile_log, profile_source, report_log, tables
 from stackweave.streaming import context as stream_context
 from stackweave.streaming import profiles as stream_profiles
 from stackweave.streaming import sinks, windows
@@ -580,6 +580,31 @@ def dated_records(spark, folder):
     return found.groupBy("date", "service", "source").agg(F.count("*").alias("records"), F.sum("samples").alias("samples"))
 
 
+@query
+def read_profile_log(spark, folder):
+    """Written records of a week, decoded by a data source that opens the files of these days only."""
+    path = session.new_folder(spark, "profile-log")
+    profile_log.write(profile_log.log_records(ticked(spark, folder), part_samples=PART_SAMPLES), path)
+    profile_source.register(spark)
+    found = spark.read.format("profile_records").load(path)
+    week = found.where((F.col("date") >= F.lit("2024-01-03").cast("date")) & (F.col("date") < F.lit("2024-01-10").cast("date")))
+    return _read_back(plain(week, "tick_ts"))
+
+
+@query
+def landed_frames(spark, folder):
+    """Samples landed as JSON lines, read with the declared schema."""
+    path = session.new_folder(spark, "landed-samples")
+    tables.stack_samples(spark, folder).write.json(path)
+    landed_rows = context.exclude_sampler_thread(landed.read(spark, "stack_samples", path, "json"))
+    return plain(landed_rows, "ts").select(
+        "service", "instance", "sample_id", "tid", "ts", F.posexplode("frames").alias("depth", "frame")
+    ).select(
+        "service", "instance", "sample_id", "tid", "ts", F.col("depth").cast("long").alias("depth"),
+        "frame.file", "frame.func", F.col("frame.line").cast("long").alias("line"),
+    )
+
+
 @query
 def profile_quality(spark, folder):
     return quality.violations(decoded(spark, folder)).select(*PART, F.col("sample").cast("long").alias("sample"), "rule")

@@ -767,6 +767,8 @@ marks as (
 select service, instance, tid, ts, sample_id, batch, case when ts < mark then 'late' else 'timely' end as timing,
   greatest(coalesce(epoch_us(mark) - epoch_us(ts), 0), 0) / 1e6::double as behind_seconds
 from delivered join marks using (batch)""",
+    "landed_frames": STATEMENTS["stack_frames"],
+    "read_profile_log": STATEMENTS["profile_roundtrip"] + " where tick_ts >= '2024-01-03' and tick_ts < '2024-01-10'",
     "stream_routes": STATEMENTS["route_logs"],
     "stream_sanitised_endpoints": STATEMENTS["sanitised_endpoints"],
     "stream_decoded_reports": STATEMENTS["decode_reports"],

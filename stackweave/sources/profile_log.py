@@ -45,6 +45,7 @@ PPROF = {
     ],
 }
 
+FORMAT_ATTRIBUTE = "profiling.data.format"
 _BODY_BYTES = 1 << 24
 
 
@@ -209,7 +210,8 @@ def _encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def decode_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records (key, format, body) to their samples."""
     none = pa.array([[]], pa.list_(pa.struct([("file", pa.string()), ("func", pa.string()), ("line", pa.int64())])))
     names = [*profiles.KEY, "format", "sample", "time_ms", "period_ms", "tid", "trace_id", "span_id", "frames", "error"]
     for batch in batches:
@@ -298,7 +300,7 @@ def decode(records: DataFrame) -> DataFrame:
     """
     wanted = records.filter(F.col("scope") == profiles.SCOPE).select(
         *profiles.KEY,
-        F.col("attributes").getItem("profiling.data.format").alias("format"),
+        F.col("attributes").getItem(FORMAT_ATTRIBUTE).alias("format"),
         "body",
     )
-    return wanted.mapInArrow(_decode, f"{_key_schema(records)}, {DECODED_SCHEMA}")
+    return wanted.mapInArrow(decode_batches, f"{_key_schema(records)}, {DECODED_SCHEMA}")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -99,8 +99,9 @@ def _seconds(delay: str) -> float:
 def drain(stream: DataFrame, label: str, *replays: Replay) -> DataFrame:
     """Process what is there, keep the result in the shared folder, and read it back.
 
-    Replayed tables are closed after all of their rows were read, and the query goes on from
-    its checkpoint, so that no row can come behind the closing one.
+    Replayed tables land slice by slice, all up to the same moment, and the query goes on from its
+    checkpoint each time, so no row comes behind one that was read before. The tables are closed
+    after the last slice.
     """
     spark = stream.sparkSession
     path = session.new_folder(spark, label)
@@ -116,52 +117,80 @@ def drain(stream: DataFrame, label: str, *replays: Replay) -> DataFrame:
         )
         query.awaitTermination()
 
-    run()
-    if replays:
+    for low, high in _slices(replays):
         for replayed in replays:
-            replayed.close()
+            replayed.land(low, high)
         run()
+    for replayed in replays:
+        replayed.close()
+    run()
     return spark.read.schema(stream.schema).parquet(path)
 
 
 class Replay:
-    """A table as a stream of files in no particular order.
+    """A table as a stream of slices in the order of time.
 
-    `times` are its event-time column and any others that become event times downstream. The
-    delay covers the whole time between their first and last value, whatever it is, so no
-    order of the files makes a row late. `close` adds a row after the end of that time, null
-    elsewhere, which lets the watermark pass everything.
+    `times` are its event-time column and any others that become event times downstream: a row
+    arrives at the latest of them, as a span does when it ends. Only the rows of a slice, and what
+    reaches back by the delay, are in state at a time. `close` adds a row after the end of all times,
+    null elsewhere, which lets the watermark pass everything. Rows without a time arrive first.
     """
 
-    def __init__(self, df: DataFrame, label: str, *times: str, files: int = 3):
+    def __init__(self, df: DataFrame, label: str, *times: str, slices: int = 3):
         spark = self.spark = df.sparkSession
-        self.path = session.new_folder(spark, label)
         typed = df.withColumns({time: F.col(time).cast("timestamp") for time in times})
-        typed.repartition(files).write.parquet(self.path)
-        self.schema, self.time = typed.schema, times[0]
-        ends = [f(F.unix_seconds(time)) for time in times for f in (F.min, F.max)]
-        found = spark.read.schema(self.schema).parquet(self.path).agg(*ends).first()
-        self.range = [second for second in found if second is not None]
-        self.until = 0
-        self.stream = spark.readStream.schema(self.schema).option("maxFilesPerTrigger", 1).parquet(self.path)
+        self.rows, self.times = session.written(typed, label), times
+        self.schema, self.path = typed.schema, session.new_folder(spark, f"{label}-landed")
+        micros = [F.unix_micros(time) for time in times]
+        self.arrival = F.greatest(*micros) if len(micros) > 1 else micros[0]
+        first = F.least(*micros) if len(micros) > 1 else micros[0]
+        told = self.rows.agg(F.min(self.arrival), F.max(self.arrival), F.max(self.arrival - first), F.count("*")).first()
+        self.range = None if told[0] is None else (told[0], told[1])
+        # How far a row may reach back before the moment at which it arrives.
+        self.reach = told[2] or 0
+        self.slices = max(slices, -(-told[3] // _SLICE_ROWS))
+        self.until, self.landed = 0, False
+        self.rows.limit(0).write.parquet(self.path)
+        self.stream = spark.readStream.schema(self.schema).parquet(self.path)
+
+    def land(self, low: int, high: int) -> None:
+        """Rows that arrive in [low, high)."""
+        wanted = (self.arrival >= low) & (self.arrival < high)
+        if not self.landed:
+            wanted |= self.arrival.isNull()
+        self.landed = True
+        self.rows.where(wanted).write.mode("append").parquet(self.path)
 
     def close(self) -> None:
         columns = [
-            (F.timestamp_seconds(F.lit(self.until)) if f.name == self.time else F.lit(None).cast(f.dataType)).alias(f.name)
+            (F.timestamp_seconds(F.lit(self.until)) if f.name == self.times[0] else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in self.schema
         ]
         self.spark.range(1).select(*columns).coalesce(1).write.mode("append").parquet(self.path)
 
 
+_SLICE_ROWS = 20_000_000
+
+
+def _slices(replays: Sequence[Replay]) -> list[tuple[int, int]]:
+    """Spans of time, in microseconds, that together cover all rows of tables replayed together."""
+    ranges = [replayed.range for replayed in replays if replayed.range]
+    if not ranges:
+        return [(0, 0)]
+    low, high = min(r[0] for r in ranges), max(r[1] for r in ranges) + 1
+    count = min(max(replayed.slices for replayed in replays), high - low)
+    edges = [low + (high - low) * k // count for k in range(count + 1)]
+    return list(zip(edges, edges[1:], strict=False))
+
+
 def delay_of(*replays: Replay, until: str | None = None) -> str:
     """A watermark delay for tables that are replayed together; `until` is a day up to which what
     follows may reach beyond their times."""
-    seconds = [second for replayed in replays for second in replayed.range] or [0]
-    # A second for what the seconds leave out, and a day for windows that reach further.
-    delay = max(seconds) - min(seconds) + 1
+    delay = max(replayed.reach for replayed in replays) // 1_000_000 + 1
+    last = max((replayed.range[1] // 1_000_000 for replayed in replays if replayed.range), default=0)
+    if until:
+        last = max(last, int(datetime.fromisoformat(until).replace(tzinfo=timezone.utc).timestamp()))
     for replayed in replays:
-        reach = max(seconds)
-        if until:
-            reach = max(reach, int(datetime.fromisoformat(until).replace(tzinfo=timezone.utc).timestamp()))
-        replayed.until = reach + delay + 86_400
+        # A day for windows that reach further.
+        replayed.until = last + delay + 86_400
     return f"{delay} seconds"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stackweave.functions import ids
 from stackweave.operators import callgraph, profiles, quality
-from stackweave.sources import profile_log
+from stackweave.sources import profile_log, profile_source
 
 TICK = datetime(2024, 9, 19, 15, 33, 20)
 SAMPLES = (
@@ -246,6 +246,21 @@ def test_records_are_written_by_date_and_a_repeated_batch_changes_nothing(spark,
     )
 
 
+def test_the_data_source_opens_only_the_files_that_filters_leave(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = [("a/b c", 1, TICK + timedelta(days=k), k, TRACE, SPAN, [("f", "g", 1)]) for k in range(4)]
+    records = profile_log.log_records(profiles.in_ticks(spark.createDataFrame(rows, SAMPLES)))
+    profile_log.write(records, path)
+    profile_source.register(spark)
+    found = spark.read.format("profile_records").load(path)
+    names = ["service", "instance", "source", "part", "sample", "time_ms", "tid", "trace_id", "frames", "error"]
+    assert sorted(map(repr, found.select(names).collect())) == sorted(map(repr, profile_log.decode(records).select(names).collect()))
+    some = found.where("date >= date'2024-09-20' and date < date'2024-09-22' and service = 'a/b c' and sample = 1")
+    assert some.rdd.getNumPartitions() == 2 and some.count() == 2
+    assert found.where("service = 'other'").count() == 0 and found.where("batch in (0, 7)").count() == 4
+    assert spark.read.format("profile_records").load(str(tmp_path / "nothing")).count() == 0
+
+
 def test_recursion_counts_once_per_sample(spark):
     stack = [("f", "main", 1), ("f", "rec", 2), ("f", "rec", 2), ("f", "rec", 2)]
     df = spark.createDataFrame([("a", 1, TICK, 1, TRACE, SPAN, stack), ("a", 1, TICK, 2, TRACE, SPAN, stack[:1])], SAMPLES)

@@ -122,7 +122,8 @@ def test_replay_keeps_rows_many_years_apart(spark):
     """Whatever comes first: nothing is late, and nothing stays behind."""
     years = [2150, 2021, 2020, 2000, 1975, 2024]
     rows = [("a", 1, datetime(year, 1, 1), year, []) for year in years]
-    replayed = sinks.Replay(spark.createDataFrame(rows, SAMPLES), "years", "ts", files=6)
+    replayed = sinks.Replay(spark.createDataFrame(rows, SAMPLES), "years", "ts", slices=5)
+    assert sinks.delay_of(replayed) == "1 seconds"
     out = windows.ticks(replayed.stream, "continuous", "1 second", sinks.delay_of(replayed))
     got = sinks.drain(out, "years-ticks", replayed)
     assert sorted(r.tick_ts.year for r in got.collect()) == sorted(years)
