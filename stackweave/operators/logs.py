@@ -101,11 +101,16 @@ def route_of(scope: Column, routes: Mapping[str, str]) -> Column:
     return F.lit(DEFAULT_ROUTE) if chosen is None else chosen.otherwise(DEFAULT_ROUTE)
 
 
-def write_routes(records: DataFrame, path: str, routes: Mapping[str, str], mode: str = "append") -> None:
-    """Write every record once, under the folder of its route, beside what is there."""
-    records.withColumn("route", route_of(F.col("scope"), routes)).write.mode(mode).partitionBy(
-        "route"
-    ).parquet(path)
+def write_routes(
+    records: DataFrame, path: str, routes: Mapping[str, str], mode: str = "append", time: str | None = None
+) -> None:
+    """Write every record once, under the folder of its route, beside what is there; with a `time`
+    column, under the day of that time first."""
+    routed = records.withColumn("route", route_of(F.col("scope"), routes))
+    folders = ["route"]
+    if time:
+        routed, folders = routed.withColumn("date", F.to_date(time)), ["date", "route"]
+    routed.write.mode(mode).partitionBy(*folders).parquet(path)
 
 
 def in_scope(

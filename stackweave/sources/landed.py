@@ -10,6 +10,22 @@ from pyspark.sql import types as T
 from stackweave.functions import ids
 
 FRAMES = "array<struct<file:string,func:string,line:int>>"
+SCOPE = "scope:struct<name:string,version:string>"
+RESOURCE = "resource:struct<attributes:map<string,string>>"
+SPAN = (
+    "struct<trace_id:string,span_id:string,parent_span_id:string,name:string,kind:int,start_time_unix_nano:bigint,"
+    "end_time_unix_nano:bigint,attributes:map<string,string>,status:struct<code:int,message:string>>"
+)
+_NUMBERS = "data_points:array<struct<time_unix_nano:bigint,as_double:double,as_int:bigint,attributes:map<string,string>>>"
+_HISTOGRAM = (
+    "data_points:array<struct<time_unix_nano:bigint,count:bigint,sum:double,bucket_counts:array<bigint>,"
+    "explicit_bounds:array<double>,attributes:map<string,string>>>"
+)
+# Of the kinds of a metric one is set.
+METRIC = (
+    f"struct<name:string,unit:string,gauge:struct<{_NUMBERS}>,sum:struct<{_NUMBERS},aggregation_temporality:int,is_monotonic:boolean>,"
+    f"histogram:struct<{_HISTOGRAM},aggregation_temporality:int>>"
+)
 SCHEMAS = {
     "stack_samples": f"service string, instance string, tid bigint, sampler_tid bigint, ts timestamp, sample_id bigint, frames {FRAMES}",
     "context_events": (
@@ -24,6 +40,8 @@ SCHEMAS = {
         "scope_logs:array<struct<scope:struct<name:string,version:string>,"
         "log_records:array<struct<timestamp_ns:bigint,body:string,attributes:map<string,string>>>>>>>"
     ),
+    "span_exports": f"resource_spans array<struct<{RESOURCE},scope_spans:array<struct<{SCOPE},spans:array<{SPAN}>>>>>",
+    "metric_exports": f"resource_metrics array<struct<{RESOURCE},scope_metrics:array<struct<{SCOPE},metrics:array<{METRIC}>>>>>",
     "config_entries": "process string, key string, value string",
 }
 

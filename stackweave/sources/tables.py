@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stackweave.functions import sampling
+from stackweave.sources import landed
 
 EVENT_SERVICES = 5
 INSTANCES = 2
@@ -233,14 +234,6 @@ def span_exports(spark: SparkSession, folder: str) -> DataFrame:
     return of_service.groupBy("trace_id").agg(F.collect_list(entry).alias("resource_spans")).select("resource_spans")
 
 
-METRIC_SCHEMA = """struct<name:string, unit:string,
-  gauge:struct<data_points:array<struct<time_unix_nano:bigint, as_double:double, as_int:bigint, attributes:map<string,string>>>>,
-  sum:struct<data_points:array<struct<time_unix_nano:bigint, as_double:double, as_int:bigint, attributes:map<string,string>>>,
-    aggregation_temporality:int, is_monotonic:boolean>,
-  histogram:struct<data_points:array<struct<time_unix_nano:bigint, count:bigint, sum:double, bucket_counts:array<bigint>,
-    explicit_bounds:array<double>, attributes:map<string,string>>>, aggregation_temporality:int>>"""
-
-
 def metric_exports(spark: SparkSession, folder: str) -> DataFrame:
     """Nested export requests: an event is a request with a metric of the kind that goes with its type:
     gauges of one or two points, growing sums, histograms, and metrics without data."""
@@ -259,7 +252,7 @@ def metric_exports(spark: SparkSession, folder: str) -> DataFrame:
     total = F.when(event == "click", F.struct(F.array(point(none.cast("double"), whole)), F.lit(2), F.lit(True)))
     histogram = F.when(event == "purchase", F.struct(F.array(F.struct(
         nanos, whole + 1, value, F.array(F.lit(1).cast("long"), whole), F.array(F.lit(10.0)), attributes)), F.lit(1)))
-    metric = F.struct(F.concat(F.lit("events."), event), F.lit("1"), gauge, total, histogram).cast(METRIC_SCHEMA)
+    metric = F.struct(F.concat(F.lit("events."), event), F.lit("1"), gauge, total, histogram).cast(landed.METRIC)
     scope = F.struct(F.struct(F.lit("events").alias("name")).alias("scope"), F.array(metric).alias("metrics"))
     resource = F.struct(F.create_map(F.lit("service.name"), _service("user_id", EVENT_SERVICES)).alias("attributes"))
     return table(spark, folder, "events").select(

@@ -15,16 +15,16 @@ from stackweave.operators import logs
 
 
 def write_routes(
-    records: DataFrame, path: str, checkpoint: str, routes: Mapping[str, str]
+    records: DataFrame, path: str, checkpoint: str, routes: Mapping[str, str], time: str | None = None
 ) -> StreamingQuery:
-    """Route log records to one folder per pipeline.
+    """Route log records to one folder per pipeline, and per day of a `time` column if one is named.
 
     Each micro-batch overwrites the folder of its own number, so a batch that is repeated
     after a failure leaves no record twice.
     """
 
     def save(batch: DataFrame, number: int) -> None:
-        logs.write_routes(batch, f"{path}/batch={number}", routes, mode="overwrite")
+        logs.write_routes(batch, f"{path}/batch={number}", routes, "overwrite", time)
 
     return (
         records.writeStream.foreachBatch(save)

@@ -116,6 +116,12 @@ def test_routed_batches_are_idempotent(spark):
         sinks.write_routes(records, path, f"{path}-{run}", {"deps": "reports"}).awaitTermination()
     got = sorted((r.id, r.route) for r in spark.read.parquet(path).collect())
     assert got == [(1, "reports"), (2, "default")]
+    dated = stream(spark, [[(1, "deps", at(0))], [(2, "deps", at(90_000))]], "id int, scope string, ts timestamp")
+    for run in ("one", "two"):
+        sinks.write_routes(dated, f"{path}-dated", f"{path}-dated-{run}", {"deps": "reports"}, "ts").awaitTermination()
+    found = spark.read.parquet(f"{path}-dated")
+    assert [(r.id, str(r.date), r.route) for r in found.where("date > date'2024-01-01'").collect()] == [(2, "2024-01-02", "reports")]
+    assert found.count() == 2
 
 
 def test_replay_keeps_rows_many_years_apart(spark):
