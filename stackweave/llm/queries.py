@@ -223,10 +223,10 @@ STATEMENTS: dict[str, str] = {
             select conv_id, turn, case when kind = 4 then 'user' else role end as role,
                 case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
             from coded, unnest(range(case when kind = 3 then 2 else 1 end)) where kind <> 0
+        ), ordered as (
+            select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) as i from hurt
         ), placed as (
-            select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text)) as i,
-                row_number() over (partition by conv_id, role, text order by turn nulls first) as again
-            from hurt
+            select *, row_number() over (partition by conv_id, role, text order by i) as again from ordered
         ), flagged as (
             select conv_id, turn, role, text, i, left(role, 1) as initial, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
                 when again > 1 then 'duplicate' when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault,

@@ -248,11 +248,13 @@ def plan(rows: DataFrame, all_ids: DataFrame | None = None) -> DataFrame:
         ids = all_ids.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
         narrow = narrow.unionByName(ids.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     order = [F.col("turn").asc_nulls_first(), "role", "_digest"]
-    # The window groups within what the conversation's shuffle brought together.
+    # The window groups within what the conversation's shuffle brought together. Of rows that are
+    # equal in all, the one that counts as the first also comes first.
     seen = Window.partitionBy("conv_id", "role", "_digest").orderBy(F.col("turn").asc_nulls_first())
-    fault = F.when((F.row_number().over(seen) > 1) & (F.col("_flag") != "blank"), "duplicate").otherwise(F.col("_flag"))
-    ready = narrow.repartition("conv_id").withColumn("fault", fault).withColumn("initial", F.substring("role", 1, 1))
-    streamed = ready.sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "_kind", *order)
+    told = narrow.repartition("conv_id").withColumn("_nth", F.row_number().over(seen))
+    fault = F.when((F.col("_nth") > 1) & (F.col("_flag") != "blank"), "duplicate").otherwise(F.col("_flag"))
+    ready = told.withColumn("fault", fault).withColumn("initial", F.substring("role", 1, 1))
+    streamed = ready.sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "_kind", *order, "_nth")
     schema = "conv_id long, " + FIELDS
     names = [field.split()[0] for field in schema.split(", ")]
 

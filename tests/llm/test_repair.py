@@ -135,6 +135,8 @@ def test_rows_of_all_kinds(spark):
     )
     convs = {k: [pick() for _ in range(dice.randrange(1, 9))] for k in range(60)}
     convs[None] = convs[0]
+    # Rows repeated within a turn: the first of equals is kept, the others go.
+    convs |= {200 + k: [(0, "user", f"Q{k}.")] * 2 + [(1, "assistant", "A.")] * 3 for k in range(40)}
     convs[99] = [(0, "user", f"t{k}.") for k in range(3000)]
     df = spark.createDataFrame([(k, *row) for k, rows in convs.items() for row in rows], SCHEMA).withColumn("_kind", repair.F.lit("mine"))
     got = {r[0]: tuple(r)[1:] for r in repair.audited(df.repartition(5), df).select(
