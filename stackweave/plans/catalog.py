@@ -595,7 +595,7 @@ def read_profile_log(spark, folder):
 def landed_frames(spark, folder):
     """Samples landed as JSON lines, read with the declared schema."""
     path = session.new_folder(spark, "landed-samples")
-    tables.stack_samples(spark, folder).write.json(path)
+    tables.stack_samples(spark, folder).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
     landed_rows = context.exclude_sampler_thread(landed.read(spark, "stack_samples", path, "json"))
     return plain(landed_rows, "ts").select(
         "service", "instance", "sample_id", "tid", "ts", F.posexplode("frames").alias("depth", "frame")
