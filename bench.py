@@ -45,8 +45,8 @@ HEADLINE = (
 )
 
 
-REPEAT_UNTIL = 12.0  # seconds that a query may take in all before it is not run again
-MOST_RUNS = 3
+REPEAT_UNTIL = 6.0  # seconds that a query may take in all before it is not run again
+MOST_RUNS = 2
 
 
 def machine_seconds(spark: SparkSession) -> float:
@@ -57,7 +57,7 @@ def machine_seconds(spark: SparkSession) -> float:
 
 
 def seconds_of(spark: SparkSession, name: str, folder: str) -> float:
-    """The least of up to three runs; long queries run once."""
+    """The less of two runs; long queries run once."""
     runs: list[float] = []
     while len(runs) < MOST_RUNS and sum(runs) < REPEAT_UNTIL:
         start = time.perf_counter()
