@@ -247,3 +247,13 @@ def test_variant_attributes_keep_the_type_of_every_item(spark):
     assert found == {"a": ("string", texts["a"]), "d": ("string", "x"), "e": ("int", "7"), "f": ("float", "1.5"), "g": ("bool", "true"),
                      "h": ("string", "[]"), "j": ("bytes", "YWI=")}
     assert {r.key: r.type for r in attributes.unsupported_variants(packed).collect()} == {"b": "map", "c": "none", "i": "list"}
+
+
+def test_entries_of_one_file_are_spread_before_they_are_sorted(spark):
+    """A file may be one task's; what that task reads must not be sorted by it as a whole."""
+    rows = [("p", "realm", "us0"), ("p", "realm", "us1"), ("q", "realm", None), ("q", None, "x")]
+    entries = spark.createDataFrame(rows, "process string, key string, value string").coalesce(1)
+    found = config.latest(entries)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("RebalancePartitions")
+    assert sorted(map(tuple, found.collect())) == [("p", "realm", "us1"), ("q", "realm", "")]
