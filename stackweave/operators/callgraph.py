@@ -48,9 +48,10 @@ def function_times(
 
     Self time goes to the leaf of a stack, total time to every function on it.
     """
-    leaf = F.element_at("frames", -1)
+    leaf = F.try_element_at("frames", F.lit(-1))
     return (
-        samples.filter(F.size("frames") > 0)
+        # Empty stacks have nothing to explode; a filter on them would have packed stacks parsed twice.
+        samples
         # The leaf gets its own projection, or it would be worked out again for every frame.
         .select(*by, "frames", _name(leaf).alias("_leaf"))
         .select(*by, "_leaf", F.explode(F.array_distinct(_names())).alias("_name"))

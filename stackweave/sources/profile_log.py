@@ -14,14 +14,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stackweave import session
-from stackweave.functions import clock, ids
-from stackweave.operators import profiles
+from stackweave.functions import clock, ids, stacks
+from stackweave.operators import numbering, profiles
 
 KEY_SCHEMA = "service string, instance string, source string, tick_ts {ts}, part int"
 DECODED_SCHEMA = (
@@ -80,39 +79,14 @@ def profile_message():
     return message_factory.GetMessageClass(pool.FindMessageTypeByName(f"{package}.Profile"))
 
 
-def _first_seen(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places at which new codes are met, in order, and for every code the number of its first one."""
-    _, first, inverse = np.unique(codes, return_index=True, return_inverse=True)
-    order = np.argsort(first)
-    number = np.empty(len(order), np.int64)
-    number[order] = np.arange(len(order))
-    return first[order], number[inverse]
-
-
-def _codes(column: pa.Array) -> tuple[np.ndarray, list]:
-    """Numbers for the values of a column, missing ones included, and the values."""
-    encoded = pc.dictionary_encode(column, null_encoding="encode")
-    return encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary.to_pylist()
-
-
 def to_body(part: pa.Table | pa.RecordBatch) -> tuple[str, int]:
     """One profile as record body, and its number of frames, from its samples in order: time_ms,
     period_ms, tid, trace, span, frames root first. Equal profiles give equal text."""
     profile = profile_message()()
-    stacks = part["frames"].combine_chunks() if isinstance(part, pa.Table) else part["frames"]
-    stacks = stacks.fill_null(pa.scalar([], stacks.type)) if stacks.null_count else stacks
-    sizes = np.diff(stacks.offsets.to_numpy())
-    ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    # Frames in the order of numbering: sample by sample, each from its leaf.
-    walk = np.repeat(2 * ends - sizes - 1, sizes) - np.arange(total)
-    place = np.arange(total) - np.repeat(ends - sizes, sizes)
-    sample = np.repeat(np.arange(len(sizes)), sizes)
-    flat = stacks.flatten()
-    (file, files), (func, funcs), (line, lines) = (_codes(flat.field(name)) for name in ("file", "func", "line"))
-    pair = (file * len(funcs) + func)[walk]
-    met, function_of = _first_seen(pair)
-    new, location_of = _first_seen(function_of * len(lines) + line[walk])
+    w = numbering.walk(part)
+    sizes, ends, place, sample, met, new, function_of = w.sizes, w.ends, w.place, w.sample, w.met, w.new, w.function_of
+    file, func, line, walk, total = w.file, w.func, w.line, w.at, len(w.at)
+    files, funcs, lines = (values.to_pylist() for values in (w.files, w.funcs, w.lines))
     # Strings: what is met first, labels before the frames of a sample, a name before its file.
     labels = [part[name].to_pylist() for name in ("trace", "span")]
     tokens = [(s, k, value) for k in (0, 1) for s, value in enumerate(labels[k]) if value is not None]
@@ -129,7 +103,7 @@ def to_body(part: pa.Table | pa.RecordBatch) -> tuple[str, int]:
     shown = [value or -1 for value in lines]
     for i, (function, at) in enumerate(zip(function_of[new].tolist(), walk[new].tolist(), strict=True), 1):
         profile.location.add(id=i).line.add(function_id=function + 1, line=shown[line[at]])
-    location_of += 1
+    location_of = w.location_of + 1
     key = [number[name] for name in profiles.RESERVED]
     facts = zip(*(part[name].to_pylist() for name in ("time_ms", "period_ms", "tid")), *labels, ends.tolist(), sizes.tolist(), strict=True)
     for time_ms, period_ms, tid, trace, span, end, size in facts:
@@ -175,37 +149,22 @@ SAMPLE_COLUMNS = ["sample", "time_ms", "period_ms", "tid", "trace", "span", "fra
 
 def _encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by part and sample -> a record for each part."""
-    held: list[pa.RecordBatch] = []
     done: list[tuple] = []
     size = 0
 
-    def close() -> None:
-        nonlocal size
-        if held:
-            body, frames = to_body(pa.Table.from_batches(held))
-            done.append((held[0].slice(0, 1).select(profiles.KEY), frames, sum(b.num_rows for b in held), body))
-            size += len(body)
-            held.clear()
-
     def flush() -> pa.RecordBatch:
-        nonlocal size
-        keys = pa.Table.from_batches([key for key, *_ in done]).combine_chunks().to_batches()[0]
+        keys = pa.concat_tables([key for key, *_ in done]).combine_chunks().to_batches()[0]
         columns = [pa.array(column, kind) for column, kind in zip(zip(*(d[1:] for d in done), strict=True), (pa.int64(), pa.int64(), pa.string()), strict=True)]
-        done.clear()
-        size = 0
         return pa.RecordBatch.from_arrays([*keys.columns, *columns], [*profiles.KEY, "total_frames", "samples", "body"])
 
-    for batch in batches:
-        # A part starts where the number of the sample does not grow.
-        numbers = batch.column("sample").to_numpy(zero_copy_only=False)
-        starts = np.flatnonzero(np.concatenate(([True], numbers[1:] <= numbers[:-1]))).tolist()
-        for begin, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
-            if numbers[begin] == 1:
-                close()
-            held.append(batch.slice(begin, end - begin))
-            if size >= _BODY_BYTES:
-                yield flush()
-    close()
+    for part in numbering.parts(batches):
+        body, frames = to_body(part)
+        done.append((part.slice(0, 1).select(profiles.KEY), frames, part.num_rows, body))
+        size += len(body)
+        if size >= _BODY_BYTES:
+            yield flush()
+            done.clear()
+            size = 0
     if done:
         yield flush()
 
@@ -250,14 +209,15 @@ def sample_columns(numbered: DataFrame, period_millis: int | None = None) -> Dat
 
 def encode(numbered: DataFrame, period_millis: int | None = None) -> DataFrame:
     """Numbered samples to (key, total_frames, samples, body), one row a part."""
-    rows = profiles.together(sample_columns(numbered, period_millis)).sortWithinPartitions(*profiles.KEY, "sample")
+    rows = profiles.in_parts(sample_columns(numbered, period_millis))
     return rows.mapInArrow(_encode, f"{_key_schema(numbered)}, total_frames bigint, samples bigint, body string")
 
 
 def log_records(ticked: DataFrame, period_millis: int | None = None, part_samples: int = profiles.PART_SAMPLES) -> DataFrame:
     """Complete profile log records: the facts of every profile and its encoded body."""
     columns = [*profiles.TICK, "ts", "tid", "sample_id", "trace_id", "span_id", "frames"]
-    return profiles.with_attributes(encode(profiles.number_samples(ticked.select(*columns), part_samples), period_millis))
+    packed = stacks.packed(ticked.select(*columns))
+    return profiles.with_attributes(encode(profiles.number_samples(packed, part_samples), period_millis))
 
 
 def write(records: DataFrame, path: str, batch: int = 0) -> None:

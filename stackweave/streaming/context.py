@@ -19,14 +19,16 @@ class CurrentContext(InOrder):
         self.current = handle.getValueState("current", "trace_id string, span_id string")
 
     def fold(self, rows: list[tuple]) -> list[tuple]:
-        state = tuple(self.current.get()) if self.current.exists() else (None, None)
+        before = tuple(self.current.get() or (None, None))
+        state = before
         kept = []
         for at, rank, seq, sample_id, trace_id, span_id, payload in rows:
             if rank == 0:
                 state = (trace_id, span_id)
             else:
                 kept.append((at, sample_id, *state, payload))
-        self.current.update(state)
+        if state != before:
+            self.current.update(state)
         return kept
 
     def forget(self) -> None:
@@ -49,12 +51,12 @@ class TrackedSpans(InOrder):
         self.open = handle.getMapState("open", "span_id string", "at bigint")
 
     def fold(self, rows: list[tuple]) -> list[tuple]:
-        known = {key[0]: value[0] for key, value in self.open.iterator()}
+        before = {key[0]: value[0] for key, value in self.open.iterator()}
+        known = dict(before)
         if self.idle and rows:
             # A span that has been open for so long has lost its end.
             for span_id in [s for s, at in known.items() if at + self.idle * 1000 < rows[0][0]]:
                 del known[span_id]
-                self.open.removeKey((span_id,))
         kept = []
         for at, rank, seq, sample_id, trace_id, span_id, payload in rows:
             if rank == 1:
@@ -62,10 +64,14 @@ class TrackedSpans(InOrder):
                     kept.append((at, sample_id, seq, span_id, payload))
             elif seq > 0:
                 known[span_id] = at
-                self.open.updateValue((span_id,), (at,))
             elif span_id in known:
                 del known[span_id]
-                self.open.removeKey((span_id,))
+        # Spans that open and end among these rows never touch the state.
+        for span_id in before.keys() - known.keys():
+            self.open.removeKey((span_id,))
+        for span_id, at in known.items():
+            if before.get(span_id) != at:
+                self.open.updateValue((span_id,), (at,))
         return kept
 
     def forget(self) -> None:

@@ -1,8 +1,8 @@
 """Profile records built and decoded as streams.
 
 The samples of a process and a tick wait in the state store until the watermark has passed the
-tick; then the tick's records are numbered and encoded at once, and its state is gone. What waits
-is bounded by a tick and the delay. A process with very many threads is spread by `parts`: each
+tick; then the tick's records are numbered and encoded at once, and its state is gone. Stacks wait as
+text (`functions.stacks`). What waits is bounded by a tick and the delay. A process with very many threads is spread by `parts`: each
 part of a tick holds some of the threads, has state of its own and gives records of its own.
 """
 
@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stackweave import session
-from stackweave.functions import clock, ids
-from stackweave.operators import profiles
+from stackweave.functions import clock, ids, stacks
+from stackweave.operators import numbering, profiles
 from stackweave.sources import profile_log
 
 
@@ -45,7 +45,9 @@ def _encode(period_ms: int, part_samples: int):
             for i in range(batch.num_rows):
                 key = batch.slice(i, 1).select(profiles.TICK)
                 rows = batch.column("samples")[i].values
-                table = pa.table({name: rows.field(name) for name in rows.type.names}).sort_by([(name, "ascending") for name in ("at", "tid", "sample_id")])
+                columns = {name: rows.field(name) for name in rows.type.names}
+                columns["frames"] = numbering.frames_of(columns["frames"])
+                table = pa.table(columns).sort_by([(name, "ascending") for name in ("at", "tid", "sample_id")])
                 time_ms = key.column("tick_ts").cast(pa.int64())[0].as_py() // 1000
                 for piece, start in enumerate(range(0, table.num_rows, part_samples)):
                     held = table.slice(start, part_samples).combine_chunks()
@@ -67,6 +69,6 @@ def records(
 ) -> DataFrame:
     """Samples with their context, as a stream, to complete profile log records."""
     session.prepare(samples.sparkSession, streaming=True)
-    closed = _closed_ticks(samples, source, period, delay, parts)
+    closed = _closed_ticks(stacks.packed(samples), source, period, delay, parts)
     schema = f"{profile_log.KEY_SCHEMA.format(ts='timestamp')}, total_frames bigint, samples bigint, body string"
     return profiles.with_attributes(closed.mapInArrow(_encode(profiles.PERIOD_MILLIS[source], part_samples), schema))

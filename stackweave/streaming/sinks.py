@@ -159,7 +159,7 @@ class Replay:
         if not self.landed:
             wanted |= self.arrival.isNull()
         self.landed = True
-        self.rows.where(wanted).write.mode("append").parquet(self.path)
+        self.rows.where(wanted).write.mode("append").parquet(self.path, compression="zstd")
 
     def close(self) -> None:
         columns = [
