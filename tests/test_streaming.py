@@ -2,6 +2,7 @@ import random
 import time
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from stackweave.operators import profiles
 from stackweave.operators import spans as batch_spans
 from stackweave.plans import catalog
 from stackweave.sources import profile_log
-from stackweave.streaming import context, sinks, windows
+from stackweave.streaming import context, ordered, sinks, windows
 from stackweave.streaming import profiles as stream_profiles
 
 START = datetime(2024, 1, 1)
@@ -255,3 +256,75 @@ def test_records_are_written_as_a_stream(spark):
         arriving = spark.readStream.schema(records.schema).parquet(landed)
         profile_log.write_stream(arriving, path, f"{path}-{attempt}").awaitTermination()
     assert profile_log.read(spark, path, "2024-01-01", "2024-01-02").count() == 5
+
+
+class Handle:
+    """State in memory that counts how often it is touched."""
+
+    def __init__(self):
+        self.touched, self.timers = 0, set()
+
+    def getMapState(self, *_):
+        handle, held = self, {}
+
+        class Map:
+            def updateValue(self, key, value):
+                handle.touched += 1
+                held[key] = value
+
+            def getValue(self, key):
+                handle.touched += 1
+                return held[key]
+
+            def removeKey(self, key):
+                handle.touched += 1
+                del held[key]
+
+        return Map()
+
+    def getValueState(self, *_):
+        handle, held = self, []
+
+        class Value:
+            def exists(self):
+                handle.touched += 1
+                return bool(held)
+
+            def get(self):
+                handle.touched += 1
+                return held[0] if held else None
+
+            def update(self, value):
+                handle.touched += 1
+                held[:] = [value]
+
+            def clear(self):
+                handle.touched += 1
+                held.clear()
+
+        return Value()
+
+    def registerTimer(self, at):
+        self.touched += 1
+        self.timers.add(at)
+
+
+@pytest.mark.parametrize("rows", [40, 5000])
+def test_state_is_touched_by_batch_and_not_by_row(rows):
+    """Rows far apart, as those of a quiet thread: a few calls a batch, whatever the number of buckets."""
+    handle, processor = Handle(), context.CurrentContext(60)
+    processor.init(handle)
+    order = list(range(rows))
+    random.Random(3).shuffle(order)
+    found = []
+    for half in (order[::2], order[1::2]):
+        moves = [(k * 600_000_000, k % 2, 0, k, f"t{k}" if k % 2 == 0 else None, "s", None) for k in half]
+        list(processor.handleInputRows(("a", "i", 1), [pd.DataFrame(moves, columns=ordered.ROW_NAMES)], None))
+    for passed in (rows * 300_000, rows * 600_000 + 60_000):
+        while due := [at for at in handle.timers if at <= passed]:
+            handle.timers.remove(min(due))
+            clock = type("Clock", (), {"getCurrentWatermarkInMs": lambda self: passed})()
+            for out in processor.handleExpiredTimer(("a", "i", 1), clock, None):
+                found += list(out[["sample_id", "trace_id"]].itertuples(index=False, name=None))
+    assert found == [(k, f"t{k - 1}") for k in range(1, rows, 2)]
+    assert handle.touched < 60
