@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stackweave import session
 from stackweave.functions import clock, ids, stacks
-from stackweave.operators import numbering, profiles
+from stackweave.operators import profiles
 from stackweave.sources import profile_log
 
 
@@ -46,7 +46,7 @@ def _encode(period_ms: int, part_samples: int):
                 key = batch.slice(i, 1).select(profiles.TICK)
                 rows = batch.column("samples")[i].values
                 columns = {name: rows.field(name) for name in rows.type.names}
-                columns["frames"] = numbering.frames_of(columns["frames"])
+                columns["frames"] = stacks.frames_of(columns["frames"])
                 table = pa.table(columns).sort_by([(name, "ascending") for name in ("at", "tid", "sample_id")])
                 time_ms = key.column("tick_ts").cast(pa.int64())[0].as_py() // 1000
                 for piece, start in enumerate(range(0, table.num_rows, part_samples)):

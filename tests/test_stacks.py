@@ -64,3 +64,23 @@ def test_landed_samples_are_compressed(spark, small, monkeypatch, tmp_path):
     assert count > 0 and len(files) > 3 and all(name.endswith(".json.gz") for name in files)
     lines = spark.read.json(str(tmp_path / "landed-samples"))
     assert lines.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 7
+
+
+def test_packed_stacks_take_less_than_half_of_their_json(spark):
+    words = [(f"source/{k % 3}", f"word{k * 7919 % 1000}", k % 9) for k in range(400)]
+    df = spark.createDataFrame([(words,)], f"frames {stacks.FRAMES}")
+    packed, told = stacks.packed(df).first()[0], df.select(F.to_json("frames")).first()[0]
+    assert len(packed) < len(told) / 6 and packed.isascii()
+
+
+def test_small_parts_are_numbered_together_and_apart(spark):
+    """Many parts of one sample in one walk: each has numbers of its own, from 1."""
+    rows = [("a", "", "continuous", tick, 0, 1, 7, None, None, [("f", "g", 1), ("f", f"h{tick % 2}", None)]) for tick in range(600)]
+    schema = f"service string, instance string, source string, tick_ts int, part int, sample int, tid bigint, trace_id string, span_id string, frames {stacks.FRAMES}"
+    base = stacks.packed(spark.createDataFrame(rows, schema)).coalesce(1)
+    seen = profiles.first_seen(base)
+    assert {tuple(r) for r in profiles.functions(seen).groupBy("tick_ts").agg(F.min("function_id"), F.max("function_id")).collect()} == {(t, 1, 2) for t in range(600)}
+    found = {(r.tick_ts, r.location_id, r.func, r.raw_line) for r in profiles.locations(seen).collect()}
+    assert found == {x for t in range(600) for x in ((t, 1, f"h{t % 2}", None), (t, 2, "g", 1))}
+    assert {tuple(r.location_ids) for r in profiles.stacks(base).collect()} == {(1, 2)}
+    assert {r.string_id for r in profiles.strings(base, seen).where("token = 'f'").collect()} == {6}
