@@ -125,9 +125,13 @@ def together(numbered: DataFrame) -> DataFrame:
     return numbered.repartition(*KEY)
 
 
-def in_parts(numbered: DataFrame) -> DataFrame:
-    """Samples part by part and in order, for `numbering`, which reads frames and packed stacks alike."""
-    return together(numbered).sortWithinPartitions(*KEY, "sample")
+def in_parts(numbered: DataFrame, ranged: bool = False) -> DataFrame:
+    """Samples part by part and in order, for `numbering`, which reads frames and packed stacks alike.
+
+    With `ranged`, a task holds neighbouring parts, so that what is made of them can be written by
+    process and time without another shuffle. A part is whole in either case."""
+    spread = numbered.repartitionByRange(*KEY) if ranged else together(numbered)
+    return spread.sortWithinPartitions(*KEY, "sample")
 
 
 def frames(numbered: DataFrame) -> DataFrame:

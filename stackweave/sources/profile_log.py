@@ -360,30 +360,34 @@ def sample_columns(numbered: DataFrame, period_millis: int | None = None) -> Dat
     )
 
 
-def encode(numbered: DataFrame, period_millis: int | None = None) -> DataFrame:
+def encode(numbered: DataFrame, period_millis: int | None = None, ranged: bool = False) -> DataFrame:
     """Numbered samples to (key, total_frames, samples, body), one row a part."""
-    rows = profiles.in_parts(sample_columns(numbered, period_millis))
+    rows = profiles.in_parts(sample_columns(numbered, period_millis), ranged)
     return rows.mapInArrow(_encode, f"{_key_schema(numbered)}, total_frames bigint, samples bigint, body string")
 
 
-def log_records(ticked: DataFrame, period_millis: int | None = None, part_samples: int = profiles.PART_SAMPLES) -> DataFrame:
-    """Complete profile log records: the facts of every profile and its encoded body."""
+def log_records(
+    ticked: DataFrame, period_millis: int | None = None, part_samples: int = profiles.PART_SAMPLES, ranged: bool = False
+) -> DataFrame:
+    """Complete profile log records: the facts of every profile and its encoded body. With `ranged`, a task
+    makes neighbouring records, which `write` need not spread."""
     columns = [*profiles.TICK, "ts", "tid", "sample_id", "trace_id", "span_id", "frames"]
     packed = stacks.packed(ticked.select(*columns))
-    return profiles.with_attributes(encode(profiles.number_samples(packed, part_samples), period_millis))
+    return profiles.with_attributes(encode(profiles.number_samples(packed, part_samples), period_millis, ranged))
 
 
-def write(records: DataFrame, path: str, batch: int = 0) -> None:
+def write(records: DataFrame, path: str, batch: int = 0, spread: bool = True) -> None:
     """Write one batch of records by date, service and source, beside the batches that are there.
 
     Only the partitions of this batch are replaced, so writing it again changes nothing. Rebalancing
-    keeps the number of files down and still splits a service that holds much of the data.
+    keeps the number of files down and still splits a service that holds much of the data. Records that
+    lie in the order of their keys (`ranged`) have that already and need no shuffle (`spread`).
     """
     dated = records.withColumns({"date": F.to_date("tick_ts"), "batch": F.lit(batch)})
-    spread = dated.hint("rebalance", F.col("date"), F.col("service"), F.col("source"))
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    rows = dated.hint("rebalance", F.col("date"), F.col("service"), F.col("source")) if spread else dated
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "date", "service", "source", "batch"
-    ).parquet(path)
+    ).parquet(path, compression="zstd")
 
 
 def write_stream(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

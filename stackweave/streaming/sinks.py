@@ -110,6 +110,7 @@ def drain(stream: DataFrame, label: str, *replays: Replay) -> DataFrame:
         query = (
             stream.writeStream.format("parquet")
             .option("path", path)
+            .option("compression", "zstd")
             .option("checkpointLocation", f"{path}-checkpoint")
             .outputMode("append")
             .trigger(availableNow=True)

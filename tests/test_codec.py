@@ -1,10 +1,12 @@
 import base64
 import gzip
 import random
+from datetime import datetime, timedelta
 
 import numpy as np
 import pyarrow as pa
 
+from stackweave.operators import profiles
 from stackweave.sources import profile_log
 
 FRAMES = pa.list_(pa.struct([("file", pa.string()), ("func", pa.string()), ("line", pa.int64())]))
@@ -55,3 +57,18 @@ def test_bodies_of_other_writers_are_read_alike():
             stack.location_id[:] = [i + shift for i in stack.location_id]
         other = base64.b64encode(gzip.compress(profile.SerializeToString())).decode()
         assert shown(profile_log.from_body(other)) == shown(profile_log.from_body(body))
+
+
+def test_ranged_records_are_written_without_a_shuffle(spark, tmp_path):
+    """Neighbouring records come from one task, so a day of a service has few files though nothing is spread."""
+    start = datetime(2024, 1, 1)
+    rows = [(f"s{k % 3}", k, start + timedelta(hours=k // 3 % 240), k, None, None, [("f", f"g{k}", 1)]) for k in range(1440)]
+    df = spark.createDataFrame(rows, "service string, tid long, ts timestamp_ntz, sample_id long, trace_id string, span_id string, frames array<struct<file:string,func:string,line:int>>")
+    records = profile_log.log_records(profiles.in_ticks(df, period="1 hour"), ranged=True)
+    path = str(tmp_path / "out")
+    profile_log.write(records, path, spread=False)
+    files = list((tmp_path / "out").rglob("part-*.parquet"))
+    assert len(files) <= 3 * 10 + 2 * 4 and all(".zstd." in file.name for file in files)
+    found = profile_log.decode(spark.read.parquet(path)).select("service", "tid", "tick_ts", "part", "sample")
+    want = profile_log.decode(profile_log.log_records(profiles.in_ticks(df, period="1 hour"))).select(found.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())) and found.count() == 1440
